@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from recmill.functions.hashing import draw
 
@@ -20,6 +20,17 @@ def decode_json(df: DataFrame, col: str, schema: StructType | str, keep: bool =
     return df.select(*kept, parsed.alias("_json")).select(*kept, "_json.*")
 
 
+def decode_messages(df: DataFrame, schema: StructType | str, col: str = "Body", keep: bool = False) -> DataFrame:
+    """Hub messages, whose JSON values are all texts, as typed columns.
+
+    A value that does not fit its type becomes NULL; the other fields are kept.
+    """
+    fields = StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+    texts = StructType([StructField(f.name, StringType()) for f in fields])
+    decoded = decode_json(df, col, texts, keep)
+    return decoded.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in fields})
+
+
 def encode_messages(
     df: DataFrame, cols: Sequence[str], out: str = "Body", keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from recmill.operators.serving import latest_per_key, publish_upsert
-from recmill.sources.messages import decode_json, filter_rating
+from recmill.sources.messages import decode_messages, filter_rating
 
 WATERMARK = "10 minutes"
 
@@ -34,7 +34,7 @@ def stream_ratings(
 ) -> DataFrame:
     """Captured messages, decoded, with a rating above ``min_rating``."""
     messages = stream_files(spark, root, "Body binary", max_files)
-    return filter_rating(decode_json(messages, "Body", schema), min_rating)
+    return filter_rating(decode_messages(messages, schema), min_rating)
 
 
 def capture_windows(
