@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from recmill.functions.columns import RECOMMENDATIONS_TYPE
 from recmill.functions.hashing import digest, draw, unit_draw
 from recmill.operators.prep import active_items
-from recmill.operators.skew import HEAVY_ROWS, broadcast_if_small, rank_in_group
+from recmill.operators.skew import HEAVY_ROWS, rank_in_group
 
 CHUNK_BYTES = 64 * 1024 * 1024  # most item factors broadcast at a time
 _BLOCK_USERS = 512
@@ -208,7 +208,8 @@ def inject_cold(
 
     Rows (user, position, item, exposed); ``exposed`` is 'cold' for a replaced
     entry and 'warm' otherwise. Which entries, and which items, follow from the
-    user, the position and the seed. Only replaced entries take part in the join.
+    user, the position and the seed. Cold items are broadcast up to ``max_broadcast``;
+    beyond it only the replaced entries are shuffled to them.
     """
     served = recs.select(user, F.posexplode("recommendations.itemId").alias("_pos", item))
     served = served.select(user, (F.col("_pos") + 1).alias("position"), item)
@@ -218,11 +219,12 @@ def inject_cold(
     if n_cold == 0:
         return served.withColumn("exposed", F.lit("warm"))
     chosen = unit_draw([user, "position"], seed) < rate
-    warm = served.filter(~chosen).withColumn("exposed", F.lit("warm"))
     pick = draw([user, "position"], f"{seed}-item") % F.lit(n_cold) + 1
-    replaced = served.filter(chosen).select(user, "position", pick.alias("_n"))
-    replaced = replaced.join(broadcast_if_small(numbered, max_broadcast), "_n")
-    replaced = replaced.select(
-        user, "position", F.col("_cold").alias(item), F.lit("cold").alias("exposed")
-    )
-    return warm.unionByName(replaced)
+    numbered = numbered.select("_n", "_cold")
+    exposed = F.when(F.col("_cold").isNull(), "warm").otherwise("cold").alias("exposed")
+    if n_cold <= max_broadcast:
+        picked = served.withColumn("_n", F.when(chosen, pick)).join(F.broadcast(numbered), "_n", "left")
+        return picked.select(user, "position", F.coalesce("_cold", item).alias(item), exposed)
+    replaced = served.filter(chosen).select(user, "position", pick.alias("_n")).join(numbered, "_n")
+    replaced = replaced.select(user, "position", F.col("_cold").alias(item), exposed)
+    return served.filter(~chosen).withColumn("exposed", F.lit("warm")).unionByName(replaced)

@@ -159,9 +159,3 @@ def lookup_join(
     hot, cold = split_heavy(left, [key], heavy)
     few = _semi(right, _heavy_table(left, [key], heavy), [key], "left_semi")
     return hot.join(F.broadcast(few), key, how).unionByName(cold.join(right, key, how))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows, else leave it."""
-    seen = df.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df

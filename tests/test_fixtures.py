@@ -1,0 +1,116 @@
+"""Known answers on the small ratings tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import news_rows, typed_rows
+from recmill.functions.columns import index_name
+from recmill.operators import indexing, prep, splits
+from recmill.sources.ratings import ratings_from_pandas, ratings_from_rows
+
+
+@pytest.fixture(scope="module")
+def typed(spark):
+    return ratings_from_rows(spark, typed_rows(), "user INT, item INT, rating INT, notTime INT").cache()
+
+
+@pytest.fixture(scope="module")
+def news(spark):
+    """Four days of the base rows, each with new items and later times."""
+    base = ratings_from_rows(spark, news_rows(), "user BIGINT, item BIGINT, rating BIGINT, ts BIGINT")
+    return prep.append_all(*[prep.shift_days(base, n, 10, 100_000_000) for n in range(4)]).cache()
+
+
+def items(df):
+    return sorted(row["item"] for row in df.collect())
+
+
+def test_shape(typed):
+    assert typed.count() == 32
+    assert typed.agg(F.avg("rating")).first()[0] == 3.25
+    assert typed.schema.simpleString() == "struct<user:int,item:int,rating:int,notTime:int>"
+
+
+def test_chrono_split(typed):
+    left, right = splits.chrono_split(typed, 0.75, col_timestamp="notTime", tiebreak=["item"])
+    sizes = [row["count"] for row in left.groupBy("user").count().orderBy("user").collect()]
+    assert (left.count(), right.count(), sizes) == (22, 10, [5, 5, 6, 6])
+    assert left.columns == typed.columns
+
+
+def test_user_ratio_split(typed):
+    train, valid = splits.user_ratio_split(typed, 0.8)
+    assert (train.count(), valid.count()) == (24, 8)
+
+
+def test_item_index(typed):
+    index = indexing.label_index(typed, "item").orderBy("index").collect()
+    assert [row["label"] for row in index] == [10, 3, 1, 2, 4, 5, 6, 7, 8, 9]
+
+
+def test_unknown_labels_share_the_next_index(spark, typed):
+    index = indexing.label_index(typed, "item")
+    unknown = spark.createDataFrame([(3,), (99,), (None,)], "item INT")
+    found = indexing.apply_index(unknown, index, "item", "itemIndex").collect()
+    assert {row["item"]: row["itemIndex"] for row in found} == {3: 1, 99: 10, None: 10}
+
+
+def test_index_name():
+    assert index_name("userId") == "userIndex"
+
+
+def test_active_items(news):
+    assert news.count() == 100
+    assert items(prep.active_items(news, 1662277923)) == [*range(21, 26), *range(31, 36)]
+    assert items(prep.active_items(news, 1692455636)) == [*range(31, 36)]
+
+
+def test_active_is_strict(news):
+    last = news.agg(F.max("ts")).first()[0]
+    assert items(prep.active_items(news, last)) == []
+
+
+def test_cold_items(news):
+    assert items(prep.cold_items(news, 1692455636)) == [*range(31, 36)]
+    assert items(prep.cold_items(news, 1762277923)) == [32, 33, 34, 35]
+
+
+def test_from_pandas(spark, typed):
+    assert ratings_from_pandas(spark, typed.toPandas()).count() == 32
+
+
+def test_flags_may_be_text_or_boolean(spark):
+    rows = [("u", "a", 11.0, True), ("u", "home", 11.0, False), ("u", "b", 10.0, False), ("u", "c", None, False),
+            ("u", "d", 12.0, None), ("u", "e", 12.0, False)]
+    log = spark.createDataFrame(rows, "userId string, url string, activeTime double, sessionStart boolean")
+    rules = {"drop": {"sessionStart": ["true"], "url": ["home"]}, "above": {"activeTime": 10}}
+    for frame in (log, log.withColumn("sessionStart", F.col("sessionStart").cast("string"))):
+        assert [row["url"] for row in prep.clean_activity(frame, **rules).collect()] == ["e"]
+
+
+def test_untimed_rows(spark):
+    """Untimed rows rank last and go right; a key without times, or no key, is dropped."""
+    rows = [(1, 1, 10), (1, 2, 20), (1, 3, None), (2, 1, None), (None, 1, 30)]
+    df = spark.createDataFrame(rows, "user INT, item INT, ts INT")
+    left, right = splits.chrono_split(df, 0.75)
+    assert [tuple(r) for r in left.collect()] == [(1, 2, 20)]
+    assert sorted(tuple(r) for r in right.select("user", "item").collect()) == [(1, 1), (1, 3)]
+    fractions = splits.recency_fraction(df, "user", "ts", ["item"]).collect()
+    assert {(r["user"], r["item"]): r["fraction"] for r in fractions} == {
+        (1, 2): 0.5, (1, 1): 1.0, (1, 3): 1.5, (2, 1): None
+    }
+
+
+def test_best_run(spark):
+    runs = spark.createDataFrame(
+        [("b", "rmse", 0.5), ("a", "rmse", 0.5), ("c", "rmse", 0.9), ("d", "mae", 0.1)],
+        "run_id string, metric string, value double",
+    )
+    assert prep.best_run(runs, "rmse").first()["run_id"] == "a"
+    assert prep.best_run(runs, "rmse", minimise=False).first()["run_id"] == "c"
+
+
+def test_order_and_head(typed):
+    ordered = [(r["user"], r["item"]) for r in prep.order_ratings(typed).collect()]
+    assert ordered == sorted(ordered)
+    assert [r["item"] for r in prep.head_rows(typed, 3, ["user", "item"]).collect()] == [1, 3, 4]
