@@ -93,6 +93,11 @@ def _sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, sf_dir: str, ratings: Query) -> DataFrame:
+    """The ratings written once, for queries that read them several times."""
+    return materialise(ratings(spark, sf_dir), "ratings")
+
+
 EVENTS_SQL = """r AS (
   SELECT event_id, user_id::INT AS "user", json_extract_string(props, '$.k')::INT AS item,
          value AS rating, ts, event_type FROM events)"""
@@ -349,7 +354,7 @@ def head_rows(spark, sf_dir):
 )
 def best_run(spark, sf_dir):
     """Baseline predictors as runs: global mean, item mean, user mean."""
-    events = _events(spark, sf_dir).select("user", "item", "rating")
+    events = _stored(spark, sf_dir, _events).select("user", "item", "rating")
     runs = [events.withColumn("prediction", events.agg(F.avg("rating")).scalar())]
     for key in ("item", "user"):
         means = events.groupBy(key).agg(F.avg("rating").alias("prediction"))
@@ -521,7 +526,7 @@ def index_user_sparse(spark, sf_dir):
     FROM r LEFT JOIN idx ON item = label""",
 )
 def index_unseen(spark, sf_dir):
-    rows = _sparse(spark, sf_dir).select("l_orderkey", "l_linenumber", "item", "ts")
+    rows = _stored(spark, sf_dir, _sparse).select("l_orderkey", "l_linenumber", "item", "ts")
     early = I.label_index(rows.filter(F.col("ts") <= _at(COLD_CUT)), "item")
     return I.apply_index(rows.drop("ts"), early, "item", "item_index")
 
@@ -565,7 +570,7 @@ def recommend_active_pop(spark, sf_dir):
     f"""WITH {SPARSE_SQL}, {_top_sql('r', 10, f"ts > TIMESTAMP '{SPARSE_CUT}'")} {LISTED_SQL}""",
 )
 def recommend_active_sparse(spark, sf_dir):
-    return _listed(R.recommend_active_popular(_sparse(spark, sf_dir), _at(SPARSE_CUT), 10))
+    return _listed(R.recommend_active_popular(_stored(spark, sf_dir, _sparse), _at(SPARSE_CUT), 10))
 
 
 FLAGSHIP_SQL = f"""WITH {EVENTS_SQL}, clean AS (SELECT * FROM r WHERE {CLEAN_SQL}),
@@ -622,7 +627,7 @@ def cold_items(spark, sf_dir):
     FROM picked LEFT JOIN cold ON pick = n""",
 )
 def inject_cold(spark, sf_dir):
-    sparse = _sparse(spark, sf_dir)
+    sparse = _stored(spark, sf_dir, _sparse)
     return R.inject_cold(_popular(sparse, 10), P.cold_items(sparse, _at(COLD_CUT)), 0.01, 42)
 
 
@@ -711,7 +716,7 @@ def label_lists(spark, sf_dir):
     f"WITH {EVENTS_SQL}, {POP_SQL} SELECT round(sqrt(avg((rating - score) ** 2)), 6) AS rmse FROM r JOIN pop USING (item)",
 )
 def rmse_pop(spark, sf_dir):
-    return M.rmse(_scored(_events(spark, sf_dir)), "label").select(_r6("rmse"))
+    return M.rmse(_scored(_stored(spark, sf_dir, _events)), "label").select(_r6("rmse"))
 
 
 METRICS_SQL = _metric_sql(EVENTS_SQL)
@@ -742,7 +747,7 @@ def mrr(spark, sf_dir):
     f"WITH {_fcp_sql(EVENTS_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",
 )
 def fcp_events(spark, sf_dir):
-    return fcp(_scored(_events(spark, sf_dir))).select(_r6("fcp"), "n_pairs")
+    return fcp(_scored(_stored(spark, sf_dir, _events))).select(_r6("fcp"), "n_pairs")
 
 
 @_register(
@@ -750,7 +755,7 @@ def fcp_events(spark, sf_dir):
     f"WITH {_fcp_sql(SPARSE_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",
 )
 def fcp_sparse(spark, sf_dir):
-    return fcp(_scored(_sparse(spark, sf_dir))).select(_r6("fcp"), "n_pairs")
+    return fcp(_scored(_stored(spark, sf_dir, _sparse))).select(_r6("fcp"), "n_pairs")
 
 
 def _all_metrics_sql(rows: str) -> str:
@@ -769,74 +774,70 @@ def _all_metrics(df: DataFrame) -> DataFrame:
 
 @_register("ranking_metrics", _all_metrics_sql(EVENTS_SQL))
 def ranking_metrics(spark, sf_dir):
-    return _all_metrics(_events(spark, sf_dir))
+    return _all_metrics(_stored(spark, sf_dir, _events))
 
 
 @_register("ranking_metrics_sparse", _all_metrics_sql(SPARSE_SQL))
 def ranking_metrics_sparse(spark, sf_dir):
-    return _all_metrics(_sparse(spark, sf_dir))
+    return _all_metrics(_stored(spark, sf_dir, _sparse))
 
 
 # Factor models (no SQL equivalent) ----------------------------------------------------------
 
 
-def _als_events(spark, sf_dir) -> DataFrame:
-    return materialise(_events(spark, sf_dir).select("event_id", "user", "item", "rating", "ts"), "events")
-
-
 def _predictions(model, df: DataFrame) -> DataFrame:
     return L.score(model, df.select("user", "item").distinct())
 
 
 @_register("als_explicit")
 def als_explicit(spark, sf_dir):
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     return _predictions(L.fit_als(L.als_explicit(), events, dedupe=True), events)
 
 
 @_register("als_implicit")
 def als_implicit(spark, sf_dir):
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     return _predictions(L.fit_als(L.als_implicit(), events, dedupe=True), events)
 
 
 @_register("score_pairs")
 def score_pairs(spark, sf_dir):
     """RMSE of the training rows and the number scored."""
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     scored = L.score(L.fit_als(L.als_explicit(), events, dedupe=True), events)
     return scored.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg((F.col("rating") - F.col("prediction")) ** 2)).alias("rmse"))
 
 
 @_register("indexed_als")
 def indexed_als(spark, sf_dir):
-    sparse = _sparse(spark, sf_dir).select("user", "item", "rating")
+    sparse = _stored(spark, sf_dir, _sparse).select("user", "item", "rating")
     als = L.als_explicit("user_index", "item_index", "rating")
     return L.IndexedALS.fit(sparse, als, "user", "item", dedupe=True).transform(sparse)
 
 
 @_register("recommend_all")
 def recommend_all(spark, sf_dir):
-    model = L.fit_als(L.als_explicit(), _als_events(spark, sf_dir), dedupe=True)
+    model = L.fit_als(L.als_explicit(), _stored(spark, sf_dir, _events), dedupe=True)
     return _listed(R.recommend_all(model, 10))
 
 
 @_register("recommend_active_als")
 def recommend_active_als(spark, sf_dir):
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     model = L.fit_als(L.als_implicit(), events, dedupe=True)
     return _listed(R.recommend_active(model, events, _at(CUT), 10))
 
 
 @_register("recommend")
 def recommend(spark, sf_dir):
-    sparse = materialise(_sparse(spark, sf_dir).select("user", "item", "rating", "ts"), "sparse")
+    sparse = _stored(spark, sf_dir, _sparse)
     return _listed(L.recommend(sparse, _at(SPARSE_CUT), 10, dedupe=True))
 
 
 @_register("grid_search_cv")
 def grid_search_cv(spark, sf_dir):
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     als = L.als_explicit()
     grid = ParamGridBuilder().addGrid(als.regParam, list(W.REG_PARAMS)).build()
     judge = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
@@ -848,7 +849,7 @@ def grid_search_cv(spark, sf_dir):
 def grid_search_ranking(spark, sf_dir):
     als = L.als_explicit()
     grid = ParamGridBuilder().addGrid(als.maxIter, [1, 2, 3, 5, 8]).build()
-    events = _als_events(spark, sf_dir)
+    events = _stored(spark, sf_dir, _events)
     return L.grid_search_ranking(events, als, grid, key=["event_id"], dedupe=True).metrics
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recmill.functions.pairs import fcp
-from recmill.operators.skew import HEAVY_ROWS, heavy_keys
+from recmill.operators.skew import HEAVY_ROWS, heavy_keys, lookup_join
 
 RANKING_METRICS = ("ndcgAt", "map", "recallAtK", "mrr", "fcp")
 
@@ -59,22 +59,19 @@ def ranking_frame(
 
 
 def label_lists(
-    truth: DataFrame, user: str = "user", item: str = "item", part_rows: int = 100_000
+    truth: DataFrame, user: str = "user", item: str = "item", part_rows: int = 100_000, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Each user's true items as sorted lists (user, part, labels).
 
     A user with more than ``part_rows`` distinct items gets several rows, so no
     row grows with the data; nothing is left out.
     """
-    pairs = truth.select(user, item).distinct()
-    heavy = heavy_keys(pairs, [user], part_rows)
+    pairs = truth.select(user, item).dropna().distinct()
     part = F.lit(0).cast("long")
-    if heavy:
-        rows = [(row[user], -(-row["_rows"] // part_rows)) for row in heavy]
-        schema = f"_user {pairs.schema[user].dataType.simpleString()}, _parts long"
-        parts = F.broadcast(truth.sparkSession.createDataFrame(rows, schema))
-        pairs = pairs.join(parts, F.col(user) == F.col("_user"), "left")
-        part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), part)
+    if heavy_keys(pairs, [user], part_rows, limit=1):
+        sizes = pairs.groupBy(user).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
+        pairs = lookup_join(pairs, sizes, user, "inner", min_rows)
+        part = F.pmod(F.xxhash64(item), F.col("_parts"))
     lists = pairs.groupBy(user, part.alias("part"))
     return lists.agg(F.sort_array(F.collect_list(item)).alias("labels"))
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recmill.operators.skew import HEAVY_ROWS, heavy_keys, rank_in_group, split_heavy
+from recmill.operators.skew import HEAVY_ROWS, heavy_keys, rank_in_group
 from recmill.sources.scratch import materialise
 
 STRIPS = 1_000  # most strips one user's ranks are cut into
@@ -87,29 +87,32 @@ def _counted(strips: DataFrame) -> DataFrame:
     return placed.mapInPandas(_tally, "concordant string")
 
 
-def _strips_of_heavy(points: DataFrame, largest: int, min_rows: int) -> DataFrame:
-    """Cut users too large for one task into strips whose counts add up.
+def _strips(points: DataFrame, largest: int, min_rows: int) -> DataFrame:
+    """Cut every user's points into strips no larger than one task should take.
 
     With pos = rank by label and q = rank by prediction (ties placed so that they
     never count), a pair is either in one pos-strip, or in one q-strip but
     different pos-strips, or differs in both; the last kind depends only on how
-    many points each cell of the strip grid holds.
+    many points each cell of the strip grid holds. Users with one strip need only
+    the first kind.
     """
     size = max(min_rows, -(-largest // STRIPS))
     by_label = [F.col("label"), F.col("prediction").desc(), F.col("item")]
-    pos = rank_in_group(points, ["user"], by_label, "pos", min_rows=min_rows)
+    pos = rank_in_group(points, ["user"], by_label, "pos", "user", "n", min_rows=min_rows)
     by_prediction = [F.col("prediction"), F.col("pos").desc()]
     both = rank_in_group(pos, ["user"], by_prediction, "q", min_rows=min_rows)
     both = both.select(
         "user",
+        "n",
         "pos",
         "q",
         F.floor((F.col("pos") - 1) / size).alias("pos_strip"),
         F.floor((F.col("q") - 1) / size).alias("q_strip"),
     )
     both = materialise(both, "ranks")
+    cut = both.filter(F.col("n") > size)
     one = F.lit(1).cast("long").alias("weight")
-    cells = both.groupBy("user", "pos_strip", "q_strip").agg(F.count(F.lit(1)).alias("weight"))
+    cells = cut.groupBy("user", "pos_strip", "q_strip").agg(F.count(F.lit(1)).alias("weight"))
 
     def strip(kind: str, number, a: str, b: str, weight, df: DataFrame) -> DataFrame:
         name = F.concat_ws("-", F.lit(kind), number)
@@ -123,11 +126,22 @@ def _strips_of_heavy(points: DataFrame, largest: int, min_rows: int) -> DataFram
 
     return (
         strip("pos", F.col("pos_strip"), "pos", "q", one, both)
-        .unionByName(strip("q", F.col("q_strip"), "pos_strip", "q", one, both))
+        .unionByName(strip("q", F.col("q_strip"), "pos_strip", "q", one, cut))
         .unionByName(strip("cells", F.lit(0), "pos_strip", "q_strip", F.col("weight"), cells))
     )
 
 
+def _whole(points: DataFrame) -> DataFrame:
+    """Every user as a single strip."""
+    return points.select(
+        "user",
+        F.lit("").alias("strip"),
+        F.col("label").alias("a"),
+        F.col("prediction").alias("b"),
+        F.lit(1).cast("long").alias("weight"),
+    )
+
+
 def fcp(
     df: DataFrame,
     user: str = "user",
@@ -145,7 +159,7 @@ def fcp(
     points = df.groupBy(F.col(user).alias("user"), F.col(item).alias("item")).agg(
         F.avg(label).alias("label"), F.avg(prediction).alias("prediction")
     )
-    points = points.dropna(subset=["user", "label", "prediction"])
+    points = materialise(points.dropna(subset=["user", "label", "prediction"]), "points")
 
     by_label = points.groupBy("user", "label").agg(F.count(F.lit(1)).cast(TOTAL_TYPE).alias("n"))
     by_user = by_label.groupBy("user").agg(
@@ -155,17 +169,8 @@ def fcp(
         (F.sum(F.col("n").cast("double") * F.col("n") - F.col("ties")) / 2).alias("n_pairs")
     )
 
-    heavy = heavy_keys(points, ["user"], min_rows)
-    hot, cold = split_heavy(points, ["user"], heavy) if heavy else (None, points)
-    strips = cold.select(
-        "user",
-        F.lit("").alias("strip"),
-        F.col("label").alias("a"),
-        F.col("prediction").alias("b"),
-        F.lit(1).cast("long").alias("weight"),
-    )
-    if hot is not None:
-        strips = strips.unionByName(_strips_of_heavy(hot, heavy[0]["_rows"], min_rows))
+    largest = heavy_keys(points, ["user"], min_rows, limit=1)
+    strips = _strips(points, largest[0]["_rows"], min_rows) if largest else _whole(points)
     found = _counted(strips).agg(F.sum(F.col("concordant").cast(TOTAL_TYPE)).alias("concordant"))
     concordant_pairs = F.coalesce(found.scalar().cast("double"), F.lit(0.0))
     return pairs.select(

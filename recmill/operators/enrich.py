@@ -78,10 +78,14 @@ def explode_urls(df: DataFrame, col: str, out: str = "url") -> DataFrame:
     return df.select(*others, F.explode(F.col(f"{col}.url")).alias(out))
 
 
-def words(text: str | Column) -> Column:
+def _pieces(text: str) -> Column:
+    """Lower-case runs of the letters a-z, and perhaps an empty piece at either end."""
+    return F.split(F.lower(F.col(text)), "[^a-z]+")
+
+
+def words(text: str) -> Column:
     """Lower-case runs of the letters a-z."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda word: word != "")
+    return F.filter(_pieces(text), lambda word: word != "")
 
 
 def sentiment(
@@ -91,8 +95,8 @@ def sentiment(
 
     Read within the row, so texts are never shuffled. No lexicon word, no score.
     """
-    if len(lexicon) > INLINE_WORDS:
-        raise ValueError(f"a lexicon may have at most {INLINE_WORDS} words")
+    if len(lexicon) > INLINE_WORDS or "" in lexicon:
+        raise ValueError(f"a lexicon may have at most {INLINE_WORDS} words, none of them empty")
     by_weight: dict[float, list[str]] = {}
     for word, value in lexicon.items():
         by_weight.setdefault(float(value), []).append(word)
@@ -104,13 +108,11 @@ def sentiment(
     start = F.struct(F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("n"))
 
     def add(state: Column, value: Column) -> Column:
-        return F.when(value.isNull(), state).otherwise(
-            F.struct((state["total"] + value).alias("total"), (state["n"] + 1).alias("n"))
-        )
+        return F.struct((state["total"] + value).alias("total"), (state["n"] + 1).alias("n"))
 
-    score = F.aggregate(
-        F.transform(words(text), weigh), start, add, lambda s: F.try_divide(s["total"], s["n"])
-    )
+    listed = list(lexicon)
+    known = F.filter(_pieces(text), lambda word: word.isin(listed))
+    score = F.aggregate(F.transform(known, weigh), start, add, lambda s: F.try_divide(s["total"], s["n"]))
     return df.withColumn(out, F.array(F.struct(score.alias("score"))))
 
 
@@ -140,10 +142,10 @@ def recognise(
     texts stay where they are. A larger one is joined to the distinct words of each
     text; ``key`` must then identify the row.
     """
-    names = vocabulary.select(F.col(name).alias("_word")).distinct()
+    names = vocabulary.select(F.col(name).alias("_word")).filter(F.col("_word") != "").distinct()
     few = [row["_word"] for row in names.limit(max_inline + 1).collect()]
     if len(few) <= max_inline:
-        found = F.array_distinct(F.filter(words(text), lambda word: word.isin(few)))
+        found = F.array_distinct(F.filter(_pieces(text), lambda word: word.isin(few)))
         return df.withColumn(out, F.when(F.col(text).isNotNull(), _entities(found)))
     tokens = df.select(key, F.posexplode(words(text)).alias("_pos", "_word"))
     tokens = tokens.groupBy(key, "_word").agg(F.min("_pos").alias("_pos"))

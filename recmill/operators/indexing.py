@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recmill.operators.skew import HEAVY_ROWS, lookup_join, rank_in_group
+from recmill.sources.scratch import materialise
 
 
 def label_index(df: DataFrame, col: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -15,7 +16,7 @@ def label_index(df: DataFrame, col: str, min_rows: int = HEAVY_ROWS) -> DataFram
     cluster allows.
     """
     labels = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("label"))
-    counts = labels.agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialise(labels.agg(F.count(F.lit(1)).alias("_n")), "labels")
     order = [F.col("_n").desc(), F.col("label").cast("string")]
     ranked = rank_in_group(counts, [], order, "_rank", min_rows=min_rows)
     return ranked.select("label", (F.col("_rank") - 1).cast("int").alias("index"))

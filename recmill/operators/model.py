@@ -19,6 +19,8 @@ from recmill.operators.splits import fold_column, user_ratio_split
 from recmill.sources.scratch import checkpoint_root, materialise
 
 SEED = 42
+BLOCK_ROWS = 2_000_000  # ratings one factor block should hold
+MAX_BLOCKS = 2_000
 
 
 def als_explicit(user: str = "user", item: str = "item", rating: str = "rating", **params) -> ALS:
@@ -45,9 +47,18 @@ def one_per_pair(df: DataFrame, als: ALS) -> DataFrame:
 
 
 def fit_als(als: ALS, df: DataFrame, dedupe: bool = False) -> ALSModel:
-    """Fit, with the checkpoint folder in place so that long runs cut their lineage."""
+    """Fit, with the checkpoint folder in place so that long runs cut their lineage.
+
+    Unless the estimator names its block counts, they follow the number of
+    ratings: MLlib's ten would put a tenth of any table into one task.
+    """
     checkpoint_root(df.sparkSession)
-    return als.fit(one_per_pair(df, als) if dedupe else df)
+    train = materialise(one_per_pair(df, als), "train") if dedupe else df
+    if not (als.isSet("numUserBlocks") or als.isSet("numItemBlocks")):
+        fewest = min(10, df.sparkSession.sparkContext.defaultParallelism)
+        blocks = min(MAX_BLOCKS, max(fewest, -(-train.count() // BLOCK_ROWS)))
+        als = als.copy().setNumBlocks(blocks)
+    return als.fit(train)
 
 
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:

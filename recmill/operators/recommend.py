@@ -14,6 +14,7 @@ from recmill.functions.columns import RECOMMENDATIONS_TYPE
 from recmill.functions.hashing import digest, draw, unit_draw
 from recmill.operators.prep import active_items
 from recmill.operators.skew import HEAVY_ROWS, rank_in_group
+from recmill.sources.scratch import materialise
 
 CHUNK_BYTES = 64 * 1024 * 1024  # most item factors broadcast at a time
 _BLOCK_USERS = 512
@@ -213,7 +214,7 @@ def inject_cold(
     """
     served = recs.select(user, F.posexplode("recommendations.itemId").alias("_pos", item))
     served = served.select(user, (F.col("_pos") + 1).alias("position"), item)
-    cold = cold.select(F.col(item).alias("_cold"))
+    cold = materialise(cold.select(F.col(item).alias("_cold")), "cold")
     numbered = rank_in_group(cold, [], [digest(["_cold"], seed), F.col("_cold")], "_n", min_rows=min_rows)
     n_cold = cold.count()
     if n_cold == 0:

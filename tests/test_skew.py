@@ -84,7 +84,7 @@ def test_index(skewed):
 
 
 def test_label_lists_continue(skewed):
-    pairs = {(row["user"], row["item"]) for row in skewed.collect()}
+    pairs = {(row["user"], row["item"]) for row in skewed.collect() if row["user"] is not None}
     lists = label_lists(skewed, part_rows=20).collect()
     assert max(len(row["labels"]) for row in lists) < 60
     found = [(row["user"], item) for row in lists for item in row["labels"]]
