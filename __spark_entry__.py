@@ -835,6 +835,13 @@ def recommend(spark, sf_dir):
     return _listed(L.recommend(sparse, _at(SPARSE_CUT), 10, dedupe=True))
 
 
+@_register("ranking_adapter")
+def ranking_adapter(spark, sf_dir):
+    """Metrics of the implicit model on its own training rows: five listed, three judged."""
+    frame = L.ranking_adapter(L.als_implicit(), _stored(spark, sf_dir, _events), 5, dedupe=True)
+    return M.ranking_metrics(frame, 3)
+
+
 @_register("grid_search_cv")
 def grid_search_cv(spark, sf_dir):
     events = _stored(spark, sf_dir, _events)

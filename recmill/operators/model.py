@@ -62,7 +62,11 @@ def fit_als(als: ALS, df: DataFrame, dedupe: bool = False) -> ALSModel:
 
 
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Predictions for (user, item) rows; pairs with an unknown side drop out."""
+    """Predictions for (user, item) rows; pairs with an unknown side drop out.
+
+    Rows meet the two factor tables by join; where a user or item is hot and the
+    factors are too large to broadcast, the adaptive skew join splits it.
+    """
     return model.transform(pairs)
 
 
@@ -73,6 +77,12 @@ def recommend(history: DataFrame, t, k: int, als: ALS | None = None, dedupe: boo
     return recommend_active(fit_als(als, history, dedupe), history, t, k, **cols)
 
 
+def ranking_adapter(als: ALS, ratings: DataFrame, k: int = 5, dedupe: bool = False) -> DataFrame:
+    """Fit, recommend ``k`` items to every user, and set them against the user's own items."""
+    model = fit_als(als, ratings, dedupe)
+    return ranking_frame(recommend_all(model, k), ratings, k, als.getUserCol(), als.getItemCol())
+
+
 @dataclass
 class IndexedALS:
     """Two label indexes and a fitted factor model, applied in that order.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from recmill.functions.columns import RECOMMENDATIONS_TYPE
 from recmill.functions.hashing import digest, draw, unit_draw
-from recmill.operators.prep import active_items
+from recmill.operators.prep import active_items, append_all
 from recmill.operators.skew import HEAVY_ROWS, rank_in_group
 from recmill.sources.scratch import materialise
 
@@ -73,12 +73,9 @@ def candidate_counts(
     return counts.withColumn("n_pairs", F.col("n_users") * F.col("n_items"))
 
 
-def recommend_all(model: ALSModel, k: int) -> DataFrame:
+def recommend_all(model: ALSModel, k: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Top-k items for every user the model knows."""
-    recs = model.recommendForAllUsers(k)
-    return recs.select(
-        model.getUserCol(), F.col("recommendations").cast(RECOMMENDATIONS_TYPE).alias("recommendations")
-    )
+    return _best_items(model.userFactors, model.itemFactors, k, model.getUserCol(), chunk_bytes)
 
 
 def _best_of_block(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +142,39 @@ def _merged(lists: DataFrame, user: str, k: int) -> DataFrame:
     return lists.groupBy(user).agg(plain.cast(RECOMMENDATIONS_TYPE).alias("recommendations"))
 
 
+def _best_items(
+    users: DataFrame, items: DataFrame, k: int, user: str, chunk_bytes: int
+) -> DataFrame:
+    """Top-k of ``items`` for each of ``users``, both (id, features).
+
+    User-item pairs are never rows: item factors are broadcast in chunks of about
+    ``chunk_bytes``, each user's factors are multiplied with a chunk as one matrix
+    product, and only k entries per user and chunk leave the task.
+    """
+    spark = users.sparkSession
+    schema = f"{user} int, recommendations {RECOMMENDATIONS_TYPE}"
+    items = items.persist()
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
+    lists = []
+    if size["n"]:
+        chunks = -(-size["n"] * 4 * (size["rank"] + 1) // chunk_bytes)
+        for chunk in range(chunks):
+            part = items.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == chunk).toArrow()
+            if part.num_rows:
+                block = spark.sparkContext.broadcast(_factor_block(part))
+                lists.append(users.mapInArrow(_block_scorer(block, k, user), schema))
+    items.unpersist()
+    if not lists:
+        return spark.createDataFrame([], schema)
+    return lists[0] if len(lists) == 1 else _merged(append_all(*lists), user, k)
+
+
+def _factor_block(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and factor rows of a chunk."""
+    factors = part.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return part.column("id").to_numpy().astype(np.int32), factors.reshape(part.num_rows, -1)
+
+
 def recommend_active(
     model: ALSModel,
     ratings: DataFrame,
@@ -158,41 +188,13 @@ def recommend_active(
     """Top-k of the items active strictly after ``t``, for every user of the history.
 
     Users and items the model does not know drop out; items already seen stay in.
-    User-item pairs are never rows: the factors of active items are broadcast in
-    chunks of at most ``chunk_bytes``, each user's factors are multiplied with a
-    chunk as one matrix product, and only k entries per user and chunk leave the
-    task. A ``k`` of at least the number of active items gives the full lists.
+    A ``k`` of at least the number of active items gives the full lists.
     """
-    spark = ratings.sparkSession
     active = active_items(ratings, t, item, ts).select(F.col(item).cast("int").alias("id"))
-    items = model.itemFactors.join(active, "id", "left_semi").persist()
     known = ratings.select(F.col(user).cast("int").alias("id")).distinct()
+    items = model.itemFactors.join(active, "id", "left_semi")
     users = model.userFactors.join(known, "id", "left_semi")
-    schema = f"{user} int, recommendations {RECOMMENDATIONS_TYPE}"
-
-    n_items = items.count()
-    if n_items == 0:
-        items.unpersist()
-        return spark.createDataFrame([], schema)
-    chunks = max(1, -(-n_items * 4 * (model.rank + 1) // chunk_bytes))
-    lists = []
-    for chunk in range(chunks):
-        part = items.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == chunk).toArrow()
-        if not part.num_rows:
-            continue
-        ids = part.column("id").to_numpy().astype(np.int32)
-        order = np.argsort(ids)
-        factors = part.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        factors = factors.reshape(len(ids), -1)
-        block = spark.sparkContext.broadcast((ids[order], factors[order]))
-        lists.append(users.mapInArrow(_block_scorer(block, k, user), schema))
-    items.unpersist()
-    if len(lists) == 1:
-        return lists[0]
-    joined = lists[0]
-    for more in lists[1:]:
-        joined = joined.unionByName(more)
-    return _merged(joined, user, k)
+    return _best_items(users, items, k, user, chunk_bytes)
 
 
 def inject_cold(

@@ -22,6 +22,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root is None:
         root = current
     if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="recmill-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if current is None:

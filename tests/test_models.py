@@ -80,6 +80,19 @@ def test_unknown_pairs_are_dropped(spark, model):
     assert L.score(model, pairs).count() == 1
 
 
+@pytest.mark.parametrize("chunk_bytes", [R.CHUNK_BYTES, 500])
+def test_recommend_all_is_spark_s(model, chunk_bytes):
+    ours = {r["user"]: [e["rating"] for e in r["recommendations"]] for r in R.recommend_all(model, 7, chunk_bytes).collect()}
+    for row in model.recommendForAllUsers(7).collect():
+        assert ours.pop(row["user"]) == pytest.approx([e["rating"] for e in row["recommendations"]], abs=1e-6)
+    assert not ours
+
+
+def test_ranking_adapter(ratings):
+    frame = L.ranking_adapter(L.als_implicit(rank=3, maxIter=2), ratings, 5, dedupe=True)
+    assert frame.count() == 47 and frame.filter("size(prediction) = 5").count() == 47
+
+
 def test_recommend_all(model):
     recs = R.recommend_all(model, 10)
     assert recs.schema["recommendations"].dataType.simpleString() == "array<struct<itemId:int,rating:float>>"
