@@ -747,7 +747,7 @@ def mrr(spark, sf_dir):
     f"WITH {_fcp_sql(EVENTS_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",
 )
 def fcp_events(spark, sf_dir):
-    return fcp(_scored(_stored(spark, sf_dir, _events))).select(_r6("fcp"), "n_pairs")
+    return fcp(_scored(_stored(spark, sf_dir, _events))).select(_r6("fcp"), F.col("n_pairs").cast("long"))
 
 
 @_register(
@@ -755,7 +755,7 @@ def fcp_events(spark, sf_dir):
     f"WITH {_fcp_sql(SPARSE_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",
 )
 def fcp_sparse(spark, sf_dir):
-    return fcp(_scored(_stored(spark, sf_dir, _sparse))).select(_r6("fcp"), "n_pairs")
+    return fcp(_scored(_stored(spark, sf_dir, _sparse))).select(_r6("fcp"), F.col("n_pairs").cast("long"))
 
 
 def _all_metrics_sql(rows: str) -> str:

@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recmill.operators.skew import HEAVY_ROWS, heavy_keys, rank_in_group
+from recmill.operators.skew import HEAVY_LIMIT, HEAVY_ROWS, heavy_keys, rank_in_group, split_heavy
 from recmill.sources.scratch import materialise
 
 STRIPS = 1_000  # most strips one user's ranks are cut into
+COUNT_TYPE = "decimal(18,0)"
 TOTAL_TYPE = "decimal(38,0)"
 
 
@@ -161,19 +162,22 @@ def fcp(
     )
     points = materialise(points.dropna(subset=["user", "label", "prediction"]), "points")
 
-    by_label = points.groupBy("user", "label").agg(F.count(F.lit(1)).cast(TOTAL_TYPE).alias("n"))
-    by_user = by_label.groupBy("user").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("ties")
-    )
-    pairs = by_user.agg(
-        (F.sum(F.col("n").cast("double") * F.col("n") - F.col("ties")) / 2).alias("n_pairs")
-    )
-
-    largest = heavy_keys(points, ["user"], min_rows, limit=1)
-    strips = _strips(points, largest[0]["_rows"], min_rows) if largest else _whole(points)
+    by_label = points.groupBy("user", "label").agg(F.count(F.lit(1)).alias("n"))
+    square = F.col("n").cast(COUNT_TYPE) * F.col("n").cast(COUNT_TYPE)
+    by_user = by_label.groupBy("user").agg(F.sum("n").alias("n"), F.sum(square).alias("ties"))
+    differing = (F.sum(square) - F.sum("ties")) / 2
+    pairs = by_user.agg(F.coalesce(differing, F.lit(0)).cast(TOTAL_TYPE).alias("n_pairs"))
+
+    heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT)
+    if not heavy:
+        strips = _whole(points)
+    elif len(heavy) < HEAVY_LIMIT:
+        hot, cold = split_heavy(points, ["user"], heavy)
+        strips = _strips(hot, heavy[0]["_rows"], min_rows).unionByName(_whole(cold))
+    else:  # the list is full, so users outside it may be too large as well
+        strips = _strips(points, heavy[0]["_rows"], min_rows)
     found = _counted(strips).agg(F.sum(F.col("concordant").cast(TOTAL_TYPE)).alias("concordant"))
     concordant_pairs = F.coalesce(found.scalar().cast("double"), F.lit(0.0))
     return pairs.select(
-        F.try_divide(concordant_pairs, F.col("n_pairs")).alias("fcp"),
-        F.col("n_pairs").cast("long").alias("n_pairs"),
+        F.try_divide(concordant_pairs, F.col("n_pairs").cast("double")).alias("fcp"), "n_pairs"
     )

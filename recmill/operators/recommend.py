@@ -52,9 +52,15 @@ def recommend_active_popular(
     ts: str = "ts",
     scores: DataFrame | None = None,
 ) -> DataFrame:
-    """Top-k of the items active after ``t``, for the users of the whole history."""
-    scores = popularity(ratings, item) if scores is None else scores
-    active = scores.join(active_items(ratings, t, item, ts), item, "left_semi")
+    """Top-k of the items active after ``t``, for the users of the whole history.
+
+    Without ``scores`` an item's score is its number of interactions.
+    """
+    if scores is None:
+        used = ratings.groupBy(item).agg(F.count(F.lit(1)).alias("score"), F.max(ts).alias("_last"))
+        active = used.filter(F.col("_last") > (t if isinstance(t, Column) else F.lit(t)))
+    else:
+        active = scores.join(active_items(ratings, t, item, ts), item, "left_semi")
     return recommend_popular(ratings.select(user).distinct(), active, k, item)
 
 

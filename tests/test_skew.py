@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from recmill.functions import pairs
 from recmill.functions.metrics import label_lists
 from recmill.functions.pairs import concordant, fcp
 from recmill.operators import indexing, skew, splits
@@ -84,11 +85,11 @@ def test_index(skewed):
 
 
 def test_label_lists_continue(skewed):
-    pairs = {(row["user"], row["item"]) for row in skewed.collect() if row["user"] is not None}
+    expected = {(row["user"], row["item"]) for row in skewed.collect() if row["user"] is not None}
     lists = label_lists(skewed, part_rows=20).collect()
     assert max(len(row["labels"]) for row in lists) < 60
     found = [(row["user"], item) for row in lists for item in row["labels"]]
-    assert len(found) == len(set(found)) and set(found) == pairs
+    assert len(found) == len(set(found)) and set(found) == expected
 
 
 def brute_force(points):
@@ -101,17 +102,18 @@ def brute_force(points):
     return good, pairs
 
 
-@pytest.mark.parametrize("min_rows", [5, 25, 1000])
-def test_fcp_strips(skewed, min_rows):
+@pytest.mark.parametrize("min_rows,limit", [(5, 3), (5, 10_000), (25, 10_000), (1000, 10_000)])
+def test_fcp_strips(skewed, monkeypatch, min_rows, limit):
+    monkeypatch.setattr(pairs, "HEAVY_LIMIT", limit)
     scored = skewed.withColumn("prediction", (F.col("item") % 7).cast("double")).withColumnRenamed("rating", "label")
     means = scored.dropna(subset=["user"]).groupBy("user", "item").agg(F.avg("label"), F.avg("prediction")).collect()
     points = {}
     for row in means:
         points.setdefault(row[0], []).append((row[2], row[3]))
-    good, pairs = brute_force(points)
+    good, expected = brute_force(points)
     found = fcp(scored, min_rows=min_rows).first()
-    assert found["n_pairs"] == pairs
-    assert found["fcp"] == pytest.approx(good / pairs)
+    assert found["n_pairs"] == expected
+    assert found["fcp"] == pytest.approx(good / expected)
 
 
 def test_fcp_without_pairs(spark):
