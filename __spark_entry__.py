@@ -93,9 +93,9 @@ def _sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, sf_dir: str, ratings: Query) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, ratings: Query, *more: str) -> DataFrame:
     """The ratings written once, for queries that read them several times."""
-    return materialise(ratings(spark, sf_dir), "ratings")
+    return materialise(ratings(spark, sf_dir).select("user", "item", "rating", "ts", *more), "ratings")
 
 
 EVENTS_SQL = """r AS (
@@ -258,7 +258,7 @@ def select_columns(spark, sf_dir):
     return C.select_columns(_table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
-SHIFT_SQL = "item + 10 * {n} AS item, epoch_us(ts) // 1000000 + 100000000 * {n} AS ts_s"
+SHIFT_SQL = "(item + 10 * {n})::BIGINT AS item, epoch_us(ts) // 1000000 + 100000000 * {n} AS ts_s"
 
 
 def _seconds(spark, sf_dir):
@@ -514,7 +514,7 @@ def index_item(spark, sf_dir):
     f"""WITH {SPARSE_SQL}, {INDEX_SQL.format(col='"user"', rows='r')} SELECT label, "index" FROM idx""",
 )
 def index_user_sparse(spark, sf_dir):
-    return I.label_index(_sparse(spark, sf_dir), "user")
+    return I.label_index(_sparse(spark, sf_dir), "user").drop("n")
 
 
 @_register(
@@ -526,7 +526,7 @@ def index_user_sparse(spark, sf_dir):
     FROM r LEFT JOIN idx ON item = label""",
 )
 def index_unseen(spark, sf_dir):
-    rows = _stored(spark, sf_dir, _sparse).select("l_orderkey", "l_linenumber", "item", "ts")
+    rows = _stored(spark, sf_dir, _sparse, "l_orderkey", "l_linenumber").drop("user", "rating")
     early = I.label_index(rows.filter(F.col("ts") <= _at(COLD_CUT)), "item")
     return I.apply_index(rows.drop("ts"), early, "item", "item_index")
 
@@ -570,7 +570,7 @@ def recommend_active_pop(spark, sf_dir):
     f"""WITH {SPARSE_SQL}, {_top_sql('r', 10, f"ts > TIMESTAMP '{SPARSE_CUT}'")} {LISTED_SQL}""",
 )
 def recommend_active_sparse(spark, sf_dir):
-    return _listed(R.recommend_active_popular(_stored(spark, sf_dir, _sparse), _at(SPARSE_CUT), 10))
+    return _listed(R.recommend_active_popular(_sparse(spark, sf_dir), _at(SPARSE_CUT), 10))
 
 
 FLAGSHIP_SQL = f"""WITH {EVENTS_SQL}, clean AS (SELECT * FROM r WHERE {CLEAN_SQL}),
@@ -856,7 +856,7 @@ def grid_search_cv(spark, sf_dir):
 def grid_search_ranking(spark, sf_dir):
     als = L.als_explicit()
     grid = ParamGridBuilder().addGrid(als.maxIter, [1, 2, 3, 5, 8]).build()
-    events = _stored(spark, sf_dir, _events)
+    events = _stored(spark, sf_dir, _events, "event_id")
     return L.grid_search_ranking(events, als, grid, key=["event_id"], dedupe=True).metrics
 
 

@@ -51,15 +51,29 @@ def concordant(group: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarr
     return total
 
 
+def differing(group: np.ndarray, a: np.ndarray, weight: np.ndarray) -> int:
+    """Weighted number of pairs of one group with a_i != a_j."""
+
+    def pairs(*keys: np.ndarray) -> int:
+        order = np.lexsort(keys)
+        new = np.zeros(len(order), dtype=bool)
+        for key in keys:
+            new[1:] |= key[order][1:] != key[order][:-1]
+        sizes = np.add.reduceat(weight[order], np.r_[0, np.flatnonzero(new)])
+        return int(np.dot(sizes, sizes))
+
+    return (pairs(group) - pairs(a, group)) // 2
+
+
 def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Count group by group; rows arrive sorted by group, and a group may span batches."""
     held: list[pd.DataFrame] = []
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes = pdf.groupby(["user", "strip"], sort=False, dropna=False).ngroup().to_numpy()
-        columns = (pdf[c].to_numpy() for c in ("a", "b"))
-        found = concordant(codes, *columns, pdf["weight"].to_numpy())
-        return pd.DataFrame({"concordant": [str(found)]})
+        codes = pdf.groupby(["user", "strip"], sort=False).ngroup().to_numpy()
+        a, b, weight = (pdf[c].to_numpy() for c in ("a", "b", "weight"))
+        found, pairs = concordant(codes, a, b, weight), differing(codes, a, weight)
+        return pd.DataFrame({"concordant": [str(found)], "n_pairs": [str(pairs)]})
 
     for pdf in batches:
         if not len(pdf):
@@ -83,9 +97,9 @@ def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _counted(strips: DataFrame) -> DataFrame:
-    """Concordant pairs inside each (user, strip), one partial total per batch."""
+    """Concordant and label-differing pairs inside each (user, strip), as partial totals."""
     placed = strips.repartition("user", "strip").sortWithinPartitions("user", "strip")
-    return placed.mapInPandas(_tally, "concordant string")
+    return placed.mapInPandas(_tally, "concordant string, n_pairs string")
 
 
 def _strips(points: DataFrame, largest: int, min_rows: int) -> DataFrame:
@@ -157,27 +171,39 @@ def fcp(
     same way by the prediction. Repeated (user, item) rows are averaged first.
     Each user's points are sorted, never paired up.
     """
-    points = df.groupBy(F.col(user).alias("user"), F.col(item).alias("item")).agg(
-        F.avg(label).alias("label"), F.avg(prediction).alias("prediction")
+    named = df.select(
+        F.col(user).alias("user"),
+        F.col(item).alias("item"),
+        F.col(label).alias("label"),
+        F.col(prediction).alias("prediction"),
     )
-    points = materialise(points.dropna(subset=["user", "label", "prediction"]), "points")
+    points = named.groupBy("user", "item").agg(F.avg("label").alias("label"), F.avg("prediction").alias("prediction"))
+    points = points.dropna(subset=["user", "label", "prediction"])
+
+    # A user has no more points than rows, so the raw rows tell who may be large.
+    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, HEAVY_LIMIT)
+    if not heavy:
+        totals = _totals(_counted(_whole(points)))
+    else:
+        points = materialise(points, "points")
+        hot, cold = points, points.limit(0)
+        if len(heavy) < HEAVY_LIMIT:  # a full list may leave large users out: then all are cut
+            hot, cold = split_heavy(points, ["user"], heavy)
+        found = _counted(_strips(hot, heavy[0]["_rows"], min_rows)).select("concordant", F.lit("0").alias("n_pairs"))
+        totals = _totals(found.unionByName(_counted(_whole(cold))).unionByName(_pairs_of(hot)))
+    share = F.try_divide(F.col("concordant").cast("double"), F.col("n_pairs").cast("double"))
+    return totals.select(share.alias("fcp"), "n_pairs")
 
+
+def _totals(partial: DataFrame) -> DataFrame:
+    sums = [F.coalesce(F.sum(F.col(c).cast(TOTAL_TYPE)), F.lit(0)) for c in ("concordant", "n_pairs")]
+    return partial.agg(*[total.cast(TOTAL_TYPE).alias(c) for total, c in zip(sums, ("concordant", "n_pairs"))])
+
+
+def _pairs_of(points: DataFrame) -> DataFrame:
+    """Pairs with different labels, from the sizes of users and of their label groups."""
     by_label = points.groupBy("user", "label").agg(F.count(F.lit(1)).alias("n"))
     square = F.col("n").cast(COUNT_TYPE) * F.col("n").cast(COUNT_TYPE)
     by_user = by_label.groupBy("user").agg(F.sum("n").alias("n"), F.sum(square).alias("ties"))
-    differing = (F.sum(square) - F.sum("ties")) / 2
-    pairs = by_user.agg(F.coalesce(differing, F.lit(0)).cast(TOTAL_TYPE).alias("n_pairs"))
-
-    heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT)
-    if not heavy:
-        strips = _whole(points)
-    elif len(heavy) < HEAVY_LIMIT:
-        hot, cold = split_heavy(points, ["user"], heavy)
-        strips = _strips(hot, heavy[0]["_rows"], min_rows).unionByName(_whole(cold))
-    else:  # the list is full, so users outside it may be too large as well
-        strips = _strips(points, heavy[0]["_rows"], min_rows)
-    found = _counted(strips).agg(F.sum(F.col("concordant").cast(TOTAL_TYPE)).alias("concordant"))
-    concordant_pairs = F.coalesce(found.scalar().cast("double"), F.lit(0.0))
-    return pairs.select(
-        F.try_divide(concordant_pairs, F.col("n_pairs").cast("double")).alias("fcp"), "n_pairs"
-    )
+    pairs = (F.sum(square) - F.sum("ties")) / 2
+    return by_user.agg(F.lit("0").alias("concordant"), pairs.cast(TOTAL_TYPE).cast("string").alias("n_pairs"))

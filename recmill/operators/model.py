@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recmill.functions.metrics import RANKING_METRICS, ranking_frame, ranking_metrics
-from recmill.operators.indexing import apply_index, label_index
+from recmill.operators.indexing import apply_index, heavy_labels, label_index
 from recmill.operators.recommend import recommend_active, recommend_all
 from recmill.operators.splits import fold_column, user_ratio_split
 from recmill.sources.scratch import checkpoint_root, materialise
@@ -102,19 +102,19 @@ class IndexedALS:
         cls, df: DataFrame, als: ALS, user: str, item: str, labels: DataFrame | None = None, dedupe: bool = False
     ) -> IndexedALS:
         """``als`` reads the index columns; ``labels`` may name a wider table to index."""
-        labels = df if labels is None else labels
-        user_index = materialise(label_index(labels, user), "users")
-        item_index = materialise(label_index(labels, item), "items")
-        fitted = cls(user_index, item_index, None, user, item)
-        fitted.model = fit_als(als, fitted._indexed(df, als.getUserCol(), als.getItemCol()), dedupe)
+        indexes = [materialise(label_index(df if labels is None else labels, col), col) for col in (user, item)]
+        heavy = [None, None] if labels is not None else [heavy_labels(i, col) for i, col in zip(indexes, (user, item))]
+        fitted = cls(*indexes, None, user, item)
+        fitted.model = fit_als(als, fitted._indexed(df, als, heavy), dedupe)
         return fitted
 
-    def _indexed(self, df: DataFrame, user_out: str, item_out: str) -> DataFrame:
-        df = apply_index(df, self.user_index, self.user, user_out)
-        return apply_index(df, self.item_index, self.item, item_out)
+    def _indexed(self, df: DataFrame, names, heavy=(None, None)) -> DataFrame:
+        """``df`` with the index columns under the names ``names`` reads them by."""
+        df = apply_index(df, self.user_index, self.user, names.getUserCol(), heavy=heavy[0])
+        return apply_index(df, self.item_index, self.item, names.getItemCol(), heavy=heavy[1])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return score(self.model, self._indexed(df, self.model.getUserCol(), self.model.getItemCol()))
+        return score(self.model, self._indexed(df, self.model))
 
     def recommend_all(self, k: int) -> DataFrame:
         return recommend_all(self.model, k)

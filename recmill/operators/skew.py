@@ -147,13 +147,16 @@ def lookup_join(
     key: str,
     how: str = "inner",
     min_rows: int = HEAVY_ROWS,
+    heavy: Sequence[Row] | None = None,
 ) -> DataFrame:
     """Join ``left`` to a table with one row per ``key``.
 
     Rows of a heavy key meet their single right row by broadcast and never move;
-    all other rows take the join Spark chooses. ``how`` is inner or left.
+    all other rows take the join Spark chooses. ``how`` is inner or left. A caller
+    that already knows the heavy keys of ``left`` passes them.
     """
-    heavy = heavy_keys(left, [key], min_rows)
+    if heavy is None:
+        heavy = heavy_keys(left, [key], min_rows)
     if not heavy:
         return left.join(right, key, how)
     hot, cold = split_heavy(left, [key], heavy)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from recmill.functions.columns import first_entity, join_lines, select_columns
 from recmill.functions.metrics import RANKING_METRICS, ranking_frame, ranking_metrics, rmse
 from recmill.operators.enrich import Step, explode_urls, first_score, sentiment
-from recmill.operators.indexing import apply_index, label_index
+from recmill.operators.indexing import index_column
 from recmill.operators.model import (
     als_explicit,
     als_implicit,
@@ -50,8 +50,7 @@ def explicit_workflow(
     spark = ratings.sparkSession
     indexed = ratings
     for col in ("user", "item"):
-        index = materialise(label_index(ratings, col), col)
-        indexed = apply_index(indexed, index, col, f"{col}_index")
+        indexed = index_column(indexed, col, f"{col}_index")
     indexed = materialise(indexed, "indexed")
     train, test = hash_split(indexed, key)
     als = als_explicit("user_index", "item_index", "rating")
@@ -88,8 +87,7 @@ def implicit_workflow(
     """
     ratings = to_ratings(clean_activity(log, drop, above), **roles)
     for col in ("user", "item"):
-        index = materialise(label_index(ratings, col), col)
-        ratings = apply_index(ratings.withColumnRenamed(col, "_label"), index, "_label", col).drop("_label")
+        ratings = index_column(ratings.withColumnRenamed(col, "_label"), "_label", col).drop("_label")
     ratings = materialise(ratings, "ratings")
     model = fit_als(als_implicit(), ratings, dedupe)
     scored = score(model, ratings)

@@ -28,6 +28,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def _key(row: tuple) -> tuple:
     return tuple((value is None, str(value)) for value in row)
 
@@ -44,6 +47,11 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     names = sorted(df.columns)
     if names != sorted(found.columns):
         return f"columns {names} != {sorted(found.columns)}"
+    types = dict(zip(found.columns, map(str, found.types)))
+    for field in df.schema:
+        expected = TYPES.get(field.dataType.simpleString())
+        if types[field.name] != expected:
+            return f"{field.name} is {expected}, not {types[field.name]}"
     left = sorted((tuple(row[n] for n in names) for row in df.collect()), key=_key)
     order = [found.columns.index(n) for n in names]
     right = sorted((tuple(row[i] for i in order) for row in found.fetchall()), key=_key)
