@@ -438,6 +438,13 @@ def chrono_sparse(spark, sf_dir):
     return sided.select("l_orderkey", "l_linenumber", "user", "item", "rating", "side")
 
 
+@_register("chrono_heavy", _chrono_sql('"user"', "<="))
+def chrono_heavy(spark, sf_dir):
+    """The chronological split with its form for heavy users, here those above 66 rows."""
+    left, _ = S.chrono_split(_events(spark, sf_dir), tiebreak=["event_id"], min_rows=66)
+    return left.select("event_id", "user", "item", "rating")
+
+
 @_register("random_split")
 def random_split(spark, sf_dir):
     return S.random_split(_events(spark, sf_dir))[0]
@@ -509,6 +516,17 @@ def index_item(spark, sf_dir):
     return I.index_column(rows, "item", C.index_name("itemId"))
 
 
+@_register(
+    "index_heavy",
+    f"""WITH {EVENTS_SQL}, {INDEX_SQL.format(col='item', rows='r')}
+    SELECT event_id, item, "index" AS "itemIndex" FROM r JOIN idx ON item = label""",
+)
+def index_heavy(spark, sf_dir):
+    """The same index with the form for more labels, and rows per label, than one task takes."""
+    rows = _events(spark, sf_dir).select("event_id", "item")
+    return I.index_column(rows, "item", "itemIndex", min_rows=50)
+
+
 @_register(
     "index_user_sparse",
     f"""WITH {SPARSE_SQL}, {INDEX_SQL.format(col='"user"', rows='r')} SELECT label, "index" FROM idx""",
@@ -750,6 +768,16 @@ def fcp_events(spark, sf_dir):
     return fcp(_scored(_stored(spark, sf_dir, _events))).select(_r6("fcp"), F.col("n_pairs").cast("long"))
 
 
+@_register(
+    "fcp_heavy",
+    f"WITH {_fcp_sql(EVENTS_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",
+)
+def fcp_heavy(spark, sf_dir):
+    """The same pairs with users cut into strips of at most 20 points."""
+    scored = _scored(_stored(spark, sf_dir, _events))
+    return fcp(scored, min_rows=20).select(_r6("fcp"), F.col("n_pairs").cast("long"))
+
+
 @_register(
     "fcp_sparse",
     f"WITH {_fcp_sql(SPARSE_SQL)} SELECT round(good / n, 6) AS fcp, n AS n_pairs FROM counted",

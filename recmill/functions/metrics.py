@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from recmill.functions.pairs import fcp
 from recmill.operators.skew import HEAVY_ROWS, heavy_keys, lookup_join
 
+# The names results are reported under.
 RANKING_METRICS = ("ndcgAt", "map", "recallAtK", "mrr", "fcp")
 
 

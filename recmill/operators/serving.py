@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recmill.operators.prep import append_all
 from recmill.operators.skew import HEAVY_ROWS, lookup_join
 from recmill.sources.paths import child_names, is_complete
 
-_PREFIX = "version="
+_FULL, _DELTA = "full", "delta"
 
 
 def serving_documents(recs: DataFrame, user: str = "user", out: str = "items") -> DataFrame:
@@ -31,38 +32,60 @@ def upsert_serving(table: DataFrame, new: DataFrame, key: str = "id") -> DataFra
     return kept.unionByName(new)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished versions under ``path``, oldest first."""
-    names = [n for n in child_names(spark, path) if n.startswith(_PREFIX)]
-    done = [n for n in names if is_complete(spark, f"{path}/{n}")]
-    return sorted(int(n.removeprefix(_PREFIX)) for n in done)
+def _layers(spark: SparkSession, path: str) -> dict[int, str]:
+    """Finished layers under ``path`` by version, from the last full one on."""
+    done = {}
+    for name in child_names(spark, path):
+        kind, _, number = name.partition("-")
+        if kind in (_FULL, _DELTA) and is_complete(spark, f"{path}/{name}"):
+            done[int(number)] = name
+    full = [version for version, name in done.items() if name.startswith(_FULL)]
+    return {version: done[version] for version in sorted(done) if version >= max(full, default=0)}
 
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/{_PREFIX}{version:012d}"
+def current_version(spark: SparkSession, path: str) -> int | None:
+    return max(_layers(spark, path), default=None)
 
 
-def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """The newest finished version."""
-    return spark.read.parquet(version_path(path, versions(spark, path)[-1]))
+def read_serving(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
+    """The table as of its newest version: the last full layer with later deltas over it."""
+    layers = _layers(spark, path)
+    first, *later = (
+        spark.read.parquet(f"{path}/{name}").withColumn("_version", F.lit(version))
+        for version, name in layers.items()
+    )
+    if not later:
+        return first.drop("_version")
+    newest = later[0] if len(later) == 1 else latest_per_key(append_all(*later), key, ["_version"])
+    return upsert_serving(first.drop("_version"), newest.drop("_version"), key)
 
 
 def publish_upsert(
-    spark: SparkSession, path: str, new: DataFrame, key: str = "id", version: int | None = None
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: str = "id",
+    version: int | None = None,
+    full_every: int = 10,
 ) -> int:
     """Upsert ``new`` into the table at ``path`` as a new version, and return its number.
 
-    A version counts once its folder is complete, so readers never see half of
-    one, and the version being read is never overwritten. Naming the version
-    makes a repeated call with the same number do nothing. Sorting by key lets a
-    point lookup skip all but a few row groups.
+    A version holds only its own rows, so a small batch costs little; every
+    ``full_every``-th one holds the whole table again, which keeps reads short. It
+    counts once its folder is complete, and no folder being read is overwritten.
+    Naming the version makes a repeated call with the same number do nothing.
+    Sorting by key lets a point lookup skip all but a few row groups.
     """
-    done = versions(spark, path)
-    version = version if version is not None else (done[-1] + 1 if done else 0)
-    if done and version <= done[-1]:
-        return done[-1]
-    merged = upsert_serving(spark.read.parquet(version_path(path, done[-1])), new, key) if done else new
-    merged.orderBy(key).write.mode("overwrite").parquet(version_path(path, version))
+    layers = _layers(spark, path)
+    last = max(layers, default=None)
+    version = version if version is not None else (0 if last is None else last + 1)
+    if last is not None and version <= last:
+        return last
+    kind, rows = _DELTA, new
+    if not layers or len(layers) >= full_every:
+        kind = _FULL
+        rows = upsert_serving(read_serving(spark, path, key), new, key) if layers else new
+    rows.orderBy(key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{kind}-{version:012d}")
     return version
 
 

@@ -29,6 +29,7 @@ from recmill.operators.serving import publish_upsert, serving_documents
 from recmill.operators.splits import chrono_split, hash_split
 from recmill.sources.scratch import materialise
 
+# The regularisation grid.
 REG_PARAMS = (1.0, 0.1, 0.01, 0.001)
 
 

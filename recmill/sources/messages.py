@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from recmill.functions.hashing import draw
 
+# The folder levels of a capture, outermost first.
 CAPTURE_LEVELS = ("PartitionId", "Year", "Month", "Day", "Hour", "Minute", "Second")
 
 

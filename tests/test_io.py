@@ -96,11 +96,21 @@ def test_upsert_versions(spark, tmp_path):
     second = documents(spark, [("2", [9]), ("3", [3])])
     assert V.publish_upsert(spark, path, second, version=1) == 1
     assert V.publish_upsert(spark, path, second, version=1) == 1
-    assert V.versions(spark, path) == [0, 1]
+    assert V.current_version(spark, path) == 1
     assert bag(V.read_serving(spark, path)) == [("1", [1]), ("2", [9]), ("3", [3])]
     assert bag(V.lookup(V.read_serving(spark, path), [3, 4])) == [("3", [3])]
 
 
+def test_full_layers_return(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    for n in range(7):
+        V.publish_upsert(spark, path, documents(spark, [("a", [n]), (str(n), [n])]), full_every=3)
+        expected = [("a", [n])] + [(str(i), [i]) for i in range(n + 1)]
+        assert bag(V.read_serving(spark, path)) == sorted(expected)
+    kinds = [p.name.split("-")[0] for p in sorted((tmp_path / "serving").iterdir(), key=lambda p: p.name[-12:])]
+    assert kinds == ["full", "delta", "delta", "full", "delta", "delta", "full"]
+
+
 def test_upsert_is_idempotent(spark):
     table, new = documents(spark, [("1", [1]), ("2", [2])]), documents(spark, [("2", [9])])
     once = V.upsert_serving(table, new)
@@ -110,7 +120,7 @@ def test_upsert_is_idempotent(spark):
 def test_unfinished_version_is_not_read(spark, tmp_path):
     path = str(tmp_path / "serving")
     V.publish_upsert(spark, path, documents(spark, [("1", [1])]))
-    (tmp_path / "serving" / "version=000000000001").mkdir()
+    (tmp_path / "serving" / "delta-000000000001").mkdir()
     assert bag(V.read_serving(spark, path)) == [("1", [1])]
     assert V.publish_upsert(spark, path, documents(spark, [("2", [2])])) == 1
     assert V.read_serving(spark, path).count() == 2
@@ -118,9 +128,10 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
 
 def test_lookup_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "serving")
-    V.publish_upsert(spark, path, documents(spark, [("1", [1])]))
+    for _ in range(2):
+        V.publish_upsert(spark, path, documents(spark, [("1", [1])]))
     plan = V.lookup(V.read_serving(spark, path), [1])._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(id), EqualTo(id,1)]" in plan
+    assert plan.count("PushedFilters: [IsNotNull(id), EqualTo(id,1)]") == plan.count("FileScan") == 3
 
 
 def test_serve(spark):
