@@ -238,8 +238,10 @@ def upsert_serving(spark, sf_dir):
 @_register("lookup", LAST_SQL.replace("GROUP BY", "WHERE \"user\" IN (1, 7, 42) GROUP BY"))
 def lookup(spark, sf_dir):
     path = scratch_path(spark, "serving")
-    V.publish_upsert(spark, path, _last_items(_events(spark, sf_dir)))
-    return V.lookup(V.read_serving(spark, path), [1, 7, 42])
+    events = _events(spark, sf_dir)
+    for batch in (events.filter(F.col("ts") <= _at(CUT)), events.filter(F.col("ts") > _at(CUT))):
+        V.publish_upsert(spark, path, _last_items(batch))
+    return V.read_serving(spark, path, ids=[1, 7, 42])
 
 
 # Projections, filters and simple aggregates -------------------------------------------------

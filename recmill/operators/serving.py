@@ -47,13 +47,19 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return max(_layers(spark, path), default=None)
 
 
-def read_serving(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """The table as of its newest version: the last full layer with later deltas over it."""
-    layers = _layers(spark, path)
-    first, *later = (
-        spark.read.parquet(f"{path}/{name}").withColumn("_version", F.lit(version))
-        for version, name in layers.items()
-    )
+def read_serving(
+    spark: SparkSession, path: str, key: str = "id", ids: Sequence[str] | None = None
+) -> DataFrame:
+    """The table as of its newest version: the last full layer with later deltas over it.
+
+    ``ids`` reads a few documents only; the predicate then reaches every layer's scan.
+    """
+    layers = []
+    for version, name in _layers(spark, path).items():
+        layer = spark.read.parquet(f"{path}/{name}")
+        layer = layer if ids is None else lookup(layer, ids, key)
+        layers.append(layer.withColumn("_version", F.lit(version)))
+    first, *later = layers
     if not later:
         return first.drop("_version")
     newest = later[0] if len(later) == 1 else latest_per_key(append_all(*later), key, ["_version"])

@@ -99,6 +99,7 @@ def test_upsert_versions(spark, tmp_path):
     assert V.current_version(spark, path) == 1
     assert bag(V.read_serving(spark, path)) == [("1", [1]), ("2", [9]), ("3", [3])]
     assert bag(V.lookup(V.read_serving(spark, path), [3, 4])) == [("3", [3])]
+    assert bag(V.read_serving(spark, path, ids=[2])) == [("2", [9])]
 
 
 def test_full_layers_return(spark, tmp_path):
@@ -130,7 +131,7 @@ def test_lookup_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "serving")
     for _ in range(2):
         V.publish_upsert(spark, path, documents(spark, [("1", [1])]))
-    plan = V.lookup(V.read_serving(spark, path), [1])._jdf.queryExecution().executedPlan().toString()
+    plan = V.read_serving(spark, path, ids=[1])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PushedFilters: [IsNotNull(id), EqualTo(id,1)]") == plan.count("FileScan") == 3
 
 
