@@ -1,10 +1,12 @@
 """Per-group ranks, counts and lookups that stay even when one key is huge.
 
 A key is *heavy* when it holds more rows than one task should take. Heavy keys
-are found with a partially aggregated count, and at most ``HEAVY_LIMIT`` of them
-are kept, the largest first, so any key outside the list holds less than one
-row in ``HEAVY_LIMIT``. The list is therefore safe to broadcast at any data size.
-Without heavy keys every operator here is the plain one-shuffle form.
+are looked for in a sample of the key column, so finding them costs a scan and
+next to no shuffle. They only choose the route a row takes: every row is still
+processed, and the result does not depend on what the sample holds. At most
+``HEAVY_LIMIT`` keys are kept, the largest first, so the list is safe to broadcast
+at any data size, and a key outside it holds less than about one row in
+``HEAVY_LIMIT``. Without heavy keys every operator here is the plain one-shuffle form.
 """
 
 from __future__ import annotations
@@ -19,15 +21,30 @@ from recmill.sources.scratch import materialise
 
 HEAVY_ROWS = 2_000_000
 HEAVY_LIMIT = 10_000
+SEEN_ROWS = 1_000
+CERTAINTY = 0.8  # six standard deviations below SEEN_ROWS
+SAMPLE_SEED = 42
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def heavy_keys(
     df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS, limit: int = HEAVY_LIMIT
 ) -> list[Row]:
-    """The largest groups with more than ``min_rows`` rows, at most ``limit`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > min_rows).orderBy(F.desc("_rows")).limit(limit).collect()
+    """The largest groups with more than ``min_rows`` rows, at most ``limit`` of them.
+
+    The sample is sized to see a group of ``min_rows`` rows ``SEEN_ROWS`` times, and
+    the threshold leaves room for chance; a small ``min_rows`` counts every row.
+    ``_rows`` is the (estimated) size. No ``keys`` means one group over all rows.
+    """
+    if not keys:
+        rows = df.count()
+        return [Row(_rows=rows)] if rows > min_rows else []
+    fraction = min(1.0, SEEN_ROWS / min_rows)
+    seen = df.select(*keys) if fraction == 1.0 else df.select(*keys).sample(fraction, seed=SAMPLE_SEED)
+    threshold = min_rows if fraction == 1.0 else SEEN_ROWS * CERTAINTY
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > threshold)
+    estimate = F.ceil(F.col("_rows") / fraction).alias("_rows")
+    return counts.orderBy(F.desc("_rows")).limit(limit).select(*keys, estimate).collect()
 
 
 def _heavy_table(df: DataFrame, keys: Sequence[str], heavy: Sequence[Row]) -> DataFrame:

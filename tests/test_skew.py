@@ -37,6 +37,15 @@ def test_heavy_keys_are_the_largest(skewed):
     assert len(skew.heavy_keys(skewed, ["user"], 10, limit=3)) == 3
 
 
+def test_heavy_keys_are_found_in_a_sample(spark):
+    rows = spark.range(3_000_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("key"))
+    heavy = skew.heavy_keys(rows, ["key"], 500_000)
+    assert [row["key"] for row in heavy] == [-1]
+    assert heavy[0]["_rows"] == pytest.approx(1_000_000, rel=0.1)
+    assert skew.heavy_keys(rows, ["key"], 2_000_000) == []
+    assert skew.heavy_keys(rows, [], 2_000_000)[0]["_rows"] == 3_000_000
+
+
 @pytest.mark.parametrize("min_rows", [10, 200])
 @pytest.mark.parametrize("keys", [["user"], []])
 def test_rank(skewed, keys, min_rows):
