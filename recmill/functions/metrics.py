@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recmill.functions.pairs import fcp
 from recmill.operators.skew import HEAVY_ROWS, heavy_keys, lookup_join
+from recmill.sources.scratch import materialise
 
 # The names results are reported under.
 RANKING_METRICS = ("ndcgAt", "map", "recallAtK", "mrr", "fcp")
@@ -67,9 +68,10 @@ def label_lists(
     A user with more than ``part_rows`` distinct items gets several rows, so no
     row grows with the data; nothing is left out.
     """
-    pairs = truth.select(user, item).dropna().distinct()
-    part = F.lit(0).cast("long")
-    if heavy_keys(pairs, [user], part_rows, limit=1):
+    rows = truth.select(user, item).dropna()
+    pairs, part = rows.distinct(), F.lit(0).cast("long")
+    if heavy_keys(rows, [user], part_rows, limit=1):
+        pairs = materialise(pairs, "pairs")
         sizes = pairs.groupBy(user).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
         pairs = lookup_join(pairs, sizes, user, "inner", min_rows)
         part = F.pmod(F.xxhash64(item), F.col("_parts"))

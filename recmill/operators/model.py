@@ -46,19 +46,23 @@ def one_per_pair(df: DataFrame, als: ALS) -> DataFrame:
     return df.groupBy(user, item).agg(merge(rating).cast("float").alias(rating))
 
 
-def fit_als(als: ALS, df: DataFrame, dedupe: bool = False) -> ALSModel:
-    """Fit, with the checkpoint folder in place so that long runs cut their lineage.
+def sized(als: ALS, rows: DataFrame) -> ALS:
+    """The estimator with block counts that follow the number of ratings.
 
-    Unless the estimator names its block counts, they follow the number of
-    ratings: MLlib's ten would put a tenth of any table into one task.
+    MLlib's ten blocks would put a tenth of any table into one task. Block counts
+    the caller has set are kept.
     """
+    if als.isSet("numUserBlocks") or als.isSet("numItemBlocks"):
+        return als
+    fewest = min(10, rows.sparkSession.sparkContext.defaultParallelism)
+    return als.copy().setNumBlocks(min(MAX_BLOCKS, max(fewest, -(-rows.count() // BLOCK_ROWS))))
+
+
+def fit_als(als: ALS, df: DataFrame, dedupe: bool = False) -> ALSModel:
+    """Fit, with the checkpoint folder in place so that long runs cut their lineage."""
     checkpoint_root(df.sparkSession)
     train = materialise(one_per_pair(df, als), "train") if dedupe else df
-    if not (als.isSet("numUserBlocks") or als.isSet("numItemBlocks")):
-        fewest = min(10, df.sparkSession.sparkContext.defaultParallelism)
-        blocks = min(MAX_BLOCKS, max(fewest, -(-train.count() // BLOCK_ROWS)))
-        als = als.copy().setNumBlocks(blocks)
-    return als.fit(train)
+    return sized(als, train).fit(train)
 
 
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -151,7 +155,7 @@ def grid_search_cv(
     """Cross-validated grid search; each row's fold follows from its key."""
     checkpoint_root(df.sparkSession)
     search = CrossValidator(
-        estimator=estimator,
+        estimator=sized(estimator, df) if isinstance(estimator, ALS) else estimator,
         estimatorParamMaps=list(grid),
         evaluator=evaluator,
         numFolds=k,

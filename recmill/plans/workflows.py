@@ -20,6 +20,7 @@ from recmill.operators.model import (
     fit_als,
     grid_metrics,
     grid_search_cv,
+    one_per_pair,
     recommend_all,
     score,
 )
@@ -41,7 +42,12 @@ class ExplicitRun:
 
 
 def explicit_workflow(
-    ratings: DataFrame, key: Sequence[str], serving_path: str, k: int = 10, reg_params=REG_PARAMS
+    ratings: DataFrame,
+    key: Sequence[str],
+    serving_path: str,
+    k: int = 10,
+    reg_params: Sequence[float] = REG_PARAMS,
+    dedupe: bool = False,
 ) -> ExplicitRun:
     """Movie ratings: index, split, search the regularisation, judge, publish top-k.
 
@@ -57,6 +63,8 @@ def explicit_workflow(
     als = als_explicit("user_index", "item_index", "rating")
     grid = ParamGridBuilder().addGrid(als.regParam, list(reg_params)).build()
     evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    if dedupe:
+        train, key = materialise(one_per_pair(train, als), "train"), ["user_index", "item_index"]
     search = grid_search_cv(train, als, grid, evaluator, key)
     error = rmse(score(search.bestModel, test)).first()["rmse"]
     documents = serving_documents(recommend_all(search.bestModel, k), "user_index")

@@ -123,6 +123,13 @@ def test_model_save_overwrites(model, ratings, tmp_path):
     assert first == second
 
 
+def test_blocks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_ROWS", 100)
+    assert L.sized(L.als_explicit(), spark.range(3000)).getNumUserBlocks() == 30
+    assert L.sized(L.als_explicit(), spark.range(10)).getNumItemBlocks() == 8
+    assert L.sized(L.als_explicit(numUserBlocks=3), spark.range(3000)).getNumUserBlocks() == 3
+
+
 def test_cross_validated_grid(spark, ratings):
     als = L.als_explicit(rank=2, maxIter=1)
     grid = ParamGridBuilder().addGrid(als.regParam, [1.0, 0.1]).build()
@@ -153,8 +160,10 @@ def test_run_log(spark, tmp_path):
     assert best_run(logged, "rmse").first()["run_id"] == "reg-0.1"
 
 
-def test_explicit_workflow(spark, ratings, tmp_path):
-    run = W.explicit_workflow(ratings.drop("ts"), ["id"], str(tmp_path / "serving"), k=3, reg_params=(1.0, 0.1))
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_explicit_workflow(spark, ratings, tmp_path, dedupe):
+    path = str(tmp_path / "serving")
+    run = W.explicit_workflow(ratings.drop("ts"), ["id"], path, k=3, reg_params=(1.0, 0.1), dedupe=dedupe)
     from recmill.operators.serving import read_serving
 
     assert run.grid.count() == 2 and run.rmse > 0
