@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recmill.functions.pairs import fcp
+from recmill.functions.pairs import STRIP_ROWS, fcp
 from recmill.operators.skew import HEAVY_ROWS, heavy_keys, lookup_join
 from recmill.sources.scratch import materialise
 
@@ -70,7 +70,7 @@ def label_lists(
     """
     rows = truth.select(user, item).dropna()
     pairs, part = rows.distinct(), F.lit(0).cast("long")
-    if heavy_keys(rows, [user], part_rows, limit=1):
+    if heavy_keys(rows, [user], part_rows, limit=1, relative=False):
         pairs = materialise(pairs, "pairs")
         sizes = pairs.groupBy(user).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
         pairs = lookup_join(pairs, sizes, user, "inner", min_rows)
@@ -146,7 +146,7 @@ def ranking_metrics(
     k: int,
     names: Sequence[str] = RANKING_METRICS,
     scored: DataFrame | None = None,
-    min_rows: int = HEAVY_ROWS,
+    strip_rows: int = STRIP_ROWS,
 ) -> DataFrame:
     """All named metrics as (metric, value) rows, in one pass over ``frame``.
 
@@ -157,6 +157,6 @@ def ranking_metrics(
     wide = frame.agg(*[_mean(_PER_USER[name](k), name) for name in listed])
     table = wide.unpivot([], listed, "metric", "value") if listed else None
     if "fcp" in names and scored is not None:
-        pairs = fcp(scored, min_rows=min_rows).select(F.lit("fcp").alias("metric"), F.col("fcp").alias("value"))
+        pairs = fcp(scored, min_rows=strip_rows).select(F.lit("fcp").alias("metric"), F.col("fcp").alias("value"))
         table = pairs if table is None else table.unionByName(pairs)
     return table

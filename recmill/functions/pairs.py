@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recmill.operators.skew import HEAVY_LIMIT, HEAVY_ROWS, heavy_keys, rank_in_group, split_heavy
+from recmill.operators.skew import HEAVY_LIMIT, heavy_keys, rank_in_group, split_heavy
 from recmill.sources.scratch import materialise
 
+STRIP_ROWS = 2_000_000  # points one task counts at a time
 STRIPS = 1_000  # most strips one user's ranks are cut into
 COUNT_TYPE = "decimal(18,0)"
 TOTAL_TYPE = "decimal(38,0)"
@@ -163,7 +164,7 @@ def fcp(
     label: str = "label",
     prediction: str = "prediction",
     item: str = "item",
-    min_rows: int = HEAVY_ROWS,
+    min_rows: int = STRIP_ROWS,
 ) -> DataFrame:
     """Fraction of concordant pairs: one row (fcp, n_pairs).
 
@@ -180,12 +181,14 @@ def fcp(
     points = named.groupBy("user", "item").agg(F.avg("label").alias("label"), F.avg("prediction").alias("prediction"))
     points = points.dropna(subset=["user", "label", "prediction"])
 
-    # A user has no more points than rows, so the raw rows tell who may be large.
-    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, HEAVY_LIMIT)
+    # A user has no more points than rows, so only large users in the rows call for a closer look.
+    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, limit=1, relative=False)
+    if heavy:
+        points = materialise(points, "points")
+        heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT, relative=False)
     if not heavy:
         totals = _totals(_counted(_whole(points)))
     else:
-        points = materialise(points, "points")
         hot, cold = points, points.limit(0)
         if len(heavy) < HEAVY_LIMIT:  # a full list may leave large users out: then all are cut
             hot, cold = split_heavy(points, ["user"], heavy)

@@ -1,12 +1,12 @@
 """Per-group ranks, counts and lookups that stay even when one key is huge.
 
-A key is *heavy* when it holds more rows than one task should take. Heavy keys
-are looked for in a sample of the key column, so finding them costs a scan and
+A key is *heavy* when it holds more rows than one task should take, which is more
+than ``HEAVY_ROWS`` and more than one row in ``HEAVY_LIMIT``; so there are fewer than
+``HEAVY_LIMIT`` of them at any data size, and their list is safe to broadcast. Heavy
+keys are looked for in a sample of the key column, so finding them costs a scan and
 next to no shuffle. They only choose the route a row takes: every row is still
-processed, and the result does not depend on what the sample holds. At most
-``HEAVY_LIMIT`` keys are kept, the largest first, so the list is safe to broadcast
-at any data size, and a key outside it holds less than about one row in
-``HEAVY_LIMIT``. Without heavy keys every operator here is the plain one-shuffle form.
+processed, and the result does not depend on what the sample holds. Without heavy
+keys every operator here is the plain one-shuffle form.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql.window import Window
 
 from recmill.sources.scratch import materialise
 
-HEAVY_ROWS = 2_000_000
+HEAVY_ROWS = 10_000_000
 HEAVY_LIMIT = 10_000
+GLOBAL_ROWS = 1_000_000  # most rows ranked as one group by one task
 SEEN_ROWS = 1_000
 CERTAINTY = 0.8  # six standard deviations below SEEN_ROWS
 SAMPLE_SEED = 42
@@ -28,13 +29,18 @@ ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS, limit: int = HEAVY_LIMIT
+    df: DataFrame,
+    keys: Sequence[str],
+    min_rows: int = HEAVY_ROWS,
+    limit: int = HEAVY_LIMIT,
+    relative: bool = True,
 ) -> list[Row]:
     """The largest groups with more than ``min_rows`` rows, at most ``limit`` of them.
 
     The sample is sized to see a group of ``min_rows`` rows ``SEEN_ROWS`` times, and
     the threshold leaves room for chance; a small ``min_rows`` counts every row.
-    ``_rows`` is the (estimated) size. No ``keys`` means one group over all rows.
+    ``_rows`` is the (estimated) size. With ``relative=False`` the size alone counts,
+    whatever share of the table it is. No ``keys`` means one group over all rows.
     """
     if not keys:
         rows = df.count()
@@ -44,7 +50,11 @@ def heavy_keys(
     threshold = min_rows if fraction == 1.0 else SEEN_ROWS * CERTAINTY
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > threshold)
     estimate = F.ceil(F.col("_rows") / fraction).alias("_rows")
-    return counts.orderBy(F.desc("_rows")).limit(limit).select(*keys, estimate).collect()
+    largest = counts.orderBy(F.desc("_rows")).limit(limit).select(*keys, estimate).collect()
+    if largest and relative:
+        share = df.count() / HEAVY_LIMIT
+        largest = [row for row in largest if row["_rows"] > share]
+    return largest
 
 
 def _heavy_table(df: DataFrame, keys: Sequence[str], heavy: Sequence[Row]) -> DataFrame:
@@ -70,7 +80,14 @@ def split_heavy(
     return _semi(df, table, keys, "left_semi"), _semi(df, table, keys, "left_anti")
 
 
-def _sorted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+def _sorted_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    out: str,
+    counted: str | None,
+    count_out: str,
+) -> DataFrame:
     """Row number within ``keys`` by ``order``, with no group held by one task.
 
     One range sort over (keys, order) spreads a group over as many partitions as
@@ -84,20 +101,24 @@ def _sorted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ou
     ordered = materialise(ordered, "sorted")
     part = F.shiftright("_id", ROW_BITS)
     pieces = ordered.groupBy(*keys, part.alias("_part")).agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
+        F.min("_id").alias("_first"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(counted if counted is not None else F.lit(1)).alias("_counted"),
     )
-    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part")
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col("_part").alias("_k_part"),
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_counted").over(group).alias("_counted"),
     )
     condition = part == F.col("_k_part")
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     ranked = ordered.join(F.broadcast(offsets), condition, "inner")
-    return ranked.select(*df.columns, (F.col("_id") + F.col("_shift") + 1).alias(out))
+    counts = [F.col("_counted").alias(count_out)] if counted is not None else []
+    return ranked.select(*df.columns, (F.col("_id") + F.col("_shift") + 1).alias(out), *counts)
 
 
 def rank_in_group(
@@ -115,7 +136,7 @@ def rank_in_group(
     """
     keys = list(keys)
     group = keys or [F.lit(0)]
-    heavy = heavy_keys(df, keys, min_rows)
+    heavy = heavy_keys(df, keys, min_rows if keys else min(min_rows, GLOBAL_ROWS))
     hot, cold = split_heavy(df, keys, heavy) if heavy else (None, df)
 
     by_group = Window.partitionBy(*group)
@@ -126,24 +147,10 @@ def rank_in_group(
     if hot is None:
         return plain
 
-    ranked = _sorted_rank(hot, keys, order, out)
-    if counted is not None:
-        counts = hot.groupBy(*keys).agg(F.count(counted).alias(count_out))
-        ranked = _attach_counts(ranked, counts, keys, count_out)
+    ranked = _sorted_rank(hot, keys, order, out, counted, count_out)
     return ranked.unionByName(plain) if keys else ranked
 
 
-def _attach_counts(df: DataFrame, counts: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """``counts`` has one row per heavy key, so at most ``HEAVY_LIMIT`` rows."""
-    if not keys:
-        return df.withColumn(out, counts.scalar())
-    counts = F.broadcast(counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], out))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & df[k].eqNullSafe(counts[f"_k_{k}"])
-    return df.join(counts, condition, "inner").select(*df.columns, out)
-
-
 def count_in_group(
     df: DataFrame, keys: Sequence[str], counted: str, out: str, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
@@ -154,8 +161,11 @@ def count_in_group(
     plain = cold.withColumn(out, F.count(counted).over(Window.partitionBy(*keys)))
     if hot is None:
         return plain
-    counts = hot.groupBy(*keys).agg(F.count(counted).alias(out))
-    return _attach_counts(hot, counts, keys, out).unionByName(plain)
+    counts = hot.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(counted).alias(out))
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return hot.join(F.broadcast(counts), condition, "inner").select(*df.columns, out).unionByName(plain)
 
 
 def lookup_join(
