@@ -941,6 +941,13 @@ def recognise_joined(spark, sf_dir):
     )
 
 
+@_register("recognise_shuffled", ENTITIES_SQL)
+def recognise_shuffled(spark, sf_dir):
+    return _recognised(spark, sf_dir, max_inline=0, max_broadcast=0).select(
+        "doc_id", F.array_join("celebs.result.celebrities.name", ",").alias("names")
+    )
+
+
 @_register("join_lines", "SELECT doc_id, text AS joined FROM documents")
 def join_lines(spark, sf_dir):
     documents = W.lines_response("text")(_table(spark, sf_dir, "documents").select("doc_id", "text"))

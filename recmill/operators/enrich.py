@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from recmill.operators.skew import HEAVY_ROWS, lookup_join
 from recmill.sources.paths import is_complete
+from recmill.sources.scratch import materialise
 from recmill.sources.steps import read_step, write_step
 
 LINK_PATTERN = r'(?:src|href)="([^"]+)"'
 INLINE_WORDS = 10_000  # most words placed into an expression
+BROADCAST_WORDS = 1_000_000  # most words broadcast
 Provider = Callable[[Sequence], Sequence]
 
 
@@ -134,22 +136,28 @@ def recognise(
     name: str = "name",
     out: str = "celebs",
     max_inline: int = INLINE_WORDS,
+    max_broadcast: int = BROADCAST_WORDS,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Vocabulary words of each text, in order of first appearance, as a response struct.
 
     A vocabulary of at most ``max_inline`` words is checked within the row and the
-    texts stay where they are. A larger one is joined to the distinct words of each
-    text; ``key`` must then identify the row.
+    texts stay where they are. A larger one is joined to the words of each text, by
+    broadcast up to ``max_broadcast`` words; ``key`` must then identify the row.
     """
     names = vocabulary.select(F.col(name).alias("_word")).filter(F.col("_word") != "").distinct()
-    few = [row["_word"] for row in names.limit(max_inline + 1).collect()]
-    if len(few) <= max_inline:
+    names = materialise(names, "vocabulary")
+    size = names.count()
+    if size <= max_inline:
+        few = [row["_word"] for row in names.collect()]
         found = F.array_distinct(F.filter(_pieces(text), lambda word: word.isin(few)))
         return df.withColumn(out, F.when(F.col(text).isNotNull(), _entities(found)))
     tokens = df.select(key, F.posexplode(words(text)).alias("_pos", "_word"))
-    tokens = tokens.groupBy(key, "_word").agg(F.min("_pos").alias("_pos"))
-    known = lookup_join(tokens, names, "_word", "inner", min_rows)
+    if size <= max_broadcast:
+        tokens = tokens.join(F.broadcast(names), "_word")
+    known = tokens.groupBy(key, "_word").agg(F.min("_pos").alias("_pos"))
+    if size > max_broadcast:
+        known = lookup_join(known, names, "_word", "inner", min_rows)
     listed = F.sort_array(F.collect_list(F.struct("_pos", "_word")))["_word"]
     per_row = known.groupBy(key).agg(listed.alias("_names"))
     joined = df.join(per_row, key, "left")

@@ -11,6 +11,7 @@ from recmill.operators import serving as V
 from recmill.operators.recommend import inject_cold
 from recmill.sources import messages as G
 from recmill.sources.ratings import page_offsets, read_activity_json, read_ratings_csv
+from recmill.sources.scratch import scratch_path
 from recmill.streaming import ratings as Z
 
 MESSAGE = "userId INT, movieId INT, rating INT"
@@ -188,10 +189,16 @@ def test_sentiment(spark):
 def test_recognise_forms_agree(spark):
     texts = spark.createDataFrame([(1, "rod ring ROD bolt"), (2, "none"), (3, None)], "id int, text string")
     names = spark.createDataFrame([("rod",), ("bolt",)], "name string")
-    inline, joined = (E.recognise(texts, "id", "text", names, max_inline=n) for n in (10, 0))
-    listed = [sorted((r["id"], r["n"]) for r in df.select("id", F.col("celebs.result.celebrities.name").alias("n")).collect())
-              for df in (inline, joined)]
-    assert listed[0] == listed[1] == [(1, ["rod", "bolt"]), (2, []), (3, None)]
+    tiers = [{}, {"max_inline": 0}, {"max_inline": 0, "max_broadcast": 0}, {"max_inline": 0, "max_broadcast": 0, "min_rows": 1}]
+    for tier in tiers:
+        found = E.recognise(texts, "id", "text", names, **tier)
+        found = found.select("id", F.col("celebs.result.celebrities.name").alias("n")).collect()
+        assert sorted((r["id"], r["n"]) for r in found) == [(1, ["rod", "bolt"]), (2, []), (3, None)]
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert spark.sparkContext.getCheckpointDir() is not None
 
 
 def test_chain_reuses_finished_steps(spark, tmp_path):
