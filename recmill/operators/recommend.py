@@ -84,22 +84,46 @@ def recommend_all(model: ALSModel, k: int, chunk_bytes: int = CHUNK_BYTES) -> Da
     return _best_items(model.userFactors, model.itemFactors, k, model.getUserCol(), chunk_bytes)
 
 
-def _best_of_block(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the k best (id, score), score falling; equal scores by rising id.
-
-    ``ids`` may differ per row. Everything at or above the k-th score is a
-    candidate, so a tie across the cut is settled by id, not by chance.
+def _first_k(
+    rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The k best (id, score) of each of n rows, score falling; equal scores by rising id."""
+    order = np.lexsort((ids, -scores, rows))
+    rows = rows[order]
+    kept = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < k]
+    return ids[kept].reshape(n, -1), scores[kept].reshape(n, -1)
+
+
+def _best_items_of(
+    users: np.ndarray, item_ids: np.ndarray, item_factors: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per user the k best items and their scores, block of items by block.
+
+    Everything at or above the k-th score so far is a candidate, so a tie across
+    the cut is settled by id, not by chance.
     """
-    n, width = scores.shape
-    k = min(k, width)
-    cut = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-    rows, cols = np.nonzero(scores >= cut[:, None])
-    found, found_ids = scores[rows, cols], ids[rows, cols]
-    order = np.lexsort((found_ids, -found, rows))
-    rows, found, found_ids = rows[order], found[order], found_ids[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    keep = place < k
-    return found_ids[keep].reshape(n, k), found[keep].reshape(n, k)
+    n, k = len(users), min(k, len(item_ids))
+    ids, best = np.empty((n, 0), item_ids.dtype), np.empty((n, 0), np.float32)
+    for at in range(0, len(item_ids), _BLOCK_ITEMS):
+        scores = users @ item_factors[at : at + _BLOCK_ITEMS].T
+        if best.shape[1] == k:
+            cut = best[:, -1:]
+        elif scores.shape[1] > k:
+            cut = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        else:
+            cut = np.full((n, 1), -np.inf, np.float32)
+        rows, cols = np.nonzero(scores >= cut)
+        if not len(rows):
+            continue
+        held = np.repeat(np.arange(n), ids.shape[1])
+        ids, best = _first_k(
+            np.r_[held, rows],
+            np.r_[ids.ravel(), item_ids[at + cols]],
+            np.r_[best.ravel(), scores[rows, cols]],
+            n,
+            k,
+        )
+    return ids, best
 
 
 def _block_scorer(block, k: int, user: str):
@@ -112,16 +136,7 @@ def _block_scorer(block, k: int, user: str):
             for start in range(0, batch.num_rows, _BLOCK_USERS):
                 part = batch.slice(start, _BLOCK_USERS)
                 users = part.column("features").flatten().to_numpy(zero_copy_only=False)
-                users = users.reshape(part.num_rows, -1)
-                ids = np.empty((part.num_rows, 0), dtype=np.int32)
-                best = np.empty((part.num_rows, 0), dtype=np.float32)
-                for at in range(0, len(item_ids), _BLOCK_ITEMS):
-                    some = item_ids[at : at + _BLOCK_ITEMS]
-                    scored = users @ item_factors[at : at + _BLOCK_ITEMS].T
-                    more = np.broadcast_to(some, scored.shape)
-                    ids, best = _best_of_block(
-                        np.hstack([best, scored]), np.hstack([ids, more]), k
-                    )
+                ids, best = _best_items_of(users.reshape(part.num_rows, -1), item_ids, item_factors, k)
                 lists = pa.ListArray.from_arrays(
                     np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32),
                     pa.StructArray.from_arrays(

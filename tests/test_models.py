@@ -1,5 +1,6 @@
 """Factor models: scoring, active-subset recommendation, search, persistence."""
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
@@ -8,7 +9,6 @@ from pyspark.sql import functions as F
 from fixtures import typed_rows
 from recmill.operators import model as L
 from recmill.operators import recommend as R
-from recmill.operators.recommend import _best_of_block
 from recmill.plans import workflows as W
 
 
@@ -68,11 +68,17 @@ def test_unknown_users_and_items_drop_out(spark, model, ratings):
     assert [(r["user"], [e["itemId"] for e in r["recommendations"]]) for r in recs] == [(1, [5])]
 
 
-def test_tied_scores_go_by_item():
-    import numpy as np
-
-    ids, scores = _best_of_block(np.array([[1.0, 2.0, 2.0, 2.0]]), np.array([[4, 9, 3, 7]]), 2)
-    assert ids.tolist() == [[3, 7]] and scores.tolist() == [[2.0, 2.0]]
+@pytest.mark.parametrize("block,k", [(8192, 5), (7, 5), (3, 5), (7, 50), (1, 1)])
+def test_blocks_of_items_agree(monkeypatch, block, k):
+    """Few distinct scores, so that most cuts fall into a tie."""
+    monkeypatch.setattr(R, "_BLOCK_ITEMS", block)
+    draw = np.random.default_rng(3)
+    users, items = (draw.integers(0, 3, (n, 2)).astype(np.float32) for n in (9, 40))
+    names = draw.permutation(40).astype(np.int32)
+    ids, scores = R._best_items_of(users, names, items, k)
+    for user, found, scored in zip(users, ids, scores):
+        expected = sorted(zip(-(items @ user), names))[:k]
+        assert [(float(-s), int(i)) for s, i in expected] == [(float(s), int(i)) for s, i in zip(scored, found)]
 
 
 def test_unknown_pairs_are_dropped(spark, model):
