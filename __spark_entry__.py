@@ -872,6 +872,28 @@ def ranking_adapter(spark, sf_dir):
     return M.ranking_metrics(frame, 3)
 
 
+@_register("scored_pairs", 'SELECT DISTINCT user_id::INT AS "user", json_extract_string(props, \'$.k\')::INT AS item FROM events')
+def scored_pairs(spark, sf_dir):
+    """The pairs the explicit model can score: all it was trained on."""
+    events = _stored(spark, sf_dir, _events)
+    return _predictions(L.fit_als(L.als_explicit(), events, dedupe=True), events).select("user", "item")
+
+
+@_register(
+    "recommend_active_counts",
+    f"""WITH {SPARSE_SQL}, act AS (SELECT count(DISTINCT item) AS n FROM r WHERE ts > TIMESTAMP '{SPARSE_CUT}')
+    SELECT DISTINCT "user", least(10, n) AS n_items, 0::BIGINT AS n_inactive FROM r, act""",
+)
+def recommend_active_counts(spark, sf_dir):
+    """Lengths of the active-subset lists, and how many of their items are not active."""
+    sparse = _stored(spark, sf_dir, _sparse)
+    listed = _listed(L.recommend(sparse, _at(SPARSE_CUT), 10, dedupe=True))
+    active = P.active_items(sparse, _at(SPARSE_CUT)).withColumn("active", F.lit(1))
+    counts = listed.join(active, "item", "left").groupBy("user")
+    inactive = F.sum(F.when(F.col("active").isNull(), 1).otherwise(0))
+    return counts.agg(F.count(F.lit(1)).alias("n_items"), inactive.alias("n_inactive"))
+
+
 @_register("grid_search_cv")
 def grid_search_cv(spark, sf_dir):
     events = _stored(spark, sf_dir, _events)
