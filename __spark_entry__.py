@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -1085,9 +1086,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return popular_active_workflow(spark, "/root/testdata/sf0.001")
 
 
+def _optional(module: str):
+    """The module, or None where its file or package is not there; errors inside it are raised."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name and (module == error.name or module.startswith(f"{error.name}.") or error.name.startswith("recmill.llm")):
+            return None
+        raise
+
+
+_LLM = _optional("recmill.llm.queries")
+_PIPELINE = _optional("corpus_pipeline")
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if _LLM:
+        found |= _LLM.QUERIES
+    if _PIPELINE:
+        found["pipeline"] = _PIPELINE.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    found = dict(_ORACLES)
+    if _LLM:
+        found |= _LLM.ORACLES
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        found["pipeline"] = _PIPELINE.ORACLE_SQL
+    return found
