@@ -28,7 +28,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def _key(row: tuple) -> tuple:
