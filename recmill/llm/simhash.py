@@ -24,7 +24,7 @@ from recmill.sources.scratch import materialise
 SHINGLE_WORDS = 3
 SEED = 42
 CHUNK = 4096  # rows of one key that meet in one bucket
-BROADCAST_ROWS = 200_000  # most heavy keys sent to every executor
+BROADCAST_ROWS = 400_000  # most rows of a key table sent to every executor
 KEY_BITS = 26
 STEP = 1 << 21  # pairs compared at once
 FOREST = 1 << 20  # links held before they are reduced to a forest
@@ -56,16 +56,17 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed 64-bit number."""
+    """(doc_id, digest, fp): MD5 of the text, and its fingerprint as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), width) for t in batch.column(1)]
+            found = [fingerprint(t.as_py(), width) for t in batch.column(2)]
             fp = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["doc_id", "digest", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, digest string, fp long")
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,12 +155,10 @@ def _dealt(keyed: DataFrame, chunk: int) -> DataFrame:
     """
     heavy = keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("_chunks")).filter("_chunks > 1")
     heavy = materialise(heavy.withColumnRenamed("key", "_key"), "heavy")
-    found = heavy.count()
-    if not found:
+    if not heavy.limit(1).count():
         return keyed.select(F.col("key").cast("long").alias("bucket"), "near", "fp")
-    few = F.broadcast(heavy) if found <= BROADCAST_ROWS else heavy
     chunks = F.coalesce("_chunks", F.lit(1))
-    joined = keyed.join(few, F.col("key") == F.col("_key"), "left").select(
+    joined = keyed.join(_sized(heavy), F.col("key") == F.col("_key"), "left").select(
         "key", "near", "fp", chunks.alias("_chunks"), F.pmod(F.xxhash64("fp"), chunks).alias("_own")
     )
     joined = joined.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)))
@@ -176,11 +175,28 @@ def link_forest(distinct: DataFrame, most: int = MAX_DISTANCE, chunk: int = CHUN
     """
     if not 0 <= most <= MAX_DISTANCE:
         raise ValueError(f"the keys cover distances from 0 to {MAX_DISTANCE}")
-    keyed = distinct.select("fp").mapInArrow(_keyed, "key int, near boolean, fp long")
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a row becomes some 90
+    keyed = distinct.select("fp").repartition(tasks).mapInArrow(_keyed, "key int, near boolean, fp long")
     dealt = _dealt(keyed, chunk).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_solve(most), "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, most: int) -> DataFrame:
+    """(doc_id, digest, fp, root, component_id) of every row; root is a component's own number."""
+    rows = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = materialise(components(link_forest(distinct, most), "a", "b"), "components")
+    member = distinct.join(linked, F.col("fp") == F.col("node"))
+    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = member.select("fp", F.col("root").alias("_root")).join(least, F.col("_root") == F.col("root"))
+    alone = distinct.join(linked, F.col("fp") == F.col("node"), "left_anti")
+    by_fp = ids.select(F.col("fp").alias("_fp"), "root", "component_id").unionByName(
+        alone.select(F.col("fp").alias("_fp"), F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    )
+    by_fp = materialise(by_fp, "by_fingerprint")  # a plain table, so that a hot fingerprint's join can be split
+    return rows.join(by_fp, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -194,19 +210,47 @@ def near_duplicates(
     component_id is the smallest id reachable over links, the row's own included. A null
     or blank text has fingerprint zero and links like any other. Rows that repeat an id
     each get their row; an id links nothing by itself. Null ids count only where a whole
-    component has no other (component_id null). Other columns of ``docs`` are not read.
+    component has no other (component_id null). Other columns of ``docs`` are not read;
+    an empty table gives no rows.
     """
-    rows = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = materialise(components(link_forest(distinct, most), "a", "b"), "components")
-    member = distinct.join(linked, F.col("fp") == F.col("node"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = member.select("fp", F.col("root").alias("_root")).join(least, F.col("_root") == F.col("root"))
-    alone = distinct.join(linked, F.col("fp") == F.col("node"), "left_anti")
-    by_fp = ids.select(F.col("fp").alias("_fp"), "component_id").unionByName(
-        alone.select(F.col("fp").alias("_fp"), F.col("least").alias("component_id"))
-    )
-    by_fp = materialise(by_fp, "by_fingerprint")  # a plain table, so that a hot fingerprint's join can be split
-    return rows.join(by_fp, F.col("fp") == F.col("_fp")).select(
+    return _grouped(docs, id_col, text_col, width, most).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE_WORDS,
+    most: int = MAX_DISTANCE,
+) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the one of the smallest id.
+
+    Of several texts under that id the one with the smallest MD5 stays, and of rows that
+    repeat id and text one stays. A component without ids keeps one row as well.
+    """
+    copies = _grouped(docs, id_col, text_col, width, most).groupBy("root", "doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    copies = materialise(copies, "copies")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("digest").isNull(), "digest")
+    first = copies.groupBy("root").agg(F.min(place).alias("f"))
+    first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.digest").alias("_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("digest").eqNullSafe(F.col("_digest"))
+    names = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
+    lost = _sized(materialise(copies.join(first, same, "left_anti").select(*names), "lost"))
+    again = materialise(copies.filter("n > 1").join(first, same, "left_semi").select(*names), "again")
+
+    here = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & F.md5(docs[text_col].cast("string")).eqNullSafe(F.col("_digest"))
+    kept = docs.join(lost, here, "left_anti")
+    if not again.limit(1).count():
+        return kept
+    again = _sized(again)
+    once = kept.join(again, here, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, here, "left_anti").unionByName(once)
+
+
+def _sized(table: DataFrame) -> DataFrame:
+    """The stored table, marked for broadcasting where it is small."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
