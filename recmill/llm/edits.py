@@ -123,7 +123,7 @@ def edit(tree: Tree, text: str, pos: int, delete: int, insert: str, counts: Gene
         while end < tree.leaves and end_at < old:
             end_at += tree.leaf_chars(end)
             end += 1
-        if end_at == old:
+        if end_at == old and end > first:  # else the region has no leaf of its own yet
             break
     else:
         end = tree.leaves

@@ -22,12 +22,16 @@ THRESHOLD = 0.7
 STEPS = 600
 RATE = 0.05
 DECAY = 1e-4
+SHORT = 4  # a text of so many words is believed half as much as a long one
 FEATURE_MARKS = b"!?$%&*#|.,;:'\"()[]{}<>/\\=+-_@^~`"
 BATCH = 64
 
 
 def features(text: str | None) -> np.ndarray:
-    """Shape of a whole text: shares of character classes, and of words and lines of some kinds."""
+    """Shape of a whole text: shares of character classes, and of words and lines of some kinds.
+
+    The last value says how far the others can be believed.
+    """
     data = (text or "").encode("utf-8", "surrogatepass")
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256).astype(float)
     n = max(len(data), 1)
@@ -57,7 +61,7 @@ def features(text: str | None) -> np.ndarray:
         float(not words),
     ]
     found = np.minimum(np.array(shares), 4.0)
-    return np.concatenate([found, np.sqrt(found)])
+    return np.concatenate([found, np.sqrt(found), [len(words) / (len(words) + SHORT)]])
 
 
 WIDTH = len(features(""))
@@ -109,8 +113,14 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         if not len(self.weights):
             return np.full(len(x), self.prior)
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return _sigmoid(np.hstack([z, np.ones((len(z), 1))]) @ self.weights)
+        # summed row by row, so that a score does not depend on the rows beside it
+        return np.round(_sigmoid((_standardised(x, self.mean, self.scale) * self.weights).sum(axis=1)), 9)
+
+
+def _standardised(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised features, drawn in to the mean for short texts, and a constant."""
+    z = np.clip((x[:, :-1] - mean) / scale, -8, 8) * x[:, -1:]
+    return np.ascontiguousarray(np.hstack([z, np.ones((len(z), 1))]))
 
 
 def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None) -> Model:
@@ -118,19 +128,23 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(0), np.ones(0), np.zeros(0), 0.5)
     both = np.vstack([positive, unlabelled])
-    mean, scale = both.mean(axis=0), both.std(axis=0)
+    mean, scale = both[:, :-1].mean(axis=0), both[:, :-1].std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
-    x = np.hstack([np.clip((both - mean) / scale, -8, 8), np.ones((len(both), 1))])
+    x = _standardised(both, mean, scale)
     n_p, n_u = len(positive), len(unlabelled)
     is_p = np.arange(len(x)) < n_p
 
     if prior is None:
+        margins = np.zeros(len(x))
+        half = np.arange(len(x)) % 2 == 0
+        for seen in (half, ~half):  # each half is ranked by a model of the other, which knows none of its rows
+            n = max((is_p & seen).sum(), 1), max((~is_p & seen).sum(), 1)
 
-        def apart(margins: np.ndarray) -> np.ndarray:
-            return np.where(is_p, (_sigmoid(margins) - 1) / n_p, _sigmoid(margins) / n_u)
+            def apart(found: np.ndarray, p=is_p[seen], n=n) -> np.ndarray:
+                return np.where(p, (_sigmoid(found) - 1) / n[0], _sigmoid(found) / n[1])
 
-        ranked = x @ _descend(x, apart)
-        prior = class_prior(ranked[:n_p], ranked[n_p:])
+            margins[~seen] = x[~seen] @ _descend(x[seen], apart)
+        prior = class_prior(margins[:n_p], margins[n_p:])
 
     def risk(margins: np.ndarray) -> np.ndarray:
         up = _sigmoid(margins)  # derivative of the loss of calling a row negative
