@@ -24,7 +24,7 @@ from recmill.sources.scratch import materialise
 SIZE = 2048
 SALTS = 64  # least number of parts a length is ranked in
 PART_ROWS = 1_000_000  # a length's part holds about this many pieces at most
-TEXTS = 64  # encoded together
+TEXTS = 256  # encoded together
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> np.ndarray:

@@ -7,6 +7,8 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 
+WORD_END = "</w>"  # closes the last token of a word in vocabularies that mark word ends
+GROUP = 50  # words encoded by one call
 REMEMBERED = 250_000  # entries of one generation of a store
 _ODD = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 _MARKS = ".,;:!?$%&*#"
@@ -23,19 +25,24 @@ class Generations:
 
     def have(self, words: Iterable[str]) -> dict[str, bytes]:
         """A store that holds all of ``words``."""
-        new = [w for w in words if w not in self.young]
+        words = set(words)
+        new = words.difference(self.young)
         if len(self.young) + len(new) > self._size:
             self._old, self.young = self.young, {}
-            new = list(words)
+            new = words
         unknown = [w for w in new if w not in self._old]
-        for word in new:
-            if word in self._old:
-                self.young[word] = self._old[word]
+        if len(unknown) < len(new):
+            self.young.update((w, self._old[w]) for w in new if w in self._old)
         if unknown:
             self.young.update(zip(unknown, self._find(unknown)))
         return self.young
 
 
+def _is_plain(text: str) -> bool:
+    """One run of Latin letters: a single word to the tokenizer, whatever stands beside it."""
+    return text.isalpha() and (text.isascii() or max(text) < _LATIN_END)
+
+
 class WordEncoder:
     """Ids of texts for tokenizers that never join characters across white space.
 
@@ -50,18 +57,37 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._ends = {i for token, i in self._tokenizer.get_vocab().items() if token.endswith(WORD_END)}
         self._words = Generations(self._from_parts, remembered)
         self._parts = Generations(self._from_tokenizer, remembered)
 
-    def _from_tokenizer(self, texts: list[str]) -> list[bytes]:
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
+    def _from_tokenizer(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words of letters go several to a call, and are told apart by their last tokens."""
+        found: dict[str, bytes] = {}
+        plain = [t for t in texts if _is_plain(t)] if self._ends else []
+        groups = [plain[at : at + GROUP] for at in range(0, len(plain), GROUP)]
+        joined = self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, joined):
+            ids, at, parts = encoded.ids, 0, []
+            for n, i in enumerate(ids, start=1):
+                if i in self._ends:
+                    parts.append(array("I", ids[at:n]).tobytes())
+                    at = n
+            if len(parts) == len(group) and at == len(ids):
+                found.update(zip(group, parts))
+        rest = [t for t in texts if t not in found]
+        found.update(zip(rest, self._one_by_one(rest)))
+        return [found[t] for t in texts]
+
     def _from_parts(self, words: list[str]) -> list[bytes]:
         cut = []
         for word in words:
             core = word.rstrip(_MARKS)
-            if core.isalpha() and max(core) < _LATIN_END:
+            if _is_plain(core):
                 cut.append((core.lower() if core.isascii() else core, word[len(core) :]))
             else:
                 cut.append((word, ""))
@@ -73,7 +99,7 @@ class WordEncoder:
         split = [None if _ODD.search(t) else t.split() for t in texts]
         known = self._words.have(set().union(*(s for s in split if s)))
         return [
-            self._from_tokenizer([text])[0] if words is None else b"".join(map(known.__getitem__, words))
+            self._one_by_one([text])[0] if words is None else b"".join(map(known.__getitem__, words))
             for text, words in zip(texts, split)
         ]
 
