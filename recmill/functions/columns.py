@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-RECOMMENDATIONS_TYPE = "array<struct<itemId:int,rating:float>>"
+RECOMMENDATIONS_TYPE = "array<struct<itemId:bigint,rating:double>>"
 
 
 def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

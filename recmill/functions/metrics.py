@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recmill.functions.pairs import STRIP_ROWS, fcp
-from recmill.operators.skew import HEAVY_ROWS, heavy_keys, lookup_join
-from recmill.sources.scratch import materialise
 
 # The names results are reported under.
 RANKING_METRICS = ("ndcgAt", "map", "recallAtK", "mrr", "fcp")
@@ -60,23 +58,16 @@ def ranking_frame(
     return users.filter((F.col("n_labels") > 0) & (F.size("prediction") > 0))
 
 
-def label_lists(
-    truth: DataFrame, user: str = "user", item: str = "item", part_rows: int = 100_000, min_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def label_lists(truth: DataFrame, user: str = "user", item: str = "item", parts: int = 1) -> DataFrame:
     """Each user's true items as sorted lists (user, part, labels).
 
-    A user with more than ``part_rows`` distinct items gets several rows, so no
-    row grows with the data; nothing is left out.
+    The items are dealt to ``parts`` lists by a hash, the same way for every user and at
+    every size: a caller whose users may have too many items for one row asks for more
+    parts. Parts without items are left out, and nothing else.
     """
-    rows = truth.select(user, item).dropna()
-    pairs, part = rows.distinct(), F.lit(0).cast("long")
-    if heavy_keys(rows, [user], part_rows, limit=1, relative=False):
-        pairs = materialise(pairs, "pairs")
-        sizes = pairs.groupBy(user).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
-        pairs = lookup_join(pairs, sizes, user, "inner", min_rows)
-        part = F.pmod(F.xxhash64(item), F.col("_parts"))
-    lists = pairs.groupBy(user, part.alias("part"))
-    return lists.agg(F.sort_array(F.collect_list(item)).alias("labels"))
+    part = F.pmod(F.xxhash64(item), F.lit(parts)).cast("long").alias("part")
+    lists = truth.select(user, item).dropna().groupBy(user, part)
+    return lists.agg(F.sort_array(F.collect_set(item)).alias("labels"))
 
 
 def _hits(k: int) -> Column:

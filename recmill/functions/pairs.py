@@ -182,10 +182,10 @@ def fcp(
     points = points.dropna(subset=["user", "label", "prediction"])
 
     # A user has no more points than rows, so only large users in the rows call for a closer look.
-    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, limit=1, relative=False)
+    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, limit=1)
     if heavy:
         points = materialise(points, "points")
-        heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT, relative=False)
+        heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT)
     if not heavy:
         totals = _totals(_counted(_whole(points)))
     else:

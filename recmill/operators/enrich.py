@@ -19,16 +19,23 @@ BROADCAST_WORDS = 1_000_000  # most words broadcast
 Provider = Callable[[Sequence], Sequence]
 
 
+def _asked(provider: Provider, values: list) -> list:
+    answers = list(provider(values))
+    if len(answers) != len(values):
+        raise ValueError(f"the provider gave {len(answers)} answers to {len(values)} values")
+    return answers
+
+
 def _answers(provider: Provider, values: list) -> list[tuple]:
     """(response, error) per value; when a batch fails, its rows are tried one by one."""
     try:
-        return [(answer, None) for answer in provider(values)]
+        return [(answer, None) for answer in _asked(provider, values)]
     except Exception:
         pass
     pairs = []
     for value in values:
         try:
-            pairs.append((provider([value])[0], None))
+            pairs.append((_asked(provider, [value])[0], None))
         except Exception as problem:
             pairs.append((None, str(problem) or type(problem).__name__))
     return pairs
@@ -47,7 +54,8 @@ def enrich(
 
     ``provider`` takes a list of values and returns as many responses (dicts or
     None). Only ``in_col`` travels to Python, in Arrow batches. A NULL input is not
-    sent; a failing row gets a NULL response and its message in ``error_col``.
+    sent; a failing row gets a NULL response and its message in ``error_col``, and so do
+    rows of a batch that gets too few or too many answers, unless they succeed alone.
     ``concurrency`` bounds the calls running at once.
     """
 
@@ -60,7 +68,7 @@ def enrich(
 
     respond.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     call = F.pandas_udf(respond, f"response {response_schema}, error string")
-    bounded = df.coalesce(concurrency) if concurrency else df
+    bounded = df.repartition(concurrency) if concurrency else df
     answered = bounded.withColumn("_answer", call(F.col(in_col)))
     columns = {out_col: F.col("_answer.response")}
     if error_col:
@@ -80,28 +88,84 @@ def explode_urls(df: DataFrame, col: str, out: str = "url") -> DataFrame:
     return df.select(*others, F.explode(F.col(f"{col}.url")).alias(out))
 
 
-def _pieces(text: str) -> Column:
-    """Lower-case runs of the letters a-z, and perhaps an empty piece at either end."""
-    return F.split(F.lower(F.col(text)), "[^a-z]+")
+def _pieces(text: str | Column) -> Column:
+    """Lower-case runs of letters, and perhaps an empty piece at either end."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.split(F.lower(text), r"[^\p{L}]+")
 
 
-def words(text: str) -> Column:
-    """Lower-case runs of the letters a-z."""
+def words(text: str | Column) -> Column:
+    """Lower-case runs of letters, of any language."""
     return F.filter(_pieces(text), lambda word: word != "")
 
 
+def _by_text(df: DataFrame, text: str, found: DataFrame, default: Column, out: str) -> DataFrame:
+    """``df`` with ``found`` (_key, _value) of each row's text; NULL for a NULL text."""
+    joined = df.join(found, F.md5(F.col(text)) == F.col("_key"), "left")
+    value = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_value"), default))
+    return joined.withColumn(out, value).drop("_key", "_value")
+
+
+def _texts(df: DataFrame, text: str) -> DataFrame:
+    """(_key, _text) of the distinct texts: what is found in a text depends on it alone."""
+    texts = df.select(F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
+    return texts.groupBy(F.md5("_text").alias("_key")).agg(F.min("_text").alias("_text"))
+
+
 def sentiment(
-    df: DataFrame, text: str, lexicon: Mapping[str, float], out: str = "sentiment"
+    df: DataFrame,
+    text: str,
+    lexicon: Mapping[str, float] | DataFrame,
+    out: str = "sentiment",
+    max_inline: int = INLINE_WORDS,
+    max_broadcast: int = BROADCAST_WORDS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Response array<struct<score>>: the mean weight of the lexicon words in the text.
 
-    Read within the row, so texts are never shuffled. No lexicon word, no score.
+    ``lexicon`` maps words to weights, or is a table of (word, weight), of any size; words
+    are lower-cased, empty ones and null weights left out, and a repeated word has its mean
+    weight. Up to ``max_inline`` words are looked up within the row and the texts stay
+    where they are; more are joined to the words of each distinct text, by broadcast up to
+    ``max_broadcast``. No lexicon word, no score.
     """
-    if len(lexicon) > INLINE_WORDS or "" in lexicon:
-        raise ValueError(f"a lexicon may have at most {INLINE_WORDS} words, none of them empty")
+    if isinstance(lexicon, DataFrame):
+        named = lexicon.select(F.lower("word").alias("_word"), F.col("weight").cast("double").alias("_weight"))
+        named = named.filter((F.col("_word") != "") & F.col("_weight").isNotNull())
+        named = materialise(named.groupBy("_word").agg(F.avg("_weight").alias("_weight")), "lexicon")
+        size = named.count()
+        few = {r["_word"]: r["_weight"] for r in named.collect()} if size <= max_inline else {}
+    else:
+        weights: dict[str, list[float]] = {}
+        for word, weight in lexicon.items():
+            if word and weight is not None:
+                weights.setdefault(word.lower(), []).append(float(weight))
+        few = {word: sum(w) / len(w) for word, w in weights.items()}
+        size = len(few)
+        named = df.sparkSession.createDataFrame(list(few.items()), "_word string, _weight double")
+    if size <= max_inline:
+        score = _inline_score(text, few)
+    else:
+        tokens = _texts(df, text).select("_key", F.explode(words("_text")).alias("_word"))
+        if size <= max_broadcast:
+            known = tokens.join(F.broadcast(named), "_word")
+        else:
+            counted = tokens.groupBy("_key", "_word").agg(F.count(F.lit(1)).alias("_n"))
+            known = lookup_join(counted, named, "_word", "inner", min_rows)
+        times = F.col("_n") if size > max_broadcast else F.lit(1)
+        mean = F.sum(F.col("_weight") * times) / F.sum(times)
+        scores = known.groupBy("_key").agg(mean.alias("_value"))
+        df, score = _by_text(df, text, scores, F.lit(None).cast("double"), "_score"), F.col("_score")
+    scored = df.withColumn(out, F.array(F.struct(score.alias("score"))))
+    return scored if size <= max_inline else scored.drop("_score")
+
+
+def _inline_score(text: str, lexicon: Mapping[str, float]) -> Column:
+    if not lexicon:
+        return F.lit(None).cast("double")
     by_weight: dict[float, list[str]] = {}
     for word, value in lexicon.items():
-        by_weight.setdefault(float(value), []).append(word)
+        by_weight.setdefault(value, []).append(word)
 
     def weigh(word: Column) -> Column:
         found = [F.when(word.isin(members), F.lit(value)) for value, members in by_weight.items()]
@@ -114,8 +178,7 @@ def sentiment(
 
     listed = list(lexicon)
     known = F.filter(_pieces(text), lambda word: word.isin(listed))
-    score = F.aggregate(F.transform(known, weigh), start, add, lambda s: F.try_divide(s["total"], s["n"]))
-    return df.withColumn(out, F.array(F.struct(score.alias("score"))))
+    return F.aggregate(F.transform(known, weigh), start, add, lambda s: F.try_divide(s["total"], s["n"]))
 
 
 def first_score(df: DataFrame, col: str = "sentiment", out: str = "sentimentScore") -> DataFrame:
@@ -128,9 +191,25 @@ def _entities(names: Column) -> Column:
     return F.struct(F.struct(listed.alias("celebrities")).alias("result"))
 
 
+def _phrases(found: Column, lengths: Sequence[int]) -> Column:
+    """(pos, phrase) of every run of that many words, in the order of the text, longer runs first."""
+
+    def at(length: int) -> Column:
+        last = F.size(found) - length
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        joined = lambda i: F.array_join(F.slice(found, i + 1, length), " ")
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(-length).alias("rank"), joined(i).alias("phrase")))
+
+    return F.concat(*[at(length) for length in lengths])
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once however often lambdas refer to it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def recognise(
     df: DataFrame,
-    key: str,
     text: str,
     vocabulary: DataFrame,
     name: str = "name",
@@ -139,30 +218,45 @@ def recognise(
     max_broadcast: int = BROADCAST_WORDS,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Vocabulary words of each text, in order of first appearance, as a response struct.
-
-    A vocabulary of at most ``max_inline`` words is checked within the row and the
-    texts stay where they are. A larger one is joined to the words of each text, by
-    broadcast up to ``max_broadcast`` words; ``key`` must then identify the row.
+    """Vocabulary names of each text, in order of first appearance, as a response struct.
+
+    A name is one word or several; it is found where its words follow each other, whatever
+    stands between them and however they are capitalised, and is given in lower case. Of
+    names that begin at the same word the longer comes first. A vocabulary of at most
+    ``max_inline`` names is checked within the row and the texts stay where they are. A
+    larger one is joined to the phrases of each distinct text, by broadcast up to
+    ``max_broadcast`` names. All forms give the same; rows need no key.
     """
-    names = vocabulary.select(F.col(name).alias("_word")).filter(F.col("_word") != "").distinct()
-    names = materialise(names, "vocabulary")
+    joined_name = F.array_join(words(F.col(name)), " ")
+    names = vocabulary.select(joined_name.alias("_phrase")).filter(F.col("_phrase") != "").distinct()
+    names = materialise(names.withColumn("_length", F.size(F.split("_phrase", " "))), "vocabulary")
     size = names.count()
+    lengths = sorted((r["_length"] for r in names.select("_length").distinct().collect()), reverse=True) or [1]
     if size <= max_inline:
-        few = [row["_word"] for row in names.collect()]
-        found = F.array_distinct(F.filter(_pieces(text), lambda word: word.isin(few)))
+        few = [row["_phrase"] for row in names.collect()]
+
+        def held(found: Column) -> Column:
+            known = F.filter(_phrases(found, lengths), lambda p: p["phrase"].isin(few))
+            return F.array_distinct(F.transform(F.array_sort(known), lambda p: p["phrase"]))
+
+        if lengths == [1]:
+            found = F.array_distinct(F.filter(_pieces(text), lambda word: word.isin(few)))
+        else:
+            found = _once(words(text), held)
         return df.withColumn(out, F.when(F.col(text).isNotNull(), _entities(found)))
-    tokens = df.select(key, F.posexplode(words(text)).alias("_pos", "_word"))
+    phrases = _once(words("_text"), lambda found: _phrases(found, lengths))
+    tokens = _texts(df, text).select("_key", F.explode(phrases).alias("_p"))
+    tokens = tokens.select("_key", F.col("_p.phrase").alias("_phrase"), F.struct("_p.pos", "_p.rank").alias("_at"))
+    names = names.select("_phrase")
     if size <= max_broadcast:
-        tokens = tokens.join(F.broadcast(names), "_word")
-    known = tokens.groupBy(key, "_word").agg(F.min("_pos").alias("_pos"))
+        tokens = tokens.join(F.broadcast(names), "_phrase")
+    known = tokens.groupBy("_key", "_phrase").agg(F.min("_at").alias("_at"))
     if size > max_broadcast:
-        known = lookup_join(known, names, "_word", "inner", min_rows)
-    listed = F.sort_array(F.collect_list(F.struct("_pos", "_word")))["_word"]
-    per_row = known.groupBy(key).agg(listed.alias("_names"))
-    joined = df.join(per_row, key, "left")
-    names_or_none = F.coalesce(F.col("_names"), F.array().cast("array<string>"))
-    return joined.withColumn(out, F.when(F.col(text).isNotNull(), _entities(names_or_none))).drop("_names")
+        known = lookup_join(known, names, "_phrase", "inner", min_rows)
+    listed = F.sort_array(F.collect_list(F.struct("_at", "_phrase")))["_phrase"]
+    per_text = known.groupBy("_key").agg(listed.alias("_value"))
+    named = _by_text(df, text, per_text, F.array().cast("array<string>"), "_names")
+    return named.withColumn(out, F.when(F.col(text).isNotNull(), _entities(F.col("_names")))).drop("_names")
 
 
 Step = tuple[str, Callable[[SparkSession, DataFrame | None], DataFrame]]

@@ -44,9 +44,12 @@ def apply_index(
     the rows the index was built on; otherwise they are counted.
     """
     named = index.select(F.col("label").alias(col), F.col("index").alias(out))
-    joined = lookup_join(df, named, col, "left", min_rows, heavy)
+    labelled = df.filter(F.col(col).isNotNull())
+    joined = lookup_join(labelled, named, col, "left", min_rows, heavy)
     unknown = index.agg(F.count(F.lit(1)).cast("int")).scalar()
-    return joined.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
+    known = joined.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
+    # NULL labels meet nothing, and may be many: they stay where they are
+    return known.unionByName(df.filter(F.col(col).isNull()).select(*df.columns, unknown.alias(out)))
 
 
 def index_column(df: DataFrame, col: str, out: str, min_rows: int = HEAVY_ROWS) -> DataFrame:

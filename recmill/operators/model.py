@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
@@ -19,8 +19,7 @@ from recmill.operators.splits import fold_column, user_ratio_split
 from recmill.sources.scratch import checkpoint_root, materialise
 
 SEED = 42
-BLOCK_ROWS = 2_000_000  # ratings one factor block should hold
-MAX_BLOCKS = 2_000
+BLOCKS = 10  # factor blocks unless the caller sets them; about one per two million ratings keeps tasks small
 
 
 def als_explicit(user: str = "user", item: str = "item", rating: str = "rating", **params) -> ALS:
@@ -46,23 +45,29 @@ def one_per_pair(df: DataFrame, als: ALS) -> DataFrame:
     return df.groupBy(user, item).agg(merge(rating).cast("float").alias(rating))
 
 
-def sized(als: ALS, rows: DataFrame) -> ALS:
-    """The estimator with block counts that follow the number of ratings.
+def blocked(als: ALS, blocks: int = BLOCKS) -> ALS:
+    """The estimator with ``blocks`` user and item blocks, unless it has counts of its own.
 
-    MLlib's ten blocks would put a tenth of any table into one task. Block counts
-    the caller has set are kept.
+    The count is a parameter and part of the model, as the seed is: it does not follow
+    the machine or the number of rows, so the same call gives the same model anywhere.
+    Raise it with the data; :func:`run_params` puts it into the run log.
     """
     if als.isSet("numUserBlocks") or als.isSet("numItemBlocks"):
         return als
-    fewest = min(10, rows.sparkSession.sparkContext.defaultParallelism)
-    return als.copy().setNumBlocks(min(MAX_BLOCKS, max(fewest, -(-rows.count() // BLOCK_ROWS))))
+    return als.copy().setNumBlocks(blocks)
 
 
-def fit_als(als: ALS, df: DataFrame, dedupe: bool = False) -> ALSModel:
+def run_params(als: ALS) -> dict[str, object]:
+    """What a run log should hold of an estimator."""
+    names = ("rank", "maxIter", "regParam", "alpha", "implicitPrefs", "seed", "numUserBlocks", "numItemBlocks")
+    return {name: als.getOrDefault(name) for name in names}
+
+
+def fit_als(als: ALS, df: DataFrame, dedupe: bool = False, blocks: int = BLOCKS) -> ALSModel:
     """Fit, with the checkpoint folder in place so that long runs cut their lineage."""
     checkpoint_root(df.sparkSession)
     train = materialise(one_per_pair(df, als), "train") if dedupe else df
-    return sized(als, train).fit(train)
+    return blocked(als, blocks).fit(train)
 
 
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -100,6 +105,7 @@ class IndexedALS:
     model: ALSModel
     user: str
     item: str
+    train: DataFrame | None = None  # the indexed rows it was fitted on, stored
 
     @classmethod
     def fit(
@@ -109,7 +115,8 @@ class IndexedALS:
         indexes = [materialise(label_index(df if labels is None else labels, col), col) for col in (user, item)]
         heavy = [None, None] if labels is not None else [heavy_labels(i, col) for i, col in zip(indexes, (user, item))]
         fitted = cls(*indexes, None, user, item)
-        fitted.model = fit_als(als, fitted._indexed(df, als, heavy), dedupe)
+        fitted.train = materialise(fitted._indexed(df, als, heavy), "indexed")
+        fitted.model = fit_als(als, fitted.train, dedupe)
         return fitted
 
     def _indexed(self, df: DataFrame, names, heavy=(None, None)) -> DataFrame:
@@ -134,6 +141,34 @@ class IndexedALS:
         return cls(read(f"{path}/users"), read(f"{path}/items"), ALSModel.load(f"{path}/model"), user, item)
 
 
+class IndexedALSEstimator(Estimator):
+    """:class:`IndexedALS` as one estimator, for pipelines and grid searches over ``als``'s parameters."""
+
+    def __init__(self, als: ALS, user: str, item: str, labels: DataFrame | None = None, dedupe: bool = False):
+        super().__init__()
+        self.als, self.user, self.item, self.labels, self.dedupe = als, user, item, labels, dedupe
+
+    def copy(self, extra=None) -> IndexedALSEstimator:
+        return IndexedALSEstimator(self.als.copy(extra or {}), self.user, self.item, self.labels, self.dedupe)
+
+    def _fit(self, dataset: DataFrame) -> IndexedALSModel:
+        return IndexedALSModel(IndexedALS.fit(dataset, self.als, self.user, self.item, self.labels, self.dedupe))
+
+
+class IndexedALSModel(Model):
+    """A fitted :class:`IndexedALS` as a transformer."""
+
+    def __init__(self, fitted: IndexedALS):
+        super().__init__()
+        self.fitted = fitted
+
+    def copy(self, extra=None) -> IndexedALSModel:
+        return IndexedALSModel(self.fitted)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.fitted.transform(dataset)
+
+
 def save_model(model: ALSModel | PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -155,7 +190,7 @@ def grid_search_cv(
     """Cross-validated grid search; each row's fold follows from its key."""
     checkpoint_root(df.sparkSession)
     search = CrossValidator(
-        estimator=sized(estimator, df) if isinstance(estimator, ALS) else estimator,
+        estimator=blocked(estimator) if isinstance(estimator, ALS) else estimator,
         estimatorParamMaps=list(grid),
         evaluator=evaluator,
         numFolds=k,
@@ -165,29 +200,36 @@ def grid_search_cv(
     return search.fit(fold_column(df, key, k, seed, "_fold"))
 
 
-def _grid_rows(grid: Sequence[Mapping]) -> list[dict[str, float]]:
-    return [{param.name: value for param, value in point.items()} for point in grid]
+METRICS_SCHEMA = "run_id int, param string, param_value string, metric string, value double"
+
+
+def _metric_rows(run: int, point: Mapping, found: Mapping[str, float]) -> list[tuple]:
+    """A row for every parameter and metric of a run; values may be texts."""
+    return [
+        (run, param.name, str(setting), metric, None if value is None else float(value))
+        for param, setting in point.items()
+        for metric, value in found.items()
+    ]
 
 
 def grid_metrics(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
-    """(run_id, param, param_value, metric, value): the fold average per grid point."""
+    """(run_id, param, param_value, metric, value): the fold average, once per parameter of a grid point."""
     metric = cv_model.getEvaluator().getMetricName()
-    rows = [
-        (i, name, float(value), metric, float(cv_model.avgMetrics[i]))
-        for i, point in enumerate(_grid_rows(cv_model.getEstimatorParamMaps()))
-        for name, value in point.items()
-    ]
-    return spark.createDataFrame(rows, "run_id int, param string, param_value double, metric string, value double")
+    points = zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)
+    rows = [row for i, (point, value) in enumerate(points) for row in _metric_rows(i, point, {metric: value})]
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
 @dataclass
 class RankingSearch:
     """Outcome of :func:`grid_search_ranking`."""
 
-    metrics: DataFrame  # (run_id, param, param_value, metric, value), every metric of every point
+    metrics: DataFrame  # (run_id, param, param_value, metric, value), every metric and parameter of every point
     validation: list[float]  # the chosen metric per grid point
     best: int
     model: ALSModel  # refitted on all rows with the best point
+    train: DataFrame
+    valid: DataFrame
 
 
 def grid_search_ranking(
@@ -221,13 +263,10 @@ def grid_search_ranking(
         )
         found = {r["metric"]: r["value"] for r in ranking_metrics(frame, k, RANKING_METRICS, scored).collect()}
         validation.append(found[metric])
-        (name, value), *_ = _grid_rows([point])[0].items()
-        rows += [(i, name, float(value), m, v) for m, v in found.items()]
+        rows += _metric_rows(i, point, found)
     best = max(range(len(validation)), key=lambda i: (validation[i] is not None, validation[i] or 0.0, -i))
-    schema = "run_id int, param string, param_value double, metric string, value double"
-    return RankingSearch(
-        spark.createDataFrame(rows, schema), validation, best, fit_als(als.copy(grid[best]), df, dedupe)
-    )
+    model = fit_als(als.copy(grid[best]), df, dedupe)
+    return RankingSearch(spark.createDataFrame(rows, METRICS_SCHEMA), validation, best, model, train, valid)
 
 
 def log_metrics(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALSModel
@@ -12,11 +10,11 @@ from pyspark.sql import functions as F
 
 from recmill.functions.columns import RECOMMENDATIONS_TYPE
 from recmill.functions.hashing import digest, draw, unit_draw
-from recmill.operators.prep import active_items, append_all
+from recmill.operators.prep import active_items
 from recmill.operators.skew import HEAVY_ROWS, rank_in_group
 from recmill.sources.scratch import materialise
 
-CHUNK_BYTES = 64 * 1024 * 1024  # most item factors broadcast at a time
+BLOCK_ROWS = 65_536  # most users, and most items, that meet in one task at a time
 _BLOCK_USERS = 512
 _BLOCK_ITEMS = 8192
 
@@ -79,9 +77,9 @@ def candidate_counts(
     return counts.withColumn("n_pairs", F.col("n_users") * F.col("n_items"))
 
 
-def recommend_all(model: ALSModel, k: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def recommend_all(model: ALSModel, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top-k items for every user the model knows."""
-    return _best_items(model.userFactors, model.itemFactors, k, model.getUserCol(), chunk_bytes)
+    return _best_items(model.userFactors, model.itemFactors, k, model.getUserCol(), block_rows)
 
 
 def _first_k(
@@ -126,27 +124,28 @@ def _best_items_of(
     return ids, best
 
 
-def _block_scorer(block, k: int, user: str):
-    """A batch function scoring user factors against the broadcast item factors."""
-    entry = pa.struct([("itemId", pa.int32()), ("rating", pa.float32())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, item_factors = block.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, _BLOCK_USERS):
-                part = batch.slice(start, _BLOCK_USERS)
-                users = part.column("features").flatten().to_numpy(zero_copy_only=False)
-                ids, best = _best_items_of(users.reshape(part.num_rows, -1), item_ids, item_factors, k)
-                lists = pa.ListArray.from_arrays(
-                    np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32),
-                    pa.StructArray.from_arrays(
-                        [pa.array(ids.ravel(), pa.int32()), pa.array(best.ravel(), pa.float32())],
-                        fields=list(entry),
-                    ),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), lists], names=[user, "recommendations"]
-                )
+def _block_scorer(k: int, user: str):
+    """Scores the users of a block pair against its items, some users at a time."""
+
+    def factors(rows: pa.Table) -> np.ndarray:
+        flat = rows.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return flat.reshape(rows.num_rows, -1)
+
+    def score(block: pa.Table) -> pa.Table:
+        is_user = block.column("is_user").to_numpy()
+        asked, offered = block.filter(pa.array(is_user)), block.filter(pa.array(~is_user))
+        item_ids, ids_of, lists_of = offered.column("id").to_numpy(), [], []
+        if asked.num_rows and offered.num_rows:
+            users, items, names = factors(asked), factors(offered), asked.column("id").to_numpy()
+            for start in range(0, len(users), _BLOCK_USERS):
+                ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k)
+                entry = [pa.array(ids.ravel(), pa.int64()), pa.array(best.ravel().astype(float), pa.float64())]
+                ends = np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32)
+                ids_of.append(pa.array(names[start : start + _BLOCK_USERS], pa.int32()))
+                lists_of.append(pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(entry, ["itemId", "rating"])))
+        entries = pa.list_(pa.struct([("itemId", pa.int64()), ("rating", pa.float64())]))
+        columns = [pa.chunked_array(ids_of, pa.int32()), pa.chunked_array(lists_of, entries)]
+        return pa.Table.from_arrays(columns, [user, "recommendations"])
 
     return score
 
@@ -163,37 +162,30 @@ def _merged(lists: DataFrame, user: str, k: int) -> DataFrame:
     return lists.groupBy(user).agg(plain.cast(RECOMMENDATIONS_TYPE).alias("recommendations"))
 
 
-def _best_items(
-    users: DataFrame, items: DataFrame, k: int, user: str, chunk_bytes: int
-) -> DataFrame:
+def _best_items(users: DataFrame, items: DataFrame, k: int, user: str, block_rows: int) -> DataFrame:
     """Top-k of ``items`` for each of ``users``, both (id, features).
 
-    User-item pairs are never rows: item factors are broadcast in chunks of about
-    ``chunk_bytes``, each user's factors are multiplied with a chunk as one matrix
-    product, and only k entries per user and chunk leave the task.
+    User-item pairs are never rows, and no factors visit the driver: both sides are dealt
+    into blocks of about ``block_rows``, every user block meets every item block in one
+    task as a matrix product, and only k entries per user and item block leave it.
     """
-    spark = users.sparkSession
-    schema = f"{user} int, recommendations {RECOMMENDATIONS_TYPE}"
-    items = items.persist()
-    size = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
-    lists = []
-    if size["n"]:
-        chunks = -(-size["n"] * 4 * (size["rank"] + 1) // chunk_bytes)
-        for chunk in range(chunks):
-            part = items.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == chunk).toArrow()
-            if part.num_rows:
-                block = spark.sparkContext.broadcast(_factor_block(part))
-                lists.append(users.mapInArrow(_block_scorer(block, k, user), schema))
-    items.unpersist()
-    if not lists:
-        return spark.createDataFrame([], schema)
-    return lists[0] if len(lists) == 1 else _merged(append_all(*lists), user, k)
-
-
-def _factor_block(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and factor rows of a chunk."""
-    factors = part.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return part.column("id").to_numpy().astype(np.int32), factors.reshape(part.num_rows, -1)
+    n_users, n_items = (side.count() for side in (users, items))
+    user_blocks, item_blocks = (max(1, -(-n // block_rows)) for n in (n_users, n_items))
+
+    def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int, is_user: bool) -> DataFrame:
+        return side.select(
+            F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
+            F.lit(is_user).alias("is_user"),
+            "id",
+            "features",
+        )
+
+    asked = dealt(users, "_u", user_blocks, "_i", item_blocks, True)
+    offered = dealt(items, "_i", item_blocks, "_u", user_blocks, False)
+    blocks = asked.unionByName(offered).groupBy("_u", "_i")
+    lists = blocks.applyInArrow(_block_scorer(k, user), f"{user} int, recommendations {RECOMMENDATIONS_TYPE}")
+    return lists if item_blocks == 1 else _merged(lists, user, k)
 
 
 def recommend_active(
@@ -204,7 +196,7 @@ def recommend_active(
     user: str = "user",
     item: str = "item",
     ts: str = "ts",
-    chunk_bytes: int = CHUNK_BYTES,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Top-k of the items active strictly after ``t``, for every user of the history.
 
@@ -215,7 +207,7 @@ def recommend_active(
     known = ratings.select(F.col(user).cast("int").alias("id")).distinct()
     items = model.itemFactors.join(active, "id", "left_semi")
     users = model.userFactors.join(known, "id", "left_semi")
-    return _best_items(users, items, k, user, chunk_bytes)
+    return _best_items(users, items, k, user, block_rows)
 
 
 def inject_cold(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +33,20 @@ def upsert_serving(table: DataFrame, new: DataFrame, key: str = "id") -> DataFra
     return kept.unionByName(new)
 
 
-def _layers(spark: SparkSession, path: str) -> dict[int, str]:
-    """Finished layers under ``path`` by version, from the last full one on."""
+def _finished(spark: SparkSession, path: str) -> dict[int, tuple[str, str]]:
+    """(folder, token) of every finished layer under ``path`` by version."""
     done = {}
     for name in child_names(spark, path):
-        kind, _, number = name.partition("-")
-        if kind in (_FULL, _DELTA) and is_complete(spark, f"{path}/{name}"):
-            done[int(number)] = name
+        kind, _, rest = name.partition("-")
+        number, _, token = rest.partition("-")
+        if kind in (_FULL, _DELTA) and number.isdigit() and is_complete(spark, f"{path}/{name}"):
+            done[int(number)] = (name, token)
+    return done
+
+
+def _layers(spark: SparkSession, path: str) -> dict[int, str]:
+    """Finished layers under ``path`` by version, from the last full one on."""
+    done = {version: name for version, (name, _) in _finished(spark, path).items()}
     full = [version for version, name in done.items() if name.startswith(_FULL)]
     return {version: done[version] for version in sorted(done) if version >= max(full, default=0)}
 
@@ -48,11 +56,13 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def read_serving(
-    spark: SparkSession, path: str, key: str = "id", ids: Sequence[str] | None = None
+    spark: SparkSession, path: str, key: str = "id", ids: Sequence[str] | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
     """The table as of its newest version: the last full layer with later deltas over it.
 
-    ``ids`` reads a few documents only; the predicate then reaches every layer's scan.
+    Of several rows of a key the last by the ``order`` columns counts, whichever version
+    brought it; then, and without ``order``, the one of the newest version. ``ids`` reads
+    a few documents only; the predicate then reaches every layer's scan.
     """
     layers = []
     for version, name in _layers(spark, path).items():
@@ -62,6 +72,8 @@ def read_serving(
     first, *later = layers
     if not later:
         return first.drop("_version")
+    if order:
+        return latest_per_key(append_all(*layers), key, [*order, "_version"]).drop("_version")
     newest = later[0] if len(later) == 1 else latest_per_key(append_all(*later), key, ["_version"])
     return upsert_serving(first.drop("_version"), newest.drop("_version"), key)
 
@@ -71,27 +83,36 @@ def publish_upsert(
     path: str,
     new: DataFrame,
     key: str = "id",
-    version: int | None = None,
+    token: str | None = None,
+    order: Sequence[str] = (),
     full_every: int = 10,
 ) -> int:
-    """Upsert ``new`` into the table at ``path`` as a new version, and return its number.
+    """Upsert ``new`` into the table at ``path`` as its next version, and return the number.
 
     A version holds only its own rows, so a small batch costs little; every
     ``full_every``-th one holds the whole table again, which keeps reads short. It
     counts once its folder is complete, and no folder being read is overwritten.
-    Naming the version makes a repeated call with the same number do nothing.
+    ``token`` names the publish: a repeated call with a token that is already published
+    does nothing and returns its version. Versions are numbered on whatever the tokens
+    are, so several sources may share a table. With ``order``, an older row of a key
+    never replaces a newer one; pass the same columns to :func:`read_serving`.
     Sorting by key lets a point lookup skip all but a few row groups.
     """
-    layers = _layers(spark, path)
-    last = max(layers, default=None)
-    version = version if version is not None else (0 if last is None else last + 1)
-    if last is not None and version <= last:
-        return last
+    mark = hashlib.md5(token.encode()).hexdigest() if token is not None else ""
+    finished = _finished(spark, path)
+    for version, (_, published) in finished.items():
+        if mark and published == mark:
+            return version
+    layers, version = _layers(spark, path), max(finished, default=-1) + 1
     kind, rows = _DELTA, new
     if not layers or len(layers) >= full_every:
         kind = _FULL
-        rows = upsert_serving(read_serving(spark, path, key), new, key) if layers else new
-    rows.orderBy(key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{kind}-{version:012d}")
+        if layers and order:
+            rows = latest_per_key(append_all(read_serving(spark, path, key, order=order), new), key, order)
+        elif layers:
+            rows = upsert_serving(read_serving(spark, path, key), new, key)
+    name = f"{kind}-{version:012d}" + (f"-{mark}" if mark else "")
+    rows.orderBy(key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
     return version
 
 

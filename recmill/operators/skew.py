@@ -1,10 +1,10 @@
 """Per-group ranks, counts and lookups that stay even when one key is huge.
 
-A key is *heavy* when it holds more rows than one task should take, which is more
-than ``HEAVY_ROWS`` and more than one row in ``HEAVY_LIMIT``; so there are fewer than
-``HEAVY_LIMIT`` of them at any data size, and their list is safe to broadcast. Heavy
-keys are looked for in a sample of the key column, so finding them costs a scan and
-next to no shuffle. They only choose the route a row takes: every row is still
+A key is *heavy* when it holds more than ``HEAVY_ROWS`` rows, however large the table
+is. Up to ``HEAVY_LIMIT`` of them are listed, so the list is safe to broadcast; where
+more are found, all rows take the route of heavy ones. Heavy keys are looked for in a
+sample of the key column, so finding them costs a scan and next to no shuffle; store a
+costly input first. They only choose the route a row takes: every row is still
 processed, and the result does not depend on what the sample holds. Without heavy
 keys every operator here is the plain one-shuffle form.
 """
@@ -33,14 +33,12 @@ def heavy_keys(
     keys: Sequence[str],
     min_rows: int = HEAVY_ROWS,
     limit: int = HEAVY_LIMIT,
-    relative: bool = True,
 ) -> list[Row]:
     """The largest groups with more than ``min_rows`` rows, at most ``limit`` of them.
 
     The sample is sized to see a group of ``min_rows`` rows ``SEEN_ROWS`` times, and
     the threshold leaves room for chance; a small ``min_rows`` counts every row.
-    ``_rows`` is the (estimated) size. With ``relative=False`` the size alone counts,
-    whatever share of the table it is. No ``keys`` means one group over all rows.
+    ``_rows`` is the (estimated) size. No ``keys`` means one group over all rows.
     """
     if not keys:
         rows = df.count()
@@ -50,11 +48,7 @@ def heavy_keys(
     threshold = min_rows if fraction == 1.0 else SEEN_ROWS * CERTAINTY
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > threshold)
     estimate = F.ceil(F.col("_rows") / fraction).alias("_rows")
-    largest = counts.orderBy(F.desc("_rows")).limit(limit).select(*keys, estimate).collect()
-    if largest and relative:
-        share = df.count() / HEAVY_LIMIT
-        largest = [row for row in largest if row["_rows"] > share]
-    return largest
+    return counts.orderBy(F.desc("_rows")).limit(limit).select(*keys, estimate).collect()
 
 
 def _heavy_table(df: DataFrame, keys: Sequence[str], heavy: Sequence[Row]) -> DataFrame:
@@ -87,14 +81,16 @@ def _sorted_rank(
     out: str,
     counted: str | None,
     count_out: str,
+    few_keys: bool = True,
 ) -> DataFrame:
     """Row number within ``keys`` by ``order``, with no group held by one task.
 
     One range sort over (keys, order) spreads a group over as many partitions as
     it needs. A row's rank is its place inside its partition plus the rows of the
-    group in earlier partitions. ``df`` holds heavy keys only, so there are at most
-    ``HEAVY_LIMIT`` keys plus one boundary per partition among those offsets, which
-    makes them safe to broadcast. ``order`` must be total within a group.
+    group in earlier partitions. Where ``df`` holds listed heavy keys only, there are at
+    most ``HEAVY_LIMIT`` keys plus one boundary per partition among those offsets, which
+    makes them safe to broadcast; otherwise they are joined by partition and key.
+    ``order`` must be total within a group.
     """
     keys = list(keys)
     ordered = df.orderBy(*keys, *order).withColumn("_id", F.monotonically_increasing_id())
@@ -116,7 +112,7 @@ def _sorted_rank(
     condition = part == F.col("_k_part")
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    ranked = ordered.join(F.broadcast(offsets), condition, "inner")
+    ranked = ordered.join(F.broadcast(offsets) if few_keys else offsets, condition, "inner")
     counts = [F.col("_counted").alias(count_out)] if counted is not None else []
     return ranked.select(*df.columns, (F.col("_id") + F.col("_shift") + 1).alias(out), *counts)
 
@@ -136,7 +132,9 @@ def rank_in_group(
     """
     keys = list(keys)
     group = keys or [F.lit(0)]
-    heavy = heavy_keys(df, keys, min_rows if keys else min(min_rows, GLOBAL_ROWS))
+    heavy = heavy_keys(df, keys, min_rows if keys else min(min_rows, GLOBAL_ROWS), HEAVY_LIMIT)
+    if len(heavy) >= HEAVY_LIMIT:  # a full list may leave heavy keys out: then all rows are ranked by sorting
+        return _sorted_rank(df, keys, order, out, counted, count_out, few_keys=False)
     hot, cold = split_heavy(df, keys, heavy) if heavy else (None, df)
 
     by_group = Window.partitionBy(*group)
@@ -156,16 +154,19 @@ def count_in_group(
 ) -> DataFrame:
     """Add ``count(counted)`` of the row's group."""
     keys = list(keys)
-    heavy = heavy_keys(df, keys, min_rows)
-    hot, cold = split_heavy(df, keys, heavy) if heavy else (None, df)
+    heavy = heavy_keys(df, keys, min_rows, HEAVY_LIMIT)
+    full = len(heavy) >= HEAVY_LIMIT  # the list may leave heavy keys out: then all rows meet their counts by join
+    hot, cold = (df, df.limit(0)) if full else split_heavy(df, keys, heavy) if heavy else (None, df)
     plain = cold.withColumn(out, F.count(counted).over(Window.partitionBy(*keys)))
     if hot is None:
         return plain
     counts = hot.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(counted).alias(out))
+    counts = materialise(counts, "counts") if full else F.broadcast(counts)
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return hot.join(F.broadcast(counts), condition, "inner").select(*df.columns, out).unionByName(plain)
+    found = hot.join(counts, condition, "inner").select(*df.columns, out)
+    return found if full else found.unionByName(plain)
 
 
 def lookup_join(

@@ -21,6 +21,14 @@ def with_group_count(
     return count_in_group(df.filter(F.col(key).isNotNull()), [key], counted, out, min_rows)
 
 
+def _total(df: DataFrame, first: Sequence[str]) -> list[str]:
+    """``first`` and every other column that can be ordered: only equal rows tie on all of them."""
+    def orderable(kind) -> bool:
+        return "map<" not in kind.simpleString() and kind.simpleString() not in ("variant", "void")
+
+    return [*first, *(f.name for f in df.schema if f.name not in first and orderable(f.dataType))]
+
+
 def _newest_first(ts: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(ts).desc(), *[F.col(c).asc() for c in tiebreak]]
 
@@ -73,11 +81,12 @@ def chrono_side(
 
     The newest ``ratio`` of every user's (or item's) rows go left; with
     ``newest_left=False`` the oldest do. Rows of a key with no timed row are in
-    neither side and are dropped. Write the labelled table once when both sides
-    are needed: the split is then computed once.
+    neither side and are dropped. ``tiebreak`` should name a row within its key; without
+    it all columns decide, so that only equal rows can change places. Write the labelled
+    table once when both sides are needed: the split is then computed once.
     """
     key = col_user if filter_by == "user" else col_item
-    ties = list(tiebreak) or [col_item if filter_by == "user" else col_user]
+    ties = list(tiebreak) or _total(df, [col_item if filter_by == "user" else col_user])
     if newest_left:
         share = recency_fraction(df, key, col_timestamp, ties, "_share", min_rows)
     else:
@@ -165,10 +174,12 @@ def user_ratio_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation), drawing ``ratio`` of every user's rows for training.
 
-    ``key`` names a row within the whole table; by default user and item.
+    ``key`` names a row within the whole table; by default user, item and all other columns
+    that can be ordered do, so that only equal rows can change places.
     """
-    key = list(key or [user, item])
-    keyed = df.filter(F.col(user).isNotNull()).withColumn("_draw", digest(key, seed))
+    named = list(key or [user, item])
+    key = list(key or _total(df, named))
+    keyed = df.filter(F.col(user).isNotNull()).withColumn("_draw", digest(named, seed))
     order = [F.col("_draw"), *[F.col(c) for c in key]]
     ranked = rank_in_group(keyed, [user], order, "_rank", user, "_count", min_rows=min_rows)
     train = F.col("_rank") / F.col("_count") <= ratio

@@ -17,11 +17,15 @@ from recmill.operators.indexing import index_column
 from recmill.operators.model import (
     als_explicit,
     als_implicit,
+    blocked,
     fit_als,
     grid_metrics,
     grid_search_cv,
+    log_metrics,
     one_per_pair,
     recommend_all,
+    run_params,
+    save_model,
     score,
 )
 from recmill.operators.prep import clean_activity, to_ratings
@@ -29,6 +33,7 @@ from recmill.operators.recommend import recommend_active, recommend_active_popul
 from recmill.operators.serving import publish_upsert, serving_documents
 from recmill.operators.splits import chrono_split, hash_split
 from recmill.sources.scratch import materialise
+from recmill.sources.steps import write_step
 
 # The regularisation grid.
 REG_PARAMS = (1.0, 0.1, 0.01, 0.001)
@@ -39,6 +44,9 @@ class ExplicitRun:
     grid: DataFrame
     rmse: float
     version: int
+    train: DataFrame
+    test: DataFrame
+    runs: DataFrame | None = None
 
 
 def explicit_workflow(
@@ -48,11 +56,13 @@ def explicit_workflow(
     k: int = 10,
     reg_params: Sequence[float] = REG_PARAMS,
     dedupe: bool = False,
+    store: str | None = None,
 ) -> ExplicitRun:
     """Movie ratings: index, split, search the regularisation, judge, publish top-k.
 
     ``ratings`` has (user, item, rating, ts) with any label type; the indexes are
-    built on all rows, before the split.
+    built on all rows, before the split. Under ``store`` both splits, the best model and
+    the log of all runs are kept (train, test, model, runs).
     """
     spark = ratings.sparkSession
     indexed = ratings
@@ -60,7 +70,10 @@ def explicit_workflow(
         indexed = index_column(indexed, col, f"{col}_index")
     indexed = materialise(indexed, "indexed")
     train, test = hash_split(indexed, key)
-    als = als_explicit("user_index", "item_index", "rating")
+    if store is not None:
+        train, test = write_step(train, f"{store}/train"), write_step(test, f"{store}/test")
+    sides = train, test
+    als = blocked(als_explicit("user_index", "item_index", "rating"))
     grid = ParamGridBuilder().addGrid(als.regParam, list(reg_params)).build()
     evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
     if dedupe:
@@ -69,7 +82,13 @@ def explicit_workflow(
     error = rmse(score(search.bestModel, test)).first()["rmse"]
     documents = serving_documents(recommend_all(search.bestModel, k), "user_index")
     version = publish_upsert(spark, serving_path, documents)
-    return ExplicitRun(grid_metrics(spark, search), error, version)
+    runs = None
+    if store is not None:
+        save_model(search.bestModel, f"{store}/model")
+        for i, (point, value) in enumerate(zip(grid, search.avgMetrics)):
+            log_metrics(spark, f"run-{i}", run_params(als.copy(point)), {"rmse": value}, f"{store}/runs")
+        runs = spark.read.parquet(f"{store}/runs")
+    return ExplicitRun(grid_metrics(spark, search), error, version, *sides, runs)
 
 
 @dataclass
@@ -131,8 +150,8 @@ def enrichment_steps(
     """
     return [
         ("url", lambda spark, _: explode_urls(search(spark), "images")),
-        ("celeb", lambda _, df: first_entity(entities(df), "celebs.result.celebrities", "firstCeleb")),
-        ("text", lambda _, df: join_lines(ocr(df), "ocr.recognitionResult.lines", "text")),
+        ("celeb", lambda _, df: first_entity(entities(df), "celebs.result.celebrities", "firstCeleb").drop("celebs")),
+        ("text", lambda _, df: join_lines(ocr(df), "ocr.recognitionResult.lines", "text").drop("ocr")),
         ("sentiment", lambda _, df: first_score(sentiment(df, "text", lexicon))),
         ("output", lambda _, df: select_columns(df, ["url", "firstCeleb", "text", "sentimentScore"])),
     ]

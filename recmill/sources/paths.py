@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _path(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a job finished writing ``path``."""
-    marker, fs = _path(spark, f"{path.rstrip('/')}/_SUCCESS")
+    marker, fs = located(spark, f"{path.rstrip('/')}/_SUCCESS")
     return fs.exists(marker)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
-    root, fs = _path(spark, path)
+    root, fs = located(spark, path)
     if not fs.exists(root):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(root))

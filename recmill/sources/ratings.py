@@ -47,3 +47,10 @@ def ratings_from_pandas(spark: SparkSession, pdf: pd.DataFrame) -> DataFrame:
 def page_offsets(spark: SparkSession, pages: int = 100, per_page: int = 10) -> DataFrame:
     """One request row per result page: 0, per_page, 2 * per_page, ..."""
     return spark.range(pages).select((F.col("id") * per_page).alias("offset"))
+
+
+def page_offsets_by(df: DataFrame, key: str, per_page: int = 10) -> DataFrame:
+    """(key, offset): the request rows that cover each key's rows, ``per_page`` at a time."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(per_page).cast("long"))
+    return sizes.select(key, F.explode(starts).alias("offset"))

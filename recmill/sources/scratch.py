@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recmill.sources.paths import located
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -31,9 +35,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder; nothing is created yet."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside the block when it ends.
+
+    Finish inside the block whatever reads them: a result that is still lazy afterwards
+    has lost its inputs, so write it or collect it first.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
+        for path in made:
+            hadoop_path, fs = located(spark, path)
+            fs.delete(hadoop_path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -64,13 +64,17 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert each batch's last row per key into the serving table.
 
-    The batch id is the version, so a batch replayed after a failure is published
-    once.
+    Each batch is published under the query's id and its number, so a batch replayed after
+    a failure is published once, and a new query, or a table that others publish to, loses
+    nothing. ``order`` decides between rows of a key across batches as well: read the table
+    with the same columns.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]  # holds the query's unique id
         latest = latest_per_key(batch, key, order)
-        publish_upsert(batch.sparkSession, table_path, latest, key, version=batch_id)
+        publish_upsert(spark, table_path, latest, key, token=f"{query}/{batch_id}", order=order)
 
     writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

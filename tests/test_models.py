@@ -40,10 +40,10 @@ def best_by_hand(model, ratings, t, k):
     return best
 
 
-@pytest.mark.parametrize("k,chunk_bytes", [(5, R.CHUNK_BYTES), (5, 200), (1000, 600)])
-def test_active_subset(model, ratings, k, chunk_bytes):
+@pytest.mark.parametrize("k,block_rows", [(5, R.BLOCK_ROWS), (5, 4), (1000, 13)])
+def test_active_subset(model, ratings, k, block_rows):
     expected = best_by_hand(model, ratings, 985, k)
-    found = R.recommend_active(model, ratings, 985, k, chunk_bytes=chunk_bytes).collect()
+    found = R.recommend_active(model, ratings, 985, k, block_rows=block_rows).collect()
     assert {r["user"]: [e["itemId"] for e in r["recommendations"]] for r in found} == expected
     for row in found:
         scores = [e["rating"] for e in row["recommendations"]]
@@ -86,9 +86,9 @@ def test_unknown_pairs_are_dropped(spark, model):
     assert L.score(model, pairs).count() == 1
 
 
-@pytest.mark.parametrize("chunk_bytes", [R.CHUNK_BYTES, 500])
-def test_recommend_all_is_spark_s(model, chunk_bytes):
-    ours = {r["user"]: [e["rating"] for e in r["recommendations"]] for r in R.recommend_all(model, 7, chunk_bytes).collect()}
+@pytest.mark.parametrize("block_rows", [R.BLOCK_ROWS, 11])
+def test_recommend_all_is_spark_s(model, block_rows):
+    ours = {r["user"]: [e["rating"] for e in r["recommendations"]] for r in R.recommend_all(model, 7, block_rows).collect()}
     for row in model.recommendForAllUsers(7).collect():
         assert ours.pop(row["user"]) == pytest.approx([e["rating"] for e in row["recommendations"]], abs=1e-6)
     assert not ours
@@ -101,7 +101,7 @@ def test_ranking_adapter(ratings):
 
 def test_recommend_all(model):
     recs = R.recommend_all(model, 10)
-    assert recs.schema["recommendations"].dataType.simpleString() == "array<struct<itemId:int,rating:float>>"
+    assert recs.schema["recommendations"].dataType.simpleString() == "array<struct<itemId:bigint,rating:double>>"
     assert {len(r["recommendations"]) for r in recs.collect()} == {10}
 
 
@@ -129,11 +129,50 @@ def test_model_save_overwrites(model, ratings, tmp_path):
     assert first == second
 
 
-def test_blocks_follow_the_rows(spark, monkeypatch):
-    monkeypatch.setattr(L, "BLOCK_ROWS", 100)
-    assert L.sized(L.als_explicit(), spark.range(3000)).getNumUserBlocks() == 30
-    assert L.sized(L.als_explicit(), spark.range(10)).getNumItemBlocks() == 8
-    assert L.sized(L.als_explicit(numUserBlocks=3), spark.range(3000)).getNumUserBlocks() == 3
+def test_blocks_are_a_parameter(spark):
+    """The same on any machine and at any number of rows, unless the caller says otherwise."""
+    assert L.blocked(L.als_explicit()).getNumUserBlocks() == L.BLOCKS == L.blocked(L.als_implicit()).getNumItemBlocks()
+    assert L.blocked(L.als_explicit(), 40).getNumItemBlocks() == 40
+    assert L.blocked(L.als_explicit(numUserBlocks=3), 40).getNumUserBlocks() == 3
+    assert L.run_params(L.blocked(L.als_explicit(), 40))["numUserBlocks"] == 40
+    import inspect
+
+    source = inspect.getsource(L)
+    assert "defaultParallelism" not in source and ".count()" not in inspect.getsource(L.fit_als)
+
+
+@pytest.mark.parametrize("cores", [1, 3])
+def test_model_does_not_follow_the_partitioning(spark, ratings, model, cores):
+    pairs = ratings.groupBy("user", "item").agg(F.sum("rating").cast("float").alias("rating"))
+    other = L.fit_als(L.als_implicit(rank=4, maxIter=3), pairs.orderBy("user", "item").coalesce(cores))
+    ours, theirs = ({r["id"]: r["features"] for r in m.itemFactors.collect()} for m in (model, other))
+    assert ours.keys() == theirs.keys()
+    assert all(np.allclose(ours[i], theirs[i], atol=1e-4) for i in ours)
+
+
+def test_top_k_stays_off_the_driver(model):
+    import inspect
+
+    source = inspect.getsource(R)
+    assert "toArrow" not in source and "sparkContext.broadcast" not in source
+    text = R.recommend_all(model, 5, block_rows=7)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FlatMapGroupsInArrow") == 1 and "NestedLoop" not in text and "Cartesian" not in text
+    assert text.count("Scan") <= 2  # users once, items once
+
+
+def test_indexed_model_in_a_grid_search(spark, ratings):
+    named = ratings.select("id", F.concat(F.lit("u"), "user").alias("user"), F.concat(F.lit("i"), "item").alias("item"), "rating")
+    als = L.als_explicit("user_index", "item_index", rank=2, maxIter=1)
+    estimator = L.IndexedALSEstimator(als, "user", "item", labels=named, dedupe=True)
+    grid = [{als.regParam: 10.0, als.rank: 2}, {als.regParam: 0.1, als.rank: 3}]
+    judge = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    search = L.grid_search_cv(named, estimator, grid, judge, ["id"], k=2)
+    rows = L.grid_metrics(spark, search).collect()
+    assert sorted((r["run_id"], r["param"], r["param_value"]) for r in rows) == [
+        (0, "rank", "2"), (0, "regParam", "10.0"), (1, "rank", "3"), (1, "regParam", "0.1")
+    ]
+    assert search.avgMetrics[0] != search.avgMetrics[1]
+    assert search.bestModel.transform(named).count() == 4000
 
 
 def test_cross_validated_grid(spark, ratings):
@@ -141,7 +180,7 @@ def test_cross_validated_grid(spark, ratings):
     grid = ParamGridBuilder().addGrid(als.regParam, [1.0, 0.1]).build()
     judge = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
     rows = L.grid_metrics(spark, L.grid_search_cv(ratings, als, grid, judge, ["id"])).collect()
-    assert [(r["param"], r["param_value"], r["metric"]) for r in rows] == [("regParam", 1.0, "rmse"), ("regParam", 0.1, "rmse")]
+    assert [(r["param"], r["param_value"], r["metric"]) for r in rows] == [("regParam", "1.0", "rmse"), ("regParam", "0.1", "rmse")]
 
 
 def test_ranking_grid(spark):
@@ -152,9 +191,21 @@ def test_ranking_grid(spark):
     rows = search.metrics.collect()
     assert {r["metric"] for r in rows} == {"ndcgAt", "map", "recallAtK", "mrr", "fcp"} and len(rows) == 10
     assert search.validation[search.best] == max(search.validation)
+    assert search.train.count() == 24 and search.valid.count() == 8
     assert R.recommend_all(search.model, 3).count() == 4
 
 
+def test_ranking_grid_logs_every_parameter(spark):
+    typed = spark.createDataFrame(typed_rows(), "user int, item int, rating int, notTime int")
+    als = L.als_explicit(rank=3, maxIter=1)
+    grid = [{als.maxIter: 1, als.regParam: r, als.intermediateStorageLevel: "MEMORY_ONLY"} for r in (1.0, 0.1)]
+    rows = L.grid_search_ranking(typed, als, grid).metrics.collect()
+    assert len(rows) == 2 * 3 * 5
+    assert {(r["param"], r["param_value"]) for r in rows} == {
+        ("maxIter", "1"), ("regParam", "1.0"), ("regParam", "0.1"), ("intermediateStorageLevel", "MEMORY_ONLY")
+    }
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     for reg, error in ((1.0, 0.9), (0.1, 0.8)):
@@ -176,6 +227,16 @@ def test_explicit_workflow(spark, ratings, tmp_path, dedupe):
     assert read_serving(spark, str(tmp_path / "serving")).count() == 47
 
 
+def test_explicit_workflow_stores_what_it_made(spark, ratings, tmp_path):
+    store = str(tmp_path / "store")
+    run = W.explicit_workflow(ratings, ["id"], f"{store}/serving", k=3, reg_params=(1.0, 0.1), dedupe=True, store=store)
+    assert spark.read.parquet(f"{store}/train").count() + spark.read.parquet(f"{store}/test").count() == 4000
+    logged = run.runs.collect()
+    assert len(logged) == 2 and {r["params"]["regParam"] for r in logged} == {"1.0", "0.1"}
+    assert {r["params"]["numUserBlocks"] for r in logged} == {"10"}
+    assert L.load_model(f"{store}/model").rank == 10
+
+
 def test_implicit_workflow(spark):
     log = spark.range(3000).select(
         F.concat(F.lit("reader"), F.col("id") % 30).alias("userId"),

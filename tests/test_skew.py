@@ -93,14 +93,54 @@ def test_index(skewed):
     assert bag(indexing.index_column(skewed, "user", "user_index", min_rows=5)) == bag(plain)
 
 
-def test_label_lists_continue(skewed):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_label_lists_have_one_shape(skewed, parts):
     expected = {(row["user"], row["item"]) for row in skewed.collect() if row["user"] is not None}
-    lists = label_lists(skewed, part_rows=20).collect()
-    assert max(len(row["labels"]) for row in lists) < 60
+    lists = label_lists(skewed, parts=parts).collect()
+    assert {row["part"] for row in lists} == set(range(parts))
+    assert len(lists) == len({(row["user"], row["part"]) for row in lists})
     found = [(row["user"], item) for row in lists for item in row["labels"]]
     assert len(found) == len(set(found)) and set(found) == expected
 
 
+@pytest.mark.parametrize("limit", [1, 3])
+def test_more_heavy_keys_than_the_list_holds(spark, skewed, monkeypatch, limit):
+    """Then every row is ranked by sorting, and no task holds a group."""
+    order = [F.col("ts").desc(), F.col("id")]
+    plain = bag(skew.rank_in_group(skewed, ["user"], order, "rank", "ts", "n"))
+    counted = bag(splits.with_group_count(skewed, "user", "ts", "n"))
+    monkeypatch.setattr(skew, "HEAVY_LIMIT", limit)
+    stored, real = [], skew.materialise
+    monkeypatch.setattr(skew, "materialise", lambda df, name: stored.append(real(df, name)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ranked = skew.rank_in_group(skewed, ["user"], order, "rank", "ts", "n", min_rows=20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert bag(ranked) == plain
+    assert bag(splits.with_group_count(skewed, "user", "ts", "n", min_rows=20)) == counted
+    assert bag(indexing.index_column(skewed, "user", "i", min_rows=5)) == bag(indexing.index_column(skewed, "user", "i"))
+    sizes = [row["count"] for row in stored[0].groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1000  # key 1 alone has a third of all rows
+
+
+def test_heavy_is_absolute(spark):
+    """A key does not get lighter because the table grows."""
+    rows = spark.range(200_000).select(F.when(F.col("id") < 30, -1).otherwise(F.col("id")).alias("key"))
+    assert [row["key"] for row in skew.heavy_keys(rows, ["key"], 20)] == [-1]
+
+
+def test_null_labels_stay_where_they_are(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("item"), "id")
+    found = indexing.index_column(rows, "item", "i")
+    assert found.count() == 3000 and found.filter("item IS NULL").select("i").distinct().collect()[0][0] == 5
+
+
+def test_splits_without_a_tiebreak_do_not_depend_on_the_partitioning(spark):
+    rows = spark.range(600).select((F.col("id") % 3).alias("user"), F.lit(1).alias("item"), F.lit(7).alias("ts"), (F.col("id") % 9).alias("more"))
+    for split in (splits.chrono_split, splits.user_ratio_split):
+        sides = [[bag(side) for side in split(df)] for df in (rows, rows.repartition(7), rows.orderBy(F.desc("id")).coalesce(1))]
+        assert sides[0] == sides[1] == sides[2]
+
+
 def brute_force(points):
     good = pairs = 0
     for rows in points.values():
