@@ -198,15 +198,15 @@ def capture_read(spark, sf_dir):
 @_register(
     "capture_whole",
     f"""WITH {EVENTS_SQL}, p AS (SELECT event_id, ({_hash_sql('event_id', '')} % 2)::INT AS part,
-      strftime(ts, '%Y-%m-%d %H:%M') AS minute FROM r)
-    SELECT event_id, part, minute FROM p""",
+      strftime(ts, '%Y-%m-%d %H:00') AS started FROM r)
+    SELECT event_id, part, started FROM p""",
 )
 def capture_whole(spark, sf_dir):
-    """Every message of a capture at the default interval, with the partition and the minute its folder names."""
-    captured = G.read_capture(spark, _captured(spark, sf_dir))
+    """Every message of an hourly capture, with the partition and the time its folder names."""
+    captured = G.read_capture(spark, _captured(spark, sf_dir, interval="1 hour"))
     day = F.format_string("%04d-%02d-%02d %02d:%02d", "Year", "Month", "Day", "Hour", "Minute")
-    placed = captured.select("Body", F.col("PartitionId").alias("part"), day.alias("minute"))
-    return G.decode_messages(placed, "event_id BIGINT", keep=True).select("event_id", "part", "minute")
+    placed = captured.select("Body", F.col("PartitionId").alias("part"), day.alias("started"))
+    return G.decode_messages(placed, "event_id BIGINT", keep=True).select("event_id", "part", "started")
 
 
 @_register(
@@ -903,7 +903,7 @@ def ranking_adapter(spark, sf_dir):
     return M.ranking_metrics(frame, 3)
 
 
-@_register("scored_pairs", 'SELECT DISTINCT user_id::BIGINT AS "user", json_extract_string(props, \'$.k\')::INT AS item FROM events')
+@_register("scored_pairs", 'SELECT DISTINCT user_id::BIGINT AS "user", json_extract_string(props, \'$.k\')::BIGINT AS item FROM events')
 def scored_pairs(spark, sf_dir):
     """The pairs the explicit model can score: all it was trained on."""
     events = _stored(spark, sf_dir, _events)
@@ -1375,7 +1375,7 @@ def _optional(module: str):
     try:
         return importlib.import_module(module)
     except ModuleNotFoundError as error:
-        if error.name and (module == error.name or module.startswith(f"{error.name}.") or error.name.startswith("recmill.llm")):
+        if error.name in (module, "recmill.llm", "recmill.llm.queries"):  # of the optional files themselves
             return None
         raise
 

@@ -69,6 +69,18 @@ def test_capture_round_trip(spark, hub, tmp_path):
     assert "PartitionFilters: [isnotnull(PartitionId" in plan
 
 
+def test_capture_of_every_minute(spark, hub, tmp_path):
+    """The default interval, read whole and by partition: every message sits in its own minute's folder."""
+    root = str(tmp_path / "hub")
+    G.write_capture(hub.filter("id < 60"), root, "ts", "id")
+    whole = G.read_capture(spark, root)
+    place = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", "Year", "Month", "Day", "Hour", "Minute", "Second")
+    own = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd HH:mm:ss")
+    assert whole.count() == 60 and whole.filter(place != own).count() == 0
+    assert sum(G.read_capture(spark, root, p).count() for p in (0, 1)) == 60
+    assert len(list((tmp_path / "hub").glob("*/*/*/*/*/*/*"))) == whole.select("PartitionId", own).distinct().count()
+
+
 def test_plain_capture_layout(spark, hub, tmp_path):
     for part in (0, 1):
         rows = hub.filter(F.col("id") % 2 == part).drop("ts")
