@@ -1216,7 +1216,9 @@ def _full_names(spark, sf_dir, **options) -> DataFrame:
     found = _table(spark, sf_dir, "benchmark").select(E.words("text").alias("w"))
     starts = found.filter(F.size("w") > 2).select("w", F.explode(F.expr("sequence(1, size(w) - 2, 5)")).alias("p"))
     whole = starts.select("w", "p", F.explode(F.array(F.lit(2), F.lit(3))).alias("n")).filter("p + n - 1 <= size(w)")
-    names = whole.select(F.initcap(F.expr("array_join(slice(w, p, n), ' ')")).alias("name")).distinct()
+    plain = F.expr("array_join(slice(w, p, n), ' ')")
+    title = F.initcap(plain)  # but not where capitals change the letters, as those of ß do
+    names = whole.select(F.when(F.lower(title) == plain, title).otherwise(plain).alias("name")).distinct()
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     named = E.recognise(documents, "text", names, **options)
     return named.select("doc_id", F.array_join("celebs.result.celebrities.name", ",").alias("names"))
