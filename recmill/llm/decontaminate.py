@@ -39,34 +39,36 @@ def _winnowed(found: Column, window: int, edge: str) -> Column:
     gram = min(GRAM, window)
     run, margin = window - gram + 1, window - gram
     n = F.size(found)
+    # single elements only: a slice of a long array would copy the array every time
+    some = lambda of, first, count: [F.get(of, first + j) for j in range(count)]
 
-    def slices(of: Column, upto: Column, each) -> Column:
-        return F.transform(F.sequence(F.lit(1), upto), each)
+    def each(count: Column, body) -> Column:
+        return F.transform(F.sequence(F.lit(0), count - 1), body)
 
     def kept(padded: Column, hashes: Column) -> Column:
-        least = slices(hashes, n - window + 1, lambda i: F.array_min(F.slice(hashes, i, run)))
-
         def own(least: Column) -> Column:
             def is_least(i: Column) -> Column:
-                first = F.greatest(i - (run - 1), F.lit(1))
-                around = F.slice(least, first, F.least(i, n - window + 1) - first + 1)
-                return F.array_max(around) == F.element_at(hashes, i)
+                around = some(least, i - (run - 1), run)
+                return (around[0] if run == 1 else F.greatest(*around)) == F.get(hashes, i)
 
-            places = F.filter(F.sequence(F.lit(1), n - gram + 1), is_least)
             return F.transform(
-                places,
+                F.filter(F.sequence(F.lit(0), n - gram), is_least),
                 lambda i: F.struct(
                     F.lit(window).alias("length"),
-                    (i - 1).alias("pos"),
-                    F.element_at(hashes, i).alias("hash"),
-                    F.slice(padded, i, gram + 2 * margin).alias("near"),
+                    i.alias("pos"),
+                    F.get(hashes, i).alias("hash"),
+                    F.array(*some(padded, i, gram + 2 * margin)).alias("near"),
                 ),
             )
 
-        return let(least, own)
+        def least_of(i: Column) -> Column:
+            inside = some(hashes, i, run)
+            return inside[0] if run == 1 else F.least(*inside)
+
+        return let(each(n - window + 1, least_of), own)
 
     sides = F.array_repeat(F.lit(edge), margin)
-    hashes = slices(found, n - gram + 1, lambda i: F.xxhash64(F.slice(found, i, gram)))
+    hashes = each(n - gram + 1, lambda i: F.xxhash64(*some(found, i, gram)))
     whole = let(F.concat(sides, found, sides), lambda padded: let(hashes, lambda h: kept(padded, h)))
     return F.when(n >= window, whole).otherwise(F.array().cast("array<struct<length:int,pos:int,hash:bigint,near:array<string>>>"))
 
