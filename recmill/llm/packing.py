@@ -24,7 +24,7 @@ from recmill.sources.scratch import materialise
 SIZE = 2048
 SALTS = 64  # least number of parts a length is ranked in
 PART_ROWS = 1_000_000  # a length's part holds about this many pieces at most
-TEXTS = 256  # encoded together
+CHARS = 1_000_000  # encoded together
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> np.ndarray:
@@ -105,9 +105,16 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                yield rows(part.column(0).to_pylist(), encode(part.column(1).to_pylist()))
+            ids, texts, chars = [], [], 0
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                ids.append(doc_id.as_py())
+                texts.append(text.as_py())
+                chars += len(texts[-1])
+                if chars > CHARS:
+                    yield rows(ids, encode(texts))
+                    ids, texts, chars = [], [], 0
+            if ids:
+                yield rows(ids, encode(texts))
 
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
