@@ -16,6 +16,7 @@ from recmill.sources.scratch import materialise
 
 DEFAULT = "allow"
 BROADCAST_ROWS = 200_000  # most rules sent to every executor
+BROADCAST_VERDICTS = 20_000  # most judged URLs sent to every executor
 # Fixed value: scheme, host, path.
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 ANY = ""  # the token that every URL has, for rules without one of their own
@@ -103,6 +104,8 @@ def judge(
     longest = F.min(F.struct((-F.col("size")).alias("size"), "rule", "action")).alias("_best")
     best = materialise(fits.groupBy("_host", "_path").agg(longest), "verdicts")
     same = (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path"))
-    return rows.join(best, same, "left").select(
+    # the stored verdicts compress so well that Spark would take a large table for a small one
+    few = best.limit(BROADCAST_VERDICTS + 1).count() <= BROADCAST_VERDICTS
+    return rows.join(F.broadcast(best) if few else best.hint("merge"), same, "left").select(
         "page_id", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.action", F.lit(default)).alias("verdict")
     )

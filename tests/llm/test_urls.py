@@ -43,6 +43,7 @@ def tables(spark):
 @pytest.mark.parametrize("most", [200_000, 0])
 def test_matches_brute_force(tables, monkeypatch, most):
     monkeypatch.setattr(urls, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(urls, "BROADCAST_VERDICTS", most)
     rows, pages, rules = tables
     got = sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in urls.judge(pages, rules).collect())
     assert got == sorted(str((i, *brute(u))) for i, u, _ in rows)
