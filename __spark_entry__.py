@@ -198,12 +198,12 @@ def capture_read(spark, sf_dir):
 @_register(
     "capture_whole",
     f"""WITH {EVENTS_SQL}, p AS (SELECT event_id, ({_hash_sql('event_id', '')} % 2)::INT AS part,
-      strftime(ts, '%Y-%m-%d %H:00') AS started FROM r)
+      strftime(make_timestamp(epoch_us(ts) // 21600000000 * 21600000000), '%Y-%m-%d %H:%M') AS started FROM r)
     SELECT event_id, part, started FROM p""",
 )
 def capture_whole(spark, sf_dir):
-    """Every message of an hourly capture, with the partition and the time its folder names."""
-    captured = G.read_capture(spark, _captured(spark, sf_dir, interval="1 hour"))
+    """Every message of a six-hourly capture, with the partition and the time its folder names."""
+    captured = G.read_capture(spark, _captured(spark, sf_dir, interval="6 hours"))
     day = F.format_string("%04d-%02d-%02d %02d:%02d", "Year", "Month", "Day", "Hour", "Minute")
     placed = captured.select("Body", F.col("PartitionId").alias("part"), day.alias("started"))
     return G.decode_messages(placed, "event_id BIGINT", keep=True).select("event_id", "part", "started")
