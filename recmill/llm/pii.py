@@ -42,16 +42,18 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 _TITLE = r"(?:%s)\.?" % "|".join(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES)
+_LABEL = r"(?i:token|secret|password|passwd|api[_ -]?key)[\"']?\s{0,3}[=:]"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
     "card": r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "secret": r"(?<![\w+/-])(?=[\w+/-]{16})(?<=(?i:token|secret|password|passwd|api[_ -]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[\w+/-]{16,}",
+    "secret": rf"(?<![\w+/-])(?=[\w+/-]{{16}})(?<={_LABEL}\s{{0,3}}[\"']?)[\w+/-]{{16,}}",
     "person": rf"(?<!\p{{L}}){_TITLE}[ \xA0]{_NAME}(?:[ \xA0]{_NAME})?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+HINT = rf"[0-9@]|{_LABEL}|(?<!\p{{L}}){_TITLE}[ \xA0]\p{{Lu}}"  # every mention holds one, or follows one
 
 
 def _digits(text: Column) -> Column:
@@ -247,7 +249,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     rows = docs.toDF(*names)
     text = F.col(names[at])
     mentions = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
-    hinted = F.coalesce(text.rlike(r"[0-9@]") | text.rlike(rf"(?<!\p{{L}}){_TITLE}[ \xA0]\p{{Lu}}"), F.lit(False))
+    hinted = F.coalesce(text.rlike(HINT), F.lit(False))
 
     texts = rows.filter(hinted).select(text.alias("text"))
     found = texts.select(F.md5("text").alias("key"), F.explode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).alias("mention"))
