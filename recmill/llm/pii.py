@@ -40,7 +40,8 @@ FAMILY_ENDS = {"latin": ["son", "er", "ini", "ez"], "cyrillic": ["ов", "ин",
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
-_NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+_NAME = r"\p{Lu}[\p{L}'’-]*\p{L}(?<!['’]s)"
+_NAMES = rf"(?:\p{{Lu}}\.[ \xA0]?|\p{{Lu}}[ \xA0])*{_NAME}"  # a name word after any initials
 _TITLE = r"(?:%s)\.?" % "|".join(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES)
 _LABEL = r"(?i:token|secret|password|passwd|api[_ -]?key)[\"']?\s{0,3}[=:]"
 PATTERNS = {
@@ -50,7 +51,7 @@ PATTERNS = {
     "card": r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "secret": rf"(?<![\w+/-])(?=[\w+/-]{{16}})(?<={_LABEL}\s{{0,3}}[\"']?)[\w+/-]{{16,}}",
-    "person": rf"(?<!\p{{L}}){_TITLE}[ \xA0]{_NAME}(?:[ \xA0]{_NAME})?",
+    "person": rf"(?<!\p{{L}}){_TITLE}[ \xA0]{_NAMES}(?:[ \xA0]{_NAMES})*",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 HINT = rf"[0-9@]|{_LABEL}|(?<!\p{{L}}){_TITLE}[ \xA0]\p{{Lu}}"  # every mention holds one, or follows one
@@ -86,25 +87,39 @@ def _titled(titles: list[str]) -> str:
     return r"^(?:%s)(?!\p{L})" % "|".join(titles)
 
 
+def _name_words(mention: Column) -> Column:
+    """The name words and initials of a person, without the title."""
+    untitled = F.regexp_replace(mention, rf"^{_TITLE}[ \xA0]", "")
+    return F.regexp_extract_all(untitled, F.lit(rf"(?:\p{{Lu}}\.)+|{_NAME}|\p{{Lu}}"), F.lit(0))
+
+
+def _is_initial(word: Column) -> Column:
+    return word.rlike(r"^(?:(?:\p{Lu}\.)+|\p{Lu})$")
+
+
 def _components(mention: Column) -> Column:
     """Array of (kind, entity) that a mention holds; empty when it is none after all.
 
     The entity is the mention without its format: an address in lower case, the digits of
-    a number. A person's given and family name are entities of their own, so that a name
-    and its short form agree.
+    a number. A person's given names and family name, the last word, are entities of their
+    own, so that a name and its short form agree; initials are none.
     """
     simple = lambda kind, entity: F.array(F.struct(F.lit(kind).alias("kind"), entity.alias("entity")))
     gender = F.when(mention.rlike(_titled(MALE_TITLES)), "male").when(mention.rlike(_titled(FEMALE_TITLES)), "female")
-    names = F.slice(F.split(mention, "[ \xA0]"), 2, 2)
-    family, given = F.element_at(names, -1), F.element_at(names, 1)
-    both = lambda kind, name: F.concat(kind, F.lit(" "), _script(name))
-    person_family = F.struct(both(F.lit("family"), family).alias("kind"), family.alias("entity"))
-    person_given = F.struct(both(F.coalesce(gender, F.lit("open")), given).alias("kind"), given.alias("entity"))
-    person = F.when(F.size(names) == 2, F.array(person_given, person_family)).otherwise(F.array(person_family))
+    both = lambda kind, name: F.concat(kind, F.lit(" "), _script(name)).alias("kind")
+
+    def of(names: Column) -> Column:
+        given = F.transform(
+            F.slice(names, 1, F.size(names) - 1), lambda n: F.struct(both(F.coalesce(gender, F.lit("open")), n), n.alias("entity"))
+        )
+        family = F.element_at(names, -1)
+        return F.concat(given, F.array(F.struct(both(F.lit("family"), family), family.alias("entity"))))
+
+    person = let(F.filter(_name_words(mention), lambda n: ~_is_initial(n)), of)
     none = F.array().cast("array<struct<kind:string,entity:string>>")
     return (
         F.when(mention.contains("@"), simple("email", F.lower(mention)))
-        .when(mention.rlike(r"^\p{L}.*[ \xA0]\p{Lu}"), person)
+        .when(mention.rlike(rf"^{_TITLE}[ \xA0]\p{{Lu}}"), person)
         .when(mention.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), simple("ip", mention))
         .when(mention.startswith("+"), simple("phone", F.concat(F.lit("+"), _digits(mention))))
         .when(mention.rlike(r"^\d{3}-\d\d-\d{4}$"), simple("ssn", _digits(mention)))
@@ -212,21 +227,70 @@ def _fill(mention: Column, digits: Column) -> Column:
     return F.aggregate(F.filter(F.split(mention, ""), lambda c: c != ""), start, step, lambda acc: acc["out"])
 
 
+def _mapped(mapped: Column, kind: str | Column, name: Column) -> Column:
+    return F.element_at(mapped, F.concat(kind if isinstance(kind, Column) else F.lit(kind), F.lit("\x1f"), name))
+
+
+def _named(mention: Column, mapped: Column) -> Column:
+    """A person's name with each word replaced, and each initial by the first letter of the new family name.
+
+    The name may stand without its title. Null unless the family name is one of the text's.
+    """
+    title = F.regexp_extract(mention, rf"^{_TITLE}[ \xA0]", 0)
+    gender = F.when(mention.rlike(_titled(MALE_TITLES)), "male").when(mention.rlike(_titled(FEMALE_TITLES)), "female")
+    gender = F.when(title != "", F.coalesce(gender, F.lit("open")))
+
+    def of(words: Column) -> Column:
+        last = F.try_element_at(words, F.lit(-1))
+        family = _mapped(mapped, F.concat(F.lit("family "), _script(last)), last)
+
+        def one(word: Column, place: Column) -> Column:
+            given = [_mapped(mapped, F.concat(kind, F.lit(" "), _script(word)), word) for kind in (gender, F.lit("male"), F.lit("female"), F.lit("open"))]
+            return (
+                F.when(place == F.size(words) - 1, family)
+                .when(_is_initial(word), F.regexp_replace(word, F.lit(r"\p{Lu}"), F.substring(family, 1, 1)))
+                .otherwise(F.coalesce(*given, word))
+            )
+
+        return F.when(family.isNotNull(), F.concat(title, F.array_join(F.transform(words, one), " ")))
+
+    return let(_name_words(mention), of)
+
+
+def _known_names(mapped: Column) -> Column:
+    """A pattern of the full and family names of a text's map where they occur without a title; null if it has none.
+
+    Names are letters, hyphens and apostrophes; the longer of two that begin alike comes first.
+    """
+    of = lambda kinds: F.array_join(
+        F.sort_array(
+            F.array_distinct(
+                F.transform(
+                    F.filter(F.map_keys(mapped), lambda k: k.rlike(f"^(?:{kinds}) (?:latin|cyrillic)\x1f")),
+                    lambda k: F.substring_index(k, "\x1f", -1),
+                )
+            ),
+            asc=False,
+        ),
+        "|",
+    )
+    given, family = of("male|female|open"), of("family")
+    before = F.concat(F.when(given != "", F.concat(given, F.lit("|"))).otherwise(""), F.lit(r"(?:\p{Lu}\.)+"))
+    full = F.concat(F.lit(r"(?<!\p{L})(?:(?:"), before, F.lit(r")[ \xA0])*(?:"), family, F.lit(r")(?!\p{L})"))
+    return F.when(family != "", full)
+
+
 def _written(mention: Column, mapped: Column) -> Column:
-    """A mention's replacement, in the mention's own format."""
-    name = lambda part: F.concat(part["kind"], F.lit("\x1f"), part["entity"])
+    """A mention's replacement, in the mention's own format; null for what is no mention."""
 
     def of(parts: Column) -> Column:
-        found = F.transform(parts, lambda part: F.element_at(mapped, name(part)))
-        kind = parts[0]["kind"]
-        first = F.element_at(found, 1)
-        title = F.regexp_extract(mention, r"^\S+?[ \xA0]", 0)
-        person = F.concat(title, F.array_join(found, " "))
+        part = F.try_element_at(parts, F.lit(1))
+        kind, entity = part["kind"], part["entity"]
+        first = _mapped(mapped, kind, entity)
         numbers = kind.isin("phone", "card", "ssn")
         return (
-            F.when(F.size(parts) == 0, mention)
+            F.when((F.size(parts) == 0) | kind.rlike("^(?:family|male|female|open) "), _named(mention, mapped))
             .when(numbers, _fill(mention, _digits(first)))
-            .when(kind.rlike("^(?:family|male|female|open) "), person)
             .when((kind == "email") & (mention == F.upper(mention)), F.upper(first))
             .otherwise(first)
         )
@@ -239,7 +303,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
 
     Kinds: e-mail and IP addresses, international phone numbers, payment cards, social
     security numbers, labelled secrets, and names after a title. ``count_col`` adds the
-    number of mentions replaced. Null and empty texts, and texts without a mention, stay as
+    number of mentions replaced. The full and family names of a text's titled persons are
+    replaced in it where they stand without a title, too. Null and empty texts, and texts without a mention, stay as
     they are (count 0). Equal texts get equal results. The same key gives the same
     surrogates as long as the set of entities that collide is the same.
     """
@@ -248,7 +313,6 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     names = [f"_c{i}" for i in range(len(columns))]
     rows = docs.toDF(*names)
     text = F.col(names[at])
-    mentions = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
 
     texts = rows.filter(hinted).select(text.alias("text"))
@@ -259,19 +323,22 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     named = parts.join(mapping.withColumnsRenamed({"kind": "_kind", "entity": "_entity"}), (F.col("kind") == F.col("_kind")) & (F.col("entity") == F.col("_entity")))
     entry = F.struct(F.concat("kind", F.lit("\x1f"), "entity").alias("k"), F.col("surrogate").alias("v"))
     maps = named.groupBy(F.col("key").alias("_key")).agg(F.map_from_entries(F.collect_set(entry)).alias("_map"))
-    maps = materialise(maps, "maps")
+    maps = materialise(maps.withColumn("_known", _known_names(F.col("_map"))), "maps")
 
     small = parts.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
     joined = rows.join(F.broadcast(maps) if small else maps, F.md5(text) == F.col("_key"), "left")
-    pieces = F.split(text, ENTITY, -1)
+    pattern = F.concat(F.lit(ENTITY), F.coalesce(F.concat(F.lit("|"), F.col("_known")), F.lit("")))
+    mentions = F.regexp_extract_all(text, pattern, F.lit(0))
+    pieces = F.split(text, pattern, -1)
 
     def put(found: Column) -> Column:
-        written = F.concat(F.transform(found, lambda m: _written(m, F.col("_map"))), F.array(F.lit("")))
-        return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("p"), written.alias("w")), lambda x: F.array(x["p"], x["w"]))), "")
+        written = F.transform(found, lambda m: let(_written(m, F.col("_map")), lambda w: F.struct(F.coalesce(w, m).alias("w"), w.isNotNull().cast("int").alias("n"))))
+        ends = F.concat(written, F.array(F.struct(F.lit("").alias("w"), F.lit(0).alias("n"))))
+        joined = F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("p"), ends.alias("e")), lambda x: F.array(x["p"], x["e"]["w"]))), "")
+        return F.struct(joined.alias("text"), F.aggregate(written, F.lit(0), lambda n, w: n + w["n"]).alias("n"))
 
-    replaced = F.when(F.col("_map").isNull(), text).otherwise(let(mentions, put))
-    out = [replaced.alias(c) if i == at else F.col(names[i]).alias(c) for i, c in enumerate(columns)]
+    done = joined.withColumn("_done", F.when(F.col("_map").isNotNull(), let(mentions, put)))
+    out = [F.coalesce("_done.text", text).alias(c) if i == at else F.col(names[i]).alias(c) for i, c in enumerate(columns)]
     if count_col:
-        real = F.size(F.filter(mentions, lambda m: F.size(_components(m)) > 0))
-        out.append(F.when(F.col("_map").isNull(), 0).otherwise(real).alias(count_col))
-    return joined.select(*out)
+        out.append(F.coalesce("_done.n", F.lit(0)).alias(count_col))
+    return done.select(*out)

@@ -18,3 +18,22 @@ def test_secret_without_digits(spark):
     assert bare[1] == dated[1] == quoted[1] == 1 and secret not in bare[0] + dated[0] + quoted[0]
     assert dated[0] == bare[0] + ", since 2024" and re.fullmatch('API-Key = "[a-z]{25}"', quoted[0])
     assert none == ("a secret: none", 0)
+
+
+def test_names_of_several_words_and_their_repeats(spark):
+    texts = [
+        "Dr. Martin Luther King spoke. Martin Luther King and King agree; Kings do not, nor does Barking.",
+        "Mr. John F. Kennedy, Dr. J.F. Kennedy and Mr. J Kennedy",
+        "Mr. Smith left. Smith's dog, a Smith-like one, and Mr. Smith's cat stay with J. Smith.",
+        "Smith is no person here, 2024",
+    ]
+    king, kennedy, smith, none = replaced(spark, *texts)
+    found = re.fullmatch(r"Dr\. (\w+ \w+ (\w+)) spoke\. (\w+ \w+ \w+) and (\w+) agree; Kings do not, nor does Barking\.", king[0])
+    assert found[1] == found[3] and found[2] == found[4] and king[1] == 3
+    assert not re.search(r"\b(Martin|Luther|King)\b", king[0])
+    found = re.fullmatch(r"Mr\. (\w+) (\w)\. (\w+), Dr\. (\w)\.(\w)\. (\w+) and Mr\. (\w) (\w+)", kennedy[0])
+    assert found[1] in pii.GIVEN["male latin"] and found[3] == found[6] == found[8] != "Kennedy" and kennedy[1] == 3
+    assert {found[i] for i in (2, 4, 5, 7)} == {found[3][0]}
+    found = re.fullmatch(r"Mr\. (\w+) left\. (\w+)'s dog, a (\w+)-like one, and Mr\. (\w+)'s cat stay with (\w)\. (\w+)\.", smith[0])
+    assert {found[i] for i in (1, 2, 3, 4, 6)} == {found[1]} and found[1] != "Smith" and smith[1] == 5
+    assert none == (texts[3], 0)
