@@ -44,13 +44,26 @@ _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}(?<!['’]s)"
 _NAMES = rf"(?:\p{{Lu}}\.[ \xA0]?|\p{{Lu}}[ \xA0])*{_NAME}"  # a name word after any initials
 _TITLE = r"(?:%s)\.?" % "|".join(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES)
 _LABEL = r"(?i:token|secret|password|passwd|api[_ -]?key)[\"']?\s{0,3}[=:]"
+_COUNTRY = r"\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?"
+_PHONES = [  # three long groups; long groups and pairs, eight digits or more in all
+    rf"{_COUNTRY}\(?\d{{1,4}}\)?[ .-]?\d{{3,4}}[ .-]?\d{{3,4}}(?!\d)",
+    rf"(?=\+(?:[ .()-]{{0,3}}\d){{8}}){_COUNTRY}\(?\d{{1,4}}\)?(?:[ .-]?\d{{3,4}}){{0,2}}(?:[ .-]?\d{{2}}){{1,4}}(?!\d)",
+]
+_NATIONAL = [  # 555-123-4567 and (555) 123-4567; 06 12 34 56 78; 020 7946 0958; 0171 1234567; 612 34 56 78 and 495 123-45-67
+    r"(?:\(\d{3}\)[ .-]?\d{3}[ .-]|\d{3}(?<us>[ .-])\d{3}\k<us>)\d{4}",
+    r"\(?0\d{1,4}\)?(?:[ .-]\d{2}){4}",
+    r"\(?0\d{1,4}\)?[ .-]\d{3,4}[ .-]\d{3,4}",
+    r"\(?0\d{1,4}\)?[ /-]\d{6,8}",
+    r"\(?\d{3}\)?[ .-]\d{2,3}(?<es>[ .-])\d{2}\k<es>\d{2}",
+]
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
-    "card": r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\d])",
+    "phone": "|".join(_PHONES),
+    "card": r"(?<![\d.])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{4,5})(?![\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "secret": rf"(?<![\w+/-])(?=[\w+/-]{{16}})(?<={_LABEL}\s{{0,3}}[\"']?)[\w+/-]{{16,}}",
+    "national": rf"(?:(?<![\w+]|\d[ .-])|(?<=(?<![\w+.-])1[ .-]))(?:{'|'.join(_NATIONAL)})(?!\w|-\w|\.\d)",
     "person": rf"(?<!\p{{L}}){_TITLE}[ \xA0]{_NAMES}(?:[ \xA0]{_NAMES})*",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -61,6 +74,11 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def _dialled(phone: Column) -> Column:
+    """An international number without the (0) that is dialled only at home."""
+    return F.regexp_replace(phone, r"\(0\)[ .-]?", "")
+
+
 def _luhn(digits: Column) -> Column:
     """The check sum, modulo 10, of a string of digits whose last is the check digit."""
     values = F.transform(F.split(F.reverse(digits), ""), lambda d: d.cast("int"))
@@ -121,9 +139,10 @@ def _components(mention: Column) -> Column:
         F.when(mention.contains("@"), simple("email", F.lower(mention)))
         .when(mention.rlike(rf"^{_TITLE}[ \xA0]\p{{Lu}}"), person)
         .when(mention.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), simple("ip", mention))
-        .when(mention.startswith("+"), simple("phone", F.concat(F.lit("+"), _digits(mention))))
+        .when(mention.startswith("+"), simple("phone", F.concat(F.lit("+"), _digits(_dialled(mention)))))
         .when(mention.rlike(r"^\d{3}-\d\d-\d{4}$"), simple("ssn", _digits(mention)))
         .when(mention.rlike(r"^[\d -]+$") & (F.length(_digits(mention)) <= 19) & _is_card(mention), simple("card", _digits(mention)))
+        .when(mention.rlike(rf"^(?:{'|'.join(_NATIONAL)})$"), simple("phone", _digits(mention)))
         .when(mention.rlike(r"^[\w+/-]{16,}$") & ~mention.rlike(r"^\d{13,19}$"), simple("secret", mention))
         .otherwise(none)
     )
@@ -175,7 +194,8 @@ def _candidate(key: str) -> Column:
         n = F.length(entity)
         body = F.concat(F.substring(entity, 1, 2), _repeat(h, n - 3, list(DIGITS)))
         check = ((10 - _luhn(F.concat(body, F.lit("0")))) % 10).cast("string")
-        phone = F.concat(F.substring(entity, 1, 2), _repeat(h, n - 2, list(DIGITS)))
+        lead = F.when(entity.startswith("+"), 2).otherwise(1)
+        phone = F.concat(F.substr(entity, F.lit(1), lead), _repeat(h, n - lead, list(DIGITS)))
         choice = F.when(kind == "email", F.concat(local, F.lit("@"), host)).when(kind == "ip", ip)
         choice = choice.when(kind == "card", F.concat(body, check)).when(kind == "phone", phone)
         choice = choice.when(kind == "ssn", F.concat(F.lit("9"), _repeat(h, 8, list(DIGITS))))
@@ -290,7 +310,7 @@ def _written(mention: Column, mapped: Column) -> Column:
         numbers = kind.isin("phone", "card", "ssn")
         return (
             F.when((F.size(parts) == 0) | kind.rlike("^(?:family|male|female|open) "), _named(mention, mapped))
-            .when(numbers, _fill(mention, _digits(first)))
+            .when(numbers, _fill(F.when(mention.startswith("+"), _dialled(mention)).otherwise(mention), _digits(first)))
             .when((kind == "email") & (mention == F.upper(mention)), F.upper(first))
             .otherwise(first)
         )
@@ -301,7 +321,7 @@ def _written(mention: Column, mapped: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with the personal data of ``text_col`` replaced; all other columns and rows stay.
 
-    Kinds: e-mail and IP addresses, international phone numbers, payment cards, social
+    Kinds: e-mail and IP addresses, phone numbers with a country code or separators, payment cards, social
     security numbers, labelled secrets, and names after a title. ``count_col`` adds the
     number of mentions replaced. The full and family names of a text's titled persons are
     replaced in it where they stand without a title, too. Null and empty texts, and texts without a mention, stay as

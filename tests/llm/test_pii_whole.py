@@ -37,3 +37,28 @@ def test_names_of_several_words_and_their_repeats(spark):
     found = re.fullmatch(r"Mr\. (\w+) left\. (\w+)'s dog, a (\w+)-like one, and Mr\. (\w+)'s cat stay with (\w)\. (\w+)\.", smith[0])
     assert {found[i] for i in (1, 2, 3, 4, 6)} == {found[1]} and found[1] != "Smith" and smith[1] == 5
     assert none == (texts[3], 0)
+
+
+PHONES = [
+    "(555) 123-4567", "555-123-4567", "555.123.4567", "1-800-555-1234", "+33 6 12 34 56 78", "+34 612 34 56 78", "+7 (495) 123-45-67",
+    "+45 12 34 56 78", "+65 6123 4567", "+36 1 234 5678", "+46 8 123 456 78", "06 12 34 56 78", "020 7946 0958", "(020) 7946 0958",
+    "0171 1234567", "612 34 56 78", "+1 (017) 555-7713", "+10175557713",
+]
+NO_PHONES = ["300.1.1.1", "1.2.3.4.5", "2024-01-02 10:20", "12-34-5678-1234-567-890", "0.5 100 200", "+5 10 20", "100 20 30", "1234567890", "x555-123-4567"]
+
+
+def test_phones_of_many_formats(spark):
+    for text, (new, n) in zip(PHONES, replaced(spark, *[f"Call {p}, or {p}." for p in PHONES])):
+        one, two = re.fullmatch(r"Call (.*), or (.*)\.", new).groups()
+        assert n == 2 and one == two != text, text
+        assert re.sub(r"\d", "0", one) == re.sub(r"\d", "0", text), text
+    home, abroad = replaced(spark, "+44 (0)20 7946 0958", "+44 20 7946 0958")
+    assert home == abroad and home[1] == 1
+    assert replaced(spark, *NO_PHONES) == [(text, 0) for text in NO_PHONES]
+
+
+def test_cards_of_other_groupings(spark):
+    amex, diners, plain, wrong = replaced(spark, "3782 822463 10005", "3056-930902-5904", "378282246310005", "3782 822463 10006")
+    assert amex[1] == diners[1] == 1 and re.fullmatch(r"37\d\d \d{6} \d{5}", amex[0]) and amex[0] != "3782 822463 10005"
+    assert re.fullmatch(r"30\d\d-\d{6}-\d{4}", diners[0]) and diners[0] != "3056-930902-5904"
+    assert plain[0] == amex[0].replace(" ", "") and wrong == ("3782 822463 10006", 0)
