@@ -34,6 +34,7 @@ READ = (
     "page_id long, url string, record_type string, record_id string, refers_to_id string, "
     "payload_digest string, payload_bytes long, intact boolean, payload string"
 )
+REST = ", headers array<struct<name:string,value:string>>, block string"
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -144,8 +145,7 @@ def _line(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"\r\n{name}: "), F.when(unsafe, F.url_encode(text)).otherwise(text))
 
 
-def write_archive(resolved: DataFrame, path: str, date: str = DATE) -> None:
-    """Write resolved records as gzip WARC files, each with headers made for this archive."""
+def _archive_lines(resolved: DataFrame, date: str) -> DataFrame:
     is_response = F.col("record_type") == "response"
     payload = F.coalesce("payload", F.lit(""))
     head = F.concat(F.lit(HTTP_HEAD), F.col("payload_bytes").cast("string"), F.lit(BREAK))
@@ -165,7 +165,16 @@ def write_archive(resolved: DataFrame, path: str, date: str = DATE) -> None:
     with_block = resolved.withColumn("_block", block)
     length = F.concat(F.lit("\r\nContent-Length: "), F.octet_length("_block").cast("string"), F.lit(BREAK))
     record = F.concat(*[F.coalesce(line, F.lit("")) for line in lines], length, F.col("_block"))
-    with_block.select(record.alias("value")).write.option("lineSep", BREAK).option("compression", "gzip").text(path)
+    return with_block.select(record.alias("value"))
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
+    lines.write.option("lineSep", BREAK).option("compression", "gzip").text(path)
+
+
+def write_archive(resolved: DataFrame, path: str, date: str = DATE) -> None:
+    """Write resolved records as gzip WARC files, each with headers made for this archive."""
+    _write_lines(_archive_lines(resolved, date), path)
 
 
 def _decoded(value: str | None) -> str | None:
@@ -206,10 +215,10 @@ def parse_records(pieces: Iterator[str]) -> Iterator[dict]:
             have += len(separator) + len(add)
         block = separator.join(parts)
         block, carry = block[:size], block[size:]
-        yield {"version": lines[0], "fields": fields, "block": block, "whole": whole}
+        yield {"version": lines[0], "lines": lines[1:], "fields": fields, "block": block, "whole": whole}
 
 
-def _row(record: dict, with_payload: bool) -> dict:
+def _row(record: dict, with_payload: bool, with_rest: bool = False) -> dict:
     fields, block = record["fields"], record["block"]
     kind = fields.get("warc-type")
     payload = block.partition(BREAK.encode())[2] if kind == "response" else None
@@ -218,7 +227,14 @@ def _row(record: dict, with_payload: bool) -> dict:
     if payload is not None:
         intact = intact and base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest
     page_id = fields.get("x-page-id")
-    return {
+    rest = {}
+    if with_rest:
+        named = [(k, v.strip()) for k, _, v in (line.partition(":") for line in record["lines"])]
+        rest = {
+            "headers": [{"name": k, "value": v} for k, v in named],
+            "block": None if kind == "response" and digest else block.decode("utf-8", "replace"),
+        }
+    return rest | {
         "page_id": int(page_id) if page_id else None,
         "url": _decoded(fields.get("warc-target-uri")),
         "record_type": kind,
@@ -231,15 +247,19 @@ def _row(record: dict, with_payload: bool) -> dict:
     }
 
 
-def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool = True, with_rest: bool = False) -> DataFrame:
     """The records of the archives under ``path``; intact is false where a payload and its digest differ.
 
     Files are read one after the other within a task; a file that ends inside a record
-    gives that record with what is there, not intact.
+    gives that record with what is there, not intact. ``with_rest`` adds the headers as
+    they stand, and the block where it is not a response's.
     """
     schema = pa.schema(
         [(n, {"long": pa.int64(), "boolean": pa.bool_()}.get(t, pa.string())) for n, t in (c.split() for c in READ.split(", "))]
     )
+    if with_rest:
+        header = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
+        schema = schema.append(pa.field("headers", header)).append(pa.field("block", pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = (
@@ -250,7 +270,7 @@ def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool
         rows, size = [], 0
         for _, of_file in itertools.groupby(pieces, key=lambda x: x[0]):
             for record in parse_records(piece for _, piece in of_file):
-                rows.append(_row(record, with_payload))
+                rows.append(_row(record, with_payload, with_rest))
                 size += len(record["block"]) if with_payload else 200
                 if size > 1 << 22:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -259,36 +279,64 @@ def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     lines = spark.read.option("lineSep", BREAK).schema("value string").text(path)
-    return lines.select("value", F.input_file_name().alias("file")).mapInArrow(run, READ)
+    return lines.select("value", F.input_file_name().alias("file")).mapInArrow(run, READ + (REST if with_rest else ""))
 
 
 def join_revisits(found: DataFrame) -> DataFrame:
-    """Give every revisit its response's page id and payload size; headers alone move, by digest."""
+    """Give every revisit its response's page id and payload size; headers alone move, by digest.
+
+    Of the responses with a revisit's digest the one whose record id it names counts, or
+    else the one with the smallest page id. Both stay null where there is none.
+    """
     heads = materialise(found.drop("payload"), "headers")
-    responses = heads.filter("record_type = 'response'").select(
-        F.col("payload_digest").alias("_digest"),
-        F.col("record_id").alias("_id"),
-        F.col("page_id").alias("_page_id"),
-        F.col("payload_bytes").alias("_bytes"),
-    )
-    meet = (F.col("payload_digest") == F.col("_digest")) & (F.col("refers_to_id") == F.col("_id"))
-    return heads.join(responses, meet, "left").select(
+    responses = heads.filter("record_type = 'response' AND payload_digest IS NOT NULL")
+    of = F.struct("page_id", "payload_bytes")
+    named = responses.groupBy(F.col("payload_digest").alias("_digest"), F.col("record_id").alias("_id")).agg(F.min(of).alias("_named"))
+    least = F.struct(_least(["page_id", "record_id"]).alias("key"), of.alias("of"))
+    any_of = responses.groupBy(F.col("payload_digest").alias("_any_digest")).agg(F.min(least)["of"].alias("_any"))
+    back = F.col("record_type") == "revisit"
+    meet = back & (F.col("payload_digest") == F.col("_digest")) & (F.col("refers_to_id") == F.col("_id"))
+    met = heads.join(named, meet, "left").join(any_of, back & (F.col("payload_digest") == F.col("_any_digest")), "left")
+    response = F.coalesce("_named", "_any")
+    return met.select(
         "page_id",
         "url",
         "record_type",
         "record_id",
         "payload_digest",
-        F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
-        F.col("_page_id").alias("refers_to"),
+        F.coalesce("payload_bytes", response["payload_bytes"]).alias("payload_bytes"),
+        response["page_id"].alias("refers_to"),
         "intact",
     )
 
 
+def _other_records(records: DataFrame, date: str) -> DataFrame:
+    """Lines of records that are passed on as they are, but for their version, date and length.
+
+    A header keeps its name, value and place; the block is that of the source.
+    """
+    own = F.filter("headers", lambda h: ~F.lower(h["name"]).isin("warc-date", "content-length"))
+    lines = F.transform(own, lambda h: F.concat(F.lit("\r\n"), h["name"], F.lit(": "), h["value"]))
+    length = F.octet_length("block").cast("string")
+    head = F.concat(F.lit(VERSION), F.array_join(lines, ""), F.lit(f"\r\nWARC-Date: {date}\r\nContent-Length: "), length, F.lit(BREAK))
+    return records.select(F.concat(head, F.col("block")).alias("value"))
+
+
 def dedupe_archive(spark: SparkSession, source: str | list[str], target: str, min_bytes: int = MIN_BYTES, date: str = DATE) -> None:
-    """Read archives that may repeat payloads and hold revisits, and write them deduplicated with fresh headers."""
-    found = read_archive(spark, source)
-    sizes = join_revisits(found).filter("record_type = 'revisit'")
+    """Read archives that may repeat payloads and hold revisits, and write them deduplicated with fresh headers.
+
+    No record is lost. Revisits of payloads below ``min_bytes`` become responses again. Revisits whose response is in none of the archives, and records of
+    other types, are passed on with their own headers and block, and the new date.
+    """
+    found = materialise(read_archive(spark, source, with_rest=True), "records")
+    responses = found.filter("record_type = 'response' AND payload_digest IS NOT NULL")
+    digests = responses.groupBy(F.col("payload_digest").alias("_digest")).agg(
+        F.max("payload_bytes").alias("_bytes"), F.min(F.when(F.col("payload_bytes") < min_bytes, F.col("payload"))).alias("_small")
+    )
+    met = found.filter("record_type = 'revisit'").join(digests, F.col("payload_digest") == F.col("_digest"), "left")
     columns = ["page_id", "url", "payload", "payload_bytes", "payload_digest"]
-    revisits = sizes.withColumn("payload", F.lit(None).cast("string")).select(*columns)
-    responses = found.filter("record_type = 'response'").select(*columns)
-    write_archive(resolve(responses.unionByName(revisits), min_bytes), target, date)
+    revisits = met.filter("_digest IS NOT NULL").withColumns({"payload_bytes": F.col("_bytes"), "payload": F.col("_small")}).select(*columns)
+    others = found.filter("record_type IS NULL OR record_type NOT IN ('response', 'revisit') OR (record_type = 'response' AND payload_digest IS NULL)")
+    others = others.unionByName(met.filter("_digest IS NULL").select(*found.columns))
+    lines = _archive_lines(resolve(responses.select(*columns).unionByName(revisits), min_bytes), date)
+    _write_lines(lines.unionByName(_other_records(others, date)), target)
