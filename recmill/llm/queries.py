@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from recmill.llm import decontaminate, edits, knn, packing, pii, preferences, quality, simhash, urls, warc
+from recmill.llm import collocations, decontaminate, edits, knn, mixing, packing, pii, preferences, quality, simhash, spelling, urls, warc
 from recmill.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,3 +200,61 @@ PII_KEY = "recmill surrogates"
 def op10_pii_surrogates(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, PII_KEY, count_col="n_mentions")
+
+
+@_register("op11_mixed_sources")
+def op11_mixed_sources(spark, sf_dir):
+    _, documents = mixing.mix(_table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=(3, 2), most=2)
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+@_register(
+    "op12_spelling_variants",
+    f"""WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')),
+        '{_UP}', '{_LOW}') AS run FROM documents),
+    u AS (SELECT run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, count(*) AS c FROM r WHERE length(run) >= 7 GROUP BY ALL),
+    t AS (SELECT list_transform(range(16), lambda i: list_reduce(range(4)::UBIGINT[], lambda c, k: {_CRC_STEP}, i::UBIGINT)) AS t),
+    h AS (SELECT run, c, xor(4294967295, list_reduce(
+        list_transform(range(length(x)), lambda i: instr('123456789ABCDEF', substr(x, (i + 2 - 2 * (i % 2))::INT, 1)))::UBIGINT[],
+        lambda c, b: xor(t[(xor(c, b) & 15)::INT + 1], c >> 4), 4294967295::UBIGINT)) AS h FROM u, t),
+    w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+        sum(c)::BIGINT AS n FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(c) >= 2),
+    k AS (SELECT word, n, left(word, i::INT) || substr(word, i::INT + 2) AS d, left(word, i::INT) || '*' || substr(word, i::INT + 2) AS s
+      FROM (SELECT *, unnest(range(length(word))) AS i FROM w)),
+    less AS (SELECT DISTINCT k.word AS longer, w.word AS shorter FROM k JOIN w ON w.word = k.d),
+    pairs AS (SELECT a.word, b.word AS other FROM k a JOIN k b ON a.s = b.s AND a.word <> b.word
+      UNION ALL SELECT longer, shorter FROM less UNION ALL SELECT shorter, longer FROM less),
+    near AS (SELECT pairs.word, count(*) AS n_near, min(struct_pack(m := -w.n, o := other)) AS best FROM pairs JOIN w ON w.word = other GROUP BY 1),
+    f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 10 * n THEN best.o END AS form,
+        CASE WHEN -best.m >= 10 * n THEN -best.m END AS form_n FROM w LEFT JOIN near USING (word)),
+    up(word, here, step) AS (SELECT word, word, 0 FROM f UNION ALL SELECT up.word, f.form, step + 1 FROM up JOIN f ON f.word = up.here WHERE f.form IS NOT NULL),
+    root AS (SELECT word, arg_max(here, step) AS root FROM up GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN root USING (word)""",
+)
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"), shortest=7, least=2, times=10, misspell_every=31)
+
+
+@_register(
+    "op13_collocations",
+    f"""WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+    c AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS g(k) WHERE len(w) >= k) GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::HUGEINT AS n FROM c WHERE k = 1 GROUP BY lang),
+    a AS (SELECT *, string_split(phrase, ' ') AS w FROM c WHERE f >= 100),
+    cuts AS (SELECT a.lang, a.phrase, a.k, a.f AS a, j, x.f AS l, y.f AS r, n, (1000 * a.f::HUGEINT * n) // (x.f::HUGEINT * y.f) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM a WHERE k > 1) a JOIN n USING (lang)
+      JOIN a x ON x.lang = a.lang AND x.phrase = array_to_string(a.w[:j], ' ') JOIN a y ON y.lang = a.lang AND y.phrase = array_to_string(a.w[j + 1:], ' ')),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inside AS (SELECT lang, phrase, max(f) AS f FROM (SELECT lang, f, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase
+      FROM a, range(2, 5) AS g(m) WHERE m < k) GROUP BY ALL),
+    kept AS (SELECT best.* FROM best LEFT JOIN inside i ON i.lang = best.lang AND i.phrase = best.phrase WHERE i.f IS NULL OR i.f < best.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept QUALIFY rank <= 2000""",
+)
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)

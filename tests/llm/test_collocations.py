@@ -1,0 +1,113 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from recmill.llm import collocations as C
+from recmill.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counts(rows, longest=5):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    f[lang, tuple(words[i : i + k])] += 1
+    return f, n
+
+
+def brute(rows, least=100, longest=5, top=2000, within=(1, 1)):
+    f, n = counts(rows, longest)
+    wanted = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    covered = set()
+    for (lang, words), a in wanted.items():
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                inner = (lang, words[i:j])
+                if j - i < len(words) and within[1] * a >= within[0] * f[inner]:
+                    covered.add(inner)
+    by_lang = {}
+    for (lang, words), a in wanted.items():
+        if (lang, words) not in covered:
+            score, _, l, r = min(
+                (1000 * a * n[lang] // (f[lang, words[:k]] * f[lang, words[k:]]), k, f[lang, words[:k]], f[lang, words[k:]])
+                for k in range(1, len(words))
+            )
+            by_lang.setdefault(lang, []).append((" ".join(words), a, l, r, n[lang], score))
+    out = []
+    for lang, rows in by_lang.items():
+        rows.sort(key=lambda x: (-x[5], -x[1], x[0].encode()))
+        out += [(lang, rank, *row) for rank, row in enumerate(rows[:top], start=1)]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+
+
+def test_whole_table(spark, documents):
+    rows = [(r.lang, r.text) for r in documents.collect()]
+    assert found(QUERIES["op13_collocations"](spark, SF_DIR)) == brute(rows)
+    assert found(C.collocations(documents, least=8, top=50)) == brute(rows, 8, top=50)
+
+
+def test_heavy_beginnings_are_split(spark, documents, monkeypatch):
+    """Frequent beginnings go by more words, held entries are handed on early, and nothing changes."""
+    monkeypatch.setattr(C, "ENTRIES", 500)
+    rows = [(r.lang, r.text) for r in documents.collect()]
+    rows += [("en", "one of the many " + w) for w in "abcdefgh" for _ in range(300)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    want = brute(rows, 20)
+    for heavy in (5, 50, 100_000):
+        assert found(C.collocations(docs, least=20, sample=2, heavy_rows=heavy, buckets=13)) == want
+
+
+def test_rules(spark):
+    pick, rows = random.Random(3), []
+    for _ in range(200):
+        rows.append((pick.choice(["en", "de", None, "und"]), "".join(pick.choices(["A", "b", "C\t", " d", " ", ".", "\r", "É", "a b c "], k=60))))
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    for least, longest, within in ((3, 5, (1, 1)), (2, 3, (1, 1)), (3, 5, (1, 2)), (5, 2, (1, 1))):
+        got = C.collocations(docs, least, longest, 30, within, sample=3, heavy_rows=9, buckets=5)
+        assert found(got) == brute(rows, least, longest, 30, within)
+
+
+def test_odd_rows(spark, odd_docs):
+    docs = odd_docs.withColumnRenamed("score", "lang").withColumnRenamed("fp", "phrase")
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    assert found(C.collocations(docs, least=1)) == brute(rows, 1)
+    assert C.collocations(docs.limit(0)).count() == 0
+    assert C.collocations(docs.filter("text IS NULL")).count() == 0
+
+
+def test_exact_beyond_64_bits(spark):
+    big = 3_000_000_000_007
+    table = [("en", 1, "a", big), ("en", 1, "b", big - 10), ("en", 2, "a b", big - 20)]
+    found = spark.createDataFrame(table, "lang string, k int, phrase string, n long")
+    totals = spark.createDataFrame([("en", 10 * big)], "lang string, n long")
+    row = C._scored(found, totals).first()
+    assert row.score == 1000 * (big - 20) * 10 * big // (big * (big - 10))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(1, 3), min_size=1, max_size=4), st.integers(1, 5)), max_size=60), st.integers(1, 12))
+def test_quicksort_counts(rows, least):
+    words = np.zeros((len(rows), 4), dtype=np.int64)
+    want = Counter()
+    for i, (row, n) in enumerate(rows):
+        words[i, : len(row)] = row
+        for k in range(1, len(row) + 1):
+            want[tuple(row[:k])] += n
+    weight = np.array([n for _, n in rows], dtype=np.int64)
+    got = C.quicksorted(words, weight, np.zeros(len(rows), dtype=np.int64), least)
+    assert sorted((tuple(words[i, :k].tolist()), n) for i, k, n in got) == sorted((p, n) for p, n in want.items() if n >= least)
