@@ -1,10 +1,10 @@
 """Frequent phrases by multikey quicksort of suffixes, and the collocations among them.
 
-A suffix is what follows a place in a text, up to the longest phrase. Words that are too rare
-end it, as no frequent phrase holds them. Suffixes go to tasks by their leading words, so all
-that begin alike meet; there, pointers to them are sorted by three-way partitions, word by
-word. The size of an equal partition is the count of the words it shares, and a partition too
-small for a frequent phrase is given up unsorted.
+A suffix is what follows a place in a text, up to the longest phrase. Words and pairs of words that
+are too rare end it, as no frequent phrase holds them; they are told by filters of bounded size.
+Suffixes go to tasks by their leading words, so all that begin alike meet; there, pointers to them
+are sorted by three-way partitions, word by word. The size of an equal partition is the count of
+the words it shares, and a partition too small for a frequent phrase is given up unsorted.
 
 Equal suffixes of a batch travel as one, and where many begin with the same words, more words
 decide where they go; the counts of the few phrases that are shorter than that are added up.
@@ -14,20 +14,21 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recmill.llm.text import UPPER
 from recmill.sources.scratch import materialise
 
-ENTRIES = 300_000  # distinct entries that a task holds before it hands them on
+ENTRIES = 200_000  # distinct entries that a task holds before it hands them on
+PAIRS = 2_000_000  # hashes of pairs, likewise
+PART = 1_000_000  # bytes of a text taken together, about
 SAMPLE = 64  # of so many places one is looked at for frequent beginnings
 HEAVY = 50_000  # suffixes from which on a beginning is split by one word more
 MOST_HEAVY = 1_000_000  # HEAVY grows with the words so that there are no more than some times this many such beginnings
@@ -35,17 +36,26 @@ BUCKET = 200_000  # suffixes sorted together, about
 BUCKETS = 1024  # at least
 FILTER_BITS = (16, 28)  # least and greatest size of the filter of frequent words, as powers of two
 SALTS = 200
-_BREAKS = b".,;:!?\n\x0b\x0c\r"
-_TABLE = bytes.maketrans(_BREAKS + b"\t" + UPPER.encode(), b"\n" * len(_BREAKS) + b" " + UPPER.lower().encode())
+_BREAK = b"\xff"  # in no UTF-8 text
+_MARKS = b".,;:!?\n\x0b\x0c\r"
+_TABLE = bytes.maketrans(_MARKS + b"\t" + UPPER.encode(), _BREAK * len(_MARKS) + b" " + UPPER.lower().encode())
 _COUNTED = "lang string, k int, phrase string, n long"
-
-
-def _pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece between two marks."""
-    for piece in text.translate(_TABLE).split(b"\n"):
-        words = piece.split()
+_U = np.uint64
+
+
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, with ``_BREAK`` at marks; a long text in several parts that end at marks."""
+    text, at = text.translate(_TABLE), 0
+    while at < len(text):
+        end = at + PART
+        if end < len(text):
+            mark = text.rfind(_BREAK, at + 1, end)
+            mark = text.find(_BREAK, end) if mark < 0 else mark
+            end = len(text) if mark < 0 else mark
+        words = text[at:end].replace(_BREAK, b" \xff ").split()
         if words:
             yield words
+        at = end
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -77,20 +87,21 @@ def count_words(texts: DataFrame, longest: int, sample: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Counter] = defaultdict(Counter)
-        at = 0  # words until the next place of the sample
+        at = 0  # places until the next one of the sample
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 lang = lang.as_py()
-                words_of = held[lang, 1]
-                for words in _pieces(text.as_py()):
-                    words_of.update(words)
-                    while at < len(words):
-                        for k in range(2, min(longest - 1, len(words) - at) + 1):
-                            held[lang, k][b" ".join(words[at : at + k])] += 1
-                        at += sample
-                    at -= len(words)
-                if _full(held):
-                    yield _record(held)
+                for words in _words(text.as_py()):
+                    held[lang, 1].update(words)
+                    for start in range(at, len(words), sample):
+                        for k in range(2, min(longest - 1, len(words) - start) + 1):
+                            if words[start + k - 1] == _BREAK or words[start] == _BREAK:
+                                break
+                            held[lang, k][b" ".join(words[start : start + k])] += 1
+                    at = (at - len(words)) % sample
+                    del held[lang, 1][_BREAK]
+                    if _full(held):
+                        yield _record(held)
         if held:
             yield _record(held)
 
@@ -98,38 +109,95 @@ def count_words(texts: DataFrame, longest: int, sample: int) -> DataFrame:
     return materialise(found, "words")
 
 
-def _place(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word + b"\0" + lang.encode(), 42)
+# Filters ------------------------------------------------------------------------------------
 
 
-def frequent_filter(frequent: DataFrame) -> np.ndarray:
-    """Bits that are set for the hash of every frequent word; a bit that is set for another costs work only.
+def filter_of(places: DataFrame, place: Column) -> np.ndarray:
+    """Bits that are set for the 64-bit hash of every row; a bit that is set for another hash costs work only.
 
-    At most 2 ** 28 bits reach the driver and go to the tasks, however many words there are.
+    At most 2 ** 28 bits reach the driver and go to the tasks, however many rows there are.
     """
-    n = frequent.count()
-    bits = min(max(FILTER_BITS[0], (16 * n).bit_length()), FILTER_BITS[1])
-    place = F.xxhash64(F.concat("phrase", F.lit("\0"), "lang")).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    places = frequent.select(F.shiftright(place, 6).alias("at"), place.bitwiseAND(F.lit(63).cast("long")).cast("int").alias("bit"))
-    words = places.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    bits = min(max(FILTER_BITS[0], (16 * places.count()).bit_length()), FILTER_BITS[1])
+    place = place.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    split = places.select(F.shiftright(place, 6).alias("at"), place.bitwiseAND(F.lit(63).cast("long")).cast("int").alias("bit"))
+    words = split.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-class _Known(dict):
-    """Whether a word may be frequent, remembered."""
+def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set."""
+    place = hashes & _U(64 * len(bits) - 1)
+    return (bits[place >> _U(6)] >> (place & _U(63)) & _U(1)).astype(bool)
+
+
+class _Codes(dict):
+    """The hash of each word of a language, or 0 for one that is not frequent; remembered."""
 
     def __init__(self, lang: str, bits: np.ndarray):
-        self._lang, self._bits, self._mask = lang, bits, 64 * len(bits) - 1
+        self._end, self._bits, self._mask = b"\0" + lang.encode(), bits, 64 * len(bits) - 1
+
+    def __missing__(self, word: bytes) -> int:
+        code = xxhash.xxh64_intdigest(word + self._end, 42)
+        place = code & self._mask
+        self[word] = code = code if int(self._bits[place >> 6]) >> (place & 63) & 1 and word != _BREAK else 0
+        return code
+
+
+def _pair_hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether both words are frequent, hash) of each two words that follow each other."""
+    first, second = codes[:-1], codes[1:]
+    x = first * _U(0x9E3779B97F4A7C15) + second
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    return (first != 0) & (second != 0), x ^ (x >> _U(31))
+
+
+class _Coder:
+    """Codes of word lists, with a bounded store of words."""
+
+    def __init__(self, bits: np.ndarray):
+        self._bits, self._known = bits, {}
+
+    def __call__(self, lang: str, words: list[bytes]) -> np.ndarray:
+        if lang not in self._known:
+            self._known[lang] = _Codes(lang, self._bits)
+        codes = np.fromiter(map(self._known[lang].__getitem__, words), np.uint64, len(words))
+        if sum(map(len, self._known.values())) > ENTRIES:
+            self._known.clear()
+        return codes
+
 
-    def __missing__(self, word: bytes) -> bool:
-        place = _place(self._lang, word) & self._mask
-        self[word] = found = bool(int(self._bits[place >> 6]) >> (place & 63) & 1)
-        return found
+def frequent_pairs(texts: DataFrame, bits: np.ndarray, least: int) -> DataFrame:
+    """(pair, n), stored: the hashes that two words in a row have ``least`` times or more."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, held, n = _Coder(bits), [], 0
+
+        def out() -> pa.RecordBatch:
+            pairs, counts = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(counts, pa.int64())], ["pair", "n"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                for words in _words(text.as_py()):
+                    both, hashes = _pair_hashes(coder(lang.as_py(), words))
+                    held.append(hashes[both])
+                    n += len(held[-1])
+                    if n >= PAIRS:
+                        yield out()
+                        held, n = [], 0
+        if held:
+            yield out()
 
-def suffixes(texts: DataFrame, bits: np.ndarray, heavy: dict[str, set[bytes]], longest: int) -> DataFrame:
+    found = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return materialise(found.filter(F.col("n") >= least), "pairs")
+
+
+# Suffixes -----------------------------------------------------------------------------------
+
+
+def suffixes(texts: DataFrame, words_bits: np.ndarray, pairs_bits: np.ndarray, heavy: dict[str, set[bytes]], longest: int) -> DataFrame:
     """(lang, k, phrase, n): suffixes of two words or more, and the number k of words that say where one goes."""
 
     def routed(held: dict[str, Counter]) -> dict[tuple, Counter]:
@@ -144,46 +212,34 @@ def suffixes(texts: DataFrame, bits: np.ndarray, heavy: dict[str, set[bytes]], l
                 while k < longest and b" ".join(words[:k]) in known:
                     k += 1
                 out[lang, k][suffix] = n
+        held.clear()
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
-        known: dict[str, _Known] = {}
+        coder, held = _Coder(words_bits), defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 lang = lang.as_py()
-                if lang not in known:
-                    known[lang] = _Known(lang, bits)
-                may, found = known[lang].__getitem__, []
-                for words in _pieces(text.as_py()):
-                    for ok, run_ in groupby(words, may):
-                        if not ok:
-                            continue
-                        run_ = list(run_)
-                        if len(run_) < 2:
-                            continue
-                        whole = b" ".join(run_)
-                        ends = list(accumulate([len(w) + 1 for w in run_]))
-                        stops = ends[longest - 1 :] + [ends[-1]] * (longest - 2)
-                        found += [whole[a : b - 1] for a, b in zip([0, *ends[:-2]], stops)]
-                    if len(found) >= ENTRIES:
-                        held[lang].update(found)
-                        found = []
-                        if _full(held):
-                            yield _record(routed(held))
-                            held.clear()
-                held[lang].update(found)
-                if _full(held):
-                    yield _record(routed(held))
-                    held.clear()
-            if sum(map(len, known.values())) > 2 * ENTRIES:
-                known.clear()
+                for words in _words(text.as_py()):
+                    both, hashes = _pair_hashes(coder(lang, words))
+                    both &= _set(pairs_bits, hashes)
+                    stop, on = np.arange(1, len(words)), both  # where each suffix ends, and whether it goes on there
+                    for step in range(1, longest):
+                        stop = stop + on
+                        on = np.append(on[1:], False) & both
+                    starts = np.nonzero(both)[0]
+                    held[lang].update([b" ".join(words[a:b]) for a, b in zip(starts.tolist(), stop[starts].tolist())])
+                    if _full(held):
+                        yield _record(routed(held))
         if held:
             yield _record(routed(held))
 
     return texts.mapInArrow(run, _COUNTED)
 
 
+# Sorting ------------------------------------------------------------------------------------
+
+
 def quicksorted(words: np.ndarray, weight: np.ndarray, route: np.ndarray, least: int, shortest: int = 1) -> list[tuple[int, int, int]]:
     """(row, length, count) of the beginnings of ``shortest`` columns or more that rows of ``words`` share: one row that has it.
 
@@ -260,11 +316,13 @@ def phrases(
     totals = materialise(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     total = totals.agg(F.sum("n")).first()[0] or 0
     frequent = words.filter(F.col("n") >= least)
+    words_bits = filter_of(frequent, F.xxhash64(F.concat("phrase", F.lit("\0"), "lang")))
+    pairs_bits = filter_of(frequent_pairs(texts, words_bits, least), F.col("pair"))
     heavy: dict[str, set[bytes]] = defaultdict(set)
     enough = max(heavy_rows, total // MOST_HEAVY) / sample
     for row in counted.filter((F.col("k") > 1) & (F.col("n") >= enough)).toLocalIterator():
         heavy[row.lang].add(row.phrase.encode())
-    found = suffixes(texts, frequent_filter(frequent), dict(heavy), longest)
+    found = suffixes(texts, words_bits, pairs_bits, dict(heavy), longest)
     buckets = max(buckets, total // BUCKET)
     bucket = F.pmod(F.xxhash64("lang", "k", F.expr("substring_index(phrase, ' ', k)")), F.lit(buckets))
     sorted_ = found.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sort(least, longest), _COUNTED)
