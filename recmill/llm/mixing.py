@@ -271,7 +271,8 @@ def _mixed_rows(sizes: DataFrame, sources: DataFrame, block_words: int, shard_bl
     for found in quotas.groupBy("family").agg(F.sum("n_draws").alias("n")).collect():
         in_family[found.family] = found.n
     taken = _pieces(_placed(sizes, sources), quotas, in_family, block, seed)
-    return taken.join(slots(spark, in_family, shard_blocks, seed), ["family", "rank"])
+    planned = slots(spark, in_family, shard_blocks, seed).hint("merge")  # its rows cannot be foreseen by the planner
+    return taken.join(planned, ["family", "rank"])
 
 
 def mix(
