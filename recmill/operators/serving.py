@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from recmill.operators.prep import append_all
 from recmill.operators.skew import HEAVY_ROWS, lookup_join
-from recmill.sources.paths import child_names, is_complete
+from recmill.sources.paths import child_names, create_text, read_text
 
-_FULL, _DELTA = "full", "delta"
+BUCKETS = 16
+_FULL, _DELTA, _CLAIM, _BUCKET, _VERSION = "full", "delta", "_claim", "_bucket", "_version"
 
 
 def serving_documents(recs: DataFrame, user: str = "user", out: str = "items") -> DataFrame:
@@ -33,49 +37,99 @@ def upsert_serving(table: DataFrame, new: DataFrame, key: str = "id") -> DataFra
     return kept.unionByName(new)
 
 
-def _finished(spark: SparkSession, path: str) -> dict[int, tuple[str, str]]:
-    """(folder, token) of every finished layer under ``path`` by version."""
-    done = {}
+@dataclass(frozen=True, eq=False)
+class _Layer:
+    """A finished publish: its folder, what its claim says, and the buckets it holds."""
+
+    version: int
+    name: str
+    claim: dict
+    buckets: tuple[int, ...]
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def _claims(spark: SparkSession, path: str) -> dict[str, tuple[int, dict]]:
+    """(version, claim) of every folder whose version has been claimed, whether it is finished or not."""
+    found = {}
     for name in child_names(spark, path):
-        kind, _, rest = name.partition("-")
-        number, _, token = rest.partition("-")
-        if kind in (_FULL, _DELTA) and number.isdigit() and is_complete(spark, f"{path}/{name}"):
-            done[int(number)] = (name, token)
-    return done
+        kind, _, number = name.partition("-")
+        if kind in (_FULL, _DELTA) and number.isdigit():
+            claim = read_text(spark, f"{path}/{name}/{_CLAIM}")
+            if claim is not None:
+                found[name] = (int(number), json.loads(claim))
+    return found
 
 
-def _layers(spark: SparkSession, path: str) -> dict[int, str]:
-    """Finished layers under ``path`` by version, from the last full one on."""
-    done = {version: name for version, (name, _) in _finished(spark, path).items()}
-    full = [version for version, name in done.items() if name.startswith(_FULL)]
-    return {version: done[version] for version in sorted(done) if version >= max(full, default=0)}
+def _finished(spark: SparkSession, path: str, claims: dict[str, tuple[int, dict]] | None = None) -> list[_Layer]:
+    """The finished layers in the order of their versions."""
+    layers = []
+    for name, (version, claim) in (_claims(spark, path) if claims is None else claims).items():
+        children = child_names(spark, f"{path}/{name}")
+        if "_SUCCESS" in children:
+            held = [int(c.partition("=")[2]) for c in children if c.startswith(f"{_BUCKET}=")]
+            layers.append(_Layer(version, name, claim, tuple(held)))
+    return sorted(layers, key=lambda layer: (layer.version, layer.name))
+
+
+def _live(layers: Sequence[_Layer]) -> dict[int, list[_Layer]]:
+    """The layers of each bucket that no finished layer has replaced."""
+    replaced = {(name, int(b)) for layer in layers for b, names in layer.claim["replaces"].items() for name in names}
+    live: dict[int, list[_Layer]] = {}
+    for layer in layers:
+        for bucket in layer.buckets:
+            if (layer.name, bucket) not in replaced:
+                live.setdefault(bucket, []).append(layer)
+    return live
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    return max(_layers(spark, path), default=None)
+    return max((layer.version for layer in _finished(spark, path)), default=None)
+
+
+def _scan(spark: SparkSession, path: str, entries: Iterable[tuple[_Layer, int]]) -> list[DataFrame]:
+    """The rows of some buckets of layers with the version that brought each; one scan per layer."""
+    by_layer: dict[_Layer, list[str]] = {}
+    for layer, bucket in entries:
+        by_layer.setdefault(layer, []).append(f"{path}/{layer.name}/{_BUCKET}={bucket}")
+    ordered = sorted(by_layer, key=lambda layer: (layer.version, layer.name))
+    return [spark.read.schema(StructType.fromJson(layer.claim["schema"])).parquet(*by_layer[layer]) for layer in ordered]
 
 
 def read_serving(
     spark: SparkSession, path: str, key: str = "id", ids: Sequence[str] | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
-    """The table as of its newest version: the last full layer with later deltas over it.
+    """The table as of now: the finished layers that are not replaced by later ones, bucket by bucket.
 
     Of several rows of a key the last by the ``order`` columns counts, whichever version
     brought it; then, and without ``order``, the one of the newest version. ``ids`` reads
-    a few documents only; the predicate then reaches every layer's scan.
+    a few documents only: the files of their buckets, of which key ranges and Bloom
+    filters leave out most.
     """
-    layers = []
-    for version, name in _layers(spark, path).items():
-        layer = spark.read.parquet(f"{path}/{name}")
-        layer = layer if ids is None else lookup(layer, ids, key)
-        layers.append(layer.withColumn("_version", F.lit(version)))
-    first, *later = layers
-    if not later:
-        return first.drop("_version")
-    if order:
-        return latest_per_key(append_all(*layers), key, [*order, "_version"]).drop("_version")
-    newest = later[0] if len(later) == 1 else latest_per_key(append_all(*later), key, ["_version"])
-    return upsert_serving(first.drop("_version"), newest.drop("_version"), key)
+    path = path.rstrip("/")
+    layers = _finished(spark, path)
+    if not layers:
+        raise FileNotFoundError(f"{path} holds no finished version")
+    live = _live(layers)
+    if ids is not None:
+        wanted = spark.createDataFrame([(str(i),) for i in ids], "id string")
+        named = {row.b for row in wanted.select(_bucket("id", layers[0].claim["n_buckets"]).alias("b")).collect()}
+        live = {bucket: held for bucket, held in live.items() if bucket in named}
+    chosen = (lambda rows: rows) if ids is None else (lambda rows: lookup(rows, ids, key))
+    single = [(held[0], bucket) for bucket, held in live.items() if len(held) == 1]
+    several = [(layer, bucket) for bucket, held in live.items() if len(held) > 1 for layer in held]
+    parts = [chosen(rows).drop(_VERSION) for rows in _scan(spark, path, single)]
+    scans = [chosen(rows) for rows in _scan(spark, path, several)]
+    if len(scans) == 2 and not order and not max((layer for layer, _ in several), key=lambda layer: layer.version).claim["replaces"]:
+        parts.append(upsert_serving(*[rows.drop(_VERSION) for rows in scans], key))
+    elif scans:
+        parts.append(latest_per_key(append_all(*scans), key, [*order, _VERSION]).drop(_VERSION))
+    if not parts:
+        schema = StructType.fromJson(layers[-1].claim["schema"])
+        return spark.createDataFrame([], schema).drop(_VERSION)
+    return append_all(*parts)
 
 
 def publish_upsert(
@@ -86,33 +140,50 @@ def publish_upsert(
     token: str | None = None,
     order: Sequence[str] = (),
     full_every: int = 10,
+    buckets: int = BUCKETS,
 ) -> int:
     """Upsert ``new`` into the table at ``path`` as its next version, and return the number.
 
-    A version holds only its own rows, so a small batch costs little; every
-    ``full_every``-th one holds the whole table again, which keeps reads short. It
-    counts once its folder is complete, and no folder being read is overwritten.
-    ``token`` names the publish: a repeated call with a token that is already published
-    does nothing and returns its version. Versions are numbered on whatever the tokens
-    are, so several sources may share a table. With ``order``, an older row of a key
-    never replaces a newer one; pass the same columns to :func:`read_serving`.
-    Sorting by key lets a point lookup skip all but a few row groups.
+    A version is claimed by creating a file that must not exist, so publishers that race get
+    different ones and none is lost; it counts once its folder is complete, and a claim
+    whose publisher died is passed over. Every row carries its version, so it does not
+    matter in which order versions are completed. ``token`` names the publish: a repeated
+    call with a token that is published does nothing and returns its version. With
+    ``order``, an older row of a key never replaces a newer one; pass the same columns to
+    :func:`read_serving`.
+
+    Rows are laid out in ``buckets`` by hashed key (fixed by the first publish). A version
+    holds only its own rows, so a small batch costs little; every ``full_every``-th one also
+    merges the buckets that have as many layers, and names the layers it replaces there:
+    one that is completed meanwhile stays in force beside it.
     """
+    path = path.rstrip("/")
     mark = hashlib.md5(token.encode()).hexdigest() if token is not None else ""
-    finished = _finished(spark, path)
-    for version, (_, published) in finished.items():
-        if mark and published == mark:
-            return version
-    layers, version = _layers(spark, path), max(finished, default=-1) + 1
-    kind, rows = _DELTA, new
-    if not layers or len(layers) >= full_every:
-        kind = _FULL
-        if layers and order:
-            rows = latest_per_key(append_all(read_serving(spark, path, key, order=order), new), key, order)
-        elif layers:
-            rows = upsert_serving(read_serving(spark, path, key), new, key)
-    name = f"{kind}-{version:012d}" + (f"-{mark}" if mark else "")
-    rows.orderBy(key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    while True:
+        claims = _claims(spark, path)
+        layers = _finished(spark, path, claims)
+        for layer in layers:
+            if mark and layer.claim["token"] == mark:
+                return layer.version
+        version = max((number for number, _ in claims.values()), default=-1) + 1
+        kind = _DELTA if version % full_every else _FULL
+        due = {b: held for b, held in _live(layers).items() if kind == _FULL and len(held) >= full_every}
+        rows = new.withColumn(_VERSION, F.lit(version).cast("long"))
+        if due:
+            old = _scan(spark, path, [(layer, b) for b, held in due.items() for layer in held])
+            rows = latest_per_key(append_all(*old, rows), key, [*order, _VERSION])
+        claim = {
+            "token": mark,
+            "n_buckets": next(iter(claims.values()))[1]["n_buckets"] if claims else buckets,
+            "schema": rows.schema.jsonValue(),
+            "replaces": {b: [layer.name for layer in held] for b, held in due.items()},
+        }
+        folder = f"{path}/{kind}-{version:012d}"
+        if create_text(spark, f"{folder}/{_CLAIM}", json.dumps(claim)):
+            break
+    placed = rows.withColumn(_BUCKET, _bucket(key, claim["n_buckets"])).hint("rebalance", _BUCKET)
+    writer = placed.sortWithinPartitions(_BUCKET, key).write.mode("append").partitionBy(_BUCKET)
+    writer.option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(folder)
     return version
 
 

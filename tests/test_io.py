@@ -1,6 +1,10 @@
 """Sources, sinks, serving, enrichment and streaming."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -11,7 +15,8 @@ from recmill.operators import serving as V
 from recmill.operators.recommend import inject_cold
 from recmill.sources import messages as G
 from recmill.sources.ratings import page_offsets, read_activity_json, read_ratings_csv
-from recmill.sources.paths import is_complete
+from recmill.sources import paths
+from recmill.sources.paths import create_text, is_complete, located
 from recmill.sources.scratch import materialise, scratch_path, scratch_scope
 from recmill.streaming import ratings as Z
 
@@ -170,6 +175,65 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert V.read_serving(spark, path).count() == 2
 
 
+def test_racing_publishers_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    start = threading.Barrier(4)
+
+    def publish(who):
+        start.wait()
+        for n in range(3):
+            rows = documents(spark, [(f"{who}-{n}", [n]), ("shared", [n])])
+            V.publish_upsert(spark, path, rows, token=f"{who}/{n}", full_every=3, buckets=4)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(publish, range(4)))
+    found = dict(bag(V.read_serving(spark, path)))
+    assert sorted(found) == sorted([f"{w}-{n}" for w in range(4) for n in range(3)] + ["shared"])
+    assert found["shared"] == [2]
+    before = V.current_version(spark, path)
+    V.publish_upsert(spark, path, documents(spark, [("0-0", [99])]), token="0/0", full_every=3)
+    assert V.current_version(spark, path) == before and dict(bag(V.read_serving(spark, path)))["0-0"] == [0]
+
+
+def test_versions_finished_late_and_dead_claims(spark, tmp_path):
+    """A merge that did not see an earlier version leaves it in force; a claim without rows is passed over."""
+    path, frame = str(tmp_path / "serving"), lambda rows: spark.createDataFrame(rows, "id string, item int")
+    for n in range(3):
+        V.publish_upsert(spark, path, frame([("a", n), ("b", n)]), full_every=4, buckets=1)
+    late = tmp_path / "serving" / "delta-000000000002"
+    (late / "_SUCCESS").rename(late / "_not_yet")
+    V.publish_upsert(spark, path, frame([("c", 3)]), full_every=4)
+    V.publish_upsert(spark, path, frame([("a", 4)]), full_every=2)
+    assert {tuple(r) for r in V.read_serving(spark, path).collect()} == {("a", 4), ("b", 1), ("c", 3)}
+    (late / "_not_yet").rename(late / "_SUCCESS")
+    assert {tuple(r) for r in V.read_serving(spark, path).collect()} == {("a", 4), ("b", 2), ("c", 3)}
+    assert create_text(spark, f"{path}/delta-000000000005/_claim", "{}") and not create_text(spark, f"{path}/delta-000000000005/_claim", "")
+
+
+def test_lookup_opens_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    V.publish_upsert(spark, path, documents(spark, [(str(n), [n]) for n in range(500)]))
+    V.publish_upsert(spark, path, documents(spark, [(str(n), [-n]) for n in range(0, 500, 7)]))
+    found = V.read_serving(spark, path, ids=[14])
+    assert bag(found) == [("14", [-14])] and len({f.rpartition("/")[0] for f in found.inputFiles()}) == 2
+    assert V.read_serving(spark, path).count() == 500
+    assert bag(V.read_serving(spark, path, ids=["nobody"])) == []
+    empty = str(tmp_path / "empty")
+    V.publish_upsert(spark, empty, documents(spark, []))
+    assert V.read_serving(spark, empty).dtypes == [("id", "string"), ("items", "array<int>")]
+
+
+def test_create_text_by_rename(spark, tmp_path):
+    source, target = tmp_path / "a", tmp_path / "b"
+    source.write_text("x")
+    target.write_text("y")
+    (a, _), (b, _), (c, _) = (located(spark, str(p)) for p in (source, target, tmp_path / "c"))
+    with pytest.raises(Py4JJavaError, match="FileAlreadyExistsException"):
+        paths._rename(spark, a, b)
+    paths._rename(spark, a, c)
+    assert target.read_text() == "y" and (tmp_path / "c").read_text() == "x"
+
+
 def test_lookup_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "serving")
     for _ in range(2):
