@@ -1157,7 +1157,7 @@ ENTITIES_SQL = f"""WITH {TOKENS_SQL} SELECT doc_id, coalesce((SELECT string_agg(
 
 @_register("recognise_inline", ENTITIES_SQL)
 def recognise_inline(spark, sf_dir):
-    return _recognised(spark, sf_dir).select(
+    return _recognised(spark, sf_dir, max_inline=E.INLINE_WORDS).select(
         "doc_id", F.array_join("celebs.result.celebrities.name", ",").alias("names")
     )
 
@@ -1191,7 +1191,7 @@ LOOSE_SQL = f"SELECT {KEYS_SQL} AS key, doc_id, names FROM ({ENTITIES_SQL})"
 
 @_register("recognise_loose_inline", LOOSE_SQL)
 def recognise_loose_inline(spark, sf_dir):
-    return _loosely_keyed(spark, sf_dir)
+    return _loosely_keyed(spark, sf_dir, max_inline=E.INLINE_WORDS)
 
 
 @_register("recognise_loose_joined", LOOSE_SQL)
@@ -1200,9 +1200,9 @@ def recognise_loose_joined(spark, sf_dir):
 
 
 def _full_names_sql(form: str) -> str:
-    """Runs of two and three words of the benchmark, from its every fifth word on, found in documents."""
+    """All runs of two and three words of the benchmark, found in documents."""
     return f"""WITH b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '') AS w FROM benchmark),
-    starts AS (SELECT w, unnest(range(1, len(w) - 1, 5)) AS p FROM b),
+    starts AS (SELECT w, unnest(range(1, len(w) - 1)) AS p FROM b),
     names AS (SELECT DISTINCT array_to_string(w[p:p+n-1], ' ') AS name, n FROM starts, (VALUES (2), (3)) AS l(n) WHERE p + n - 1 <= len(w)),
     d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '') AS w FROM documents),
     runs AS (SELECT doc_id, p, n, array_to_string(w[p:p+n-1], ' ') AS name
@@ -1214,7 +1214,7 @@ def _full_names_sql(form: str) -> str:
 def _full_names(spark, sf_dir, **options) -> DataFrame:
     """Names of several words, capitalised as a list of names would be."""
     found = _table(spark, sf_dir, "benchmark").select(E.words("text").alias("w"))
-    starts = found.filter(F.size("w") > 2).select("w", F.explode(F.expr("sequence(1, size(w) - 2, 5)")).alias("p"))
+    starts = found.filter(F.size("w") > 2).select("w", F.explode(F.expr("sequence(1, size(w) - 2)")).alias("p"))
     whole = starts.select("w", "p", F.explode(F.array(F.lit(2), F.lit(3))).alias("n")).filter("p + n - 1 <= size(w)")
     plain = F.expr("array_join(slice(w, p, n), ' ')")
     title = F.initcap(plain)  # but not where capitals change the letters, as those of ß do
@@ -1231,7 +1231,7 @@ def recognise_full_names(spark, sf_dir):
 
 @_register("recognise_full_names_joined", _full_names_sql(""))
 def recognise_full_names_joined(spark, sf_dir):
-    return _full_names(spark, sf_dir, max_inline=0)
+    return _full_names(spark, sf_dir, max_broadcast=0)
 
 
 @_register(

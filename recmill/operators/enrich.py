@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from types import CodeType, FunctionType, MethodType, ModuleType
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recmill.operators.skew import HEAVY_ROWS, lookup_join
-from recmill.sources.paths import is_complete
+from recmill.sources.paths import create_text, is_complete, listing, located, read_text
 from recmill.sources.scratch import materialise
 from recmill.sources.steps import read_step, write_step
 
 LINK_PATTERN = r'(?:src|href)="([^"]+)"'
 INLINE_WORDS = 10_000  # most words placed into an expression
+INLINE_NAMES = 50  # most names looked for within the row
 BROADCAST_WORDS = 1_000_000  # most words broadcast
+MANIFEST = "_manifest.json"
 Provider = Callable[[Sequence], Sequence]
 
 
@@ -99,11 +106,19 @@ def words(text: str | Column) -> Column:
     return F.filter(_pieces(text), lambda word: word != "")
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, longer where the columns have it already."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def _by_text(df: DataFrame, text: str, found: DataFrame, default: Column, out: str) -> DataFrame:
     """``df`` with ``found`` (_key, _value) of each row's text; NULL for a NULL text."""
-    joined = df.join(found, F.md5(F.col(text)) == F.col("_key"), "left")
-    value = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_value"), default))
-    return joined.withColumn(out, value).drop("_key", "_value")
+    key, value = _free(df, "_key"), _free(df, "_value")
+    joined = df.join(found.select(F.col("_key").alias(key), F.col("_value").alias(value)), F.md5(F.col(text)) == F.col(key), "left")
+    filled = F.when(F.col(text).isNotNull(), F.coalesce(F.col(value), default))
+    return joined.withColumn(out, filled).drop(key, value)
 
 
 def _texts(df: DataFrame, text: str) -> DataFrame:
@@ -191,21 +206,47 @@ def _entities(names: Column) -> Column:
     return F.struct(F.struct(listed.alias("celebrities")).alias("result"))
 
 
-def _phrases(found: Column, lengths: Sequence[int]) -> Column:
-    """(pos, phrase) of every run of that many words, in the order of the text, longer runs first."""
+def _running(text: str | Column) -> Column:
+    """The words of a text between single blanks, with one before and one after."""
+    return F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))
+
 
-    def at(length: int) -> Column:
-        last = F.size(found) - length
-        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        joined = lambda i: F.array_join(F.slice(found, i + 1, length), " ")
-        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(-length).alias("rank"), joined(i).alias("phrase")))
+def _held(running: Column, candidates: Column) -> Column:
+    """The candidates that a running text holds, by first place and the longer first."""
 
-    return F.concat(*[at(length) for length in lengths])
+    def found(whole: Column) -> Column:
+        placed = F.transform(
+            candidates,
+            lambda name: F.struct(
+                F.instr(whole, F.concat(F.lit(" "), name, F.lit(" "))).alias("at"), (-F.length(name)).alias("n"), name.alias("name")
+            ),
+        )
+        return F.transform(F.array_sort(F.filter(placed, lambda p: p["at"] > 0)), lambda p: p["name"])
 
+    return F.element_at(F.transform(F.array(running), found), 1)
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, evaluated once however often lambdas refer to it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+
+def _by_rarest_word(texts: DataFrame, names: DataFrame, few: bool, min_rows: int) -> DataFrame:
+    """(_key, _value): the names of several words, or one, that each of ``texts`` (_key, _text) holds.
+
+    A name is indexed by that of its words which fewest texts have, and is looked for only in
+    texts that have it. ``few`` names are broadcast.
+    """
+    own = names.select("_phrase", F.explode(F.array_distinct(F.split("_phrase", " "))).alias("_word"))
+    known = own.select("_word").distinct()
+    tokens = texts.select("_key", F.explode(F.array_distinct(words("_text"))).alias("_word"))
+    tokens = tokens.join(F.broadcast(known), "_word") if few else lookup_join(tokens, known, "_word", "inner", min_rows)
+    tokens = materialise(tokens, "tokens")
+    held_by = tokens.groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
+    counted = own.join(held_by, "_word", "left")
+    rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), "_word")).alias("_rarest")
+    index = counted.groupBy("_phrase").agg(rarest).filter("_rarest.n > 0")
+    listed = index.groupBy(F.col("_rarest._word").alias("_word")).agg(F.collect_list("_phrase").alias("_names"))
+    listed = materialise(listed, "index")
+    fetched = tokens.join(F.broadcast(listed), "_word") if few else lookup_join(tokens, listed, "_word", "inner", min_rows)
+    candidates = fetched.groupBy("_key").agg(F.flatten(F.collect_list("_names")).alias("_names"))
+    value = _held(_running("_text"), F.col("_names")).alias("_value")
+    return texts.join(candidates, "_key").select("_key", value).filter(F.size("_value") > 0)
 
 
 def recognise(
@@ -214,7 +255,7 @@ def recognise(
     vocabulary: DataFrame,
     name: str = "name",
     out: str = "celebs",
-    max_inline: int = INLINE_WORDS,
+    max_inline: int = INLINE_NAMES,
     max_broadcast: int = BROADCAST_WORDS,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
@@ -223,56 +264,125 @@ def recognise(
     A name is one word or several; it is found where its words follow each other, whatever
     stands between them and however they are capitalised, and is given in lower case. Of
     names that begin at the same word the longer comes first. A vocabulary of at most
-    ``max_inline`` names is checked within the row and the texts stay where they are. A
-    larger one is joined to the phrases of each distinct text, by broadcast up to
-    ``max_broadcast`` names. All forms give the same; rows need no key.
+    ``max_inline`` names is checked within the row and the texts stay where they are. Of a
+    larger one, single words are joined to the words of each distinct text, and where names
+    have several words, each is indexed by its rarest one and looked for only in the texts
+    that hold that; by broadcast up to ``max_broadcast`` names. All forms give the same;
+    rows need no key.
     """
     joined_name = F.array_join(words(F.col(name)), " ")
     names = vocabulary.select(joined_name.alias("_phrase")).filter(F.col("_phrase") != "").distinct()
-    names = materialise(names.withColumn("_length", F.size(F.split("_phrase", " "))), "vocabulary")
-    size = names.count()
-    lengths = sorted((r["_length"] for r in names.select("_length").distinct().collect()), reverse=True) or [1]
+    names = materialise(names, "vocabulary")
+    size, single = names.count(), not names.filter(F.col("_phrase").contains(" ")).limit(1).count()
     if size <= max_inline:
         few = [row["_phrase"] for row in names.collect()]
-
-        def held(found: Column) -> Column:
-            known = F.filter(_phrases(found, lengths), lambda p: p["phrase"].isin(few))
-            return F.array_distinct(F.transform(F.array_sort(known), lambda p: p["phrase"]))
-
-        if lengths == [1]:
+        if single:
             found = F.array_distinct(F.filter(_pieces(text), lambda word: word.isin(few)))
         else:
-            found = _once(words(text), held)
+            found = _held(_running(text), F.array(*[F.lit(phrase) for phrase in few]))
         return df.withColumn(out, F.when(F.col(text).isNotNull(), _entities(found)))
-    phrases = _once(words("_text"), lambda found: _phrases(found, lengths))
-    tokens = _texts(df, text).select("_key", F.explode(phrases).alias("_p"))
-    tokens = tokens.select("_key", F.col("_p.phrase").alias("_phrase"), F.struct("_p.pos", "_p.rank").alias("_at"))
-    names = names.select("_phrase")
-    if size <= max_broadcast:
-        tokens = tokens.join(F.broadcast(names), "_phrase")
-    known = tokens.groupBy("_key", "_phrase").agg(F.min("_at").alias("_at"))
-    if size > max_broadcast:
-        known = lookup_join(known, names, "_phrase", "inner", min_rows)
-    listed = F.sort_array(F.collect_list(F.struct("_at", "_phrase")))["_phrase"]
-    per_text = known.groupBy("_key").agg(listed.alias("_value"))
-    named = _by_text(df, text, per_text, F.array().cast("array<string>"), "_names")
-    return named.withColumn(out, F.when(F.col(text).isNotNull(), _entities(F.col("_names")))).drop("_names")
+    texts, broadcast = _texts(df, text), size <= max_broadcast
+    if single:
+        tokens = texts.select("_key", F.posexplode(F.array_distinct(words("_text"))).alias("_at", "_phrase"))
+        known = tokens.join(F.broadcast(names), "_phrase") if broadcast else lookup_join(tokens, names, "_phrase", "inner", min_rows)
+        listed = F.sort_array(F.collect_list(F.struct("_at", "_phrase")))["_phrase"]
+        per_text = known.groupBy("_key").agg(listed.alias("_value"))
+    else:
+        per_text = _by_rarest_word(materialise(texts, "texts"), names, broadcast, min_rows)
+    found = _free(df, "_names")
+    named = _by_text(df, text, per_text, F.array().cast("array<string>"), found)
+    return named.withColumn(out, F.when(F.col(text).isNotNull(), _entities(F.col(found)))).drop(found)
 
 
 Step = tuple[str, Callable[[SparkSession, DataFrame | None], DataFrame]]
 
 
+def _described(value, seen: set[int]) -> str:
+    """What a step's function computes, as text: its code, and the values and functions it uses."""
+    if id(value) in seen:
+        return "again"
+    if isinstance(value, DataFrame):
+        return f"frame {value.semanticHash()} {_files(value.sparkSession, value.inputFiles())}"
+    if isinstance(value, SparkSession | ModuleType | type):
+        return getattr(value, "__qualname__", None) or getattr(value, "__name__", "session")
+    inner = seen | {id(value)}
+    if isinstance(value, CodeType):
+        return f"{value.co_code.hex()} {value.co_names} {[_described(c, inner) for c in value.co_consts]}"
+    if isinstance(value, functools.partial):
+        return _described((value.func, value.args, value.keywords), inner)
+    if isinstance(value, MethodType):
+        return _described((value.__func__, value.__self__), inner)
+    if isinstance(value, FunctionType):
+        closed = [cell.cell_contents for cell in value.__closure__ or ()]
+        used = [(n, value.__globals__[n]) for n in _names(value.__code__) if n in value.__globals__]
+        own = [v if _is_of(v, value) else (n, getattr(v, "__qualname__", str(type(v)))) for n, v in used]
+        return _described((value.__code__, value.__defaults__, value.__kwdefaults__, closed, own), inner)
+    if isinstance(value, Mapping):
+        return str(sorted((repr(k), _described(v, inner)) for k, v in value.items()))
+    if isinstance(value, set | frozenset):
+        return str(sorted(_described(v, inner) for v in value))
+    if isinstance(value, tuple | list):
+        return str([_described(v, inner) for v in value])
+    if value is None or isinstance(value, bool | int | float | complex | str | bytes) or value is Ellipsis:
+        return repr(value)
+    if hasattr(value, "__dict__") and not hasattr(value, "_jc"):
+        return f"{type(value).__qualname__} {_described(vars(value), inner)}"
+    return str(value)
+
+
+def _names(code: CodeType) -> list[str]:
+    inner = [n for c in code.co_consts if isinstance(c, CodeType) for n in _names(c)]
+    return sorted({*code.co_names, *inner})
+
+
+def _is_of(value, function: FunctionType) -> bool:
+    """Whether a global is looked into: a plain value, or a function of the same module."""
+    if isinstance(value, FunctionType):
+        return value.__module__ == function.__module__
+    return isinstance(value, bool | int | float | str | bytes | tuple | list | dict | set | frozenset)
+
+
+def _files(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """Names, sizes and times of all files beside the given ones: a file that is new or gone counts too."""
+    return [entry for folder in sorted({f.rpartition("/")[0] for f in files}) for entry in listing(spark, unquote(folder))]
+
+
 def run_chain(spark: SparkSession, steps: Sequence[Step], root: str, reuse: bool = True) -> DataFrame:
     """Run steps in order, each reading the Parquet output of the one before.
 
-    With ``reuse`` a step whose output is complete is not run again, unless an
-    earlier step had to run.
+    A step leaves a manifest beside its output: a digest of its function (code, captured
+    values, and functions and constants of its module), of the step before it, and the names,
+    sizes and times of the files it read. With ``reuse`` a complete output whose manifest
+    still holds is read instead of running the step, unless an earlier step had to run; a
+    step that reads what is not a file, or calls other modules that change, has to be
+    run with ``reuse=False``.
     """
-    result, fresh = None, False
-    for name, step in steps:
+    result, fresh, before = None, False, ""
+    described = [_described(step, set()) for _, step in steps]  # before any runs and changes what they capture
+    for (name, step), text in zip(steps, described):
         path = f"{root.rstrip('/')}/{name}"
-        if reuse and not fresh and is_complete(spark, path):
+        before = hashlib.md5(f"{before} {name} {text}".encode()).hexdigest()
+        if reuse and not fresh and is_complete(spark, path) and _holds(spark, f"{path}/{MANIFEST}", before):
             result = read_step(spark, path)
-        else:
-            result, fresh = write_step(step(spark, result), path), True
+            continue
+        given = step(spark, result)
+        outside = [f for f in given.inputFiles() if not unquote(f).startswith(tuple(_own(spark, root)))]
+        manifest = {"digest": before, "inputs": outside, "files": _files(spark, outside)}
+        result, fresh = write_step(given, path), True
+        create_text(spark, f"{path}/{MANIFEST}", json.dumps(manifest))
     return result
+
+
+def _own(spark: SparkSession, root: str) -> list[str]:
+    """How files below ``root`` may be named."""
+    hadoop_path, fs = located(spark, root.rstrip("/") + "/x")
+    whole = fs.makeQualified(hadoop_path).toString().removesuffix("x")
+    return [whole, whole.replace("file:/", "file:///", 1)]
+
+
+def _holds(spark: SparkSession, manifest: str, digest: str) -> bool:
+    found = read_text(spark, manifest)
+    if found is None:
+        return False
+    kept = json.loads(found)
+    return kept["digest"] == digest and kept["files"] == _files(spark, kept["inputs"])

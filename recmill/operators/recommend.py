@@ -14,9 +14,12 @@ from recmill.operators.prep import active_items
 from recmill.operators.skew import HEAVY_ROWS, rank_in_group
 from recmill.sources.scratch import materialise
 
-BLOCK_ROWS = 65_536  # most users, and most items, that meet in one task at a time
+BLOCK_ROWS = 65_536  # most users, about, that meet a block of items in one task
+ITEM_FACTOR = 4  # an item block is larger by this, as every user is sent once per item block
+FEW_USERS, MANY_BLOCKS = 2048, 64  # fewer users than would fill this many blocks are dealt in smaller ones
 _BLOCK_USERS = 512
-_BLOCK_ITEMS = 8192
+_BLOCK_ITEMS = 2048
+_SLACK = 1e-6  # relative rounding of a product, for each factor
 
 
 def popularity(df: DataFrame, item: str = "item", out: str = "score") -> DataFrame:
@@ -92,20 +95,45 @@ def _first_k(
     return ids[kept].reshape(n, -1), scores[kept].reshape(n, -1)
 
 
+def _scores(users: np.ndarray, items: np.ndarray) -> np.ndarray:
+    return users @ items.T
+
+
+def _norms(factors: np.ndarray) -> np.ndarray:
+    """Lengths, not rounded down."""
+    wide = factors.astype(np.float64)
+    return np.sqrt(np.einsum("ij,ij->i", wide, wide)) * (1 + _SLACK * (1 + factors.shape[1]))
+
+
+def _by_norm(item_ids: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, factors and norms, the longest first."""
+    norms = _norms(items)
+    order = np.argsort(-norms, kind="stable")
+    return item_ids[order], items[order], norms[order]
+
+
 def _best_items_of(
-    users: np.ndarray, item_ids: np.ndarray, item_factors: np.ndarray, k: int
+    users: np.ndarray, item_ids: np.ndarray, item_factors: np.ndarray, k: int, norms: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Per user the k best items and their scores, block of items by block.
 
+    Items come by falling norm (sorted here unless ``norms`` are given). No score exceeds the
+    product of the two norms, so a user is done once that is below its k-th score.
     Everything at or above the k-th score so far is a candidate, so a tie across
     the cut is settled by id, not by chance.
     """
-    n, k = len(users), min(k, len(item_ids))
+    if norms is None:
+        item_ids, item_factors, norms = _by_norm(item_ids, item_factors)
+    n, k, reach = len(users), min(k, len(item_ids)), _norms(users)
     ids, best = np.empty((n, 0), item_ids.dtype), np.empty((n, 0), np.float32)
     for at in range(0, len(item_ids), _BLOCK_ITEMS):
-        scores = users @ item_factors[at : at + _BLOCK_ITEMS].T
-        if best.shape[1] == k:
-            cut = best[:, -1:]
+        full = best.shape[1] == k
+        open_ = np.nonzero(reach * norms[at] >= best[:, -1])[0] if full and k else np.arange(n)
+        if not len(open_):
+            break
+        scores = _scores(users[open_], item_factors[at : at + _BLOCK_ITEMS])
+        if full:
+            cut = best[open_, -1:]
         elif scores.shape[1] > k:
             cut = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
         else:
@@ -113,14 +141,20 @@ def _best_items_of(
         rows, cols = np.nonzero(scores >= cut)
         if not len(rows):
             continue
-        held = np.repeat(np.arange(n), ids.shape[1])
-        ids, best = _first_k(
-            np.r_[held, rows],
-            np.r_[ids.ravel(), item_ids[at + cols]],
-            np.r_[best.ravel(), scores[rows, cols]],
-            n,
+        touched = np.unique(rows) if full else np.arange(n)
+        of = open_[touched]
+        held = np.repeat(np.arange(len(of)), ids.shape[1])
+        merged = _first_k(
+            np.r_[held, np.searchsorted(touched, rows)],
+            np.r_[ids[of].ravel(), item_ids[at + cols]],
+            np.r_[best[of].ravel(), scores[rows, cols]],
+            len(of),
             k,
         )
+        if full:
+            ids[of], best[of] = merged
+        else:
+            ids, best = merged
     return ids, best
 
 
@@ -136,9 +170,10 @@ def _block_scorer(k: int, user: str):
         asked, offered = block.filter(pa.array(is_user)), block.filter(pa.array(~is_user))
         item_ids, ids_of, lists_of = offered.column("id").to_numpy(), [], []
         if asked.num_rows and offered.num_rows:
-            users, items, names = factors(asked), factors(offered), asked.column("id").to_numpy()
+            users, names = factors(asked), asked.column("id").to_numpy()
+            item_ids, items, norms = _by_norm(item_ids, factors(offered))
             for start in range(0, len(users), _BLOCK_USERS):
-                ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k)
+                ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k, norms)
                 entry = [pa.array(ids.ravel(), pa.int64()), pa.array(best.ravel().astype(float), pa.float64())]
                 ends = np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32)
                 ids_of.append(pa.array(names[start : start + _BLOCK_USERS], pa.int32()))
@@ -165,12 +200,14 @@ def _merged(lists: DataFrame, user: str, k: int) -> DataFrame:
 def _best_items(users: DataFrame, items: DataFrame, k: int, user: str, block_rows: int) -> DataFrame:
     """Top-k of ``items`` for each of ``users``, both (id, features).
 
-    User-item pairs are never rows, and no factors visit the driver: both sides are dealt
-    into blocks of about ``block_rows``, every user block meets every item block in one
-    task as a matrix product, and only k entries per user and item block leave it.
+    User-item pairs are never rows, and no factors visit the driver: users are dealt into
+    blocks of about ``block_rows`` and items into larger ones, every user block meets every
+    item block in one task as matrix products, and only k entries per user and item block
+    leave it. Few users are dealt in smaller blocks, so that more tasks share them.
     """
     n_users, n_items = (side.count() for side in (users, items))
-    user_blocks, item_blocks = (max(1, -(-n // block_rows)) for n in (n_users, n_items))
+    user_blocks = max(1, -(-n_users // block_rows), min(MANY_BLOCKS, -(-n_users // FEW_USERS)))
+    item_blocks = max(1, -(-n_items // (ITEM_FACTOR * block_rows)))
 
     def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int, is_user: bool) -> DataFrame:
         return side.select(

@@ -26,6 +26,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(root))
 
 
+def listing(spark: SparkSession, folder: str) -> list[str]:
+    """Name, size and time of every file directly in ``folder``."""
+    hadoop_path, fs = located(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(hadoop_path) if s.isFile())
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a small file, or None where there is none."""
     hadoop_path, fs = located(spark, path)

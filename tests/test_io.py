@@ -1,5 +1,7 @@
 """Sources, sinks, serving, enrichment and streaming."""
 
+import random
+import re
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -373,6 +375,59 @@ def test_chain_reuses_finished_steps(spark, tmp_path):
     assert ran == ["one", "two"]
 
 
+LIMIT = 0
+
+
+def _above(df):
+    return df.filter(F.col("id") > LIMIT)
+
+
+def test_chain_notices_changed_steps_and_inputs(spark, tmp_path, monkeypatch):
+    root, table, ran = str(tmp_path / "chain"), str(tmp_path / "table"), []
+    spark.range(3).write.parquet(table)
+
+    def run(n, more=0, read=False):
+        ran.clear()
+        first = (lambda s, _: s.read.parquet(table)) if read else (lambda s, _: s.range(n))
+        note = lambda name, fn: (name, lambda s, df: (ran.append(name), fn(s, df))[1])
+        steps = [note("one", first), note("two", lambda _, df: _above(df).withColumn("more", F.lit(more)))]
+        return E.run_chain(spark, steps, root).count(), list(ran)
+
+    assert run(3) == (2, ["one", "two"]) and run(3) == (2, [])
+    assert run(5) == (4, ["one", "two"]) and run(5) == (4, [])
+    assert run(5, more=1) == (4, ["two"]) and run(5, more=1) == (4, [])
+    monkeypatch.setitem(globals(), "LIMIT", 2)
+    assert run(5, more=1) == (2, ["two"]) and run(5, more=1) == (2, [])
+    monkeypatch.setitem(globals(), "LIMIT", 0)
+    assert run(0, read=True) == (2, ["one", "two"]) and run(0, read=True) == (2, [])
+    spark.range(10, 14).write.mode("append").parquet(table)
+    assert run(0, read=True) == (6, ["one", "two"]) and run(0, read=True) == (6, [])
+
+
+def brute_names(text, names):
+    found, wanted = re.findall(r"[^\W\d_]+", text.lower()), {}
+    for name in names:
+        own = re.findall(r"[^\W\d_]+", name.lower())
+        places = [i for i in range(len(found)) if own and found[i : i + len(own)] == own]
+        if places:
+            wanted[" ".join(own)] = (places[0], -len(own))
+    return sorted(wanted, key=wanted.get)
+
+
+@pytest.mark.parametrize("tier", [{}, {"max_inline": 0}, {"max_inline": 0, "max_broadcast": 0}])
+def test_names_of_several_words(spark, tier):
+    pick = random.Random(11)
+    word = lambda: pick.choice(["ann", "Ann", "bob", "de", "la", "cruz", "él"])
+    texts = [", ".join(word() for _ in range(pick.randint(0, 25))) for _ in range(80)] + ["Ann-Ann de la  Cruz ann", "", "annbob"]
+    names = sorted({" ".join(word() for _ in range(pick.randint(1, 4))) for _ in range(40)}) + ["not there", "Ann Nobody", "--"]
+    rows = [(t, n, 0, 0) for n, t in enumerate(texts)] + [(None, 99, 0, 0)]
+    docs = spark.createDataFrame(rows, "text string, _key int, _value int, _names int")
+    found = E.recognise(docs, "text", spark.createDataFrame([(n,) for n in names], "name string"), **tier)
+    assert found.columns == ["text", "_key", "_value", "_names", "celebs"]
+    for r in found.select("text", "_key", F.col("celebs.result.celebrities.name").alias("got")).collect():
+        assert r.got == (None if r.text is None else brute_names(r.text, names))
+
+
 def test_stages_form_a_pipeline(spark, tmp_path):
     provider = lambda values: [{"images": [{"url": f"{v}/a"}, {"url": f"{v}/b"}]} for v in values]
     ask = Enrich(provider, "struct<images: array<struct<url: string>>>", "offset", "answer", concurrency=2)

@@ -81,6 +81,26 @@ def test_blocks_of_items_agree(monkeypatch, block, k):
         assert [(float(-s), int(i)) for s, i in expected] == [(float(s), int(i)) for s, i in zip(scored, found)]
 
 
+@pytest.mark.parametrize("spread,share", [(2.0, 0.2), (0.0, 1.0)])
+def test_norms_bound_the_search(monkeypatch, spread, share):
+    """Where norms differ most blocks are skipped, the lists are those of all scores, and equal norms skip none."""
+    monkeypatch.setattr(R, "_BLOCK_ITEMS", 50)
+    scored = []
+    monkeypatch.setattr(R, "_scores", lambda u, i, f=R._scores: scored.append(len(u) * len(i)) or f(u, i))
+    draw = np.random.default_rng(8)
+    users, items = draw.normal(size=(200, 4)).astype(np.float32), draw.normal(size=(3000, 4)).astype(np.float32)
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    items *= np.exp(spread * draw.normal(size=(3000, 1))).astype(np.float32)
+    names = draw.permutation(3000).astype(np.int64)
+    ids, best = R._best_items_of(users, names, items, 10)
+    whole = users.astype(float) @ items.T.astype(float)
+    order = np.argsort(-whole, axis=1)[:, :10]
+    assert (ids == names[order]).all()
+    assert np.allclose(best, np.take_along_axis(whole, order, 1), rtol=1e-5)
+    pairs = len(users) * len(items)
+    assert sum(scored) <= share * pairs and (share < 1 or sum(scored) > 0.5 * pairs)
+
+
 def test_unknown_pairs_are_dropped(spark, model):
     pairs = spark.createDataFrame([(1, 5), (1, 999), (999, 5)], "user int, item int")
     assert L.score(model, pairs).count() == 1
