@@ -12,7 +12,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,7 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 0
 BROADCAST_ROWS = 500_000  # most repeated digests sent to every executor
+SMALL_BYTES = 256  # payloads up to this size may be sent with them
 READ = (
     "page_id long, url string, record_type string, record_id string, refers_to_id string, "
     "payload_digest string, payload_bytes long, intact boolean, payload string"
@@ -183,12 +185,12 @@ def _decoded(value: str | None) -> str | None:
     return None if value is None else unquote_plus(value) if "%" in value else value
 
 
-def parse_records(pieces: Iterator[str]) -> Iterator[dict]:
+def parse_records(pieces: Iterator[bytes | str]) -> Iterator[dict]:
     """Records from the pieces between blank lines, in the order of one file.
 
     A record ends after the bytes its Content-Length names, so payloads may hold blank lines.
     """
-    pieces = iter(pieces)
+    pieces = (p if isinstance(p, bytes) else p.encode("utf-8", "surrogatepass") for p in pieces)
     carry = b""
     separator = BREAK.encode()
     while True:
@@ -197,7 +199,7 @@ def parse_records(pieces: Iterator[str]) -> Iterator[dict]:
             following = next(pieces, None)
             if following is None:
                 return
-            data = following.encode("utf-8", "surrogatepass").lstrip(b"\r\n")
+            data = following.lstrip(b"\r\n")
         head, found, block = data.partition(separator)
         lines = head.decode("utf-8", "replace").split("\r\n")
         fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
@@ -210,12 +212,11 @@ def parse_records(pieces: Iterator[str]) -> Iterator[dict]:
             if following is None:
                 whole = False
                 break
-            add = following.encode("utf-8", "surrogatepass")
-            parts.append(add)
-            have += len(separator) + len(add)
+            parts.append(following)
+            have += len(separator) + len(following)
         block = separator.join(parts)
         block, carry = block[:size], block[size:]
-        yield {"version": lines[0], "lines": lines[1:], "fields": fields, "block": block, "whole": whole}
+        yield {"version": lines[0], "lines": lines[1:], "fields": fields, "head": head, "block": block, "whole": whole}
 
 
 def _row(record: dict, with_payload: bool, with_rest: bool = False) -> dict:
@@ -261,6 +262,14 @@ def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool
         header = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
         schema = schema.append(pa.field("headers", header)).append(pa.field("block", pa.string()))
 
+    return _records(
+        spark, path, lambda record: _row(record, with_payload, with_rest), schema, READ + (REST if with_rest else ""), with_payload
+    )
+
+
+def _records(spark: SparkSession, path: str | list[str], row: Callable[[dict], dict], schema: pa.Schema, kinds: str, large: bool) -> DataFrame:
+    """``row`` of every record under ``path``, whatever bytes it holds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = (
             (file, piece)
@@ -270,8 +279,8 @@ def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool
         rows, size = [], 0
         for _, of_file in itertools.groupby(pieces, key=lambda x: x[0]):
             for record in parse_records(piece for _, piece in of_file):
-                rows.append(_row(record, with_payload, with_rest))
-                size += len(record["block"]) if with_payload else 200
+                rows.append(row(record))
+                size += len(record["block"]) if large else 200
                 if size > 1 << 22:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                     rows, size = [], 0
@@ -279,7 +288,8 @@ def read_archive(spark: SparkSession, path: str | list[str], with_payload: bool
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     lines = spark.read.option("lineSep", BREAK).schema("value string").text(path)
-    return lines.select("value", F.input_file_name().alias("file")).mapInArrow(run, READ + (REST if with_rest else ""))
+    raw = lines.select(F.col("value").cast("binary").alias("value"), F.input_file_name().alias("file"))
+    return raw.mapInArrow(run, kinds)
 
 
 def join_revisits(found: DataFrame) -> DataFrame:
@@ -310,33 +320,131 @@ def join_revisits(found: DataFrame) -> DataFrame:
     )
 
 
-def _other_records(records: DataFrame, date: str) -> DataFrame:
-    """Lines of records that are passed on as they are, but for their version, date and length.
-
-    A header keeps its name, value and place; the block is that of the source.
-    """
-    own = F.filter("headers", lambda h: ~F.lower(h["name"]).isin("warc-date", "content-length"))
-    lines = F.transform(own, lambda h: F.concat(F.lit("\r\n"), h["name"], F.lit(": "), h["value"]))
-    length = F.octet_length("block").cast("string")
-    head = F.concat(F.lit(VERSION), F.array_join(lines, ""), F.lit(f"\r\nWARC-Date: {date}\r\nContent-Length: "), length, F.lit(BREAK))
-    return records.select(F.concat(head, F.col("block")).alias("value"))
-
+# Archives of others -------------------------------------------------------------------------
+
+RAW = "kind string, page_id long, url string, date string, record_id string, declared string, digest string, bytes long, raw binary"
+_OWN = ("warc-type", "warc-record-id", "content-type", "content-length", "warc-profile", "warc-block-digest")
+_BACK = ("warc-refers-to", "warc-refers-to-target-uri", "warc-refers-to-date")
+
+
+def _http(block: bytes) -> tuple[bytes, bytes]:
+    """(HTTP head, payload) of a response's block; one of another protocol is payload alone."""
+    head, found, payload = block.partition(BREAK.encode())
+    return (head + found, payload) if block.startswith(b"HTTP/") else (b"", block)
+
+
+def _raw_row(record: dict) -> dict:
+    fields, head, block = record["fields"], record["head"], record["block"]
+    latin = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("latin-1").split("\r\n")[1:])}
+    kind, payload = fields.get("warc-type"), _http(block)[1]
+    if not record["whole"]:  # what is there, under a length that is true
+        kind, head = "cut", _head(head, ("content-length",), [("WARC-Truncated", "unspecified"), ("Content-Length", len(block))])
+    is_response = kind == "response"
+    page_id = fields.get("x-page-id", "")
+    return {
+        "kind": kind,
+        "page_id": int(page_id) if page_id.removeprefix("-").isdecimal() else None,
+        "url": latin.get("warc-target-uri"),
+        "date": latin.get("warc-date"),
+        "record_id": latin.get("warc-record-id", "").strip("<>") or None,
+        "declared": latin.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+        "digest": base64.b32encode(hashlib.sha1(payload).digest()).decode() if is_response else None,
+        "bytes": len(payload) if is_response else None,
+        "raw": head + BREAK.encode() + block,
+    }
 
-def dedupe_archive(spark: SparkSession, source: str | list[str], target: str, min_bytes: int = MIN_BYTES, date: str = DATE) -> None:
-    """Read archives that may repeat payloads and hold revisits, and write them deduplicated with fresh headers.
 
-    No record is lost. Revisits of payloads below ``min_bytes`` become responses again. Revisits whose response is in none of the archives, and records of
-    other types, are passed on with their own headers and block, and the new date.
+def _head(head: bytes, without: tuple[str, ...], added: list[tuple]) -> bytes:
+    """A record's header lines, less some, with others after them; nothing for a value that is None."""
+    first, *lines = head.split(b"\r\n")
+    kept = [line for line in lines if line.partition(b":")[0].strip().lower().decode("latin-1") not in without]
+    return b"\r\n".join([first, *kept, *[f"{k}: {v}".encode("latin-1", "replace") for k, v in added if v is not None]])
+
+
+def _rewritten(raw: bytes, row: int, action: str, record_id: str | None, digest: str, to: tuple, small: bytes | None) -> bytes:
+    """A response or revisit as a revisit of ``to`` (id, uri, date), or a revisit as a response with the block ``small``."""
+    head, _, block = raw.partition(BREAK.encode())
+    http = _http(block)[0]
+    if action == "response":
+        block = http + _http(small)[1] if http else small
+        added = [("WARC-Type", "response"), ("WARC-Record-ID", f"<{record_id}>" if record_id else None)]
+        content = "application/http; msgtype=response" if block.startswith(b"HTTP/") else None
+        added += [("Content-Type", content), ("Content-Length", len(block))]
+        return _head(head, _OWN + _BACK, added) + BREAK.encode() + block
+    if action == "revisit":  # a record of its own: the one it was made from may stand elsewhere
+        record_id, block = f"urn:uuid:{uuid.UUID(hashlib.md5(f'{record_id} {row}'.encode()).hexdigest())}", http
+    target, uri, date = to
+    content = "application/http; msgtype=response" if http else None
+    added = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{record_id}>" if record_id else None)]
+    added += [("WARC-Refers-To", f"<{target}>" if target else None), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date)]
+    added += [("WARC-Profile", PROFILE), ("Content-Type", content), ("Content-Length", len(block))]
+    without = _OWN + _BACK
+    if action == "revisit":
+        without, added = (*without, "warc-payload-digest"), [*added[:2], ("WARC-Payload-Digest", f"sha1:{digest}"), *added[2:]]
+    return _head(head, without, added) + BREAK.encode() + block
+
+
+def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["raw", "_row", "action", "record_id", "group", "to_id", "to_url", "to_date", "small"]
+    for batch in batches:
+        out = []
+        for values in zip(*(batch.column(n).to_pylist() for n in names)):
+            raw, row, action, record_id, digest, to_id, to_url, to_date, small = values
+            out.append(raw if action is None else _rewritten(raw, row, action, record_id, digest, (to_id, to_url, to_date), small))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+
+def dedupe_archive(spark: SparkSession, source: str | list[str], target: str, min_bytes: int = MIN_BYTES) -> None:
+    """Read archives that may repeat payloads and hold revisits, and write them deduplicated.
+
+    Every record is carried as bytes and stays, in some place. Of responses with equal payloads of at
+    least ``min_bytes`` bytes, the one of the smallest page id (none last; then by target, date
+    and id) stays as it is; the others become revisits of it, with an id of their own, their own
+    target, date, other headers and HTTP head. Revisits find their response by payload digest and
+    are given new references to the one that stays, or become responses again where its
+    payload is smaller. Revisits whose response is in none of the archives, and records of other
+    types, pass byte for byte. A record that its file cuts short is given its true length and
+    marked as truncated. Archives may be gzipped record by record or as a whole; the written ones are
+    gzipped file by file.
     """
-    found = materialise(read_archive(spark, source, with_rest=True), "records")
-    responses = found.filter("record_type = 'response' AND payload_digest IS NOT NULL")
-    digests = responses.groupBy(F.col("payload_digest").alias("_digest")).agg(
-        F.max("payload_bytes").alias("_bytes"), F.min(F.when(F.col("payload_bytes") < min_bytes, F.col("payload"))).alias("_small")
+    arrow = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    schema = pa.schema([(n, arrow[t]) for n, t in (c.split() for c in RAW.split(", "))])
+    found = _records(spark, source, _raw_row, schema, RAW, True)
+    found = materialise(found.withColumn("_row", F.monotonically_increasing_id()), "records")
+
+    responses = found.filter("kind = 'response'")
+    place = F.min(_least(["page_id", "url", "date", "record_id", "_row"])).alias("p")
+    groups = responses.select("digest", "page_id", "url", "date", "record_id", "_row", "bytes").groupBy("digest").agg(
+        place, F.count(F.lit(1)).alias("n"), F.max("bytes").alias("size")
+    )
+    groups = groups.select(
+        F.col("digest").alias("group"), "n", "size", F.col("p._row").alias("kept"), F.col("p.record_id").alias("to_id"),
+        F.col("p.url").alias("to_url"), F.col("p.date").alias("to_date"),
+    )
+    groups = materialise(groups, "groups")
+    tiny = responses.filter(F.col("bytes") < min_bytes).groupBy(F.col("digest").alias("_tiny")).agg(F.min("raw").alias("_raw"))
+    blocks = tiny.mapInArrow(_blocks, "_tiny string, small binary")
+
+    declared = responses.select(F.coalesce("declared", "digest").alias("key"), "digest").unionByName(
+        responses.select(F.col("digest").alias("key"), "digest")
     )
-    met = found.filter("record_type = 'revisit'").join(digests, F.col("payload_digest") == F.col("_digest"), "left")
-    columns = ["page_id", "url", "payload", "payload_bytes", "payload_digest"]
-    revisits = met.filter("_digest IS NOT NULL").withColumns({"payload_bytes": F.col("_bytes"), "payload": F.col("_small")}).select(*columns)
-    others = found.filter("record_type IS NULL OR record_type NOT IN ('response', 'revisit') OR (record_type = 'response' AND payload_digest IS NULL)")
-    others = others.unionByName(met.filter("_digest IS NULL").select(*found.columns))
-    lines = _archive_lines(resolve(responses.select(*columns).unionByName(revisits), min_bytes), date)
-    _write_lines(lines.unionByName(_other_records(others, date)), target)
+    keys = materialise(declared.groupBy("key").agg(F.min("digest").alias("group")), "keys")
+    again = responses.select("_row", F.col("digest").alias("group")).join(groups.filter(F.col("n") > 1), "group")
+    again = again.filter((F.col("_row") != F.col("kept")) & (F.col("size") >= min_bytes)).withColumn("action", F.lit("revisit"))
+    back = found.filter("kind = 'revisit'").select("_row", "declared").join(keys, F.col("declared") == F.col("key"))
+    back = back.join(groups, "group").withColumn("action", F.when(F.col("size") < min_bytes, "response").otherwise("again"))
+    wanted = ["_row", "action", "group", "to_id", "to_url", "to_date"]
+    decided = again.select(*wanted).unionByName(back.select(*wanted)).join(blocks, F.col("group") == F.col("_tiny"), "left")
+    decided = materialise(decided.drop("_tiny").withColumnRenamed("_row", "_decided"), "decided")
+    few = decided.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS and min_bytes <= SMALL_BYTES
+    met = found.join(F.broadcast(decided) if few else decided, F.col("_row") == F.col("_decided"), "left")
+    columns = ["raw", "_row", "action", "record_id", "group", "to_id", "to_url", "to_date", "small"]
+    written = met.select(*columns).mapInArrow(_rewrite, "value binary")
+    _write_lines(written.select(F.col("value").cast("string").alias("value")), target)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The block of each (digest, raw record)."""
+    for batch in batches:
+        blocks = [raw.partition(BREAK.encode())[2] for raw in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blocks, pa.binary())], ["_tiny", "small"])
