@@ -25,6 +25,7 @@ SIZE = 2048
 SALTS = 64  # least number of parts a length is ranked in
 PART_ROWS = 1_000_000  # a length's part holds about this many pieces at most
 CHARS = 1_000_000  # encoded together
+BROADCAST_ROWS = 200_000  # digests of 32 bytes, some 30 MB in memory
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> np.ndarray:
@@ -75,51 +76,72 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> np.ndarray:
     return np.array(rows, dtype=np.int64).reshape(-1, 6)
 
 
-def pieces(
-    docs: DataFrame,
-    tokenizer: str,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = SIZE,
-    end_id: int = 0,
-    with_ids: bool = False,
-) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids, cut where longer than ``size``.
-
-    A document's ids are its text's and ``end_id``; a null text is empty.
-    """
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+def _encoded(texts: DataFrame, tokenizer: str, size: int, end_id: int, with_ids: bool) -> DataFrame:
+    """(key, piece, start, length, ids_crc32[, ids]) of each (key, text)."""
+    key_type = {"bigint": pa.int64(), "string": pa.string()}[dict(texts.dtypes)["key"]]
+    fields = [("key", key_type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + [("ids", pa.list_(pa.int64()))] * with_ids)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def rows(ids: list, encoded: list[bytes]) -> pa.RecordBatch:
+    def rows(keys: list, encoded: list[bytes]) -> pa.RecordBatch:
         out = []
-        for doc_id, data in zip(ids, encoded):
+        for key, data in zip(keys, encoded):
             data += end
             for n, at in enumerate(range(0, len(data), 4 * size)):
                 part = data[at : at + 4 * size]
-                row = (doc_id, n, at // 4, len(part) // 4, zlib.crc32(part))
+                row = (key, n, at // 4, len(part) // 4, zlib.crc32(part))
                 out.append(row + (np.frombuffer(part, "<u4").astype(np.int64),) * with_ids)
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            ids, texts, chars = [], [], 0
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids.append(doc_id.as_py())
+            keys, texts, chars = [], [], 0
+            for key, text in zip(batch.column(0), batch.column(1)):
+                keys.append(key.as_py())
                 texts.append(text.as_py())
                 chars += len(texts[-1])
                 if chars > CHARS:
-                    yield rows(ids, encode(texts))
-                    ids, texts, chars = [], [], 0
-            if ids:
-                yield rows(ids, encode(texts))
+                    yield rows(keys, encode(texts))
+                    keys, texts, chars = [], [], 0
+            if keys:
+                yield rows(keys, encode(texts))
+
+    kind = dict(texts.dtypes)["key"]
+    return texts.mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
+
+def pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SIZE,
+    end_id: int = 0,
+    with_ids: bool = False,
+) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids, cut where longer than ``size``.
+
+    A document's ids are its text's and ``end_id``; a null text is empty. A text that several rows
+    hold is encoded once, and its pieces meet these rows by a stored join on its MD5.
+    """
     texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+        F.col(id_col).cast("long").alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    return texts.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
+    encoded = lambda of: _encoded(of, tokenizer, size, end_id, with_ids)
+    holders = materialise(texts.select(F.col("key").alias("doc_id"), F.md5("text").alias("digest")), "digests")
+    counts = holders.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    several = materialise(counts.filter("n > 1").select("digest"), "several")
+    if not several.limit(1).count():
+        return encoded(texts).withColumnRenamed("key", "doc_id")
+    if several.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        several = F.broadcast(several)
+    here = F.md5("text") == F.col("digest")
+    once = encoded(texts.join(several, here, "left_anti")).withColumnRenamed("key", "doc_id")
+    shared = texts.join(several, here, "left_semi").groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
+    shared = materialise(encoded(shared), "shared")
+    met = holders.join(shared, F.col("digest") == F.col("key")).drop("digest", "key")
+    return once.unionByName(met)
 
 
 def _ranked(cut: DataFrame, total: int) -> DataFrame:

@@ -7,9 +7,9 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 
-WORD_END = "</w>"  # closes the last token of a word in vocabularies that mark word ends
-GROUP = 50  # words encoded by one call
 REMEMBERED = 250_000  # entries of one generation of a store
+WORDS = 400_000  # likewise, of words' ids
+MARKS = 10_000  # different closing marks that are remembered
 _ODD = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 _MARKS = ".,;:!?$%&*#"
 _LATIN_END = "ɐ"
@@ -38,70 +38,88 @@ class Generations:
         return self.young
 
 
-def _is_plain(text: str) -> bool:
-    """One run of Latin letters: a single word to the tokenizer, whatever stands beside it."""
-    return text.isalpha() and (text.isascii() or max(text) < _LATIN_END)
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is printable, else one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _is_latin(letters: str) -> bool:
+    """Whether they are whole in every normal form, and letters in lower case as well."""
+    return letters.isascii() or (max(letters) < _LATIN_END and len(letters.lower()) == len(letters))
+
+
+class _Words(dict):
+    """Ids of words, as bytes; a full store is kept as the old one, and words found there move on."""
+
+    def __init__(self, tokenizer, remembered: int):
+        self._tokenizer, self._split, self._size = tokenizer, tokenizer.model.tokenize, remembered
+        self._old: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        """Between texts: make room where the store is full."""
+        if len(self) > self._size:
+            self._old = dict(self)
+            self.clear()
+
+    def one(self, text: str) -> bytes:
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        found = self._old.get(word)
+        if found is None:
+            found = self._find(word)
+        self[word] = found
+        return found
+
+    def _find(self, word: str) -> bytes:
+        core = word if word.isalpha() else word.rstrip(_MARKS)
+        if not core.isalpha():
+            return self.one(word)
+        if len(core) < len(word):
+            mark = word[len(core) :]
+            if mark not in self._marks:
+                if len(self._marks) >= MARKS:
+                    self._marks.clear()
+                self._marks[mark] = self.one(mark)
+            return self[core] + self._marks[mark] if _is_latin(core) else self.one(word)
+        if not _is_latin(word):
+            return self.one(word)
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [token.id for token in self._split(word)]).tobytes()
 
 
 class WordEncoder:
-    """Ids of texts for tokenizers that never join characters across white space.
+    """Ids of texts for byte-level tokenizers that never join characters across white space.
 
     It suits tokenizers that lower-case, and split words into runs of letters, digits and
     other marks: a text's ids are then the ids of its white-space-separated words, and a
     word of Latin letters and closing marks has the ids of its letters and of its marks.
-    ``encode`` gives exactly what the tokenizer gives for the whole text.
+    Such letters go to the vocabulary's model directly. ``encode`` gives exactly what the
+    tokenizer gives for the whole text.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._ends = {i for token, i in self._tokenizer.get_vocab().items() if token.endswith(WORD_END)}
-        self._words = Generations(self._from_parts, remembered)
-        self._parts = Generations(self._from_tokenizer, remembered)
-
-    def _one_by_one(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array("I", f.ids).tobytes() for f in found]
-
-    def _from_tokenizer(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; words of letters go several to a call, and are told apart by their last tokens."""
-        found: dict[str, bytes] = {}
-        plain = [t for t in texts if _is_plain(t)] if self._ends else []
-        groups = [plain[at : at + GROUP] for at in range(0, len(plain), GROUP)]
-        joined = self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, encoded in zip(groups, joined):
-            ids, at, parts = encoded.ids, 0, []
-            for n, i in enumerate(ids, start=1):
-                if i in self._ends:
-                    parts.append(array("I", ids[at:n]).tobytes())
-                    at = n
-            if len(parts) == len(group) and at == len(ids):
-                found.update(zip(group, parts))
-        rest = [t for t in texts if t not in found]
-        found.update(zip(rest, self._one_by_one(rest)))
-        return [found[t] for t in texts]
-
-    def _from_parts(self, words: list[str]) -> list[bytes]:
-        cut = []
-        for word in words:
-            core = word.rstrip(_MARKS)
-            if _is_plain(core):
-                cut.append((core.lower() if core.isascii() else core, word[len(core) :]))
-            else:
-                cut.append((word, ""))
-        known = self._parts.have({part for pair in cut for part in pair if part})
-        return [known[core] + known[marks] if marks else known[core] for core, marks in cut]
+        self._words = _Words(self._tokenizer, remembered)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Native unsigned 32-bit ids of each text."""
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        known = self._words.have(set().union(*(s for s in split if s)))
-        return [
-            self._one_by_one([text])[0] if words is None else b"".join(map(known.__getitem__, words))
-            for text, words in zip(texts, split)
-        ]
+        out, known = [], self._words.__getitem__
+        for text in texts:
+            out.append(self._words.one(text) if _ODD.search(text) else b"".join(map(known, text.split())))
+            self._words.turn()
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

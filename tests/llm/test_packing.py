@@ -58,6 +58,19 @@ def test_odd_rows(odd_docs, tokenizer):
     assert packing.pack(odd_docs.limit(0), PATH).count() == 0
 
 
+def test_texts_of_several_rows_are_encoded_once(spark, tokenizer, monkeypatch):
+    texts = ["one text", "one text", None, "", "another text, " * 1500, "another text, " * 1500, "alone", "ONE text"]
+    rows = [(n % 6, t) for n, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(rows, packing.pack(docs, PATH).collect(), tokenizer)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    check(rows, packing.pack(docs, PATH).collect(), tokenizer)
+    given = []
+    monkeypatch.setattr(packing, "_encoded", lambda of, *rest, f=packing._encoded: given.append(of.count()) or f(of, *rest))
+    packing.pieces(docs, PATH).count()
+    assert sum(given) == len({t or "" for t in texts})
+
+
 def test_ids_of_pieces(spark, tokenizer):
     docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
     found = {r.doc_id: r.ids for r in packing.pack(docs, PATH, with_ids=True).collect()}
@@ -120,6 +133,12 @@ def test_odd_words():
     assert got == [e.ids for e in ENCODER._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_every_latin_letter():
+    texts = [f"a{c}b {c} {c},! X{c}" for c in map(chr, range(0x21, 0x260))]
+    got = [np.frombuffer(b, "<u4").tolist() for b in ENCODER.encode(texts)]
+    assert got == [e.ids for e in ENCODER._tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_generations_forget_and_learn_again():
     asked = []
     store = Generations(lambda words: [asked.append(w) or w.upper() for w in words], 2)
