@@ -1349,6 +1349,24 @@ def capture_windows(spark, sf_dir):
     return spark.read.parquet(out).select(C.epoch_seconds("start").alias("start_s"), "n")
 
 
+@_register(
+    "stream_dedup",
+    f"WITH {EVENTS_SQL} SELECT DISTINCT event_id, \"user\", item, rating FROM r",
+)
+def stream_dedup(spark, sf_dir):
+    """Every event twice: once in its half, and again with the other one; every seventh first comes with the later half."""
+    root, out, progress = scratch_path(spark, "delivered"), scratch_path(spark, "once"), scratch_path(spark, "progress")
+    events = _events(spark, sf_dir).select("event_id", "user", "item", "rating", "ts")
+    cut = events.agg(F.timestamp_micros(F.percentile_approx(F.unix_micros("ts"), 0.5))).scalar()
+    straggler = (F.col("event_id") % 7 == 0) & (F.col("ts") > cut - F.expr("INTERVAL 1 DAY"))
+    early = (F.col("ts") <= cut) & ~straggler
+    for delivered in (events.filter(early).union(events.filter(early)), events.union(events.filter(~early)).orderBy(F.desc("ts"))):
+        delivered.write.mode("append").parquet(root)
+        stream = Z.once(Z.stream_files(spark, root, events.schema), ["event_id"], "ts", "1 day")
+        Z.write_available(stream, out, progress).awaitTermination()
+    return spark.read.parquet(out).drop("ts")
+
+
 @_register("stream_upsert", LAST_SQL)
 def stream_upsert(spark, sf_dir):
     """Two runs of a stream, the newer events first, into a table that already has a batch version."""

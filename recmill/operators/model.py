@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,33 +144,92 @@ class IndexedALS:
         return cls(read(f"{path}/users"), read(f"{path}/items"), ALSModel.load(f"{path}/model"), user, item)
 
 
-class IndexedALSEstimator(Estimator):
+class _Saved(MLReadable, MLWritable):
+    """A stage that is saved as its metadata and what ``_save`` adds, and made again by ``_restore``.
+
+    Spark's pipelines and searches find the class by the metadata's name for it.
+    """
+
+    @property
+    def _to_java(self):
+        raise AttributeError("there is no JVM stage of this kind")
+
+    def write(self) -> MLWriter:
+        return _StageWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StageReader(cls)
+
+
+class _StageWriter(MLWriter):
+    def __init__(self, stage: _Saved):
+        super().__init__()
+        self._stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        extra = self._stage._save(self.sparkSession, path)
+        DefaultParamsWriter.saveMetadata(self._stage, path, self.sparkSession, extra, {})
+
+
+class _StageReader(MLReader):
+    def __init__(self, cls: type):
+        super().__init__()
+        self._cls = cls
+
+    def load(self, path: str):
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        return self._cls._restore(spark, path, metadata)._resetUid(metadata["uid"])
+
+
+class IndexedALSEstimator(_Saved, Pipeline):
     """:class:`IndexedALS` as one estimator, for pipelines and grid searches over ``als``'s parameters."""
 
     def __init__(self, als: ALS, user: str, item: str, labels: DataFrame | None = None, dedupe: bool = False):
-        super().__init__()
-        self.als, self.user, self.item, self.labels, self.dedupe = als, user, item, labels, dedupe
+        super().__init__(stages=[als])
+        self.user, self.item, self.labels, self.dedupe = user, item, labels, dedupe
 
-    def copy(self, extra=None) -> IndexedALSEstimator:
-        return IndexedALSEstimator(self.als.copy(extra or {}), self.user, self.item, self.labels, self.dedupe)
+    @property
+    def als(self) -> ALS:
+        return self.getStages()[0]
 
     def _fit(self, dataset: DataFrame) -> IndexedALSModel:
         return IndexedALSModel(IndexedALS.fit(dataset, self.als, self.user, self.item, self.labels, self.dedupe))
 
+    def _save(self, spark: SparkSession, path: str) -> dict:
+        self.als.write().save(f"{path}/als")
+        if self.labels is not None:
+            self.labels.write.parquet(f"{path}/labels")
+        return {"user": self.user, "item": self.item, "dedupe": self.dedupe, "labelled": self.labels is not None}
+
+    @classmethod
+    def _restore(cls, spark: SparkSession, path: str, metadata: dict) -> IndexedALSEstimator:
+        labels = spark.read.parquet(f"{path}/labels") if metadata["labelled"] else None
+        return cls(ALS.load(f"{path}/als"), metadata["user"], metadata["item"], labels, metadata["dedupe"])
+
 
-class IndexedALSModel(Model):
-    """A fitted :class:`IndexedALS` as a transformer."""
+class IndexedALSModel(_Saved, Model):
+    """A fitted :class:`IndexedALS` as a transformer; it is saved with its index tables."""
 
     def __init__(self, fitted: IndexedALS):
         super().__init__()
         self.fitted = fitted
 
     def copy(self, extra=None) -> IndexedALSModel:
-        return IndexedALSModel(self.fitted)
+        return IndexedALSModel(self.fitted)._resetUid(self.uid)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.fitted.transform(dataset)
 
+    def _save(self, spark: SparkSession, path: str) -> dict:
+        self.fitted.save(f"{path}/fitted")
+        return {"user": self.fitted.user, "item": self.fitted.item}
+
+    @classmethod
+    def _restore(cls, spark: SparkSession, path: str, metadata: dict) -> IndexedALSModel:
+        return cls(IndexedALS.load(spark, f"{path}/fitted", metadata["user"], metadata["item"]))
+
 
 def save_model(model: ALSModel | PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
@@ -243,27 +305,37 @@ def grid_search_ranking(
     seed: int = SEED,
     key: Sequence[str] | None = None,
     dedupe: bool = False,
+    parallelism: int = 4,
 ) -> RankingSearch:
     """Search by a ranking metric on a per-user split.
 
     Every point is trained on ``ratio`` of each user's rows, recommends
     ``generate`` items and is judged on the first ``k`` against the other rows.
+    ``parallelism`` points run at a time, each in a scheduler pool of its own, so that a fair
+    scheduler shares the cores between them; the outcome does not depend on it.
     """
     spark = df.sparkSession
     user, item, rating = als.getUserCol(), als.getItemCol(), als.getRatingCol()
     train, valid = user_ratio_split(df, ratio, user, item, seed, key)
     train = one_per_pair(train, als) if dedupe else train
     train, valid = materialise(train, "train"), materialise(valid, "valid")
-    rows, validation = [], []
-    for i, point in enumerate(grid):
+    checkpoint_root(spark)  # before threads ask for it
+
+    def judged(numbered: tuple[int, Mapping]) -> dict[str, float]:
+        i, point = numbered
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{i}")
         model = fit_als(als.copy(point), train)
         frame = ranking_frame(recommend_all(model, generate), valid, generate, user, item)
         scored = score(model, valid).select(
             F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).alias("label"), "prediction"
         )
-        found = {r["metric"]: r["value"] for r in ranking_metrics(frame, k, RANKING_METRICS, scored).collect()}
-        validation.append(found[metric])
-        rows += _metric_rows(i, point, found)
+        return {r["metric"]: r["value"] for r in ranking_metrics(frame, k, RANKING_METRICS, scored).collect()}
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        tries = [pool.submit(inheritable_thread_target(spark)(judged), x) for x in enumerate(grid)]
+        found = [t.result() for t in tries]
+    validation = [f[metric] for f in found]
+    rows = [row for i, (point, f) in enumerate(zip(grid, found)) for row in _metric_rows(i, point, f)]
     best = max(range(len(validation)), key=lambda i: (validation[i] is not None, validation[i] or 0.0, -i))
     model = fit_als(als.copy(grid[best]), df, dedupe)
     return RankingSearch(spark.createDataFrame(rows, METRICS_SCHEMA), validation, best, model, train, valid)

@@ -37,6 +37,18 @@ def stream_ratings(
     return filter_rating(decode_messages(messages, schema), min_rating)
 
 
+def once(stream: DataFrame, ids: Sequence[str], ts: str, watermark: str = WATERMARK) -> DataFrame:
+    """Each message once, however often its source delivers it.
+
+    A message is known by ``ids`` (its number, or its partition and offset). It is remembered until the
+    watermark has passed its time, so a copy that comes within ``watermark`` of the newest message is
+    dropped by its id and a later one as late; the state stays bounded. A first delivery may be as
+    late as ``watermark``. A NULL id is an id like any other, and rows without a time are dropped.
+    """
+    timed = stream.filter(F.col(ts).isNotNull()).withWatermark(ts, watermark)
+    return timed.dropDuplicatesWithinWatermark(list(ids))
+
+
 def capture_windows(
     stream: DataFrame,
     ts: str,

@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from fixtures import typed_rows
@@ -195,6 +197,41 @@ def test_indexed_model_in_a_grid_search(spark, ratings):
     assert search.bestModel.transform(named).count() == 4000
 
 
+def test_saved_pipelines_and_searches(spark, ratings, tmp_path):
+    named = ratings.select("id", F.concat(F.lit("u"), "user").alias("user"), F.concat(F.lit("i"), "item").alias("item"), "rating")
+    asked = named.union(spark.createDataFrame([(-1, "nobody", "i3", 1.0), (-2, None, "i4", 1.0)], named.schema))
+    als = L.als_explicit("user_index", "item_index", rank=2, maxIter=1)
+    predicted = lambda m: sorted((r.id, r.prediction) for r in m.transform(asked).select("id", "prediction").collect())
+    estimator = L.IndexedALSEstimator(als, "user", "item", labels=named, dedupe=True)
+
+    whole = Pipeline(stages=[estimator, SQLTransformer(statement="SELECT * FROM __THIS__")]).fit(named)
+    whole.write().overwrite().save(str(tmp_path / "pipeline"))
+    loaded = PipelineModel.load(str(tmp_path / "pipeline"))
+    assert predicted(loaded) == predicted(whole) and len(predicted(whole)) >= 4000
+    assert [s.uid for s in loaded.stages] == [s.uid for s in whole.stages]
+
+    grid = [{als.regParam: 10.0}, {als.regParam: 0.1}]
+    judge = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    search = L.grid_search_cv(named, estimator, grid, judge, ["id"], k=2)
+    search.write().overwrite().save(str(tmp_path / "search"))
+    again = CrossValidatorModel.load(str(tmp_path / "search"))
+    assert predicted(again) == predicted(search) and again.avgMetrics == search.avgMetrics
+    assert [list(p.values()) for p in again.getEstimatorParamMaps()] == [[10.0], [0.1]]
+    assert again.getEstimator().labels.count() == 4000 and again.getEstimator().dedupe
+
+    estimator.write().overwrite().save(str(tmp_path / "estimator"))
+    refitted = L.IndexedALSEstimator.load(str(tmp_path / "estimator")).fit(named)
+    assert predicted(refitted) == predicted(estimator.fit(named))
+
+
+def test_concurrent_trials_agree(ratings):
+    als = L.als_implicit(rank=2)
+    grid = [{als.maxIter: n} for n in (1, 2, 3)]
+    one, four = (L.grid_search_ranking(ratings, als, grid, key=["id"], parallelism=n) for n in (1, 4))
+    assert one.validation == four.validation and one.best == four.best
+    assert sorted(one.metrics.collect()) == sorted(four.metrics.collect())
+
+
 def test_cross_validated_grid(spark, ratings):
     als = L.als_explicit(rank=2, maxIter=1)
     grid = ParamGridBuilder().addGrid(als.regParam, [1.0, 0.1]).build()
