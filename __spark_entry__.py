@@ -209,6 +209,58 @@ def capture_whole(spark, sf_dir):
     return G.decode_messages(placed, "event_id BIGINT", keep=True).select("event_id", "part", "started")
 
 
+PACKED_SQL = f"""WITH {EVENTS_SQL} SELECT event_id, "user" AS "userId", item AS "movieId",
+  ({_hash_sql('event_id', '')} % 2)::INT AS part, epoch(date_trunc('minute', ts))::BIGINT AS start_s FROM r"""
+
+
+def _packed(spark, sf_dir, **bounds) -> DataFrame:
+    """A packed capture of the default 60 s, written by two calls; the second is given all intervals again."""
+    root, messages = scratch_path(spark, "packed"), _messages(spark, sf_dir)
+    for part in (messages.filter(F.col("ts") < _at(CUT)), messages):
+        G.write_packed(part, root, "ts", "event_id")
+    found = G.read_packed(spark, root, "event_id BIGINT, ts TIMESTAMP, Body BINARY", **bounds)
+    placed = found.select("Body", F.col("PartitionId").alias("part"), C.epoch_seconds("start").alias("start_s"))
+    return G.decode_messages(placed, "event_id BIGINT, userId BIGINT, movieId BIGINT", keep=True)
+
+
+@_register("capture_packed", PACKED_SQL)
+def capture_packed(spark, sf_dir):
+    return _packed(spark, sf_dir)
+
+
+@_register(
+    "capture_packed_range",
+    f"SELECT * FROM ({PACKED_SQL}) WHERE part = 1 AND start_s >= epoch(TIMESTAMP '{CUT}') - 432000 AND start_s < epoch(TIMESTAMP '{CUT}')",
+)
+def capture_packed_range(spark, sf_dir):
+    """One partition's messages of the five days before ``CUT``, by the files that the manifest names."""
+    return _packed(spark, sf_dir, partition=1, since=_at(CUT) - F.expr("INTERVAL 5 DAYS"), until=_at(CUT))
+
+
+@_register(
+    "csv_rejects",
+    f"""WITH {EVENTS_SQL} SELECT event_id, CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN 'malformed'
+      WHEN event_id % 11 = 0 THEN 'incomplete' ELSE 'good' END AS kind,
+      CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0 THEN item END AS item,
+      CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0 THEN "user" END AS "user" FROM r""",
+)
+def csv_rejects(spark, sf_dir):
+    """Events as CSV lines, some with a text for an item, some a value short, some without a user; every line comes back once."""
+    path = scratch_path(spark, "lines")
+    events = _events(spark, sf_dir)
+    of = lambda n: F.col("event_id") % n == 0
+    item = F.when(of(5), F.concat(F.lit("item "), F.col("item"))).otherwise(F.col("item").cast("string"))
+    user = F.when(of(11), "").otherwise(F.col("user").cast("string"))
+    whole = F.concat_ws(",", "event_id", user, F.coalesce(item, F.lit("")), F.col("rating").cast("string"))
+    events.select(F.when(of(7), F.concat_ws(",", "event_id", user)).otherwise(whole).alias("value")).write.text(path)
+    schema = "event_id BIGINT, user BIGINT, item BIGINT, rating DOUBLE"
+    good, rejected = T.read_checked(spark, path, schema, required=["user"], header=False)
+    kept = good.select("event_id", F.lit("good").alias("kind"), "item", "user")
+    number = F.regexp_extract("line", r'^(?:\{"event_id":)?(\d+)', 1).cast("long").alias("event_id")
+    none = F.lit(None).cast("long")
+    return kept.unionByName(rejected.select(number, F.col("reason").alias("kind"), none.alias("item"), none.alias("user")))
+
+
 @_register(
     "capture_intervals",
     f"""WITH {EVENTS_SQL} SELECT ({_hash_sql('event_id', '')} % 2)::INT AS partition_id,
@@ -1002,6 +1054,34 @@ def recommend_all_blocks(spark, sf_dir):
     return _list_shape(R.recommend_all(model, 10, block_rows=500))
 
 
+def _factor_terms(key: str) -> list[str]:
+    """Whole-numbered factors that both sides compute from a key, so that products are exact; some are long."""
+    long_ = f"(CASE WHEN {key} % 50 = 0 THEN 8 ELSE 1 END)"
+    return [f"(({key} * 7919) % 23 - 11) * {long_}", f"(({key} * 10473) % 17 - 8) * {long_}", f"(({key} * 31) % 5) * {long_}"]
+
+
+def _product_sql() -> str:
+    pairs = zip(_factor_terms("c_custkey"), _factor_terms("p_partkey"))
+    return " + ".join(f"({a}) * ({b})" for a, b in pairs)
+
+
+@_register(
+    "recommend_factors",
+    f"""WITH s AS (SELECT c_custkey::BIGINT AS "user", p_partkey::BIGINT AS item, ({_product_sql()})::DOUBLE AS rating
+      FROM customer, part),
+    t AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, item) AS position FROM s)
+    SELECT "user", position::INT AS position, item, rating FROM t WHERE position <= 10""",
+)
+def recommend_factors(spark, sf_dir):
+    """Top-k lists by value, from factors that are given, in blocks so small that lists are merged."""
+    sides = [("customer", "c_custkey"), ("part", "p_partkey")]
+    factors = [
+        _table(spark, sf_dir, table).select(F.col(key).alias("id"), F.array(*map(F.expr, _factor_terms(key))).alias("features"))
+        for table, key in sides
+    ]
+    return _listed(R.recommend_factors(*factors, 10, block_rows=400)).withColumn("item", F.col("item").cast("long"))
+
+
 @_register(
     "ranking_adapter_frame",
     f"""WITH {EVENTS_SQL}, {PAIRS_SQL}, n AS (SELECT least(5, count(DISTINCT item)) AS n FROM r)
@@ -1257,6 +1337,22 @@ def enrich_length(spark, sf_dir):
     return answered.select("doc_id", F.col("response.result.length").alias("n"))
 
 
+@_register("enrich_distinct", "SELECT doc_id, length(text)::BIGINT AS n, upper(lang) AS lang FROM documents")
+def enrich_distinct(spark, sf_dir):
+    """Every distinct text, and then every distinct language, sent once."""
+
+    def lengths(texts):
+        return [{"length": len(text)} for text in texts]
+
+    def names(langs):
+        return [{"name": lang.upper()} for lang in langs]
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    answered = E.enrich_distinct(documents, lengths, "text", "response", "struct<length: bigint>").drop("text")
+    named = E.enrich_distinct(answered, names, "lang", "named", "struct<name: string>")
+    return named.select("doc_id", F.col("response.length").alias("n"), F.col("named.name").alias("lang"))
+
+
 @_register(
     "explode_urls",
     """SELECT page_id, unnest(regexp_extract_all(html, '(?:src|href)="([^"]+)"', 1)) AS link FROM pages""",
@@ -1349,6 +1445,30 @@ def capture_windows(spark, sf_dir):
     return spark.read.parquet(out).select(C.epoch_seconds("start").alias("start_s"), "n")
 
 
+@_register(
+    "capture_windows_late",
+    f"""WITH {EVENTS_SQL}, p AS (SELECT *, ({_hash_sql('event_id', '')} % 4)::INT AS partition_id,
+      date_trunc('minute', ts) AS started, ts <= TIMESTAMP '{CUT}' AND event_id % 7 <> 0 AS early FROM r),
+    marks AS (SELECT partition_id, max(ts) - INTERVAL 10 MINUTE AS mark FROM p WHERE early GROUP BY ALL),
+    j AS (SELECT p.*, NOT early AND coalesce(started + INTERVAL 1 MINUTE <= mark, FALSE) AS late FROM p LEFT JOIN marks USING (partition_id))
+    SELECT partition_id, epoch(started)::BIGINT AS start_s, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late,
+      coalesce(sum(event_id) FILTER (late), 0)::BIGINT AS late_ids FROM j GROUP BY ALL""",
+)
+def capture_windows_late(spark, sf_dir):
+    """Every seventh event comes with the later ones; counts per partition, and the ids of the late rows themselves."""
+    root, out, progress = (scratch_path(spark, name) for name in ("parted", "intervals", "progress"))
+    events = _events(spark, sf_dir).select("event_id", "ts", G.partition_id("event_id", 4).alias("PartitionId"))
+    early = F.coalesce((F.col("ts") <= _at(CUT)) & (F.col("event_id") % 7 != 0), F.lit(False))
+    for delivered in (events.filter(early), events.filter(~early)):
+        delivered.write.mode("append").parquet(root)
+        Z.count_intervals(Z.stream_files(spark, root, events.schema), out, progress, "ts").awaitTermination()
+    key = [F.col("PartitionId").alias("partition"), F.date_trunc("minute", "ts").alias("start")]
+    late = Z.read_late(spark, out, events.schema).groupBy(*key).agg(F.sum("event_id").alias("late_ids"))
+    counted = Z.read_intervals(spark, out).join(late, ["partition", "start"], "left")
+    ids = F.coalesce("late_ids", F.lit(0)).cast("long").alias("late_ids")
+    return counted.select(F.col("partition").alias("partition_id"), C.epoch_seconds("start").alias("start_s"), "n", "n_late", ids)
+
+
 @_register(
     "stream_dedup",
     f"WITH {EVENTS_SQL} SELECT DISTINCT event_id, \"user\", item, rating FROM r",

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from types import CodeType, FunctionType, MethodType, ModuleType
 from urllib.parse import unquote
 
@@ -83,6 +85,65 @@ def enrich(
     return answered.withColumns(columns).drop("_answer")
 
 
+def _patient(provider: Provider, values: list, attempts: int, backoff: float) -> list[tuple]:
+    """(response, error) per value; a batch that fails is tried again after a growing pause, then one by one."""
+    for attempt in range(attempts - 1):
+        try:
+            return [(answer, None) for answer in _asked(provider, values)]
+        except Exception:
+            time.sleep(backoff * 2**attempt)
+    return _answers(provider, values)
+
+
+def enrich_distinct(
+    df: DataFrame,
+    provider: Provider,
+    in_col: str,
+    out_col: str,
+    response_schema: str,
+    error_col: str | None = None,
+    concurrency: int | None = None,
+    batch: int = 100,
+    in_flight: int = 4,
+    attempts: int = 3,
+    backoff: float = 0.5,
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """As :func:`enrich`, with each distinct value sent once, however many rows hold it.
+
+    A task keeps ``in_flight`` calls of ``batch`` values going at once, and ``concurrency`` bounds the
+    tasks. A call that fails is made again, ``attempts`` times in all, with pauses that double from
+    ``backoff`` seconds; then its values are tried one by one. Answers are stored before they meet the
+    rows by digest, so reading the result twice sends nothing again (a task that is lost
+    sends its own again); rows of a value that very many hold meet its answer without moving.
+    """
+    key = _free(df, "_key")
+    digest = F.sha2(F.to_json(F.struct(F.col(in_col).alias("v"))), 256)
+    keyed = df.withColumn(key, F.when(F.col(in_col).isNotNull(), digest))
+
+    def respond(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(in_flight) as pool:
+            for values in batches:
+                held = values.tolist()
+                parts = [held[at : at + batch] for at in range(0, len(held), batch)]
+                answered = pool.map(lambda part: _patient(provider, part, attempts, backoff), parts)
+                pairs = [pair for part in answered for pair in part]
+                yield pd.DataFrame(pairs, columns=["response", "error"], dtype=object)
+
+    respond.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    call = F.pandas_udf(respond, f"response {response_schema}, error string")
+    values = keyed.filter(F.col(key).isNotNull()).groupBy(key).agg(F.any_value(in_col).alias("_v"))
+    if concurrency:
+        values = values.repartition(concurrency)
+    answers = materialise(values.select(key, call("_v").alias("_answer")), "answers")
+    answer = _free(df, "_answer")
+    found = lookup_join(keyed, answers.withColumnRenamed("_answer", answer), key, "left", min_rows)
+    columns = {out_col: F.col(f"{answer}.response")}
+    if error_col:
+        columns[error_col] = F.col(f"{answer}.error")
+    return found.withColumns(columns).drop(key, answer)
+
+
 def extract_links(df: DataFrame, html: str, out: str) -> DataFrame:
     """Targets of all src and href attributes, as a search-response array of (url)."""
     found = F.regexp_extract_all(F.col(html), F.lit(LINK_PATTERN), F.lit(1))

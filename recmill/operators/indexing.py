@@ -43,13 +43,15 @@ def apply_index(
     ``heavy`` may name the heavy labels of ``df``, as :func:`heavy_labels` does for
     the rows the index was built on; otherwise they are counted.
     """
-    named = index.select(F.col("label").alias(col), F.col("index").alias(out))
-    labelled = df.filter(F.col(col).isNotNull())
-    joined = lookup_join(labelled, named, col, "left", min_rows, heavy)
+    # NULL labels meet nothing, and may be many: a second key spreads them by where they come from
+    spread = "_spread"
+    while spread in (*df.columns, out):
+        spread = f"_{spread}"
+    named = index.select(F.col("label").alias(col), F.col("index").alias(out), F.col("label").isNull().cast("int").alias(spread))
+    spared = F.when(F.col(col).isNull(), F.spark_partition_id() + 1).otherwise(0).alias(spread)
+    joined = lookup_join(df.select("*", spared), named, [col, spread], "left", min_rows, heavy)
     unknown = index.agg(F.count(F.lit(1)).cast("int")).scalar()
-    known = joined.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
-    # NULL labels meet nothing, and may be many: they stay where they are
-    return known.unionByName(df.filter(F.col(col).isNull()).select(*df.columns, unknown.alias(out)))
+    return joined.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
 
 
 def index_column(df: DataFrame, col: str, out: str, min_rows: int = HEAVY_ROWS) -> DataFrame:

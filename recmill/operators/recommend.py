@@ -85,6 +85,17 @@ def recommend_all(model: ALSModel, k: int, block_rows: int = BLOCK_ROWS) -> Data
     return _best_items(model.userFactors, model.itemFactors, k, model.getUserCol(), block_rows)
 
 
+def recommend_factors(
+    users: DataFrame, items: DataFrame, k: int, user: str = "user", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Top-k items for every user by the product of factors, both given as (id int, features array<float>).
+
+    For factors from anywhere, such as a model trained elsewhere. Equal products go to the smaller item.
+    """
+    typed = [side.select(F.col("id").cast("int"), F.col("features").cast("array<float>")) for side in (users, items)]
+    return _best_items(*typed, k, user, block_rows)
+
+
 def _first_k(
     rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int
 ) -> tuple[np.ndarray, np.ndarray]:

@@ -22,6 +22,7 @@ from recmill.sources.scratch import materialise
 HEAVY_ROWS = 10_000_000
 HEAVY_LIMIT = 10_000
 GLOBAL_ROWS = 1_000_000  # most rows ranked as one group by one task
+SHARES = 16  # copies of a looked-up row where too many keys are heavy to list them
 SEEN_ROWS = 1_000
 CERTAINTY = 0.8  # six standard deviations below SEEN_ROWS
 SAMPLE_SEED = 42
@@ -172,7 +173,7 @@ def count_in_group(
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     how: str = "inner",
     min_rows: int = HEAVY_ROWS,
     heavy: Sequence[Row] | None = None,
@@ -180,13 +181,24 @@ def lookup_join(
     """Join ``left`` to a table with one row per ``key``.
 
     Rows of a heavy key meet their single right row by broadcast and never move;
-    all other rows take the join Spark chooses. ``how`` is inner or left. A caller
-    that already knows the heavy keys of ``left`` passes them.
+    all other rows take the join Spark chooses. Where the list of heavy keys is full, it may
+    leave some out: then each row of the table is repeated ``SHARES`` times, and the rows of a
+    key are shared among the copies by the partition they come from. ``how`` is inner or left. A caller
+    that already knows the heavy keys of ``left`` passes them. Of several key columns the
+    first one is the key that may be heavy, and the others only spread its rows.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if heavy is None:
-        heavy = heavy_keys(left, [key], min_rows)
+        heavy = heavy_keys(left, keys[:1], min_rows, HEAVY_LIMIT)
     if not heavy:
-        return left.join(right, key, how)
-    hot, cold = split_heavy(left, [key], heavy)
-    few = _semi(right, _heavy_table(left, [key], heavy), [key], "left_semi")
-    return hot.join(F.broadcast(few), key, how).unionByName(cold.join(right, key, how))
+        return left.join(right, keys, how)
+    if len(heavy) >= HEAVY_LIMIT:
+        share = "_share"
+        while share in left.columns or share in right.columns:
+            share = f"_{share}"
+        shared = left.withColumn(share, F.pmod(F.spark_partition_id(), F.lit(SHARES)))
+        copies = right.withColumn(share, F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        return shared.join(copies, [*keys, share], how).drop(share)
+    hot, cold = split_heavy(left, keys[:1], heavy)
+    few = _semi(right, _heavy_table(left, keys[:1], heavy), keys[:1], "left_semi")
+    return hot.join(F.broadcast(few), keys, how).unionByName(cold.join(right, keys, how))

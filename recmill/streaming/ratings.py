@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from recmill.operators.serving import latest_per_key, publish_upsert
+from recmill.sources.paths import child_names, is_complete
 from recmill.sources.messages import decode_messages, filter_rating
 
 WATERMARK = "10 minutes"
@@ -65,6 +67,78 @@ def capture_windows(
     return counts.select(F.col("window.start").alias("start"), *keys, "n")
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The unique id of the query that owns a checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def count_intervals(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    ts: str,
+    partition: str = "PartitionId",
+    interval: str = "60 seconds",
+    lateness: str = WATERMARK,
+) -> StreamingQuery:
+    """Messages per partition and tumbling interval, with late ones kept apart; read by :func:`read_intervals`.
+
+    Every partition has a watermark of its own: its newest message of earlier batches less ``lateness``.
+    A slow partition is thus not late for a fast one. A message whose interval ends at or before it, and one
+    without a time, is late: it is counted as such and goes whole to a table (:func:`read_late`). On-time
+    and late messages together are all. A batch writes its counts and watermarks into folders of
+    its number, which a replay writes again, so nothing counts twice; no interval is held in state, so memory does
+    not grow with lateness. Give a ``root`` to one query, with its own checkpoint.
+    """
+    root = root.rstrip("/")
+    schema = stream.select(F.col(partition).alias("partition"), F.col(ts).alias("newest")).schema
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        of = f"query={_query_id(spark, checkpoint)}"
+        folder = lambda kind, n: f"{root}/{kind}/{of}/batch={n}"
+        numbers = [int(name.split("=")[1]) for name in child_names(spark, f"{root}/marks/{of}")]
+        earlier = [n for n in sorted(numbers) if n < batch_id and is_complete(spark, folder("marks", n))]
+        marks = spark.createDataFrame([], schema)
+        if earlier:
+            marks = spark.read.schema(schema).parquet(folder("marks", earlier[-1]))
+        closed = marks.select(F.col("partition").alias("_of"), (F.col("newest") - F.expr(f"INTERVAL {lateness}")).alias("_mark"))
+
+        placed = batch.join(closed, F.col(partition).eqNullSafe(F.col("_of")), "left")
+        length = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {interval})")
+        begun = F.unix_micros(ts) - F.pmod(F.unix_micros(ts), length)  # a window expression would drop rows without a time
+        late = F.col(ts).isNull() | F.coalesce(begun + length <= F.unix_micros("_mark"), F.lit(False))
+        shown = placed.select(
+            F.col(partition).alias("partition"), F.timestamp_micros(begun).alias("start"), F.col(ts).alias("_ts"), late.alias("_late")
+        )
+        counts = shown.groupBy("partition", "start").agg(
+            F.count_if(~F.col("_late")).alias("n"), F.count_if("_late").alias("n_late"), F.max("_ts").alias("newest")
+        )
+        counts.write.mode("overwrite").parquet(folder("counts", batch_id))
+        counted = spark.read.schema(counts.schema).parquet(folder("counts", batch_id))
+        if counted.filter("n_late > 0").limit(1).count():
+            placed.filter(late).select(*batch.columns).write.mode("overwrite").parquet(folder("late", batch_id))
+        newest = marks.unionByName(counted.select("partition", "newest")).groupBy("partition").agg(F.max("newest").alias("newest"))
+        newest.coalesce(1).write.mode("overwrite").parquet(folder("marks", batch_id))
+
+    writer = stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def read_intervals(spark: SparkSession, root: str) -> DataFrame:
+    """(partition, start, n, n_late) of what :func:`count_intervals` counted; messages without a time under a NULL start."""
+    counts = spark.read.parquet(f"{root.rstrip('/')}/counts")
+    return counts.groupBy("partition", "start").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+
+
+def read_late(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
+    """The late messages that :func:`count_intervals` kept apart; empty where there were none."""
+    folder = f"{root.rstrip('/')}/late"
+    if not child_names(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.option("recursiveFileLookup", True).schema(schema).parquet(folder)
+
+
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything available now to a Parquet table; start it again for more."""
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
