@@ -176,10 +176,14 @@ def count_edits(
 def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id", order_col: str = "seq", out: str = "edits") -> DataFrame:
     """``docs`` with the edits of ``edits`` (id, order, pos, delete, insert) as an array in order.
 
-    A document without edits gets null; edits of null or unknown ids are left out.
+    A document without edits gets null; edits of null or unknown ids are left out. A column ``out`` is replaced.
     """
     entry = F.struct(F.col(order_col), F.struct("pos", "delete", "insert").alias("e"))
-    listed = edits.groupBy(F.col(id_col).alias("_id")).agg(
+    own = "_id"
+    while own.lower() in {c.lower() for c in (*docs.columns, out)}:
+        own = f"_{own}"
+    listed = edits.groupBy(F.col(id_col).alias(own)).agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]).alias(out)
     )
-    return docs.join(listed, docs[id_col] == F.col("_id"), "left").drop("_id")
+    docs = docs.drop(out)
+    return docs.join(listed, docs[id_col] == F.col(own), "left").drop(own)

@@ -239,11 +239,13 @@ def keep_first(
     first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.digest").alias("_digest"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("digest").eqNullSafe(F.col("_digest"))
     names = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
-    lost = _sized(materialise(copies.join(first, same, "left_anti").select(*names), "lost"))
+    lost = materialise(copies.join(first, same, "left_anti").select(*names), "lost")
     again = materialise(copies.filter("n > 1").join(first, same, "left_semi").select(*names), "again")
 
-    here = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & F.md5(docs[text_col].cast("string")).eqNullSafe(F.col("_digest"))
-    kept = docs.join(lost, here, "left_anti")
+    own, mark = (_unused(docs, name) for name in ("_id", "_digest"))  # docs may have columns of these names
+    lost, again = (table.withColumnsRenamed({"_id": own, "_digest": mark}) for table in (lost, again))
+    here = docs[id_col].cast("long").eqNullSafe(F.col(own)) & F.md5(docs[text_col].cast("string")).eqNullSafe(F.col(mark))
+    kept = docs.join(_sized(lost), here, "left_anti")
     if not again.limit(1).count():
         return kept
     again = _sized(again)
@@ -251,6 +253,14 @@ def keep_first(
     return kept.join(again, here, "left_anti").unionByName(once)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer where the columns have it already."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def _sized(table: DataFrame) -> DataFrame:
     """The stored table, marked for broadcasting where it is small."""
     return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
