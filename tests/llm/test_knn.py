@@ -53,3 +53,34 @@ def test_few_candidates_are_all_given(spark):
 def test_large_integers_stay_exact():
     a = np.array([[2**40 + 1, 3]]), np.array([[2**20 + 1, -5]])
     assert knn.products(*a)[0, 0] == (2**40 + 1) * (2**20 + 1) - 15
+
+
+def clustered(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 16)) * 4
+    rows = [(i, (centres[i % 12] + rng.normal(size=16) * 0.1).tolist()) for i in range(600)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_most_pairs_of_clustered_vectors_are_left_out(spark, monkeypatch):
+    rows, table = clustered(spark)
+    asked = table.filter("vec_id % 5 = 0")
+    assert knn.kept_share(table, asked, 7) < 0.3
+    want = brute(rows, [r for r in rows if r[0] % 5 == 0], 7)
+    for bucket in (8192, 16):
+        monkeypatch.setattr(knn, "BUCKET", bucket)
+        assert found(knn.top_k(table, asked, 7)) == want
+
+
+def test_repeats_of_the_own_id_do_not_raise_the_bound(spark):
+    rows = [(0, [1.0, 0.0])] * 9 + [(i, [0.01 * i, 1.0]) for i in range(1, 9)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(knn.top_k(table, table.filter("vec_id = 0"), 3, pivots=4)) == brute(rows, rows[:1], 3)
+
+
+def test_groups_hold_near_cells_up_to_a_bucket(monkeypatch):
+    monkeypatch.setattr(knn, "BUCKET", 10)
+    pivots = np.array([[0], [1], [50], [51], [99]])
+    group = knn._groups(pivots, np.array([5, 5, 12, 3, 0]))
+    assert group[0] == group[1] and group[2] != group[3] and group[4] == -1
+    assert len(set(group[:4])) == 3
