@@ -30,13 +30,17 @@ GIVEN = {
     "open latin": ["Alex", "Andrea", "Chris", "Dominique", "Eden", "Florence", "Jamie", "Kim", "Lou", "Morgan", "Noel", "Quinn", "Robin", "Sam", "Toni", "Valery"],
     "male cyrillic": ["Андрей", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Максим", "Никита", "Олег", "Павел", "Роман", "Степан", "Тарас"],
     "female cyrillic": ["Анна", "Белла", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Кира", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "Софья", "Тамара"],
+    "male greek": ["Αλέξης", "Γιάννης", "Δημήτρης", "Ηλίας", "Θωμάς", "Κώστας", "Μάρκος", "Νίκος", "Πέτρος", "Σπύρος"],
+    "female greek": ["Άννα", "Βάσω", "Δάφνη", "Ελένη", "Ζωή", "Ιωάννα", "Κατερίνα", "Μαρία", "Νίκη", "Σοφία"],
+    "open greek": ["Αγάπη", "Χαρά", "Φώτη", "Ρένη", "Λία", "Τόνια", "Μένη", "Πόπη", "Ρούλη", "Χρύση"],
     "open cyrillic": ["Саша", "Женя", "Валя", "Слава", "Шура", "Паша", "Миша", "Никита", "Лёша", "Тоня", "Рома", "Стася", "Ася", "Сеня", "Витя", "Мика"],
 }
 SYLLABLES = {
     "latin": ["bar", "den", "fal", "gor", "han", "kel", "lin", "mar", "nor", "pel", "ros", "san", "tor", "ver", "wil", "zan"],
     "cyrillic": ["бар", "ден", "вал", "гор", "жан", "кел", "лин", "мар", "нор", "пел", "рос", "сан", "тор", "вер", "мил", "зан"],
+    "greek": ["βαρ", "δεν", "φαλ", "γορ", "καν", "κελ", "λιν", "μαρ", "νορ", "πελ", "ροσ", "σαν", "τορ", "βερ", "μιλ", "ζαν"],
 }
-FAMILY_ENDS = {"latin": ["son", "er", "ini", "ez"], "cyrillic": ["ов", "ин", "ский", "енко"]}
+FAMILY_ENDS = {"latin": ["son", "er", "ini", "ez"], "cyrillic": ["ов", "ин", "ский", "енко"], "greek": ["ίδης", "άκης", "όπουλος", "άτος"]}
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -98,7 +102,7 @@ def _is_card(text: Column) -> Column:
 
 
 def _script(text: Column) -> Column:
-    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
 def _titled(titles: list[str]) -> str:
@@ -277,16 +281,16 @@ def _named(mention: Column, mapped: Column) -> Column:
     return let(_name_words(mention), of)
 
 
-def _known_names(mapped: Column) -> Column:
-    """A pattern of the full and family names of a text's map where they occur without a title; null if it has none.
+def _known(mapped: Column) -> Column:
+    """A pattern of the full and family names, without a title, and the secrets, without a label, of a text's map.
 
-    Names are letters, hyphens and apostrophes; the longer of two that begin alike comes first.
+    Null if it has none. Names are letters, hyphens and apostrophes; the longer of two that begin alike comes first.
     """
     of = lambda kinds: F.array_join(
         F.sort_array(
             F.array_distinct(
                 F.transform(
-                    F.filter(F.map_keys(mapped), lambda k: k.rlike(f"^(?:{kinds}) (?:latin|cyrillic)\x1f")),
+                    F.filter(F.map_keys(mapped), lambda k: k.rlike(f"^(?:{kinds})\x1f")),
                     lambda k: F.substring_index(k, "\x1f", -1),
                 )
             ),
@@ -294,10 +298,13 @@ def _known_names(mapped: Column) -> Column:
         ),
         "|",
     )
-    given, family = of("male|female|open"), of("family")
+    scripts = f"(?:{'|'.join(SYLLABLES)})"
+    given, family, secret = of(f"(?:male|female|open) {scripts}"), of(f"family {scripts}"), F.replace(of("secret"), F.lit("+"), F.lit(r"\+"))
     before = F.concat(F.when(given != "", F.concat(given, F.lit("|"))).otherwise(""), F.lit(r"(?:\p{Lu}\.)+"))
     full = F.concat(F.lit(r"(?<!\p{L})(?:(?:"), before, F.lit(r")[ \xA0])*(?:"), family, F.lit(r")(?!\p{L})"))
-    return F.when(family != "", full)
+    bare = F.concat(F.lit(r"(?<![\w+/-])(?:"), secret, F.lit(r")(?![\w+/-])"))
+    both = F.concat_ws("|", F.when(family != "", full), F.when(secret != "", bare))
+    return F.when(both != "", both)
 
 
 def _written(mention: Column, mapped: Column) -> Column:
@@ -324,7 +331,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     Kinds: e-mail and IP addresses, phone numbers with a country code or separators, payment cards, social
     security numbers, labelled secrets, and names after a title. ``count_col`` adds the
     number of mentions replaced. The full and family names of a text's titled persons are
-    replaced in it where they stand without a title, too. Null and empty texts, and texts without a mention, stay as
+    replaced in it where they stand without a title, too, and its secrets where they stand without a label. Null and empty texts, and texts without a mention, stay as
     they are (count 0). Equal texts get equal results. The same key gives the same
     surrogates as long as the set of entities that collide is the same.
     """
@@ -343,7 +350,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     named = parts.join(mapping.withColumnsRenamed({"kind": "_kind", "entity": "_entity"}), (F.col("kind") == F.col("_kind")) & (F.col("entity") == F.col("_entity")))
     entry = F.struct(F.concat("kind", F.lit("\x1f"), "entity").alias("k"), F.col("surrogate").alias("v"))
     maps = named.groupBy(F.col("key").alias("_key")).agg(F.map_from_entries(F.collect_set(entry)).alias("_map"))
-    maps = materialise(maps.withColumn("_known", _known_names(F.col("_map"))), "maps")
+    maps = materialise(maps.withColumn("_known", _known(F.col("_map"))), "maps")
 
     small = parts.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
     joined = rows.join(F.broadcast(maps) if small else maps, F.md5(text) == F.col("_key"), "left")

@@ -71,8 +71,22 @@ def test_cards_keep_issuer_format_and_check_digit(replaced):
 
 
 def test_secrets(replaced):
-    found = re.match(r'token = "([0-9a-z]{40})" and api_key: ([A-Z]{4}\d{4}[a-z]{4}\d{4}); plain 04dbebab91ab85687d33eeaaf9ac699e1188f962$', text(replaced, 4))
-    assert found and found[1] != "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    found = re.match(r'token = "([0-9a-z]{40})" and api_key: ([A-Z]{4}\d{4}[a-z]{4}\d{4}); plain ([0-9a-z]{40})$', text(replaced, 4))
+    assert found and found[1] == found[3] != "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
+
+def test_repeated_secrets_and_greek_names(spark):
+    rows = [
+        (1, "password: correct+horse/battery+staple and again correct+horse/battery+staple, not xcorrect+horse/battery+staple"),
+        (2, "elsewhere correct+horse/battery+staple stays, it has no label here"),
+        (3, "Dr Παπαδόπουλος met Mrs Μαρία Νικολάου. Παπαδόπουλος left."),
+    ]
+    done = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    found = re.fullmatch(r"password: (\S+) and again (\S+), not xcorrect\+horse/battery\+staple", done[1])
+    assert found[1] == found[2] != "correct+horse/battery+staple" and re.fullmatch(r"[a-z]+\+[a-z]+/[a-z]+\+[a-z]+", found[1])
+    assert done[2] == rows[1][1]
+    greek = re.fullmatch("Dr ([Α-Ωα-ωά-ώ]+) met Mrs ([Α-Ωα-ωά-ώΆ-Ώ]+) ([Α-Ωα-ωά-ώ]+)\\. ([Α-Ωα-ωά-ώ]+) left\\.", done[3])
+    assert greek[1] == greek[4] != "Παπαδόπουλος" and greek[2] in pii.GIVEN["female greek"] and greek[3] != greek[1]
 
 
 def test_names_match_gender_and_script_and_agree(replaced):
