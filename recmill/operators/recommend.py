@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +17,11 @@ from recmill.operators.prep import active_items
 from recmill.operators.skew import HEAVY_ROWS, rank_in_group
 from recmill.sources.scratch import materialise
 
-BLOCK_ROWS = 65_536  # most users, about, that meet a block of items in one task
+BLOCK_ROWS = 65_536  # users, about, that meet a block of items in one task
 ITEM_FACTOR = 4  # an item block is larger by this, as every user is sent once per item block
-FEW_USERS, MANY_BLOCKS = 2048, 64  # fewer users than would fill this many blocks are dealt in smaller ones
+FEW_USERS, MANY_BLOCKS = 2048, 24  # fewer users than would fill this many blocks are dealt in smaller ones
+MANY_ITEM_BLOCKS = 4  # beyond these counts blocks grow instead, up to BLOCK_FLOATS, and are sent no more often
+BLOCK_FLOATS = 16_000_000  # most factors of a block, about
 _BLOCK_USERS = 512
 _BLOCK_ITEMS = 2048
 _SLACK = 1e-6  # relative rounding of a product, for each factor
@@ -169,20 +174,42 @@ def _best_items_of(
     return ids, best
 
 
-def _block_scorer(k: int, user: str):
+def _packed(rank: int):
+    """Rows (_own, id, features) as one row per batch and own block, with ids and factors in bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, ids = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("_own", "id"))
+            flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+            factors = flat.astype(np.float32, copy=False).reshape(batch.num_rows, rank)
+            order = np.argsort(own, kind="stable")
+            blocks, starts = np.unique(own[order], return_index=True)
+            parts = np.split(order, starts[1:])
+            columns = [
+                pa.array(blocks, pa.int32()),
+                pa.array([ids[part].astype(np.int32).tobytes() for part in parts], pa.binary()),
+                pa.array([factors[part].tobytes() for part in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["_own", "ids", "factors"])
+
+    return pack
+
+
+def _block_scorer(k: int, user: str, rank: int):
     """Scores the users of a block pair against its items, some users at a time."""
 
-    def factors(rows: pa.Table) -> np.ndarray:
-        flat = rows.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(rows.num_rows, -1)
+    def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids, factors = (b"".join(rows.column(name).to_pylist()) for name in ("ids", "factors"))
+        return np.frombuffer(ids, np.int32), np.frombuffer(factors, np.float32).reshape(-1, rank)
 
     def score(block: pa.Table) -> pa.Table:
-        is_user = block.column("is_user").to_numpy()
-        asked, offered = block.filter(pa.array(is_user)), block.filter(pa.array(~is_user))
-        item_ids, ids_of, lists_of = offered.column("id").to_numpy(), [], []
+        asked, offered = block.filter(block.column("is_user")), block.filter(pc.invert(block.column("is_user")))
+        ids_of, lists_of = [], []
         if asked.num_rows and offered.num_rows:
-            users, names = factors(asked), asked.column("id").to_numpy()
-            item_ids, items, norms = _by_norm(item_ids, factors(offered))
+            names, users = unpacked(asked)
+            item_ids, items, norms = _by_norm(*unpacked(offered))
             for start in range(0, len(users), _BLOCK_USERS):
                 ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k, norms)
                 entry = [pa.array(ids.ravel(), pa.int64()), pa.array(best.ravel().astype(float), pa.float64())]
@@ -208,31 +235,46 @@ def _merged(lists: DataFrame, user: str, k: int) -> DataFrame:
     return lists.groupBy(user).agg(plain.cast(RECOMMENDATIONS_TYPE).alias("recommendations"))
 
 
+def _block_counts(n_users: int, n_items: int, rank: int, block_rows: int) -> tuple[int, int]:
+    """Into how many blocks users and items are dealt.
+
+    Up to ``MANY_BLOCKS`` block pairs, or as many as keep every block below ``BLOCK_FLOATS``:
+    so what is sent grows with users and items, and not with their product.
+    """
+    least = lambda n: -(-n * rank // BLOCK_FLOATS)
+    item_blocks = max(1, least(n_items), min(MANY_ITEM_BLOCKS, -(-n_items // (ITEM_FACTOR * block_rows))))
+    wanted = max(-(-n_users // block_rows), min(MANY_BLOCKS, -(-n_users // FEW_USERS)))
+    return max(1, least(n_users), min(-(-MANY_BLOCKS // item_blocks), wanted)), item_blocks
+
+
 def _best_items(users: DataFrame, items: DataFrame, k: int, user: str, block_rows: int) -> DataFrame:
     """Top-k of ``items`` for each of ``users``, both (id, features).
 
     User-item pairs are never rows, and no factors visit the driver: users are dealt into
     blocks of about ``block_rows`` and items into larger ones, every user block meets every
     item block in one task as matrix products, and only k entries per user and item block
-    leave it. Few users are dealt in smaller blocks, so that more tasks share them.
+    leave it. Few users are dealt in smaller blocks, so that more tasks share them, and many in
+    larger ones. Factors travel packed, thousands of users or items to a row.
     """
-    n_users, n_items = (side.count() for side in (users, items))
-    user_blocks = max(1, -(-n_users // block_rows), min(MANY_BLOCKS, -(-n_users // FEW_USERS)))
-    item_blocks = max(1, -(-n_items // (ITEM_FACTOR * block_rows)))
+    sized = F.coalesce(F.max(F.size("features")), F.lit(0))
+    (n_users, rank), (n_items, _) = (side.agg(F.count(F.lit(1)), sized).first() for side in (users, items))
+    user_blocks, item_blocks = _block_counts(n_users, n_items, rank, block_rows)
 
     def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int, is_user: bool) -> DataFrame:
-        return side.select(
-            F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
+        block = F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias("_own")
+        packed = side.select(block, "id", "features").mapInArrow(_packed(rank), "_own int, ids binary, factors binary")
+        return packed.select(
+            F.col("_own").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
             F.lit(is_user).alias("is_user"),
-            "id",
-            "features",
+            "ids",
+            "factors",
         )
 
     asked = dealt(users, "_u", user_blocks, "_i", item_blocks, True)
     offered = dealt(items, "_i", item_blocks, "_u", user_blocks, False)
     blocks = asked.unionByName(offered).groupBy("_u", "_i")
-    lists = blocks.applyInArrow(_block_scorer(k, user), f"{user} int, recommendations {RECOMMENDATIONS_TYPE}")
+    lists = blocks.applyInArrow(_block_scorer(k, user, rank), f"{user} int, recommendations {RECOMMENDATIONS_TYPE}")
     return lists if item_blocks == 1 else _merged(lists, user, k)
 
 

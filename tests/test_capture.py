@@ -196,3 +196,19 @@ def test_factors_given_as_tables(spark):
             u = [float(row["user"] % 3), 1.0]
             scored = sorted((-(u[0] * (i % 4) + u[1] * (i % 2)), i) for i in range(12))
             assert [(-e["rating"], e["itemId"]) for e in row["recommendations"]] == scored[:5]
+
+
+def test_blocks_grow_instead_of_being_sent_more_often(spark):
+    for n, rank in ((900_000, 3), (5_400_000, 10), (400_000_000, 10)):
+        user_blocks, item_blocks = recommend._block_counts(n, n, rank, 400)
+        assert n * rank <= min(user_blocks, item_blocks) * recommend.BLOCK_FLOATS
+        assert user_blocks <= max(recommend.MANY_BLOCKS, n * rank / recommend.BLOCK_FLOATS + 1)
+        assert item_blocks <= max(recommend.MANY_ITEM_BLOCKS, n * rank / recommend.BLOCK_FLOATS + 1)
+    users = spark.range(3000).selectExpr("id", "array(id % 7 - 3, id % 11 - 5) AS features")
+    items = spark.range(2500).selectExpr("id", "array(id % 13 - 6, id % 5 - 2) AS features")
+    found = recommend.recommend_factors(users, items, 3, block_rows=1).collect()
+    assert len(found) == 3000
+    for row in found[::97]:
+        u = (row["user"] % 7 - 3, row["user"] % 11 - 5)
+        scored = sorted((-(u[0] * (i % 13 - 6) + u[1] * (i % 5 - 2)), i) for i in range(2500))
+        assert [(-e["rating"], e["itemId"]) for e in row["recommendations"]] == scored[:3]
