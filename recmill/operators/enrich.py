@@ -11,7 +11,10 @@ from concurrent.futures import ThreadPoolExecutor
 from types import CodeType, FunctionType, MethodType, ModuleType
 from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ LINK_PATTERN = r'(?:src|href)="([^"]+)"'
 INLINE_WORDS = 10_000  # most words placed into an expression
 INLINE_NAMES = 50  # most names looked for within the row
 BROADCAST_WORDS = 1_000_000  # most words broadcast
+PART_CHARS = 32_000_000  # characters of text, about, that one task reads at once
+SLICE_NAMES = 1_000_000  # names, about, that one task looks for at once
 MANIFEST = "_manifest.json"
 Provider = Callable[[Sequence], Sequence]
 
@@ -177,8 +182,9 @@ def _free(df: DataFrame, name: str) -> str:
 def _by_text(df: DataFrame, text: str, found: DataFrame, default: Column, out: str) -> DataFrame:
     """``df`` with ``found`` (_key, _value) of each row's text; NULL for a NULL text."""
     key, value = _free(df, "_key"), _free(df, "_value")
-    joined = df.join(found.select(F.col("_key").alias(key), F.col("_value").alias(value)), F.md5(F.col(text)) == F.col(key), "left")
-    filled = F.when(F.col(text).isNotNull(), F.coalesce(F.col(value), default))
+    keyed = df.withColumn(key, F.md5(F.col(text)))  # so that rows whose text is not asked for move without it
+    joined = keyed.join(found.select(F.col("_key").alias(key), F.col("_value").alias(value)), key, "left")
+    filled = F.when(F.col(key).isNotNull(), F.coalesce(F.col(value), default))
     return joined.withColumn(out, filled).drop(key, value)
 
 
@@ -188,6 +194,57 @@ def _texts(df: DataFrame, text: str) -> DataFrame:
     return texts.groupBy(F.md5("_text").alias("_key")).agg(F.min("_text").alias("_text"))
 
 
+def _in_parts(df: DataFrame, text: str) -> DataFrame:
+    """(_key, _text, _part) of the rows that have a text, stored; a part is about ``PART_CHARS`` characters of neighbouring rows."""
+    keyed = df.select(F.md5(F.col(text)).alias("_key"), F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
+    stored = materialise(keyed.withColumn("_id", F.monotonically_increasing_id()), "parts")
+    mean = stored.agg(F.avg(F.length("_text"))).first()[0] or 1
+    rows = max(1, int(PART_CHARS / max(mean, 1)))
+    return stored.select("_key", "_text", F.floor(F.col("_id") / rows).alias("_part"))
+
+
+def _part_words(parts: DataFrame) -> DataFrame:
+    """(_part, _word, _n): the distinct words of each part and how often it has them, stored."""
+    tokens = parts.select("_part", F.explode(words("_text")).alias("_word"))
+    return materialise(tokens.groupBy("_part", "_word").agg(F.count(F.lit(1)).alias("_n")), "words")
+
+
+def _met(parts: DataFrame, known: DataFrame, keys: Sequence[str], body, schema: str) -> DataFrame:
+    """``body`` of the texts (_key, _running) of each part and of the rows of ``known`` that are for it."""
+    running = parts.select(*keys, "_key", F.array_join(words("_text"), " ").alias("_running"))
+    return running.groupBy(*keys).cogroup(known.groupBy(*keys)).applyInArrow(body, schema)
+
+
+def _split(texts: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and where each text's begin and the last's end."""
+    pieces = pc.split_pattern(texts.column("_running").cast(pa.large_string()).combine_chunks(), " ")
+    lengths = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+    return pieces.flatten(), np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+
+
+def _places(found: pa.Array, known: pa.Array) -> np.ndarray:
+    """The place of each word in ``known``, -1 where it is not there."""
+    return pc.fill_null(pc.index_in(found, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _large(column: pa.ChunkedArray) -> pa.Array:
+    return column.cast(pa.large_string()).combine_chunks()
+
+
+def _mean_weights(texts: pa.Table, weights: pa.Table) -> pa.Table:
+    """(_key, _value): the mean weight of the known words of each text that has any."""
+    found, starts = _split(texts)
+    place = _places(found, _large(weights.column("_word")))
+    here = np.flatnonzero(place >= 0)
+    row = np.searchsorted(starts, here, side="right") - 1
+    weight = weights.column("_weight").to_numpy()[place[here]]
+    n = np.bincount(row, minlength=texts.num_rows)
+    total = np.bincount(row, weights=weight, minlength=texts.num_rows)
+    some = np.flatnonzero(n)
+    keys = texts.column("_key").combine_chunks().take(pa.array(some))
+    return pa.table({"_key": keys, "_value": pa.array(total[some] / n[some], pa.float64())})
+
+
 def sentiment(
     df: DataFrame,
     text: str,
@@ -202,8 +259,9 @@ def sentiment(
     ``lexicon`` maps words to weights, or is a table of (word, weight), of any size; words
     are lower-cased, empty ones and null weights left out, and a repeated word has its mean
     weight. Up to ``max_inline`` words are looked up within the row and the texts stay
-    where they are; more are joined to the words of each distinct text, by broadcast up to
-    ``max_broadcast``. No lexicon word, no score.
+    where they are; up to ``max_broadcast`` are broadcast to the words of each distinct text.
+    More are joined to the distinct words of each part of the texts, of some megabytes, and
+    the texts of a part meet only those. No lexicon word, no score.
     """
     if isinstance(lexicon, DataFrame):
         named = lexicon.select(F.lower("word").alias("_word"), F.col("weight").cast("double").alias("_weight"))
@@ -221,16 +279,14 @@ def sentiment(
         named = df.sparkSession.createDataFrame(list(few.items()), "_word string, _weight double")
     if size <= max_inline:
         score = _inline_score(text, few)
-    else:
+    elif size <= max_broadcast:
         tokens = _texts(df, text).select("_key", F.explode(words("_text")).alias("_word"))
-        if size <= max_broadcast:
-            known = tokens.join(F.broadcast(named), "_word")
-        else:
-            counted = tokens.groupBy("_key", "_word").agg(F.count(F.lit(1)).alias("_n"))
-            known = lookup_join(counted, named, "_word", "inner", min_rows)
-        times = F.col("_n") if size > max_broadcast else F.lit(1)
-        mean = F.sum(F.col("_weight") * times) / F.sum(times)
-        scores = known.groupBy("_key").agg(mean.alias("_value"))
+        scores = tokens.join(F.broadcast(named), "_word").groupBy("_key").agg(F.avg("_weight").alias("_value"))
+    else:
+        parts = _in_parts(df, text)
+        weights = lookup_join(_part_words(parts).select("_part", "_word"), named, "_word", "inner", min_rows)
+        scores = _met(parts, weights, ["_part"], _mean_weights, "_key string, _value double").dropDuplicates(["_key"])
+    if size > max_inline:
         df, score = _by_text(df, text, scores, F.lit(None).cast("double"), "_score"), F.col("_score")
     scored = df.withColumn(out, F.array(F.struct(score.alias("score"))))
     return scored if size <= max_inline else scored.drop("_score")
@@ -287,27 +343,101 @@ def _held(running: Column, candidates: Column) -> Column:
     return F.element_at(F.transform(F.array(running), found), 1)
 
 
-def _by_rarest_word(texts: DataFrame, names: DataFrame, few: bool, min_rows: int) -> DataFrame:
-    """(_key, _value): the names of several words, or one, that each of ``texts`` (_key, _text) holds.
-
-    A name is indexed by that of its words which fewest texts have, and is looked for only in
-    texts that have it. ``few`` names are broadcast.
+class _Trie:
+    """Names as word runs: a level for each word, the numbered runs of so many words that begin a name."""
+
+    def __init__(self, names: pa.Array):
+        pieces = pc.split_pattern(names, " ")
+        flat, sizes = pieces.flatten(), pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        self.words = pc.unique(flat)
+        ids, run, rows = _places(flat, self.words), np.zeros(len(sizes), np.int64), np.arange(len(sizes))
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # the codes of a level's runs, and the name each is or -1
+        for depth in range(sizes.max(initial=0)):
+            rows = rows[sizes[rows] > depth]
+            codes, run[rows] = np.unique(run[rows] * len(self.words) + ids[starts[rows] + depth], return_inverse=True)
+            whole, ends = np.full(len(codes), -1), rows[sizes[rows] == depth + 1]
+            whole[run[ends]] = ends
+            self.levels.append((codes, whole))
+
+    def hits(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, number of words, name) of every occurrence; ``ends`` is where the text of a place ends."""
+        at, found = np.flatnonzero(ids >= 0), []
+        run = np.zeros(len(at), np.int64)
+        for depth, (codes, whole) in enumerate(self.levels):
+            inside = at + depth < ends[at]
+            at, run = at[inside], run[inside]
+            word = ids[at + depth]
+            code = run * len(self.words) + word
+            run = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            on = (word >= 0) & (codes[run] == code)
+            at, run = at[on], run[on]
+            names = whole[run]
+            ended = names >= 0
+            found.append((at[ended], np.full(ended.sum(), depth + 1), names[ended]))
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+
+FOUND = "array<struct<at:int,n:int,name:string>>"
+
+
+def _names_found(texts: pa.Table, names: pa.Table) -> pa.Table:
+    """(_key, _found): the names that each text holds, by first place and the longer first."""
+    entry = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("name", pa.string())])
+    if not names.num_rows or not texts.num_rows:
+        return pa.table({"_key": pa.array([], pa.string()), "_found": pa.array([], pa.list_(entry))})
+    phrases = _large(names.column("_phrase"))
+    trie = _Trie(phrases)
+    found, starts = _split(texts)
+    ends = np.repeat(starts[1:], np.diff(starts))
+    at, n, name = trie.hits(_places(found, trie.words), ends)
+    row = np.searchsorted(starts, at, side="right") - 1
+    order = np.lexsort((at, name, row))
+    at, n, name, row = at[order], n[order], name[order], row[order]
+    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (name[1:] != name[:-1])][: len(row)])
+    first = first[np.lexsort((-n[first], at[first], row[first]))]
+    at, n, name, row = at[first], n[first], name[first], row[first]
+    some, begin = np.unique(row, return_index=True)
+    fields = [
+        pa.array(at - starts[row], pa.int32()),
+        pa.array(-n, pa.int32()),
+        phrases.take(pa.array(name)).cast(pa.string()),
+    ]
+    listed = pa.ListArray.from_arrays(
+        pa.array(np.r_[begin, len(row)], pa.int32()), pa.StructArray.from_arrays(fields, fields=list(entry))
+    )
+    return pa.table({"_key": texts.column("_key").combine_chunks().take(pa.array(some)), "_found": listed})
+
+
+def _by_rarest_word(df: DataFrame, text: str, names: DataFrame, size: int, few: bool) -> DataFrame:
+    """(_key, _value): the names of several words, or one, that each text holds.
+
+    A name is indexed by that of its words which the texts have least often, and only parts of the
+    texts that have it look for the name, word by word from every place at once. ``few`` names are
+    broadcast; of very many, each slice of ``SLICE_NAMES`` is looked for on its own.
     """
+    parts = _in_parts(df, text)
+    held = _part_words(parts)
     own = names.select("_phrase", F.explode(F.array_distinct(F.split("_phrase", " "))).alias("_word"))
-    known = own.select("_word").distinct()
-    tokens = texts.select("_key", F.explode(F.array_distinct(words("_text"))).alias("_word"))
-    tokens = tokens.join(F.broadcast(known), "_word") if few else lookup_join(tokens, known, "_word", "inner", min_rows)
-    tokens = materialise(tokens, "tokens")
-    held_by = tokens.groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
+    held_by = held.groupBy("_word").agg(F.sum("_n").alias("_n"))
+    if few:
+        known = F.broadcast(own.select("_word").distinct())
+        held_by, held = held_by.join(known, "_word", "left_semi"), held.join(known, "_word", "left_semi")
     counted = own.join(held_by, "_word", "left")
-    rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), "_word")).alias("_rarest")
-    index = counted.groupBy("_phrase").agg(rarest).filter("_rarest.n > 0")
-    listed = index.groupBy(F.col("_rarest._word").alias("_word")).agg(F.collect_list("_phrase").alias("_names"))
-    listed = materialise(listed, "index")
-    fetched = tokens.join(F.broadcast(listed), "_word") if few else lookup_join(tokens, listed, "_word", "inner", min_rows)
-    candidates = fetched.groupBy("_key").agg(F.flatten(F.collect_list("_names")).alias("_names"))
-    value = _held(_running("_text"), F.col("_names")).alias("_value")
-    return texts.join(candidates, "_key").select("_key", value).filter(F.size("_value") > 0)
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_word")).alias("_rarest")
+    index = counted.groupBy("_phrase").agg(rarest).filter("_rarest.n > 0").select("_phrase", F.col("_rarest._word").alias("_word"))
+    index = materialise(index, "index")
+    near = held.select("_part", "_word").join(F.broadcast(index) if few else index, "_word").select("_part", "_phrase")
+    slices = -(-size // SLICE_NAMES)
+    if slices == 1:
+        found = _met(parts, near, ["_part"], _names_found, f"_key string, _found {FOUND}").dropDuplicates(["_key"])
+    else:
+        near = near.withColumn("_slice", F.pmod(F.xxhash64("_phrase"), F.lit(slices)).cast("int"))
+        copies = parts.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        found = _met(copies, near, ["_part", "_slice"], _names_found, f"_key string, _found {FOUND}")
+        # copies of a text find the same names
+        found = found.groupBy("_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_found")))).alias("_found"))
+    return found.select("_key", F.col("_found.name").alias("_value"))
 
 
 def recognise(
@@ -327,9 +457,9 @@ def recognise(
     names that begin at the same word the longer comes first. A vocabulary of at most
     ``max_inline`` names is checked within the row and the texts stay where they are. Of a
     larger one, single words are joined to the words of each distinct text, and where names
-    have several words, each is indexed by its rarest one and looked for only in the texts
-    that hold that; by broadcast up to ``max_broadcast`` names. All forms give the same;
-    rows need no key.
+    have several words, each is indexed by its rarest one and looked for only in the parts
+    of the texts that hold that; by broadcast up to ``max_broadcast`` names. All forms give
+    the same; rows need no key.
     """
     joined_name = F.array_join(words(F.col(name)), " ")
     names = vocabulary.select(joined_name.alias("_phrase")).filter(F.col("_phrase") != "").distinct()
@@ -342,17 +472,17 @@ def recognise(
         else:
             found = _held(_running(text), F.array(*[F.lit(phrase) for phrase in few]))
         return df.withColumn(out, F.when(F.col(text).isNotNull(), _entities(found)))
-    texts, broadcast = _texts(df, text), size <= max_broadcast
+    broadcast = size <= max_broadcast
     if single:
-        tokens = texts.select("_key", F.posexplode(F.array_distinct(words("_text"))).alias("_at", "_phrase"))
+        tokens = _texts(df, text).select("_key", F.posexplode(F.array_distinct(words("_text"))).alias("_at", "_phrase"))
         known = tokens.join(F.broadcast(names), "_phrase") if broadcast else lookup_join(tokens, names, "_phrase", "inner", min_rows)
         listed = F.sort_array(F.collect_list(F.struct("_at", "_phrase")))["_phrase"]
         per_text = known.groupBy("_key").agg(listed.alias("_value"))
     else:
-        per_text = _by_rarest_word(materialise(texts, "texts"), names, broadcast, min_rows)
+        per_text = _by_rarest_word(df, text, names, size, broadcast)
     found = _free(df, "_names")
     named = _by_text(df, text, per_text, F.array().cast("array<string>"), found)
-    return named.withColumn(out, F.when(F.col(text).isNotNull(), _entities(F.col(found)))).drop(found)
+    return named.withColumn(out, F.when(F.col(found).isNotNull(), _entities(F.col(found)))).drop(found)
 
 
 Step = tuple[str, Callable[[SparkSession, DataFrame | None], DataFrame]]

@@ -444,3 +444,37 @@ def test_zip_and_udf(spark):
     zipped = df.select(C.zip_recommendations("items", "ratings").alias("recommendations"))
     assert C.recommended_items(zipped).first()["items"] == [1, 2]
     assert C.apply_udf(df, lambda s: s.str.upper(), "name", "upper", "string").first()["upper"] == "AB"
+
+
+def test_many_names_are_looked_for_by_parts_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(E, "PART_CHARS", 400)
+    words = [f"{a}{b}" for a in "abcdef" for b in "xyz"]
+    texts = [(i, " ".join(words[(i * 7 + j * j) % 18] for j in range(i % 25))) for i in range(60)]
+    docs = spark.createDataFrame([*texts, *texts[10:40], (98, ""), (99, None)], "id int, text string")
+    names = {" ".join(words[(n * 5 + j * (n % 3 + 1)) % 18] for j in range(1 + n % 4)) for n in range(120)}
+    vocabulary = spark.createDataFrame([(n,) for n in names], "name string")
+    for slices, tier in ((1_000_000, {}), (1_000_000, {"max_broadcast": 0}), (20, {"max_broadcast": 0})):
+        monkeypatch.setattr(E, "SLICE_NAMES", slices)
+        found = E.recognise(docs, "text", vocabulary, max_inline=0, **tier)
+        assert "instr" not in found._jdf.queryExecution().toString()  # no scan of a text for each name
+        rows = found.collect()
+        assert len(rows) == 92
+        for row in rows:
+            if row["text"] is None:
+                assert row["celebs"] is None
+                continue
+            whole = f" {row['text']} "
+            held = sorted((whole.index(f" {n} "), -len(n), n) for n in names if f" {n} " in whole)
+            assert [c["name"] for c in row["celebs"]["result"]["celebrities"]] == [n for _, _, n in held]
+
+
+def test_words_of_a_large_lexicon_meet_texts_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(E, "PART_CHARS", 100)
+    docs = spark.range(50).selectExpr("id", "concat_ws(' ', 'tail', repeat('head ', int(id % 4)), concat('w', id % 5)) AS text")
+    lexicon = spark.createDataFrame([("head", 2.0), ("tail", -1.0), ("unseen", 9.0)], "word string, weight double")
+    found = E.first_score(E.sentiment(docs, "text", lexicon, max_inline=0, max_broadcast=0))
+    plan = found._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan  # no row for each word of each text
+    for row in found.collect():
+        n = row["id"] % 4
+        assert abs(row["sentimentScore"] - (2.0 * n - 1.0) / (n + 1)) < 1e-9
