@@ -1,10 +1,10 @@
-"""Benchmark decontamination by winnowing, in built-in functions only.
+"""Benchmark decontamination by sampled k-grams, in built-in functions only.
 
 A *window* is ``window`` consecutive words of a benchmark item (a shorter item is one
-window). Every text keeps the k-grams whose hash is the least of some run of
-``window - k + 1`` k-grams (all of them on a tie). A shared window holds one such run
-whole, so both texts keep the same k-gram of it and meet by its hash. A meeting is then
-extended word by word as far as a window reaches, and counts where a whole window agrees.
+window). Items keep all their k-grams, and documents those at every ``window - k + 1``-th
+word: any window of a document holds just one of these whole, so a shared window
+meets by its hash. A meeting is then extended word by word as far as a window
+reaches, and counts where a whole window agrees.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _winnowed(found: Column, window: int, edge: str) -> Column:
+def _kept(found: Column, window: int, edge: str, sparse: bool) -> Column:
     """Array of (length, pos, hash, near): kept k-grams of a word array, for windows of ``window`` words.
 
-    pos counts words from 0; near holds the k-gram and the words a window may add on
+    All of them, or if ``sparse`` one at every ``window - k + 1``-th word. pos counts words from 0; near holds the k-gram and the words a window may add on
     either side. Empty for texts of fewer words.
     """
     gram = min(GRAM, window)
@@ -42,42 +42,27 @@ def _winnowed(found: Column, window: int, edge: str) -> Column:
     # single elements only: a slice of a long array would copy the array every time
     some = lambda of, first, count: [F.get(of, first + j) for j in range(count)]
 
-    def each(count: Column, body) -> Column:
-        return F.transform(F.sequence(F.lit(0), count - 1), body)
-
-    def kept(padded: Column, hashes: Column) -> Column:
-        def own(least: Column) -> Column:
-            def is_least(i: Column) -> Column:
-                around = some(least, i - (run - 1), run)
-                return (around[0] if run == 1 else F.greatest(*around)) == F.get(hashes, i)
-
-            return F.transform(
-                F.filter(F.sequence(F.lit(0), n - gram), is_least),
-                lambda i: F.struct(
-                    F.lit(window).alias("length"),
-                    i.alias("pos"),
-                    F.get(hashes, i).alias("hash"),
-                    F.array(*some(padded, i, gram + 2 * margin)).alias("near"),
-                ),
-            )
-
-        def least_of(i: Column) -> Column:
-            inside = some(hashes, i, run)
-            return inside[0] if run == 1 else F.least(*inside)
-
-        return let(each(n - window + 1, least_of), own)
+    def kept(padded: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), n - gram, F.lit(run if sparse else 1)),
+            lambda i: F.struct(
+                F.lit(window).alias("length"),
+                i.alias("pos"),
+                F.xxhash64(*some(padded, i + margin, gram)).alias("hash"),
+                F.array(*some(padded, i, gram + 2 * margin)).alias("near"),
+            ),
+        )
 
     sides = F.array_repeat(F.lit(edge), margin)
-    hashes = each(n - gram + 1, lambda i: F.xxhash64(*some(found, i, gram)))
-    whole = let(F.concat(sides, found, sides), lambda padded: let(hashes, lambda h: kept(padded, h)))
+    whole = let(F.concat(sides, found, sides), kept)
     return F.when(n >= window, whole).otherwise(F.array().cast("array<struct<length:int,pos:int,hash:bigint,near:array<string>>>"))
 
 
-def _fingerprints(texts: DataFrame, key: str, text: Column, lengths: list[int], edge: str) -> DataFrame:
+def _fingerprints(texts: DataFrame, key: str, text: Column, lengths: list[int], edge: str, sparse: bool) -> DataFrame:
     """(key, length, pos, hash, near), one row per kept k-gram."""
 
     def all_lengths(found: Column) -> Column:
-        return F.concat(*[_winnowed(found, length, edge) for length in lengths])
+        return F.concat(*[_kept(found, length, edge, sparse) for length in lengths])
 
     kept = texts.select(key, F.explode(let(words(text), all_lengths)).alias("_g"))
     return kept.select(key, "_g.length", "_g.pos", "_g.hash", "_g.near")
@@ -132,7 +117,7 @@ def overlaps(
     if not lengths:
         lengths = [window]
     by_length = [
-        _fingerprints(bench.filter(F.least(size, F.lit(window)) == n), "item", F.col("text"), [n], ITEM_EDGE)
+        _fingerprints(bench.filter(F.least(size, F.lit(window)) == n), "item", F.col("text"), [n], ITEM_EDGE, False)
         for n in lengths
     ]
     marks = by_length[0]
@@ -142,7 +127,7 @@ def overlaps(
     small = marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
     texts = texts.select(F.md5("text").alias("key"), "text")
-    kept = _fingerprints(texts, "key", F.col("text"), lengths, DOC_EDGE)
+    kept = _fingerprints(texts, "key", F.col("text"), lengths, DOC_EDGE, True)
     meet = (F.col("hash") == F.col("_hash")) & (F.col("length") == F.col("_length"))
     pairs = kept.join(F.broadcast(marks) if small else marks, meet)
     grouped = _spans(pairs, window).groupBy("key").agg(

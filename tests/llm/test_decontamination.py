@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from recmill.llm import decontaminate as D
 
@@ -109,3 +110,14 @@ def test_long_text_in_built_in_functions_only(spark):
     frame = D.contamination(docs, items)
     assert found(frame) == [("1", 60_014, 14, [1])]
     assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().toString())
+
+
+def test_a_document_keeps_one_gram_for_each_window(spark):
+    text = " ".join(f"w{i}" for i in range(1000))
+    texts = spark.createDataFrame([(text,)], "text string")
+    kept = D._kept(D.words(F.col("text")), 10, D.DOC_EDGE, True)
+    assert texts.select(F.size(kept).alias("n")).first()["n"] == 166  # 996 grams, every sixth
+    docs = [(at, f"{'x ' * at} {' '.join(f'w{i}' for i in range(500, 510))} end") for at in range(13)]
+    items = spark.createDataFrame([(1, text)], "item_id int, text string")
+    hits = D.contamination(spark.createDataFrame(docs, "doc_id int, text string"), items)
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in hits.collect()) == [(at, 10, [1]) for at in range(13)]
