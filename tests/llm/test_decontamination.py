@@ -121,3 +121,13 @@ def test_a_document_keeps_one_gram_for_each_window(spark):
     items = spark.createDataFrame([(1, text)], "item_id int, text string")
     hits = D.contamination(spark.createDataFrame(docs, "doc_id int, text string"), items)
     assert sorted((r.doc_id, r.n_hit, r["items"]) for r in hits.collect()) == [(at, 10, [1]) for at in range(13)]
+
+
+def test_words_are_those_of_the_contract_for_every_character(spark):
+    assert "[^" not in D.LOWER_WORD + D.RAW_WORD  # slow forms
+    points = [i for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF and (i < 0x3000 or i % 97 == 0 or i > 0x10FFF0)]
+    rows = spark.createDataFrame([(i, f"a{chr(i)}b {chr(i)}") for i in points], "i int, t string")
+    counted = rows.select("i", D.words(F.col("t")).alias("w"), F.regexp_count("t", F.lit(D.RAW_WORD)).alias("n")).collect()
+    assert len(counted) == len(points)
+    for row in counted:
+        assert row["w"] == words(f"a{chr(row['i'])}b {chr(row['i'])}") and row["n"] == len(row["w"]), hex(row["i"])
