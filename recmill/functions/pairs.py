@@ -14,6 +14,7 @@ from recmill.sources.scratch import materialise
 
 STRIP_ROWS = 2_000_000  # points one task counts at a time
 STRIPS = 1_000  # most strips one user's ranks are cut into
+TASK_ROWS = 500_000  # rows, about, that one task takes where users are dealt to tasks
 COUNT_TYPE = "decimal(18,0)"
 TOTAL_TYPE = "decimal(38,0)"
 
@@ -97,10 +98,23 @@ def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield count(pd.concat(held))
 
 
-def _counted(strips: DataFrame) -> DataFrame:
-    """Concordant and label-differing pairs inside each (user, strip), as partial totals."""
-    placed = strips.repartition("user", "strip").sortWithinPartitions("user", "strip")
-    return placed.mapInPandas(_tally, "concordant string, n_pairs string")
+def _dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many tasks as its size asks for.
+
+    A count that is given is not coalesced, so what a task holds does not grow with the table.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
+
+def _counted(placed: DataFrame) -> DataFrame:
+    """Concordant and label-differing pairs inside each (user, strip), as partial totals; no strip is in two tasks."""
+    return placed.sortWithinPartitions("user", "strip").mapInPandas(_tally, "concordant string, n_pairs string")
+
+
+def _averaged(rows: DataFrame) -> DataFrame:
+    """One point per user and item."""
+    points = rows.groupBy("user", "item").agg(F.avg("label").alias("label"), F.avg("prediction").alias("prediction"))
+    return points.dropna(subset=["user", "label", "prediction"])
 
 
 def _strips(points: DataFrame, largest: int, min_rows: int) -> DataFrame:
@@ -178,22 +192,31 @@ def fcp(
         F.col(label).alias("label"),
         F.col(prediction).alias("prediction"),
     )
-    points = named.groupBy("user", "item").agg(F.avg("label").alias("label"), F.avg("prediction").alias("prediction"))
-    points = points.dropna(subset=["user", "label", "prediction"])
+    named = named.dropna(subset=["user"])
+    stored = materialise(named, "scored")
+    rows = stored.count()
+    # A table that the cores hold anyway is averaged as it comes, a larger one in tasks of bounded size.
+    small = rows <= TASK_ROWS * df.sparkSession.sparkContext.defaultParallelism
 
     # A user has no more points than rows, so only large users in the rows call for a closer look.
-    heavy = heavy_keys(named.dropna(subset=["user"]), ["user"], min_rows, limit=1)
+    heavy = heavy_keys(stored, ["user"], min_rows, limit=1)
     if heavy:
-        points = materialise(points, "points")
+        points = materialise(_averaged(named if small else _dealt(stored, rows, "user", "item")), "points")
         heavy = heavy_keys(points, ["user"], min_rows, HEAVY_LIMIT)
+        whole = _dealt(_whole(points), rows, "user")
+    elif small:
+        whole = _dealt(_whole(_averaged(named)), rows, "user")
+    else:
+        whole = _whole(_averaged(_dealt(stored, rows, "user")))
     if not heavy:
-        totals = _totals(_counted(_whole(points)))
+        totals = _totals(_counted(whole))
     else:
         hot, cold = points, points.limit(0)
         if len(heavy) < HEAVY_LIMIT:  # a full list may leave large users out: then all are cut
             hot, cold = split_heavy(points, ["user"], heavy)
-        found = _counted(_strips(hot, heavy[0]["_rows"], min_rows)).select("concordant", F.lit("0").alias("n_pairs"))
-        totals = _totals(found.unionByName(_counted(_whole(cold))).unionByName(_pairs_of(hot)))
+        strips = _dealt(_strips(hot, heavy[0]["_rows"], min_rows), 2 * rows, "user", "strip")
+        found = _counted(strips).select("concordant", F.lit("0").alias("n_pairs"))
+        totals = _totals(found.unionByName(_counted(_dealt(_whole(cold), rows, "user"))).unionByName(_pairs_of(hot)))
     share = F.try_divide(F.col("concordant").cast("double"), F.col("n_pairs").cast("double"))
     return totals.select(share.alias("fcp"), "n_pairs")
 

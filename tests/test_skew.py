@@ -180,3 +180,19 @@ def test_concordant_pairs(rows):
     )
     columns = np.array(rows, dtype=np.int64).reshape(-1, 4).T
     assert concordant(columns[0], columns[1].astype(float), columns[2].astype(float), columns[3]) == expected
+
+
+def test_fcp_tasks_do_not_grow_with_the_table(spark, monkeypatch):
+    """Users are dealt to as many tasks as the rows ask for, by one shuffle, and the plan does not coalesce them."""
+    monkeypatch.setattr(pairs, "TASK_ROWS", 50)
+    rows = [(u, i, float((u * i) % 5), float(i % 7)) for u in range(40) for i in range(30)]
+    scored = spark.createDataFrame(rows, "user int, item int, label double, prediction double")
+    placed, counted = [], pairs._counted
+    monkeypatch.setattr(pairs, "_counted", lambda df: placed.append(df) or counted(df))
+    found = fcp(scored).first()
+    assert [df.rdd.getNumPartitions() for df in placed] == [len(rows) // 50]
+    assert placed[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange") == 1
+    points = {}
+    for u, _, label, prediction in rows:
+        points.setdefault(u, []).append((label, prediction))
+    assert (round(found["fcp"] * int(found["n_pairs"])), found["n_pairs"]) == brute_force(points)
