@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -14,15 +16,18 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recmill.functions.metrics import RANKING_METRICS, ranking_frame, ranking_metrics
 from recmill.operators.indexing import apply_index, heavy_labels, label_index
-from recmill.operators.recommend import recommend_active, recommend_all
+from recmill.operators.recommend import BLOCK_FLOATS, packed, recommend_active, recommend_all
 from recmill.operators.splits import fold_column, user_ratio_split
 from recmill.sources.scratch import checkpoint_root, materialise
 
 SEED = 42
 BLOCKS = 10  # factor blocks unless the caller sets them; about one per two million ratings keeps tasks small
+FEW_FACTORS = 200_000  # users and items, together, that rows to be scored meet by joins
+SCORE_BLOCKS = 8  # blocks of users, and of items, that rows to be scored are dealt to beyond it
 
 
 def als_explicit(user: str = "user", item: str = "item", rating: str = "rating", **params) -> ALS:
@@ -76,10 +81,99 @@ def fit_als(als: ALS, df: DataFrame, dedupe: bool = False, blocks: int = BLOCKS)
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """Predictions for (user, item) rows; pairs with an unknown side drop out.
 
-    Rows meet the two factor tables by join; where a user or item is hot and the
-    factors are too large to broadcast, the adaptive skew join splits it.
+    Rows meet small factor tables by join. Of larger ones, rows with int ids are dealt to blocks
+    of users and items, whose factors travel once per block of the other side, and not with every row.
     """
-    return model.transform(pairs)
+    ids = (model.getUserCol(), model.getItemCol())
+    plain = len(set(pairs.columns)) < len(pairs.columns) or any(pairs.schema[c].dataType != T.IntegerType() for c in ids)
+    if plain or model.userFactors.count() + model.itemFactors.count() <= FEW_FACTORS:
+        return model.transform(pairs)
+    scored = _scored_in_blocks(model, pairs)
+    drop = model.getColdStartStrategy() == "drop"
+    return scored.filter(~F.isnan(model.getPredictionCol())) if drop else scored
+
+
+def _scored_in_blocks(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with their products of factors, NaN where a side is unknown.
+
+    A task takes the factors of a block of users and a block of items, and then the rows that fall
+    between them batch by batch, so that a hot user or item asks for time and not for memory.
+    """
+    rank = model.rank
+    least = [-(-side.count() * rank // BLOCK_FLOATS) for side in (model.userFactors, model.itemFactors)]
+    n_users, n_items = (max(SCORE_BLOCKS, n) for n in least)
+
+    def own(ids, n: int):
+        return F.pmod(F.xxhash64(ids), F.lit(n)).cast("int")
+
+    def sent(side: DataFrame, n: int, kind: int, n_other: int, block) -> DataFrame:
+        parts = side.select(own(F.col("id"), n).alias("_own"), "id", "features")
+        parts = parts.mapInArrow(packed(rank), "_own int, ids binary, factors binary")
+        parts = parts.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+        nothing = F.lit(None).cast(pairs.schema).alias("row")
+        return parts.select(block.alias("block"), F.lit(kind).alias("kind"), "ids", "factors", nothing)
+
+    def given(name: str):  # as the joins do
+        return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} Ids MUST NOT be Null")))
+
+    user, item = given(model.getUserCol()), given(model.getItemCol())
+    rows = pairs.select(
+        (own(user, n_users) * n_items + own(item, n_items)).alias("block"),
+        F.lit(2).alias("kind"),
+        F.lit(None).cast("binary").alias("ids"),
+        F.lit(None).cast("binary").alias("factors"),
+        F.struct(*[F.col(f"`{c}`") for c in pairs.columns]).alias("row"),
+    )
+    met = sent(model.userFactors, n_users, 0, n_items, F.col("_own") * n_items + F.col("_other"))
+    met = met.unionByName(sent(model.itemFactors, n_items, 1, n_users, F.col("_other") * n_items + F.col("_own")))
+    met = met.unionByName(rows).repartitionById(n_users * n_items, F.col("block")).sortWithinPartitions("block", "kind")
+    places = [pairs.columns.index(c) for c in (model.getUserCol(), model.getItemCol())]
+    schema = T.StructType([*pairs.schema.fields, T.StructField(model.getPredictionCol(), T.FloatType())])
+    return met.mapInArrow(_pair_scorer(rank, places, schema.names), schema)
+
+
+def _pair_scorer(rank: int, places: Sequence[int], names: Sequence[str]):
+    """Scores rows that come, block by block, after the packed factors of the block's users and items."""
+
+    def sorted_side(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(b"".join(part[0] for part in parts), np.int32)
+        factors = np.frombuffer(b"".join(part[1] for part in parts), np.float32).reshape(-1, rank)
+        order = np.argsort(ids)
+        return ids[order], factors[order]
+
+    def gathered(side: tuple[np.ndarray, np.ndarray], column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Factors of each id, and whether there are any."""
+        (ids, factors), asked = side, column.to_numpy()
+        if not len(ids):
+            return np.zeros((len(asked), rank), np.float32), np.zeros(len(asked), bool)
+        at = np.minimum(np.searchsorted(ids, asked), len(ids) - 1)
+        return factors[at], ids[at] == asked
+
+    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, sides = None, ([], []), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks, kinds = (batch.column(name).to_numpy() for name in ("block", "kind"))
+            edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+            for start, end in zip(np.r_[0, edges], np.r_[edges, batch.num_rows]):
+                run = batch.slice(start, end - start)
+                if blocks[start] != block:
+                    block, parts, sides = blocks[start], ([], []), None
+                if kinds[start] < 2:
+                    parts[kinds[start]].extend(zip(*(run.column(name).to_pylist() for name in ("ids", "factors"))))
+                    continue
+                if sides is None:
+                    sides, parts = [sorted_side(part) for part in parts], ([], [])
+                columns = run.column("row").flatten()
+                (users, known), (items, named) = (gathered(side, columns[at]) for side, at in zip(sides, places))
+                found = np.zeros(run.num_rows, np.float32)
+                for r in range(rank):
+                    found += users[:, r] * items[:, r]
+                found[~(known & named)] = np.nan
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, from_pandas=False)], list(names))
+
+    return score_rows
 
 
 def recommend(history: DataFrame, t, k: int, als: ALS | None = None, dedupe: bool = False, **cols) -> DataFrame:

@@ -174,7 +174,7 @@ def _best_items_of(
     return ids, best
 
 
-def _packed(rank: int):
+def packed(rank: int):
     """Rows (_own, id, features) as one row per batch and own block, with ids and factors in bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +262,8 @@ def _best_items(users: DataFrame, items: DataFrame, k: int, user: str, block_row
 
     def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int, is_user: bool) -> DataFrame:
         block = F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias("_own")
-        packed = side.select(block, "id", "features").mapInArrow(_packed(rank), "_own int, ids binary, factors binary")
-        return packed.select(
+        parts = side.select(block, "id", "features").mapInArrow(packed(rank), "_own int, ids binary, factors binary")
+        return parts.select(
             F.col("_own").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
             F.lit(is_user).alias("is_user"),

@@ -172,6 +172,31 @@ def test_model_does_not_follow_the_partitioning(spark, ratings, model, cores):
     assert all(np.allclose(ours[i], theirs[i], atol=1e-4) for i in ours)
 
 
+def test_rows_scored_in_blocks(spark, ratings, model, monkeypatch):
+    """As by joins: unknown sides drop out or are NaN, missing ones fail, other columns stay, no row carries factors."""
+    rows = ratings.select("id", "user", "item", F.timestamp_seconds("ts").alias("at"), F.col("rating").alias("odd name"))
+    strange = [(-1, 5, 10**6, None, 1.0), (-2, 10**6, 3, None, None), (-3, -7, -7, None, 3.0)]
+    rows = rows.unionByName(spark.createDataFrame(strange, rows.schema))
+    for strategy, missing in (("drop", 0), ("nan", 3)):
+        model.setColdStartStrategy(strategy)
+        plain = L.score(model, rows)
+        monkeypatch.setattr(L, "FEW_FACTORS", 0)
+        dealt = L.score(model, rows)
+        monkeypatch.undo()
+        assert "features" not in dealt._jdf.queryExecution().analyzed().output().toString()
+        assert "SortMergeJoin" not in dealt._jdf.queryExecution().executedPlan().toString()
+        assert [(f.name, f.dataType) for f in dealt.schema] == [(f.name, f.dataType) for f in plain.schema]
+        theirs, ours = ({r["id"]: tuple(r) for r in df.collect()} for df in (plain, dealt))
+        assert theirs.keys() == ours.keys() and len(ours) == dealt.count() == 4000 + missing
+        assert all(ours[i][:-1] == theirs[i][:-1] for i in ours)
+        assert np.allclose([ours[i][-1] for i in ours], [theirs[i][-1] for i in ours], atol=1e-6, equal_nan=True)
+    model.setColdStartStrategy("drop")
+    monkeypatch.setattr(L, "FEW_FACTORS", 0)
+    for name in ("user", "item"):
+        with pytest.raises(Exception, match=f"{name} Ids MUST NOT be Null"):
+            L.score(model, rows.withColumn(name, F.when(F.col("id") != 7, F.col(name)))).collect()
+
+
 def test_top_k_stays_off_the_driver(model):
     import inspect
 
