@@ -26,6 +26,7 @@ from recmill.sources.scratch import checkpoint_root, materialise
 
 SEED = 42
 BLOCKS = 10  # factor blocks unless the caller sets them; about one per two million ratings keeps tasks small
+ITEM_BLOCKS = 5  # item blocks where nobody asks for a count: users' factors are sent to each of them in every iteration
 FEW_FACTORS = 200_000  # users and items, together, that rows to be scored meet by joins
 SCORE_BLOCKS = 8  # blocks of users, and of items, that rows to be scored are dealt to beyond it
 
@@ -65,6 +66,16 @@ def blocked(als: ALS, blocks: int = BLOCKS) -> ALS:
     return als.copy().setNumBlocks(blocks)
 
 
+def _sparing(als: ALS, blocks: int) -> ALS:
+    """:func:`blocked`, with at most ``ITEM_BLOCKS`` item blocks unless the estimator has counts of its own.
+
+    The solver starts from user factors drawn by user block and replaces the item factors before it reads them, so
+    the count of item blocks only says how often users' factors are sent: the model is the same but for rounding.
+    """
+    own = als.isSet("numUserBlocks") or als.isSet("numItemBlocks")
+    return als if own else blocked(als, blocks).setNumItemBlocks(min(blocks, ITEM_BLOCKS))
+
+
 def run_params(als: ALS) -> dict[str, object]:
     """What a run log should hold of an estimator."""
     names = ("rank", "maxIter", "regParam", "alpha", "implicitPrefs", "seed", "numUserBlocks", "numItemBlocks")
@@ -75,7 +86,7 @@ def fit_als(als: ALS, df: DataFrame, dedupe: bool = False, blocks: int = BLOCKS)
     """Fit, with the checkpoint folder in place so that long runs cut their lineage."""
     checkpoint_root(df.sparkSession)
     train = materialise(one_per_pair(df, als), "train") if dedupe else df
-    return blocked(als, blocks).fit(train)
+    return _sparing(als, blocks).fit(train)
 
 
 def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -111,22 +122,22 @@ def _scored_in_blocks(model: ALSModel, pairs: DataFrame) -> DataFrame:
         parts = parts.mapInArrow(packed(rank), "_own int, ids binary, factors binary")
         parts = parts.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
         nothing = F.lit(None).cast(pairs.schema).alias("row")
-        return parts.select(block.alias("block"), F.lit(kind).alias("kind"), "ids", "factors", nothing)
+        return parts.select((block * 3 + kind).alias("place"), "ids", "factors", nothing)
 
     def given(name: str):  # as the joins do
         return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} Ids MUST NOT be Null")))
 
     user, item = given(model.getUserCol()), given(model.getItemCol())
     rows = pairs.select(
-        (own(user, n_users) * n_items + own(item, n_items)).alias("block"),
-        F.lit(2).alias("kind"),
+        ((own(user, n_users) * n_items + own(item, n_items)) * 3 + 2).alias("place"),
         F.lit(None).cast("binary").alias("ids"),
         F.lit(None).cast("binary").alias("factors"),
         F.struct(*[F.col(f"`{c}`") for c in pairs.columns]).alias("row"),
     )
     met = sent(model.userFactors, n_users, 0, n_items, F.col("_own") * n_items + F.col("_other"))
     met = met.unionByName(sent(model.itemFactors, n_items, 1, n_users, F.col("_other") * n_items + F.col("_own")))
-    met = met.unionByName(rows).repartitionById(n_users * n_items, F.col("block")).sortWithinPartitions("block", "kind")
+    met = met.unionByName(rows).repartitionById(n_users * n_items, F.floor(F.col("place") / 3).cast("int"))
+    met = met.sortWithinPartitions("place")  # one number for block and kind, which Spark sorts by its digits
     places = [pairs.columns.index(c) for c in (model.getUserCol(), model.getItemCol())]
     schema = T.StructType([*pairs.schema.fields, T.StructField(model.getPredictionCol(), T.FloatType())])
     return met.mapInArrow(_pair_scorer(rank, places, schema.names), schema)
@@ -154,8 +165,8 @@ def _pair_scorer(rank: int, places: Sequence[int], names: Sequence[str]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            blocks, kinds = (batch.column(name).to_numpy() for name in ("block", "kind"))
-            edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+            blocks, kinds = np.divmod(batch.column("place").to_numpy(), 3)
+            edges = np.flatnonzero(np.diff(batch.column("place").to_numpy())) + 1
             for start, end in zip(np.r_[0, edges], np.r_[edges, batch.num_rows]):
                 run = batch.slice(start, end - start)
                 if blocks[start] != block:

@@ -163,6 +163,21 @@ def test_blocks_are_a_parameter(spark):
     assert "defaultParallelism" not in source and ".count()" not in inspect.getsource(L.fit_als)
 
 
+@pytest.mark.parametrize("kind", [L.als_implicit, L.als_explicit])
+def test_item_blocks_are_fewer_and_change_no_model(spark, ratings, kind, monkeypatch):
+    """The solver gets fewer item blocks, the factors of both sides are those of as many blocks as users have."""
+    pairs, settings = L.one_per_pair(ratings, kind()), dict(rank=4, maxIter=3)
+    full = L.fit_als(kind(**settings, numUserBlocks=L.BLOCKS, numItemBlocks=L.BLOCKS), pairs)
+    asked, blocked = [], L._sparing
+    monkeypatch.setattr(L, "_sparing", lambda *args: asked.append(blocked(*args)) or asked[-1])
+    fewer = L.fit_als(kind(**settings), pairs)
+    assert (asked[0].getNumUserBlocks(), asked[0].getNumItemBlocks()) == (L.BLOCKS, L.ITEM_BLOCKS)
+    assert L.ITEM_BLOCKS < L.BLOCKS and L._sparing(kind(numItemBlocks=7), 10).getNumItemBlocks() == 7
+    for side in ("userFactors", "itemFactors"):
+        ours, theirs = ({r["id"]: r["features"] for r in getattr(m, side).collect()} for m in (fewer, full))
+        assert ours.keys() == theirs.keys() and all(np.allclose(ours[i], theirs[i], atol=1e-4) for i in ours)
+
+
 @pytest.mark.parametrize("cores", [1, 3])
 def test_model_does_not_follow_the_partitioning(spark, ratings, model, cores):
     pairs = ratings.groupBy("user", "item").agg(F.sum("rating").cast("float").alias("rating"))
