@@ -26,7 +26,7 @@ from recmill.sources.scratch import checkpoint_root, materialise
 
 SEED = 42
 BLOCKS = 10  # factor blocks unless the caller sets them; about one per two million ratings keeps tasks small
-ITEM_BLOCKS = 5  # item blocks where nobody asks for a count: users' factors are sent to each of them in every iteration
+ITEM_BLOCKS = 6  # item blocks where nobody asks for a count, to ``BLOCKS`` user blocks: users' factors are sent to each of them in every iteration
 FEW_FACTORS = 200_000  # users and items, together, that rows to be scored meet by joins
 SCORE_BLOCKS = 8  # blocks of users, and of items, that rows to be scored are dealt to beyond it
 
@@ -67,13 +67,16 @@ def blocked(als: ALS, blocks: int = BLOCKS) -> ALS:
 
 
 def _sparing(als: ALS, blocks: int) -> ALS:
-    """:func:`blocked`, with at most ``ITEM_BLOCKS`` item blocks unless the estimator has counts of its own.
+    """:func:`blocked`, with ``ITEM_BLOCKS`` item blocks to ``BLOCKS`` user blocks, and all blocks on disk, unless set.
 
     The solver starts from user factors drawn by user block and replaces the item factors before it reads them, so
     the count of item blocks only says how often users' factors are sent: the model is the same but for rounding.
+    A task that builds a block holds its ratings about four times over, outside the memory that Spark counts. Blocks
+    kept in memory would leave no room for that, and every iteration reads them once, in order.
     """
     own = als.isSet("numUserBlocks") or als.isSet("numItemBlocks")
-    return als if own else blocked(als, blocks).setNumItemBlocks(min(blocks, ITEM_BLOCKS))
+    als = als.copy() if own else blocked(als, blocks).setNumItemBlocks(-(-blocks * ITEM_BLOCKS // BLOCKS))
+    return als if als.isSet("intermediateStorageLevel") else als.setIntermediateStorageLevel("DISK_ONLY")
 
 
 def run_params(als: ALS) -> dict[str, object]:

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ MANY_ITEM_BLOCKS = 4  # beyond these counts blocks grow instead, up to BLOCK_FLO
 BLOCK_FLOATS = 16_000_000  # most factors of a block, about
 _BLOCK_USERS = 512
 _BLOCK_ITEMS = 2048
+_NORM_ROWS = 65_536
 _SLACK = 1e-6  # relative rounding of a product, for each factor
 
 
@@ -117,8 +117,11 @@ def _scores(users: np.ndarray, items: np.ndarray) -> np.ndarray:
 
 def _norms(factors: np.ndarray) -> np.ndarray:
     """Lengths, not rounded down."""
-    wide = factors.astype(np.float64)
-    return np.sqrt(np.einsum("ij,ij->i", wide, wide)) * (1 + _SLACK * (1 + factors.shape[1]))
+    norms = np.empty(len(factors))
+    for at in range(0, len(factors), _NORM_ROWS):  # as float64 only so many rows at a time
+        wide = factors[at : at + _NORM_ROWS].astype(np.float64)
+        norms[at : at + _NORM_ROWS] = np.sqrt(np.einsum("ij,ij->i", wide, wide))
+    return norms * (1 + _SLACK * (1 + factors.shape[1]))
 
 
 def _by_norm(item_ids: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,27 +201,36 @@ def packed(rank: int):
 
 
 def _block_scorer(k: int, user: str, rank: int):
-    """Scores the users of a block pair against its items, some users at a time."""
-
-    def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, factors = (b"".join(rows.column(name).to_pylist()) for name in ("ids", "factors"))
-        return np.frombuffer(ids, np.int32), np.frombuffer(factors, np.float32).reshape(-1, rank)
-
-    def score(block: pa.Table) -> pa.Table:
-        asked, offered = block.filter(block.column("is_user")), block.filter(pc.invert(block.column("is_user")))
-        ids_of, lists_of = [], []
-        if asked.num_rows and offered.num_rows:
-            names, users = unpacked(asked)
-            item_ids, items, norms = _by_norm(*unpacked(offered))
-            for start in range(0, len(users), _BLOCK_USERS):
-                ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k, norms)
-                entry = [pa.array(ids.ravel(), pa.int64()), pa.array(best.ravel().astype(float), pa.float64())]
-                ends = np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32)
-                ids_of.append(pa.array(names[start : start + _BLOCK_USERS], pa.int32()))
-                lists_of.append(pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(entry, ["itemId", "rating"])))
-        entries = pa.list_(pa.struct([("itemId", pa.int64()), ("rating", pa.float64())]))
-        columns = [pa.chunked_array(ids_of, pa.int32()), pa.chunked_array(lists_of, entries)]
-        return pa.Table.from_arrays(columns, [user, "recommendations"])
+    """Scores the users of a block pair against its items, some users at a time.
+
+    A worker holds the factors of the pair, each once but while items are sorted, and the lists of one batch.
+    """
+    entries = pa.list_(pa.struct([("itemId", pa.int64()), ("rating", pa.float64())]))
+
+    def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and factors of all parts, which are given up."""
+        ids, factors = (np.concatenate(side) for side in zip(*parts))
+        parts.clear()
+        return ids, factors
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, offered = [], []
+        for batch in batches:
+            of_users = batch.column("is_user").to_pylist()
+            for is_user, ids, factors in zip(of_users, batch.column("ids"), batch.column("factors")):
+                part = np.frombuffer(ids.as_py(), np.int32), np.frombuffer(factors.as_py(), np.float32).reshape(-1, rank)
+                (asked if is_user else offered).append(part)
+        if not asked or not offered:
+            return
+        item_ids, items, norms = _by_norm(*joined(offered))
+        names, users = joined(asked)
+        for start in range(0, len(users), _BLOCK_USERS):
+            ids, best = _best_items_of(users[start : start + _BLOCK_USERS], item_ids, items, k, norms)
+            entry = [pa.array(ids.ravel(), pa.int64()), pa.array(best.ravel().astype(float), pa.float64())]
+            ends = pa.array(np.arange(0, ids.size + 1, ids.shape[1], dtype=np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(entry, ["itemId", "rating"]))
+            named = pa.array(names[start : start + _BLOCK_USERS], pa.int32())
+            yield pa.RecordBatch.from_arrays([named, lists.cast(entries)], [user, "recommendations"])
 
     return score
 

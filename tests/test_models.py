@@ -1,6 +1,7 @@
 """Factor models: scoring, active-subset recommendation, search, persistence."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -178,6 +179,46 @@ def test_item_blocks_are_fewer_and_change_no_model(spark, ratings, kind, monkeyp
         assert ours.keys() == theirs.keys() and all(np.allclose(ours[i], theirs[i], atol=1e-4) for i in ours)
 
 
+def test_solver_leaves_memory_to_the_blocks_it_builds(ratings, model, monkeypatch):
+    """Blocks lie on disk unless the caller says otherwise, shrink on both sides with a raised count, and change no model."""
+    kept = L._sparing(L.als_implicit(), L.BLOCKS)
+    assert kept.getIntermediateStorageLevel() == "DISK_ONLY" and not L.als_implicit().isSet("intermediateStorageLevel")
+    assert L._sparing(L.als_implicit(numUserBlocks=3), 10).getIntermediateStorageLevel() == "DISK_ONLY"
+    memory = L.als_implicit(intermediateStorageLevel="MEMORY_ONLY")
+    assert L._sparing(memory, 10).getIntermediateStorageLevel() == "MEMORY_ONLY"
+    raised = L._sparing(L.als_implicit(), 4 * L.BLOCKS)
+    assert (raised.getNumUserBlocks(), raised.getNumItemBlocks()) == (4 * L.BLOCKS, 4 * L.ITEM_BLOCKS)
+    asked, blocked = [], L._sparing
+    monkeypatch.setattr(L, "_sparing", lambda *args: asked.append(blocked(*args)) or asked[-1])
+    settings = dict(rank=4, maxIter=3, intermediateStorageLevel="MEMORY_AND_DISK")
+    other = L.fit_als(L.als_implicit(**settings), ratings, dedupe=True)
+    assert asked[0].getIntermediateStorageLevel() == "MEMORY_AND_DISK"
+    for side in ("userFactors", "itemFactors"):
+        ours, theirs = ({r["id"]: r["features"] for r in getattr(m, side).collect()} for m in (model, other))
+        assert ours.keys() == theirs.keys() and all(np.allclose(ours[i], theirs[i], atol=1e-4) for i in ours)
+
+
+def test_block_scorer_streams(monkeypatch):
+    """Lists leave a block pair some users at a time, whatever order its rows come in, and are those of all scores."""
+    monkeypatch.setattr(R, "_BLOCK_USERS", 4)
+    monkeypatch.setattr(R, "_NORM_ROWS", 7)
+    draw = np.random.default_rng(4)
+    users, items = (draw.normal(size=(n, 3)).astype(np.float32) for n in (10, 30))
+
+    def row(is_user, side, start, end):
+        ids = np.arange(start, end, dtype=np.int32)
+        values = [[0], [0], [is_user], [ids.tobytes()], [side[start:end].tobytes()]]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["_u", "_i", "is_user", "ids", "factors"])
+
+    rows = [row(False, items, 0, 9), row(True, users, 0, 6), row(False, items, 9, 30), row(True, users, 6, 10)]
+    score = R._block_scorer(5, "user", 3)
+    found = list(score(iter(rows)))
+    assert [batch.num_rows for batch in found] == [4, 4, 2]
+    listed = {r["user"]: [e["itemId"] for e in r["recommendations"]] for batch in found for r in batch.to_pylist()}
+    assert listed == {u: np.argsort(-(items @ users[u]))[:5].tolist() for u in range(10)}
+    assert list(score(iter(rows[:1]))) == list(score(iter(rows[1:2]))) == []
+
+
 @pytest.mark.parametrize("cores", [1, 3])
 def test_model_does_not_follow_the_partitioning(spark, ratings, model, cores):
     pairs = ratings.groupBy("user", "item").agg(F.sum("rating").cast("float").alias("rating"))
